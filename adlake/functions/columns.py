@@ -36,7 +36,7 @@ def within(later, earlier, seconds: int) -> Column:
 def ratio(part, whole, scale: float = 1.0) -> Column:
     """``part / whole * scale``; NULL when there is nothing to divide by."""
     quotient = F.try_divide(column(part).cast("double"), column(whole).cast("double"))
-    return quotient * F.lit(scale)
+    return quotient if scale == 1.0 else quotient * F.lit(scale)
 
 
 def only_if(condition: Column, value) -> Column:

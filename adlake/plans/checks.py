@@ -54,19 +54,19 @@ def stale_layers(commit_log: DataFrame, as_of) -> DataFrame:
     )
 
 
-def layer_mismatch(silver: DataFrame, gold: DataFrame, as_of) -> DataFrame:
+def layer_mismatch(silver: DataFrame, gold: DataFrame, as_of, days: int = 1) -> DataFrame:
     """Yesterday's rows against yesterday's summed impressions: missing, or over 10 % apart.
 
-    A day without any row-level data gives no row; :func:`no_rows` reports that.
+    A day without any row-level data gives no row; :func:`no_rows` reports that. ``days``
+    looks further back than yesterday.
     """
-    yesterday = F.date_sub(day(as_of), 1)
     stored = (
-        silver.where(F.col("event_date") == yesterday)
+        silver.where(trailing_days("event_date", as_of, days))
         .groupBy("event_date")
         .agg(F.count(F.lit(1)).alias("silver_rows"))
     )
     summed = (
-        gold.where(F.col("summary_date") == yesterday)
+        gold.where(trailing_days("summary_date", as_of, days))
         .groupBy("summary_date")
         .agg(F.sum("impressions").alias("summed"))
     )
@@ -103,11 +103,14 @@ def missing_days(silver: DataFrame, as_of, days: int = 30) -> DataFrame:
     )
 
 
-def slow_days(silver: DataFrame, as_of) -> DataFrame:
-    """Yesterday, when its median end-to-end latency is over five minutes."""
-    yesterday = silver.where(F.col("event_date") == F.date_sub(day(as_of), 1))
+def slow_days(silver: DataFrame, as_of, days: int = 1) -> DataFrame:
+    """Yesterday, when its median end-to-end latency is over five minutes.
+
+    ``days`` looks further back than yesterday.
+    """
     return (
-        yesterday.groupBy("event_date")
+        silver.where(trailing_days("event_date", as_of, days))
+        .groupBy("event_date")
         .agg(percentile("end_to_end_latency_sec", 0.5).alias("p50_e2e_sec"))
         .where(F.col("p50_e2e_sec") > LATENCY_LIMIT_SEC)
         .withColumn("alert_type", F.lit("5min_latency_threshold_breached"))

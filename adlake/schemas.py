@@ -11,118 +11,136 @@ from pyspark.sql import types as T
 
 EVENT_TYPES = ("impression", "click", "conversion")
 
-_EVENT_COLUMNS = """
-    eid string NOT NULL,
-    uid string NOT NULL,
-    timestamp bigint NOT NULL,
-    event_time string,
-    event_type string NOT NULL,
-    campaign int
-"""
-
-_INGEST_COLUMNS = """
-    kafka_partition int,
-    kafka_offset bigint,
-    kafka_timestamp timestamp,
-    ingest_ts timestamp,
-    raw_date date,
-    raw_hour int
-"""
-
+# Type names as in SQL; a trailing "!" means NOT NULL.
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
 
-def _struct(*column_lists: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(column_lists))
 
+def _contract(**columns: str) -> T.StructType:
+    """A schema from ``name="type"`` or ``name="type! comment"``."""
+    fields = []
+    for name, text in columns.items():
+        kind, _, comment = text.partition(" ")
+        metadata = {"comment": comment} if comment else None
+        fields.append(
+            T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!"), metadata)
+        )
+    return T.StructType(fields)
+
+
+_EVENT = dict(
+    eid="string!",
+    uid="string!",
+    timestamp="bigint!",
+    event_time="string",
+    event_type="string!",
+    campaign="int",
+)
+
+_ARRIVAL = dict(
+    kafka_partition="int",
+    kafka_offset="bigint",
+    kafka_timestamp="timestamp",
+    ingest_ts="timestamp",
+    raw_date="date",
+    raw_hour="int",
+)
 
 # JSON payload of one topic message; only impressions carry a cost.
 PAYLOADS = {
-    "impression": _struct(_EVENT_COLUMNS, "cost double"),
-    "click": _struct(_EVENT_COLUMNS),
-    "conversion": _struct(_EVENT_COLUMNS),
+    "impression": _contract(**_EVENT, cost="double"),
+    "click": _contract(**_EVENT),
+    "conversion": _contract(**_EVENT),
 }
 
 # Raw layer: payload plus arrival metadata.
 RAW = {
-    "impression": _struct(_EVENT_COLUMNS, "cost double", _INGEST_COLUMNS),
-    "click": _struct(_EVENT_COLUMNS, _INGEST_COLUMNS),
-    "conversion": _struct(_EVENT_COLUMNS, _INGEST_COLUMNS),
+    "impression": _contract(**_EVENT, cost="double", **_ARRIVAL),
+    "click": _contract(**_EVENT, **_ARRIVAL),
+    "conversion": _contract(**_EVENT, **_ARRIVAL),
 }
 
-SILVER = _struct("""
-    event_id string NOT NULL COMMENT 'impression id shared by all three event types',
-    event_date date NOT NULL COMMENT 'UTC day of the impression; partition column',
-    event_hour int COMMENT 'UTC hour of the impression',
-    event_time timestamp COMMENT 'instant of the impression',
-    uid string NOT NULL COMMENT 'user',
-    campaign int COMMENT 'campaign',
-    click int COMMENT '1 when a click is attributed, else 0',
-    conversion int COMMENT '1 when a conversion is attributed, else 0',
-    conversion_timestamp bigint COMMENT 'unix seconds; -1 without a conversion',
-    conversion_delay_sec bigint COMMENT 'seconds from impression to conversion; -1 without one',
-    cost double COMMENT 'cost of the impression',
-    producer_to_broker_sec bigint COMMENT 'broker time minus event time',
-    broker_to_ingest_sec bigint COMMENT 'ingest time minus broker time',
-    end_to_end_latency_sec bigint COMMENT 'ingest time minus event time',
-    updated_at timestamp COMMENT 'time of the last write to the row'
-""")
-
-GOLD = _struct("""
-    summary_date date NOT NULL COMMENT 'day of the impressions; partition column',
-    campaign int NOT NULL COMMENT 'campaign',
-    impressions bigint COMMENT 'rows',
-    clicks bigint COMMENT 'attributed clicks',
-    conversions bigint COMMENT 'attributed conversions',
-    unique_users bigint COMMENT 'distinct users',
-    converting_users bigint COMMENT 'distinct users with a conversion',
-    total_cost double COMMENT 'summed cost',
-    ctr double COMMENT 'clicks per 100 impressions',
-    cvr double COMMENT 'conversions per 100 clicks; NULL without clicks',
-    cpc double COMMENT 'cost per click; NULL without clicks',
-    cpa double COMMENT 'cost per conversion; NULL without conversions',
-    cpm double COMMENT 'cost per 1000 impressions',
-    click_through_conversions bigint COMMENT 'conversions of clicked impressions',
-    view_through_conversions bigint COMMENT 'conversions of impressions not clicked',
-    avg_conversion_delay_sec double COMMENT 'mean delay of attributed conversions',
-    frequency double COMMENT 'impressions per user',
-    updated_at timestamp COMMENT 'time of the write'
-""")
-
-COMMIT_LOG = _struct("""
-    layer string NOT NULL,
-    commit_id bigint NOT NULL,
-    parent_id bigint,
-    committed_at timestamp NOT NULL,
-    operation string NOT NULL,
-    added_records bigint,
-    deleted_records bigint,
-    total_records bigint,
-    added_files bigint,
-    deleted_files bigint,
-    location string
-""")
-
-DAY_SUMMARY = _struct("""
-    event_date date,
-    row_count bigint,
-    clicks bigint,
-    conversions bigint,
-    last_update timestamp
-""")
+SILVER = _contract(
+    event_id="string! impression id shared by all three event types",
+    event_date="date! UTC day of the impression; partition column",
+    event_hour="int UTC hour of the impression",
+    event_time="timestamp instant of the impression",
+    uid="string! user",
+    campaign="int campaign",
+    click="int 1 when a click is attributed, else 0",
+    conversion="int 1 when a conversion is attributed, else 0",
+    conversion_timestamp="bigint unix seconds; -1 without a conversion",
+    conversion_delay_sec="bigint seconds from impression to conversion; -1 without one",
+    cost="double cost of the impression",
+    producer_to_broker_sec="bigint broker time minus event time",
+    broker_to_ingest_sec="bigint ingest time minus broker time",
+    end_to_end_latency_sec="bigint ingest time minus event time",
+    updated_at="timestamp time of the last write to the row",
+)
+
+GOLD = _contract(
+    summary_date="date! day of the impressions; partition column",
+    campaign="int! campaign",
+    impressions="bigint rows",
+    clicks="bigint attributed clicks",
+    conversions="bigint attributed conversions",
+    unique_users="bigint distinct users",
+    converting_users="bigint distinct users with a conversion",
+    total_cost="double summed cost",
+    ctr="double clicks per 100 impressions",
+    cvr="double conversions per 100 clicks; NULL without clicks",
+    cpc="double cost per click; NULL without clicks",
+    cpa="double cost per conversion; NULL without conversions",
+    cpm="double cost per 1000 impressions",
+    click_through_conversions="bigint conversions of clicked impressions",
+    view_through_conversions="bigint conversions of impressions not clicked",
+    avg_conversion_delay_sec="double mean delay of attributed conversions",
+    frequency="double impressions per user",
+    updated_at="timestamp time of the write",
+)
+
+COMMIT_LOG = _contract(
+    layer="string!",
+    commit_id="bigint!",
+    parent_id="bigint",
+    committed_at="timestamp!",
+    operation="string!",
+    added_records="bigint",
+    deleted_records="bigint",
+    total_records="bigint",
+    added_files="bigint",
+    deleted_files="bigint",
+    location="string",
+)
+
+DAY_SUMMARY = _contract(
+    event_date="date",
+    row_count="bigint",
+    clicks="bigint",
+    conversions="bigint",
+    last_update="timestamp",
+)
 
 # One JSON line per message in the file form of a topic.
-TOPIC_FILE = _struct("value string, partition int, offset bigint, timestamp timestamp")
+TOPIC_FILE = _contract(value="string", partition="int", offset="bigint", timestamp="timestamp")
 
 # Wide attribution row: an impression with its click and conversion on one line.
-WIDE = _struct("""
-    timestamp bigint,
-    uid string,
-    campaign int,
-    click int,
-    conversion int,
-    conversion_id bigint,
-    conversion_timestamp bigint,
-    cost double
-""")
+WIDE = _contract(
+    timestamp="bigint",
+    uid="string",
+    campaign="int",
+    click="int",
+    conversion="int",
+    conversion_id="bigint",
+    conversion_timestamp="bigint",
+    cost="double",
+)
 
 REQUIRED_EVENT_COLUMNS = ("eid", "uid", "timestamp")
 

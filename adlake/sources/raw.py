@@ -32,11 +32,19 @@ def arrived(raw: DataFrame) -> DataFrame:
     return raw.limit(1).select("raw_date")
 
 
-def append_raw(events: DataFrame, base: str, event_type: str) -> None:
-    """Add decoded events to the raw layer, partitioned by arrival."""
-    (
-        balanced(events.select(*RAW[event_type].names), "raw_date", "raw_hour")
-        .write.mode("append")
-        .partitionBy("raw_date", "raw_hour")
-        .parquet(raw_path(base, event_type))
-    )
+def append_raw(
+    events: DataFrame, base: str, event_type: str, tasks: int | None = None
+) -> None:
+    """Add decoded events to the raw layer, partitioned by arrival.
+
+    By default AQE sizes the write. ``tasks`` sets its parallelism instead, for small inputs
+    spread over many hours, where opening files is the work. Either way an hour with a large
+    share of the rows is cut into several tasks.
+    """
+    rows = events.select(*RAW[event_type].names)
+    hours = ("raw_date", "raw_hour")
+    if tasks:
+        placed = rows.repartitionByRange(tasks, *hours, "kafka_partition", "kafka_offset")
+    else:
+        placed = balanced(rows, *hours)
+    placed.write.mode("append").partitionBy(*hours).parquet(raw_path(base, event_type))
