@@ -6,6 +6,7 @@ impression and no later than the window. Events outside are dropped by design.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -121,31 +122,53 @@ def match_events(events: DataFrame, silver: DataFrame, window: int) -> DataFrame
     )
 
 
-def event_days(events: DataFrame) -> list[date]:
-    """The distinct days of a batch, or only its first and last when there are very many."""
-    dated = events.select(utc_day("timestamp").alias("d"))
-    listed = dated.distinct().limit(MAX_LISTED_DAYS + 1).collect()
-    if len(listed) > MAX_LISTED_DAYS:
-        ends = dated.agg(F.min("d").alias("first"), F.max("d").alias("last")).first()
-        return [ends["first"], ends["last"]]
-    return sorted(row["d"] for row in listed if row["d"] is not None)
+@dataclass(frozen=True)
+class Batch:
+    """What the scan of stored impressions needs to know about a batch of events."""
+
+    days: tuple[date, ...]
+    listed: bool
+    first_key: str | None
+    last_key: str | None
+
+
+def describe_batch(events: DataFrame) -> Batch:
+    """The days and the key range of a batch; only its first and last day if it has very many."""
+    dated = events.select(utc_day("timestamp").alias("d"), "eid")
+    keys = (F.min("eid").alias("first"), F.max("eid").alias("last"))
+    rows = dated.groupBy("d").agg(*keys).limit(MAX_LISTED_DAYS + 1).collect()
+    if len(rows) > MAX_LISTED_DAYS:
+        ends = dated.agg(F.min("d").alias("from"), F.max("d").alias("to"), *keys).first()
+        return Batch((ends["from"], ends["to"]), False, ends["first"], ends["last"])
+    return Batch(
+        tuple(sorted(row["d"] for row in rows)),
+        True,
+        min((row["first"] for row in rows), default=None),
+        max((row["last"] for row in rows), default=None),
+    )
 
 
-def candidate_days(days: list[date], window: int) -> Column:
-    """A literal filter on ``event_date`` that keeps every impression a batch can match.
+def candidates(batch: Batch, window: int) -> Column:
+    """A literal filter that keeps every stored impression a batch can match.
 
     A condition that compares the partition column with a column of the other join side does
     not prune files; literals do. Days are listed one by one while they are few, so a single
     stray timestamp does not open the whole range in between. The day of a stored row and its
     ``event_time`` describe the same instant, so no match lies after the event's own day.
+
+    The key range reaches the Parquet scan as well: where ids grow with time, or days are
+    compacted in id order, row groups outside it are skipped.
     """
-    if not days:
+    if not batch.days:
         return F.lit(False)
     back = -(-window // SECONDS_PER_DAY)
-    if len(days) == 2 and (days[1] - days[0]).days > MAX_LISTED_DAYS:
-        return F.col("event_date").between(F.lit(days[0] - timedelta(days=back)), F.lit(days[1]))
-    wanted = {d - timedelta(days=n) for d in days for n in range(back + 1)}
-    return F.col("event_date").isin(sorted(wanted))
+    if batch.listed:
+        wanted = {d - timedelta(days=n) for d in batch.days for n in range(back + 1)}
+        near = F.col("event_date").isin(sorted(wanted))
+    else:
+        first, last = batch.days
+        near = F.col("event_date").between(F.lit(first - timedelta(days=back)), F.lit(last))
+    return near & F.col("event_id").between(batch.first_key, batch.last_key)
 
 
 def unmatched_alert(event_type: str, arrived: DataFrame, matched: DataFrame) -> DataFrame:
@@ -153,10 +176,14 @@ def unmatched_alert(event_type: str, arrived: DataFrame, matched: DataFrame) ->
 
     Any match passes: a low share is normal, none at all points at a missing first stage.
     """
-    sources = arrived.agg(F.count(F.lit(1)).alias("source_events"))
-    hits = matched.agg(F.count(F.lit(1)).alias("matched_events"))
-    return (
-        sources.crossJoin(hits)
-        .where((F.col("source_events") > 0) & (F.col("matched_events") == 0))
-        .select(F.lit(event_type).alias("event_type"), "source_events", "matched_events")
+    # One aggregate over both sides, told apart by a flag; no join is involved.
+    labelled = arrived.select(F.lit(0).alias("hit")).unionByName(
+        matched.select(F.lit(1).alias("hit"))
+    )
+    totals = labelled.agg(
+        F.count_if(F.col("hit") == 0).alias("source_events"),
+        F.count_if(F.col("hit") == 1).alias("matched_events"),
+    )
+    return totals.where((F.col("source_events") > 0) & (F.col("matched_events") == 0)).select(
+        F.lit(event_type).alias("event_type"), "source_events", "matched_events"
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import iso_utc
+from adlake.schemas import PAYLOADS
 from adlake.session import scratch_path
 
 # Position bits of monotonically_increasing_id: the partition sits above them.
@@ -62,14 +63,14 @@ def first_conversions(numbered: DataFrame) -> DataFrame:
     )
 
 
-def base_time(numbered: DataFrame) -> DataFrame:
-    """The first row's time, as one row: the origin of the remapped clock."""
-    return numbered.where(F.col("row_index") == 0).select(F.col("timestamp").alias("base_ts"))
+def origin(numbered: DataFrame) -> int | None:
+    """The first row's time: the origin of the remapped clock. One number, read once."""
+    return numbered.agg(F.min_by("timestamp", "row_index")).first()[0]
 
 
-def remap(unix: Column, real_start: float, speed: float) -> Column:
-    """``real_start + (unix - base_ts) / speed`` as whole seconds, rounded down."""
-    moved = F.lit(float(real_start)) + (unix - F.col("base_ts")) / F.lit(float(speed))
+def remap(unix: Column, base: int | None, real_start: float, speed: float) -> Column:
+    """``real_start + (unix - base) / speed`` as whole seconds, rounded down."""
+    moved = F.lit(float(real_start)) + (unix - F.lit(base)) / F.lit(float(speed))
     return F.floor(moved).cast("bigint")
 
 
@@ -81,11 +82,8 @@ def click_delay(eid: Column) -> Column:
 
 def time_remap(numbered: DataFrame, real_start: float, speed: float) -> DataFrame:
     """Adds ``real_ts``, each row's time on the remapped clock."""
-    return (
-        numbered.crossJoin(F.broadcast(base_time(numbered)))
-        .withColumn("real_ts", remap(F.col("timestamp"), real_start, speed))
-        .drop("base_ts")
-    )
+    moved = remap(F.col("timestamp"), origin(numbered), real_start, speed)
+    return numbered.withColumn("real_ts", moved)
 
 
 def split_wide_events(numbered: DataFrame, real_start: float, speed: float) -> DataFrame:
@@ -95,29 +93,20 @@ def split_wide_events(numbered: DataFrame, real_start: float, speed: float) -> D
     their own time, once per conversion id. Only the conversion rows are shuffled.
     """
     eid = F.format_string("evt_%08d", "row_index")
-    base = F.broadcast(base_time(numbered))
+    base = origin(numbered)
 
     def events(rows: DataFrame, event_type: str, unix: Column, cost: Column) -> DataFrame:
-        return (
-            rows.crossJoin(base)
-            .select(
-                eid.alias("eid"),
-                "uid",
-                remap(unix, real_start, speed).alias("timestamp"),
-                F.lit(event_type).alias("event_type"),
-                "campaign",
-                cost.alias("cost"),
-            )
-            .withColumn("event_time", iso_utc("timestamp"))
-            .select(
-                "eid", "uid", "timestamp", "event_time", "event_type", "campaign", "cost"
-            )
-        )
+        return rows.select(
+            eid.alias("eid"),
+            "uid",
+            remap(unix, base, real_start, speed).alias("timestamp"),
+            F.lit(event_type).alias("event_type"),
+            "campaign",
+            cost.alias("cost"),
+        ).withColumn("event_time", iso_utc("timestamp"))
 
     no_cost = F.lit(None).cast("double")
-    shown = events(
-        numbered, "impression", F.col("timestamp"), F.coalesce("cost", F.lit(0.0))
-    )
+    shown = events(numbered, "impression", F.col("timestamp"), F.coalesce("cost", F.lit(0.0)))
     clicked = events(
         numbered.where(F.col("click") == 1),
         "click",
@@ -127,4 +116,4 @@ def split_wide_events(numbered: DataFrame, real_start: float, speed: float) -> D
     converted = events(
         first_conversions(numbered), "conversion", F.col("conversion_timestamp"), no_cost
     )
-    return shown.unionByName(clicked).unionByName(converted)
+    return shown.unionByName(clicked).unionByName(converted).select(*PAYLOADS["impression"].names)

@@ -319,34 +319,34 @@ def no_rows(silver: DataFrame, run_date) -> DataFrame:
 def run_mismatch(silver: DataFrame, gold: DataFrame, run_date) -> DataFrame:
     """A row when the day's layers are over 10 % apart or the KPI layer has nothing.
 
-    Both sides are single totals, so the cross join has one row.
+    Both totals come from one aggregate over the two layers. It exists even when neither has
+    rows, so an empty day is reported.
     """
-    stored = silver.where(F.col("event_date") == day(run_date)).agg(
-        F.count(F.lit(1)).alias("silver_rows")
+    stored = silver.where(F.col("event_date") == day(run_date)).select(
+        F.lit(1).alias("row"), F.lit(None).cast("bigint").alias("impressions")
+    )
+    summed = gold.where(F.col("summary_date") == day(run_date)).select(
+        F.lit(None).cast("int").alias("row"), "impressions"
     )
-    summed = gold.where(F.col("summary_date") == day(run_date)).agg(
-        F.sum("impressions").alias("summed")
+    totals = stored.unionByName(summed).agg(
+        F.count("row").alias("silver_rows"), F.sum("impressions").alias("summed")
     )
     missing = F.col("summed").isNull()
     apart = ratio(F.abs(F.col("silver_rows") - F.col("summed")), "silver_rows")
-    return (
-        stored.crossJoin(summed)
-        .where(missing | (apart > MAX_DIFFERENCE))
-        .select(
-            "silver_rows",
-            F.coalesce("summed", F.lit(0)).alias("gold_impressions"),
-            F.when(missing, 100.0).otherwise(F.round(apart * 100, 2)).alias("diff_pct"),
-        )
+    return totals.where(missing | (apart > MAX_DIFFERENCE)).select(
+        "silver_rows",
+        F.coalesce("summed", F.lit(0)).alias("gold_impressions"),
+        F.when(missing, 100.0).otherwise(F.round(apart * 100, 2)).alias("diff_pct"),
     )
 
 
 def nothing_arrived(raw: DataFrame, run_date) -> DataFrame:
     """A row when no raw event was ingested on the day. Stops at the first event."""
-    spark = raw.sparkSession
-    wanted = spark.range(1).select(day(run_date).alias("raw_date"))
-    present = raw.where(F.col("raw_date") == day(run_date)).limit(1).select("raw_date")
-    return wanted.join(present, "raw_date", "left_anti").select(
-        "raw_date", F.lit("bronze_missing").alias("alert")
+    found = raw.where(F.col("raw_date") == day(run_date)).limit(1)
+    return (
+        found.agg(F.count(F.lit(1)).alias("found"))
+        .where(F.col("found") == 0)
+        .select(day(run_date).alias("raw_date"), F.lit("bronze_missing").alias("alert"))
     )
 
 

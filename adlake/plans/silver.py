@@ -13,8 +13,8 @@ from adlake.operators.attribution import (
     CLICK_DAYS,
     CONVERSION_DAYS,
     attribute_all,
-    candidate_days,
-    event_days,
+    candidates,
+    describe_batch,
     match_events,
     silver_rows,
 )
@@ -71,9 +71,12 @@ def insert_impressions(lake: Lake, impressions: DataFrame, now: datetime | None
     """Stage 1. Ids stored under any date are left alone, so the first stored row wins."""
     path = scratch_path(lake.spark, "impressions")
     silver_rows(first_per_key(impressions, ["eid"]), clock(now)).write.parquet(path)
-    # Read twice below; the kept copy spares a second deduplication.
+    # Read again below; the kept copy spares further deduplications.
     staged = lake.spark.read.parquet(path)
-    return lake.append("silver", insert_absent(lake.read("silver"), staged, "event_id"), now)
+    ends = staged.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).first()
+    # Every date may hold an id, but the range lets the scan skip row groups of other ids.
+    known = lake.read("silver").where(F.col("event_id").between(ends["first"], ends["last"]))
+    return lake.append("silver", insert_absent(known, staged, "event_id"), now)
 
 
 def attribute_stored(
@@ -91,14 +94,9 @@ def attribute_stored(
     ``require_match`` a batch that matches nothing fails before anything is written.
     """
     silver = lake.read("silver")
-    click_days, conversion_days = event_days(clicks), event_days(conversions)
-    click_matches = match_events(
-        clicks, silver.where(candidate_days(click_days, windows.click)), windows.click
-    )
-    conversion_matches = match_events(
-        conversions,
-        silver.where(candidate_days(conversion_days, windows.conversion)),
-        windows.conversion,
+    click_matches, conversion_matches = (
+        match_events(events, silver.where(candidates(describe_batch(events), window)), window)
+        for events, window in ((clicks, windows.click), (conversions, windows.conversion))
     )
     path = scratch_path(lake.spark, "matches")
     pending_updates(click_matches, conversion_matches).write.parquet(path)

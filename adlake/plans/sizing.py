@@ -1,0 +1,33 @@
+"""Shuffle sizing from the bytes a run reads."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import SparkSession
+
+BYTES_PER_TASK = 128 * 1024 * 1024
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes below the paths that exist, from the file system's own summary."""
+    total, conf = 0, spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        system = path.getFileSystem(conf)
+        if system.exists(path):
+            total += system.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Raise the shuffle partition count so that a partition's share fits a task.
+
+    Parquet bytes expand when decoded, so each partition is given half a task's worth. The
+    count is an upper bound: AQE merges partitions that turn out small. It is never lowered.
+    """
+    wanted = -(-2 * stored_bytes(spark, paths) // BYTES_PER_TASK)
+    count = max(int(spark.conf.get(SHUFFLE_PARTITIONS)), wanted)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(count))
+    return count

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="adlake-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables.
 
@@ -50,9 +56,7 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="adlake-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    return _local_scratch()
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

@@ -34,8 +34,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder under its declared schema; no rows where nothing was written yet."""
     if not exists(spark, path):
-        return schemas.empty(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+        return schemas.empty(spark, schemas.nullable(schema))
+    return spark.read.schema(schemas.nullable(schema)).parquet(path)
 
 
 def balanced(df: DataFrame, *partition: str) -> DataFrame:
@@ -82,6 +82,10 @@ class Lake:
     def read(self, layer: str) -> DataFrame:
         return self._at(layer, self._location(layer, self.last_commit(layer)))
 
+    def location(self, layer: str) -> str:
+        """Folder that currently holds the layer."""
+        return self._location(layer, self.last_commit(layer))
+
     def append(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int:
         """Add rows; existing files stay as they are."""
         last, partition = self.last_commit(layer), PARTITION[layer]
@@ -169,13 +173,13 @@ class Lake:
         base = (
             self.log()
             .where(upto & (F.col("layer") == "silver") & (F.col("operation") == "replace"))
-            .agg(F.coalesce(F.max("commit_id"), F.lit(0)).alias("base"))
+            .agg(F.coalesce(F.max("commit_id"), F.lit(0)))
+            .first()[0]
         )
         latest = Window.partitionBy("event_date").orderBy(F.desc("commit_id"))
         return (
             read_or_empty(self.spark, f"{self.root}/silver_days", kept)
-            .where(upto)
-            .join(F.broadcast(base), F.col("commit_id") >= F.col("base"))
+            .where(upto & (F.col("commit_id") >= base))
             .withColumn("_recency", F.row_number().over(latest))
             .where("_recency = 1")
             .select(*schemas.DAY_SUMMARY.names)

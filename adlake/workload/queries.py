@@ -21,8 +21,8 @@ from adlake.operators.maintain import file_inventory
 from adlake.plans import checks, daily, gold, maintenance, silver
 from adlake.session import scratch_path, use_utc
 from adlake.sources import fixtures
-from adlake.sources.raw import append_raw, read_raw
-from adlake.sources.tables import Lake
+from adlake.sources.raw import append_raw, raw_path, read_raw
+from adlake.sources.tables import Lake, read_or_empty
 from adlake.sources.topics import read_file_topic
 from adlake.streaming import bronze
 
@@ -217,7 +217,7 @@ def bronze_stream(spark, sf_dir):
     for query in running.values():
         query.awaitTermination()
     streamed = [
-        spark.read.schema(schemas.RAW[t]).parquet(f"{base}/{t}s") for t in schemas.EVENT_TYPES
+        read_or_empty(spark, raw_path(base, t), schemas.RAW[t]) for t in schemas.EVENT_TYPES
     ]
     shown, clicked, converted = streamed
     return (
@@ -252,7 +252,7 @@ def attribution_full(spark, sf_dir):
 
 def _matches(spark, sf_dir, event_type, window):
     events, stored = raw(spark, sf_dir, event_type), stage1(spark, sf_dir)
-    near = attribution.candidate_days(attribution.event_days(events), window)
+    near = attribution.candidates(attribution.describe_batch(events), window)
     return attribution.match_events(events, stored.where(near), window)
 
 
