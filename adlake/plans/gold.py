@@ -39,6 +39,7 @@ def changed_days(lake: Lake, as_of: date | str) -> list[date]:
 
 def merge_days(lake: Lake, rows: DataFrame, now: datetime | None = None):
     """Upsert the KPIs of ``rows`` by (day, campaign); campaigns without rows keep theirs."""
+    lake.recover("gold")
     staged = campaign_kpis(rows, clock(now))
     days = [r[0] for r in rows.select("event_date").distinct().collect()]
     stored = lake.read("gold").where(

@@ -44,6 +44,7 @@ def compact_binpack(
     now: datetime | None = None,
 ) -> int | None:
     """Rewrite the recent days that have more files than their size needs."""
+    lake.recover(layer)
     partition, rows = PARTITION[layer], recent_days(lake, layer, as_of)
     plan = planned_files(rows, partition, target_bytes, needed_only=True)
     if not plan:
@@ -65,6 +66,7 @@ def compact_sorted(
     now: datetime | None = None,
 ) -> int | None:
     """Rewrite the recent days sorted by ``sort_by``, so that filters on it skip files."""
+    lake.recover(layer)
     partition, rows = PARTITION[layer], recent_days(lake, layer, as_of)
     plan = planned_files(rows, partition, target_bytes, needed_only=False)
     if not plan:

@@ -59,6 +59,7 @@ def run_incremental(
     require_match: bool = True,
 ) -> None:
     """Insert the impressions of the run dates, then attribute their clicks and conversions."""
+    lake.recover("silver")
     impressions, clicks, conversions = (
         keyed(read_raw(lake.spark, raw_base, kind, start, end))
         for kind in ("impression", "click", "conversion")

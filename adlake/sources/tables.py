@@ -1,9 +1,10 @@
 """Partitioned Parquet tables with a commit log.
 
-Parquet tables have no ``MERGE``. A change to stored rows is staged as a complete copy of the
-partitions it touches in the shared scratch folder, moved over the table with dynamic
-partition overwrite, and then logged. The log row comes last: a write without one is
-incomplete and its run is repeated, which every step allows.
+Parquet tables have no ``MERGE``. A change to stored rows is staged in full, as a new copy of
+the partitions it touches, moved over the table with dynamic partition overwrite, and then
+logged. Before the first old file goes, a pending entry names the staged copy: a run that dies
+half way is completed from it by :meth:`Lake.recover`. The log row comes last, and a write
+without one is simply repeated.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from adlake import schemas
 from adlake.functions.columns import as_utc
 from adlake.operators.changes import day_summaries
 from adlake.operators.maintain import file_inventory
-from adlake.session import scratch_path
 
 PARTITION = {"silver": "event_date", "gold": "summary_date"}
 SCHEMA = {"silver": schemas.SILVER, "gold": schemas.GOLD}
+PENDING = T.StructType([*schemas.COMMIT_LOG, T.StructField("staged", T.StringType())])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -89,60 +90,47 @@ class Lake:
     def append(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int:
         """Add rows; existing files stay as they are."""
         last, partition = self.last_commit(layer), PARTITION[layer]
-        location = self._location(layer, last)
+        entry = self._entry(layer, "append", self._location(layer, last), last, now)
         placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
         # Lists its files now, so it still shows the state before the write afterwards.
-        stored = self._at(layer, location)
-        added, days = write_days(placed, location, partition, "append")
+        stored = self._at(layer, entry["location"])
+        entry["added_records"], days = write_days(placed, entry["location"], partition, "append")
         old_files = self._size_of(stored, layer, days)[0] if last else 0
-        new_files = self._size_of(self._at(layer, location), layer, days)[0] - old_files
-        return self._commit(
-            layer, "append", location, days, last,
-            added_records=added, added_files=new_files, now=now,
-        )
+        new_files, _ = self._size_of(self._at(layer, entry["location"]), layer, days)
+        entry["added_files"] = new_files - old_files
+        return self._commit(entry, days)
 
     def overwrite_days(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int | None:
         """Replace every day that occurs in ``rows`` by the rows given for it.
 
         ``rows`` may read the table itself: it is staged in full before a file is replaced.
         """
-        last, partition = self.last_commit(layer), PARTITION[layer]
-        location = self._location(layer, last)
-        path = scratch_path(self.spark, f"{layer}-staged")
-        placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
-        added, days = write_days(placed, path, partition, "overwrite")
+        path = self._staging(layer)
+        placed = balanced(schemas.conform(rows, SCHEMA[layer]), PARTITION[layer])
+        added, days = write_days(placed, path, PARTITION[layer], "overwrite")
         if not days:
             return None
-        old_files, old_rows = self._current_size(layer, location, last, days)
-        # Staged files already have their final size; the copy needs no shuffle.
-        write_days(self._at(layer, path), location, partition, "overwrite")
-        return self._commit(
-            layer, "overwrite", location, days, last,
-            added_records=added, deleted_records=old_rows,
-            added_files=self._size_of(self._at(layer, location), layer, days)[0],
-            deleted_files=old_files, now=now,
-        )
+        # Staged files already have their final size; publishing them needs no shuffle.
+        return self._publish(self._intend(layer, "overwrite", path, added, days, now))
 
     def rewrite_days(self, layer: str, rows: DataFrame, place, now: datetime | None = None) -> int:
         """Write whole days of the table again in another file layout.
 
-        ``place`` arranges the rows for writing. It works on a plain copy, so the layout it
-        makes goes straight into the table.
+        ``place`` arranges the rows for writing. It works on the staged copy, so the layout
+        it makes goes straight into the table.
         """
-        last, partition = self.last_commit(layer), PARTITION[layer]
-        location = self._location(layer, last)
-        path = scratch_path(self.spark, f"{layer}-copy")
-        copied, days = write_days(rows, path, partition, "overwrite")
-        old_files, _ = self._current_size(layer, location, last, days)
-        added, _ = write_days(place(self._at(layer, path)), location, partition, "overwrite")
-        if added != copied:
-            raise RuntimeError(f"{layer}: wrote {added} rows of {copied}")
-        return self._commit(
-            layer, "rewrite", location, days, last,
-            added_records=added, deleted_records=copied,
-            added_files=self._size_of(self._at(layer, location), layer, days)[0],
-            deleted_files=old_files, now=now,
-        )
+        path = self._staging(layer)
+        copied, days = write_days(rows, path, PARTITION[layer], "overwrite")
+        return self._publish(self._intend(layer, "rewrite", path, copied, days, now), place)
+
+    def recover(self, layer: str) -> int | None:
+        """Complete a change that was interrupted while it replaced files."""
+        last = self.last_commit(layer)
+        pending = read_or_empty(self.spark, f"{self.root}/pending", PENDING)
+        unfinished = pending.where(
+            (F.col("layer") == layer) & (F.col("commit_id") > (last["commit_id"] if last else 0))
+        ).first()
+        return self._publish(unfinished.asDict()) if unfinished else None
 
     def replace(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int:
         """Replace the whole table.
@@ -151,17 +139,15 @@ class Lake:
         readers see one or the other and data is written once.
         """
         last, partition = self.last_commit(layer), PARTITION[layer]
-        old_files, old_rows = self._current_size(layer, self._location(layer, last), last, None)
         # A fresh name each time: a repeated run never meets the files of a broken one.
-        location = f"{self.root}/{layer}/data-{uuid.uuid4().hex}"
-        placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
-        added, days = write_days(placed, location, partition, "overwrite")
-        return self._commit(
-            layer, "replace", location, days, last,
-            added_records=added, deleted_records=old_rows,
-            added_files=self._size_of(self._at(layer, location), layer)[0],
-            deleted_files=old_files, now=now,
+        entry = self._entry(layer, "replace", f"{self.root}/{layer}/{uuid.uuid4().hex}", last, now)
+        entry["deleted_files"], entry["deleted_records"] = self._current_size(
+            layer, self._location(layer, last), last, None
         )
+        placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
+        entry["added_records"], days = write_days(placed, entry["location"], partition, "overwrite")
+        entry["added_files"], _ = self._size_of(self._at(layer, entry["location"]), layer)
+        return self._commit(entry, days)
 
     def summaries_at(self, commit_id: int | None) -> DataFrame:
         """Per-day summaries of the row-level table as of a commit, without scanning it.
@@ -205,44 +191,67 @@ class Lake:
         total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("record_count"), F.lit(0))).first()
         return total[0], total[1]
 
-    def _commit(
-        self,
-        layer: str,
-        operation: str,
-        location: str,
-        days: list[date],
-        last,
-        *,
-        now: datetime | None,
-        added_records: int = 0,
-        deleted_records: int = 0,
-        added_files: int = 0,
-        deleted_files: int = 0,
-    ) -> int:
-        """Keep the summaries of the touched days, then add the log row."""
-        number = (last["commit_id"] if last else 0) + 1
-        if layer == "silver" and days:
-            touched = self._at(layer, location).where(F.col("event_date").isin(days))
-            day_summaries(touched).select(
-                F.lit(number).cast("bigint").alias("commit_id"), "*"
-            ).coalesce(1).write.mode("append").parquet(f"{self.root}/silver_days")
+    def _staging(self, layer: str) -> str:
+        # Beside the tables, not in scratch space, as a pending change must outlive the run.
+        return f"{self.root}/staged/{layer}-{uuid.uuid4().hex}"
+
+    def _intend(self, layer, operation, staged, added, days, now) -> dict:
+        """Record what is about to replace which rows; returns the entry."""
+        last = self.last_commit(layer)
+        location = self._location(layer, last)
+        old_files, old_rows = self._current_size(layer, location, last, days)
         entry = {
+            **self._entry(layer, operation, location, last, now),
+            "added_records": added,
+            "deleted_records": old_rows,
+            "deleted_files": old_files,
+            "staged": staged,
+        }
+        self._save(entry, PENDING, "pending")
+        return entry
+
+    def _publish(self, entry: dict, place=None) -> int:
+        """Move staged days over the table and log the change. May be repeated."""
+        layer, location = entry["layer"], entry["location"]
+        staged = self._at(layer, entry["staged"])
+        rows, days = write_days(
+            place(staged) if place else staged, location, PARTITION[layer], "overwrite"
+        )
+        if rows != entry["added_records"]:
+            raise RuntimeError(f"{layer}: wrote {rows} rows of {entry['added_records']}")
+        entry["added_files"], _ = self._size_of(self._at(layer, location), layer, days)
+        return self._commit(entry, days)
+
+    def _entry(self, layer, operation, location, last, now) -> dict:
+        return {
             "layer": layer,
-            "commit_id": number,
+            "commit_id": (last["commit_id"] if last else 0) + 1,
             "parent_id": last["commit_id"] if last else None,
             "committed_at": as_utc(now or datetime.now(timezone.utc)),
             "operation": operation,
-            "added_records": added_records,
-            "deleted_records": deleted_records,
-            "total_records": (last["total_records"] if last else 0)
-            + added_records
-            - deleted_records,
-            "added_files": added_files,
-            "deleted_files": deleted_files,
+            "added_records": 0,
+            "deleted_records": 0,
+            "total_records": last["total_records"] if last else 0,
+            "added_files": 0,
+            "deleted_files": 0,
             "location": location,
         }
-        row = self.spark.range(1).select(*(F.lit(v).alias(k) for k, v in entry.items()))
-        schemas.conform(row, schemas.COMMIT_LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/commit_log"
-        )
+
+    def _commit(self, entry: dict, days: list[date]) -> int:
+        """Keep the summaries of the touched days, then add the log row."""
+        number = entry["commit_id"]
+        if entry["layer"] == "silver" and days:
+            touched = self._at("silver", entry["location"]).where(F.col("event_date").isin(days))
+            summaries = day_summaries(touched).select(
+                F.lit(number).cast("bigint").alias("commit_id"), "*"
+            )
+            summaries.coalesce(1).write.mode("append").parquet(f"{self.root}/silver_days")
+        total = entry["total_records"] + entry["added_records"] - entry["deleted_records"]
+        self._save({**entry, "total_records": total}, schemas.COMMIT_LOG, "commit_log")
         return number
+
+    def _save(self, entry: dict, schema: T.StructType, table: str) -> None:
+        row = self.spark.range(1).select(*(F.lit(entry[f.name]).alias(f.name) for f in schema))
+        schemas.conform(row, schema).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/{table}"
+        )

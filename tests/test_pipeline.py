@@ -1,3 +1,4 @@
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -226,16 +227,38 @@ def test_gate_stops_when_the_layers_disagree(lake, raw_layer, spark):
     checks.gate(checks.run_mismatch(lake.read("silver"), close, DAY1), "consistency")
 
 
-def test_crash_between_staging_and_logging_is_repaired_by_a_rerun(lake, raw_layer, monkeypatch):
+def test_run_without_a_log_row_is_repeated(lake, raw_layer, monkeypatch):
     base = raw_layer(impressions=[("a", T), ("b", T)], clicks=[("a", T + 5)])
-    monkeypatch.setattr(type(lake), "_commit", lambda *a, **k: 1 / 0)
-    with pytest.raises(ZeroDivisionError):
-        silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
-    monkeypatch.undo()
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake), "_commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
     silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
     assert flags(lake) == {"a": (1, -1), "b": (0, -1)}
 
 
+def test_overwrite_that_died_half_way_is_completed(lake, raw_layer, monkeypatch):
+    """Old files of an earlier day are gone and the new ones are not there yet."""
+    base = raw_layer(
+        impressions=[("a", T), ("b", T + DAY)], clicks=[("a", T + DAY + 5), ("b", T + DAY + 6)]
+    )
+    silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2), require_match=False)
+
+    def dies(self, entry, place=None):
+        shutil.rmtree(f"{entry['location']}/event_date={DAY1}")
+        raise OSError("executor lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(type(lake), "_publish", dies)
+        with pytest.raises(OSError):
+            silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
+    assert set(flags(lake)) == {"b"}
+    silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
+    assert flags(lake) == {"a": (1, -1), "b": (1, -1)}
+    assert lake.recover("silver") is None
+    assert lake.last_commit("silver")["total_records"] == 2
+
+
 def test_raw_reader_takes_both_end_dates(spark, raw_layer):
     base = raw_layer(impressions=[("a", T), ("b", T + DAY), ("c", T + 2 * DAY)])
     frame = read_raw(spark, base, "impression", DAY1, DAY2)
