@@ -10,7 +10,7 @@ without one is simply repeated.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
@@ -68,17 +68,25 @@ def write_days(df: DataFrame, path: str, partition: str, mode: str) -> tuple[int
 
 @dataclass(frozen=True)
 class Lake:
-    """Row-level and KPI tables below one root, with their commit log."""
+    """Row-level and KPI tables below one root, with their commit log.
+
+    One run writes at a time. The last commit of each layer is remembered, so open a new
+    object to see what other runs wrote since.
+    """
 
     spark: SparkSession
     root: str
+    _last: dict = field(default_factory=dict, repr=False, compare=False)
 
     def log(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/commit_log", schemas.COMMIT_LOG)
 
-    def last_commit(self, layer: str):
-        commits = self.log().where(F.col("layer") == layer)
-        return commits.orderBy(F.desc("commit_id")).first()
+    def last_commit(self, layer: str) -> dict | None:
+        if layer not in self._last:
+            commits = self.log().where(F.col("layer") == layer)
+            row = commits.orderBy(F.desc("commit_id")).first()
+            self._last[layer] = row.asDict() if row else None
+        return self._last[layer]
 
     def read(self, layer: str) -> DataFrame:
         return self._at(layer, self._location(layer, self.last_commit(layer)))
@@ -247,7 +255,9 @@ class Lake:
             )
             summaries.coalesce(1).write.mode("append").parquet(f"{self.root}/silver_days")
         total = entry["total_records"] + entry["added_records"] - entry["deleted_records"]
-        self._save({**entry, "total_records": total}, schemas.COMMIT_LOG, "commit_log")
+        logged = {**entry, "total_records": total}
+        self._save(logged, schemas.COMMIT_LOG, "commit_log")
+        self._last[entry["layer"]] = logged
         return number
 
     def _save(self, entry: dict, schema: T.StructType, table: str) -> None:

@@ -542,5 +542,8 @@ SELECT event_id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, value AS
 FROM events""",
     "compact_binpack": f"{_FULL} SELECT * FROM s",
     "compact_sort": f"{_FULL} SELECT * FROM s",
+    "campaign_filter": f"""{_FULL}
+SELECT campaign, count(*) AS impressions, round(sum(cost), 6) AS total_cost
+FROM s WHERE campaign = 7 GROUP BY campaign""",
     "daily_run": f"{_with(_incremental(_DAYS), _gold('g', 's'))} SELECT * FROM g",
 }

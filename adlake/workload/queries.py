@@ -572,6 +572,18 @@ def compact_sort(spark, sf_dir):
     return tidy(lake.read("silver"))
 
 
+def campaign_filter(spark, sf_dir):
+    """One campaign's rows and cost, read from files sorted by campaign."""
+    lake = _fragmented(spark, sf_dir)
+    maintenance.compact_sorted(lake, AS_OF, now=run_time(LAST))
+    chosen = lake.read("silver").where(F.col("campaign") == 7)
+    return tidy(
+        chosen.groupBy("campaign").agg(
+            F.count(F.lit(1)).alias("impressions"), F.sum("cost").alias("total_cost")
+        )
+    )
+
+
 def daily_run(spark, sf_dir):
     """A backfill, then daily runs with every gate; the resulting KPI table."""
     lake, base = new_lake(spark), stored_raw(spark, sf_dir)
@@ -601,7 +613,7 @@ _REGISTERED = (
     gate_silver_commit, gate_silver_rows, gate_gold_commit, gate_consistency,
     gate_bronze_present, quality_profile,
     split_wide_events, first_conversion, time_remap, day_partition,
-    compact_binpack, compact_sort, daily_run,
+    compact_binpack, compact_sort, campaign_filter, daily_run,
 )
 
 

@@ -19,7 +19,8 @@ DATA = "/root/testdata"
 def spark():
     builder = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

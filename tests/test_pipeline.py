@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adlake.operators import changes
 from adlake.plans import checks, daily, gold, silver
 from adlake.sources.raw import append_raw, read_raw
+from adlake.sources.tables import Lake
 
 DAY1, DAY2, DAY3 = "2024-03-01", "2024-03-02", "2024-03-03"
 T = seconds(f"{DAY1} 12:00:00")
@@ -78,6 +79,7 @@ def test_commit_log_adds_up(lake, raw_layer):
     assert [log[i]["deleted_records"] for i in sorted(log)] == [0, 2, 0, 1]
     assert log[4]["total_records"] == lake.read("silver").count() == 3
     assert log[4]["committed_at"] == run_at(DAY3)
+    assert Lake(lake.spark, lake.root).last_commit("silver")["commit_id"] == 4
 
 
 def test_replayed_id_keeps_its_first_row(lake, raw_layer):

@@ -27,18 +27,6 @@ def test_kpis_do_not_expand_rows(spark):
     assert text.count("Exchange hashpartitioning") == 5
 
 
-def test_no_registered_query_joins_without_a_key(spark):
-    lazy = set(queries.QUERIES) - {
-        "bronze_stream", "silver_incremental", "silver_full_refresh", "silver_refresh_range",
-        "gold_daily", "gold_full_refresh", "infra_files", "compact_binpack", "compact_sort",
-        "daily_run",
-    }
-    for name in sorted(lazy):
-        text = plan(queries.QUERIES[name](spark, SF))
-        assert "CartesianProduct" not in text and "NestedLoop" not in text, name
-        assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
-
-
 def test_type_filter_and_columns_reach_the_scan(spark):
     text = plan(queries.raw(spark, SF, "click").select("eid", "timestamp"))
     assert "EqualTo(event_type,click)" in text

@@ -15,9 +15,24 @@ def duck():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+# Pipelines that write tables many times over. Run with ``-m slow``; the smaller cases of
+# test_pipeline.py and test_layout.py cover the same code.
+SLOW = {
+    "silver_incremental", "silver_refresh_range", "gold_daily", "gold_full_refresh",
+    "daily_run", "compact_binpack", "compact_sort", "campaign_filter", "infra_files",
+}
+
+
+@pytest.mark.parametrize(
+    "name", [pytest.param(n, marks=pytest.mark.slow) if n in SLOW else n for n in QUERIES]
+)
 def test_query(spark, duck, name):
-    columns, rows = spark_rows(QUERIES[name](spark, SMALL))
+    result = QUERIES[name](spark, SMALL)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    # Every join has a key, and no row passes through Python.
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    columns, rows = spark_rows(result)
     if name not in ORACLES:
         assert rows
         return
