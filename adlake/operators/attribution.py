@@ -148,6 +148,13 @@ def describe_batch(events: DataFrame) -> Batch:
     )
 
 
+def candidate_days(batch: Batch, window: int) -> list[date] | None:
+    """The days whose impressions a batch can match; None when they are too many to list."""
+    back = range(-(-window // SECONDS_PER_DAY) + 1)
+    wanted = {d - timedelta(days=n) for d in batch.days for n in back}
+    return sorted(wanted) if batch.listed else None
+
+
 def candidates(batch: Batch, window: int) -> Column:
     """A literal filter that keeps every stored impression a batch can match.
 
@@ -161,13 +168,13 @@ def candidates(batch: Batch, window: int) -> Column:
     """
     if not batch.days:
         return F.lit(False)
-    back = -(-window // SECONDS_PER_DAY)
-    if batch.listed:
-        wanted = {d - timedelta(days=n) for d in batch.days for n in range(back + 1)}
-        near = F.col("event_date").isin(sorted(wanted))
-    else:
+    listed = candidate_days(batch, window)
+    if listed is None:
         first, last = batch.days
-        near = F.col("event_date").between(F.lit(first - timedelta(days=back)), F.lit(last))
+        back = timedelta(days=-(-window // SECONDS_PER_DAY))
+        near = F.col("event_date").between(F.lit(first - back), F.lit(last))
+    else:
+        near = F.col("event_date").isin(listed)
     return near & F.col("event_id").between(batch.first_key, batch.last_key)
 
 

@@ -11,7 +11,6 @@ from adlake.functions.columns import clock, day
 from adlake.operators.changes import (
     changed_summaries,
     first_commit_of_day,
-    restrict_to_days,
     trailing_window,
 )
 from adlake.operators.kpis import campaign_kpis
@@ -42,15 +41,13 @@ def merge_days(lake: Lake, rows: DataFrame, now: datetime | None = None):
     lake.recover("gold")
     staged = campaign_kpis(rows, clock(now))
     days = [r[0] for r in rows.select("event_date").distinct().collect()]
-    stored = lake.read("gold").where(
-        F.col("summary_date").isin(sorted(days)) if days else F.lit(False)
-    )
+    stored = lake.read_days("gold", days)
     return lake.overwrite_days("gold", upsert(stored, staged, KEYS), now)
 
 
 def run_daily(lake: Lake, as_of: date | str, now: datetime | None = None):
     """Recompute the days that changed on ``as_of``."""
-    return merge_days(lake, restrict_to_days(lake.read("silver"), changed_days(lake, as_of)), now)
+    return merge_days(lake, lake.read_days("silver", changed_days(lake, as_of)), now)
 
 
 def run_trailing(lake: Lake, as_of: date | str, days: int = 30, now: datetime | None = None):

@@ -13,12 +13,12 @@ from adlake.operators.attribution import (
     CLICK_DAYS,
     CONVERSION_DAYS,
     attribute_all,
+    candidate_days,
     candidates,
     describe_batch,
     match_events,
     silver_rows,
 )
-from adlake.operators.changes import restrict_to_days
 from adlake.operators.dedup import first_per_key
 from adlake.operators.upsert import apply_updates, insert_absent, pending_updates
 from adlake.schemas import keyed
@@ -74,10 +74,15 @@ def insert_impressions(lake: Lake, impressions: DataFrame, now: datetime | None
     silver_rows(first_per_key(impressions, ["eid"]), clock(now)).write.parquet(path)
     # Read again below; the kept copy spares further deduplications.
     staged = lake.spark.read.parquet(path)
-    ends = staged.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).first()
+    batch = staged.agg(
+        F.min("event_id").alias("first"),
+        F.max("event_id").alias("last"),
+        F.collect_set("event_date").alias("days"),
+    ).first()
     # Every date may hold an id, but the range lets the scan skip row groups of other ids.
-    known = lake.read("silver").where(F.col("event_id").between(ends["first"], ends["last"]))
-    return lake.append("silver", insert_absent(known, staged, "event_id"), now)
+    known = lake.read("silver").where(F.col("event_id").between(batch["first"], batch["last"]))
+    fresh = insert_absent(known, staged, "event_id")
+    return lake.append("silver", fresh, now, among=batch["days"])
 
 
 def attribute_stored(
@@ -94,9 +99,8 @@ def attribute_stored(
     new attribution are not rewritten at all, and a repeated run rewrites none. With
     ``require_match`` a batch that matches nothing fails before anything is written.
     """
-    silver = lake.read("silver")
     click_matches, conversion_matches = (
-        match_events(events, silver.where(candidates(describe_batch(events), window)), window)
+        match_events(events, reachable(lake, events, window), window)
         for events, window in ((clicks, windows.click), (conversions, windows.conversion))
     )
     path = scratch_path(lake.spark, "matches")
@@ -113,11 +117,19 @@ def attribute_stored(
         require_matches("conversion", conversions, found["conversion"])
     if not found["days"]:
         return None
-    touched = restrict_to_days(silver, found["days"])
+    touched = lake.read_days("silver", found["days"])
     changes = updates.where(F.col("changes"))
     return lake.overwrite_days("silver", apply_updates(touched, changes, clock(now)), now)
 
 
+def reachable(lake: Lake, events: DataFrame, window: int) -> DataFrame:
+    """The stored impressions a batch can match, of the days and ids it can concern."""
+    batch = describe_batch(events)
+    days = candidate_days(batch, window)
+    stored = lake.read("silver") if days is None else lake.read_days("silver", days)
+    return stored.where(candidates(batch, window))
+
+
 def require_matches(event_type: str, events: DataFrame, matched: int) -> None:
     """Fail when events arrived and none matched. Looks for one event only if none matched."""
     if matched == 0 and not events.isEmpty():

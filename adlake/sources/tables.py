@@ -91,21 +91,32 @@ class Lake:
     def read(self, layer: str) -> DataFrame:
         return self._at(layer, self._location(layer, self.last_commit(layer)))
 
+    def read_days(self, layer: str, days: list[date]) -> DataFrame:
+        """The given days only. Other days' folders are not even listed."""
+        return self._at(layer, self._location(layer, self.last_commit(layer)), days)
+
     def location(self, layer: str) -> str:
         """Folder that currently holds the layer."""
         return self._location(layer, self.last_commit(layer))
 
-    def append(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int:
-        """Add rows; existing files stay as they are."""
+    def append(
+        self,
+        layer: str,
+        rows: DataFrame,
+        now: datetime | None = None,
+        among: list[date] | None = None,
+    ) -> int:
+        """Add rows; existing files stay as they are.
+
+        ``among`` names the days the rows can belong to, so that only those are listed.
+        """
         last, partition = self.last_commit(layer), PARTITION[layer]
-        entry = self._entry(layer, "append", self._location(layer, last), last, now)
+        location = self._location(layer, last)
+        entry = self._entry(layer, "append", location, last, now)
+        old_files, _ = self._size_of(layer, location, among)
         placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
-        # Lists its files now, so it still shows the state before the write afterwards.
-        stored = self._at(layer, entry["location"])
-        entry["added_records"], days = write_days(placed, entry["location"], partition, "append")
-        old_files = self._size_of(stored, layer, days)[0] if last else 0
-        new_files, _ = self._size_of(self._at(layer, entry["location"]), layer, days)
-        entry["added_files"] = new_files - old_files
+        entry["added_records"], days = write_days(placed, location, partition, "append")
+        entry["added_files"] = self._size_of(layer, location, among)[0] - old_files
         return self._commit(entry, days)
 
     def overwrite_days(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int | None:
@@ -149,12 +160,12 @@ class Lake:
         last, partition = self.last_commit(layer), PARTITION[layer]
         # A fresh name each time: a repeated run never meets the files of a broken one.
         entry = self._entry(layer, "replace", f"{self.root}/{layer}/{uuid.uuid4().hex}", last, now)
-        entry["deleted_files"], entry["deleted_records"] = self._current_size(
-            layer, self._location(layer, last), last, None
-        )
+        if last:
+            old = self._size_of(layer, last["location"])
+            entry["deleted_files"], entry["deleted_records"] = old
         placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
         entry["added_records"], days = write_days(placed, entry["location"], partition, "overwrite")
-        entry["added_files"], _ = self._size_of(self._at(layer, entry["location"]), layer)
+        entry["added_files"], _ = self._size_of(layer, entry["location"])
         return self._commit(entry, days)
 
     def summaries_at(self, commit_id: int | None) -> DataFrame:
@@ -182,20 +193,26 @@ class Lake:
     def _location(self, layer: str, last) -> str:
         return last["location"] if last else f"{self.root}/{layer}/data"
 
-    def _at(self, layer: str, location: str) -> DataFrame:
-        return read_or_empty(self.spark, location, SCHEMA[layer])
+    def _folders(self, layer: str, location: str, days: list[date] | None) -> list[str]:
+        folders = [location]
+        if days is not None:
+            folders = [f"{location}/{PARTITION[layer]}={day}" for day in sorted(days)]
+        return [folder for folder in folders if exists(self.spark, folder)]
 
-    def _current_size(self, layer: str, location: str, last, days: list[date] | None):
-        return self._size_of(self._at(layer, location), layer, days) if last else (0, 0)
+    def _at(self, layer: str, location: str, days: list[date] | None = None) -> DataFrame:
+        schema = schemas.nullable(SCHEMA[layer])
+        folders = self._folders(layer, location, days)
+        if not folders:
+            return schemas.empty(self.spark, schema)
+        return self.spark.read.schema(schema).option("basePath", location).parquet(*folders)
 
     def _size_of(
-        self, table: DataFrame, layer: str, days: list[date] | None = None
+        self, layer: str, location: str, days: list[date] | None = None
     ) -> tuple[int, int]:
         """Files and rows of the given days, or of all, from file metadata."""
-        partition = PARTITION[layer]
-        if days is not None:
-            table = table.where(F.col(partition).isin(days) if days else F.lit(False))
-        sizes = file_inventory(table, partition)
+        if not self._folders(layer, location, days):
+            return 0, 0
+        sizes = file_inventory(self._at(layer, location, days), PARTITION[layer])
         total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("record_count"), F.lit(0))).first()
         return total[0], total[1]
 
@@ -207,7 +224,7 @@ class Lake:
         """Record what is about to replace which rows; returns the entry."""
         last = self.last_commit(layer)
         location = self._location(layer, last)
-        old_files, old_rows = self._current_size(layer, location, last, days)
+        old_files, old_rows = self._size_of(layer, location, days) if last else (0, 0)
         entry = {
             **self._entry(layer, operation, location, last, now),
             "added_records": added,
@@ -227,7 +244,7 @@ class Lake:
         )
         if rows != entry["added_records"]:
             raise RuntimeError(f"{layer}: wrote {rows} rows of {entry['added_records']}")
-        entry["added_files"], _ = self._size_of(self._at(layer, location), layer, days)
+        entry["added_files"], _ = self._size_of(layer, location, days)
         return self._commit(entry, days)
 
     def _entry(self, layer, operation, location, last, now) -> dict:
@@ -249,7 +266,7 @@ class Lake:
         """Keep the summaries of the touched days, then add the log row."""
         number = entry["commit_id"]
         if entry["layer"] == "silver" and days:
-            touched = self._at("silver", entry["location"]).where(F.col("event_date").isin(days))
+            touched = self._at("silver", entry["location"], days)
             summaries = day_summaries(touched).select(
                 F.lit(number).cast("bigint").alias("commit_id"), "*"
             )

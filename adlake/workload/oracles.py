@@ -93,8 +93,9 @@ def _attributed(name: str, where: str = "TRUE", clicks: str = "", conversions: s
     )
 
 
-def _gold(name: str, source: str, where: str = "TRUE") -> str:
-    return f"""
+def _gold(name: str, source: str, where: str = "TRUE", places: int = 6) -> str:
+    """KPIs rounded to ``places``: reports that round for themselves ask for all digits."""
+    text = f"""
 {name} AS (
   SELECT event_date AS summary_date, campaign,
          count(*) AS impressions,
@@ -115,6 +116,7 @@ def _gold(name: str, source: str, where: str = "TRUE") -> str:
          round(count(*)::DOUBLE / count(DISTINCT uid), 6) AS frequency
   FROM {source} WHERE campaign IS NOT NULL AND {where} GROUP BY ALL
 )"""
+    return text.replace(", 6)", f", {places})")
 
 
 def _with(*parts: str) -> str:
@@ -249,7 +251,7 @@ def _trailing(column: str, days: int, as_of: str = "DATE '2024-01-31'") -> str:
 
 
 _KPI_COLUMNS = """summary_date, campaign, impressions, clicks, conversions, unique_users,
-  converting_users, total_cost"""
+  converting_users, round(total_cost, 6) AS total_cost"""
 
 ORACLES: dict[str, str] = {
     "bronze_parse": f"""{_with(_RAW)}
@@ -451,7 +453,7 @@ SELECT event_date, quantile_disc(producer_to_broker_sec, 0.5) AS p50_p2b_sec,
        quantile_disc(broker_to_ingest_sec, 0.5) AS p50_b2i_sec,
        quantile_disc(end_to_end_latency_sec, 0.5) AS p50_e2e_sec
 FROM s WHERE {_trailing("event_date", 14)} GROUP BY event_date""",
-    "biz_kpi_trend": f"""{_FULL_GOLD}
+    "biz_kpi_trend": f"""{_with(_RAW, _attributed("s"), _gold("g", "s", places=15))}
 SELECT {_KPI_COLUMNS}, round(ctr, 4) AS ctr, round(cvr, 4) AS cvr, round(cpc, 4) AS cpc,
        round(cpa, 4) AS cpa, round(cpm, 4) AS cpm, click_through_conversions,
        view_through_conversions, round(frequency, 4) AS frequency
