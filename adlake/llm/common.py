@@ -43,9 +43,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, chunks
     """Adds ``name``: a gapless number from 0 within ``keys``, without one task per key.
 
     Rows of a key are dealt by a hash of ``order`` into ``chunks`` parts, numbered within
-    each part, and shifted by the sizes of the parts before. The parts' sizes come from the
-    same shuffle, which Spark reuses; there are at most keys x ``chunks`` of them. Rows equal
-    in ``keys`` and ``order`` share a part and get neighbouring numbers.
+    each part, and shifted by the sizes of the parts before, of which there are at most
+    keys x ``chunks``; they are counted with partial aggregation. Rows equal in ``keys`` and
+    ``order`` share a part and get neighbouring numbers.
     """
     part, within, size = f"_{name}_part", f"_{name}_within", f"_{name}_size"
     dealt = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int"))
@@ -69,3 +69,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, chunks
     return joined.withColumn(name, (F.col(within) - 1 + F.col(size)).cast("long")).drop(
         part, within, size, f"{part}_of", *[f"_{k}_of" for k in keys]
     )
+
+
+def slices(batch, rows: int = 256):
+    """An Arrow batch in short slices, so that few texts are Python strings at a time."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import chat, exact_dedup, sharding
+from adlake.llm import bpe, chat, exact_dedup, packing, pii, sharding
 from adlake.llm.common import table
 
+#: Folder of the public tokenizers' vocabulary files, the same on every machine.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+#: Fixed by the byte-level vocabulary: how a text is cut before merging.
+CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: A conversation whose texts hold the template's own markers; added to those of the table.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -49,8 +56,25 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classify(table(spark, sf_dir, "documents"), index)
 
 
+def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summarize(table(spark, sf_dir, "documents"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", CUTS)
+
+
 QUERIES = {
     "op2_rendezvous_sharding": op2_rendezvous_sharding,
+    "op3_pattern_packing": op3_pattern_packing,
+    "op4_pii": op4_pii,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
 }
