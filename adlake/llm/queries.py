@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, chat, exact_dedup, packing, pii, sharding
+from adlake.llm import bpe, chat, exact_dedup, langid, packing, pii, quality, sharding
 from adlake.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files, the same on every machine.
@@ -70,11 +70,24 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", CUTS)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model"
+    langs, logs = langid.learn(docs, path)
+    return langid.predict(docs, path, langs, logs)
+
+
 QUERIES = {
     "op2_rendezvous_sharding": op2_rendezvous_sharding,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_pii": op4_pii,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_language_id": op10_language_id,
 }
