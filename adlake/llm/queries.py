@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, chat, exact_dedup, langid, packing, pii, quality, sharding
+from adlake.llm import bpe, chat, exact_dedup, langid, minhash, packing, pii, quality, sharding
 from adlake.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files, the same on every machine.
@@ -70,6 +70,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", CUTS)
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", F.col("leads").alias("kept"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.classify(docs, labels)
@@ -87,6 +92,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_minhash": op7_minhash,
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,

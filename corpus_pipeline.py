@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adlake.llm import exact_dedup
+from adlake.llm import exact_dedup, minhash, packing, pii, quality
 from adlake.llm.common import staged, table
+from adlake.llm.queries import TOKENIZERS
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier rejects go."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +19,30 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.first_rows(docs, exact_dedup.DigestIndex(spark))
 
 
-STAGES = [("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return minhash.leaders(docs)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind."""
+    return pii.mask(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+STAGES = [
+    ("quality classifier", good),
+    ("exact dedup", exact),
+    ("minhash near-dedup", near),
+    ("personal data", private),
+    ("packing", packed),
+]
 
+#: Least squares, tokenizers and classifiers are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
