@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, chat, exact_dedup, langid, minhash, packing, pii, quality, sharding
+from adlake.llm import bpe, chat, exact_dedup, langid, minhash, multi_index, packing, pii, quality, sharding
 from adlake.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files, the same on every machine.
@@ -19,6 +19,10 @@ CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.link(table(spark, sf_dir, "embeddings"))
+
+
 def op2_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -87,6 +91,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_multi_index": op1_multi_index,
     "op2_rendezvous_sharding": op2_rendezvous_sharding,
     "op3_pattern_packing": op3_pattern_packing,
     "op4_pii": op4_pii,
