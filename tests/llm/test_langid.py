@@ -1,0 +1,77 @@
+from itertools import product
+from math import log
+
+import numpy as np
+import pytest
+
+from adlake.llm import langid
+from adlake.llm.queries import TOKENIZERS
+
+PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+
+
+def brute(word, pieces, logs):
+    """Sums over every segmentation, one by one."""
+    text = langid.MARK + word
+    single = {p for p in pieces if len(p) == 1}
+    total = np.zeros(logs.shape[1])
+    for cuts in product((0, 1), repeat=len(text) - 1):
+        parts, at = [], 0
+        for n, cut in enumerate((*cuts, 1), 1):
+            if cut:
+                parts.append(text[at:n])
+                at = n
+        if all(p in pieces or (len(p) == 1 and p not in single) for p in parts):
+            rows = [logs[pieces[p]] if p in pieces else np.full(logs.shape[1], langid.UNCOVERED) for p in parts]
+            total += np.exp(np.sum(rows, axis=0))
+    return np.log(total)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return langid.learn(docs, PATH)
+
+
+def test_forward_sums_all_segmentations(model):
+    langs, logs = model
+    scorer, sp = langid.Scorer(PATH, logs), langid.processor(PATH)
+    pieces = {
+        sp.id_to_piece(n): n for n in range(sp.get_piece_size())
+        if not (sp.is_control(n) or sp.is_unknown(n) or sp.is_byte(n))
+    }
+    words = ["the", "enation", "ü", "x", "naïve", "中文\U0001f600", "a▁b", "▁▁", "thonthe.", "a"]
+    got = scorer.forward(words)
+    for word, scores in zip(words, got):
+        assert np.allclose(scores, brute(word, pieces, logs), atol=1e-9), word
+    alone = np.array([scorer.forward([w])[0] for w in words])
+    assert np.allclose(alone, got)
+    assert np.allclose(scorer.text("the  enation\nthe"), 2 * got[0] + got[1])
+
+
+def test_probabilities_are_a_distribution(model):
+    langs, logs = model
+    assert langs == ["de", "en", "es", "fr"] and np.allclose(np.exp(logs).sum(axis=0), 1)
+
+
+def test_held_out_accuracy(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    rows = [r for r in langid.predict(docs, PATH, *model).collect() if r.held_out]
+    assert len(rows) > 150 and all(0 <= r.score <= 1 for r in rows)
+    assert sum(truth[r.doc_id] == r.lang_pred for r in rows) / len(rows) > 0.98
+
+
+def test_odd_rows_ties_and_empty(odd_docs, no_docs, model):
+    rows = langid.predict(odd_docs, PATH, *model).collect()
+    assert len(rows) == 13
+    by_id = {r.doc_id: r for r in rows}
+    for doc in (3, 4, 5):
+        assert (by_id[doc].lang_pred, by_id[doc].score) == ("und", 0.0)
+    assert by_id[6].lang_pred != "und" and by_id[None].held_out
+    assert langid.learn(no_docs, PATH)[0] == [] and langid.predict(no_docs, PATH, *model).count() == 0
+    unlearned = langid.predict(odd_docs, PATH, *langid.learn(no_docs, PATH)).collect()
+    assert {r.lang_pred for r in unlearned} == {"und"}
+    flat = (["aa", "bb"], np.full((32000, 2), log(1 / 32000)))
+    tied = {r.doc_id: r for r in langid.predict(odd_docs, PATH, *flat).collect()}
+    assert tied[8].lang_pred == "aa" and tied[8].score == pytest.approx(0.5)

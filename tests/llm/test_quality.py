@@ -1,0 +1,99 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from adlake.llm import quality
+
+LABELS = "doc_id bigint, quality int, toxic int, label string, id string"
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+
+
+def test_labelled_documents_are_told_apart(spark, labels):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert len(rows) == docs.count()
+    known = Counter((r.quality, rows[r.doc_id].accepted) for r in labels.collect())
+    assert known[(1, False)] == 0 and known[(0, True)] <= 0.05 * known[(0, False)]
+
+
+def test_unseen_documents_are_told_apart(spark, labels):
+    """The model learns from the small table's labels and is measured on another's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    even, odd = (labels.where(f"doc_id % 2 = {n}") for n in (0, 1))
+    rows = {r.doc_id: r for r in quality.classify(docs, even).collect()}
+    known = Counter((r.quality, rows[r.doc_id].accepted) for r in odd.collect())
+    assert known[(1, False)] <= 0.01 * known[(1, True)] and known[(0, True)] <= 0.1 * known[(0, False)]
+
+
+def test_rates_equal_a_plain_computation(spark):
+    rng = np.random.default_rng(1)
+    rows = [(f"h{h}", f"p{p}", float(h % 2 == 0)) for h in range(6) for p in range(3) for _ in range(int(rng.integers(1, 30)))]
+    found = [0.0] * len(quality.MEASURES)
+    df = spark.createDataFrame([(n, h, p, found, y) for n, (h, p, y) in enumerate(rows)],
+                               "id bigint, host string, path string, found array<double>, label double")
+    got = {(r.host, r.path): r for r in quality.sites(df, quality.SILENT).collect()}
+
+    def weight(groups):
+        n = np.array([g[0] for g in groups], float)
+        rate, prior = np.array([g[1] / g[0] for g in groups]), np.array([g[2] for g in groups])
+        between = (np.sum(n * (rate - prior) ** 2) - np.sum(prior * (1 - prior))) / n.sum()
+        return quality.MOST_WEIGHT if between <= 0 else float(
+            np.clip(np.mean(prior * (1 - prior)) / between - 1, quality.LEAST_WEIGHT, quality.MOST_WEIGHT))
+
+    count, good = Counter(h for h, _, _ in rows), Counter()
+    pcount, pgood = Counter((h, p) for h, p, _ in rows), Counter()
+    for h, p, y in rows:
+        good[h] += y
+        pgood[(h, p)] += y
+    rate = sum(good.values()) / len(rows)
+    w = weight([(count[h], good[h], rate) for h in count])
+    host = {h: (good[h] + w * rate) / (count[h] + w) for h in count}
+    w = weight([(pcount[k], pgood[k], host[k[0]]) for k in pcount])
+    assert got.keys() == pcount.keys()
+    for k, r in got.items():
+        assert r.host_rate == pytest.approx(host[k[0]])
+        assert r.path_rate == pytest.approx((pgood[k] + w * host[k[0]]) / (pcount[k] + w))
+
+
+def test_sparse_sites_stay_near_their_prior(spark):
+    found = [0.0] * len(quality.MEASURES)
+    rows = [(h, "a", 1.0 if n < good else 0.0) for h, good in (("bad", 10), ("fair", 100), ("fine", 180)) for n in range(200)]
+    rows += [("new", "a", 0.0), ("bad", "b", 1.0)]
+    df = spark.createDataFrame([(n, h, p, found, y) for n, (h, p, y) in enumerate(rows)],
+                               "id bigint, host string, path string, found array<double>, label double")
+    got = {(r.host, r.path): r.path_rate for r in quality.sites(df, quality.SILENT).collect()}
+    assert got[("bad", "a")] < 0.1 and got[("fine", "a")] > 0.8
+    assert 0.2 < got[("new", "a")] < 0.5
+
+
+def test_posterior_is_bayes(spark):
+    model = quality.Model((2.0,) + (0.0,) * (len(quality.MEASURES) - 1), 0.5, 0.6)
+    row = spark.sql(f"SELECT array(1.0D{', 0.0D' * (len(quality.MEASURES) - 1)}) AS found, 0.2D AS rate").select(
+        quality.posterior(model, F.col("found"), F.col("rate")).alias("q")).first()
+    odds = np.exp(2.5) / (0.6 / 0.4) * (0.2 / 0.8)
+    assert row.q == pytest.approx(odds / (1 + odds))
+
+
+def test_odd_rows_columns_and_empty(spark, odd_docs, no_docs, labels):
+    own = spark.createDataFrame([(1, 1, 0, "x", "y"), (1, 0, 0, "x", "y"), (8, None, 0, "x", "y"), (None, 1, 0, "x", "y")], LABELS)
+    for given in (own, own.where("false"), labels.where("doc_id < 10")):
+        out = quality.accepted(odd_docs, given)
+        assert out.columns == odd_docs.columns
+        rows = quality.classify(odd_docs, given).collect()
+        assert len(rows) == 13 and all(0 <= r.quality <= 1 for r in rows)
+    assert quality.accepted(odd_docs, own.where("false")).count() == 13
+    assert quality.accepted(no_docs, own).count() == quality.classify(no_docs, own).count() == 0
+
+
+def test_shuffled_sites_give_the_same(spark, documents, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    want = {r.doc_id: r.quality for r in quality.classify(documents, labels).collect()}
+    monkeypatch.setattr(quality, "BROADCAST_SITES", 0)
+    got = {r.doc_id: r.quality for r in quality.classify(documents, labels).collect()}
+    assert got == pytest.approx(want)
