@@ -24,7 +24,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 6
 THRESHOLD = 0.8
 #: Texts compared in one task, at most about twice as many.
-BLOCK = 1024
+BLOCK = 512
 #: Shingles compared at a time within a task.
 COLUMNS = 4096
 

@@ -50,7 +50,7 @@ def copies(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string")
 
 
-@pytest.mark.parametrize("block", [1024, 6])
+@pytest.mark.parametrize("block", [512, 6])
 def test_chains_and_blocks(copies, monkeypatch, block):
     monkeypatch.setattr(minhash, "BLOCK", block)
     docs = [(r.doc_id, r.text) for r in copies.collect()]
