@@ -167,23 +167,28 @@ class Scorer:
             self.scores[at + n : at + n + len(part)] = self.forward(part)
         self.rows.update(zip(new, range(at, need)))
 
-    def text(self, text: str) -> np.ndarray:
-        """A text's log-probability in each language."""
-        words = text.split()
-        if any(len(w) > REMEMBERED_CHARS for w in words):
-            long = [w for w in words if len(w) > REMEMBERED_CHARS]
-            rest = [w for w in words if len(w) <= REMEMBERED_CHARS]
-        else:
-            long, rest = [], words
-        fresh = {w for w in rest if w not in self.rows}
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's log-probability in each language. Words that are new to all of them go
+        through one forward pass."""
+        split = [text.split() for text in texts]
+        known = self.rows
+        fresh = {w for words in split for w in words if w not in known and len(w) <= REMEMBERED_CHARS}
         if fresh:
-            if len(self.rows) + len(fresh) > MEMORY:
+            if len(known) + len(fresh) > MEMORY:
                 self.clear()
-                fresh = set(rest)
+                fresh = {w for words in split for w in words if len(w) <= REMEMBERED_CHARS}
             self.remember(fresh)
-        at = np.fromiter(map(self.rows.__getitem__, rest), np.int64, len(rest))
-        total = self.scores[at].sum(axis=0)
-        return total + self.forward(long).sum(axis=0) if long else total
+        return [self.total(words) for words in split]
+
+    def total(self, words: list[str]) -> np.ndarray:
+        """Sum over words, of which the short ones are remembered."""
+        try:
+            at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+            return self.scores[at].sum(axis=0)
+        except KeyError:
+            long = [w for w in words if len(w) > REMEMBERED_CHARS]
+            rest = self.total([w for w in words if len(w) <= REMEMBERED_CHARS])
+            return rest + self.forward(long).sum(axis=0)
 
 
 SCORERS: dict[tuple[str, int], Scorer] = {}
@@ -211,10 +216,13 @@ def predict(docs: DataFrame, path: str, langs: list[str], logs: np.ndarray) -> D
         known = scorer(path, logs) if langs else None
         for batch in batches:
             for rows in slices(batch, 64):
-                found = [
-                    best(known.text(text)) if known and text and LETTER.search(text) else (UNKNOWN, 0.0)
-                    for text in rows.column(2).to_pylist()
-                ]
+                texts = [text or "" for text in rows.column(2).to_pylist()]
+                found = [(UNKNOWN, 0.0)] * len(texts)
+                lettered = [n for n, text in enumerate(texts) if known and LETTER.search(text)]
+                if lettered:
+                    scores = known.texts([texts[n] for n in lettered])
+                    for n, score in zip(lettered, scores):
+                        found[n] = best(score)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),

@@ -46,7 +46,10 @@ def test_forward_sums_all_segmentations(model):
         assert np.allclose(scores, brute(word, pieces, logs), atol=1e-9), word
     alone = np.array([scorer.forward([w])[0] for w in words])
     assert np.allclose(alone, got)
-    assert np.allclose(scorer.text("the  enation\nthe"), 2 * got[0] + got[1])
+    long = "thonthe" * 30
+    totals = scorer.texts(["the  enation\nthe", "", f"x {long} x"])
+    assert np.allclose(totals[0], 2 * got[0] + got[1]) and (totals[1] == 0).all()
+    assert np.allclose(totals[2], 2 * got[3] + scorer.forward([long])[0])
 
 
 def test_probabilities_are_a_distribution(model):
