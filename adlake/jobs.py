@@ -1,4 +1,4 @@
-"""Command line of the jobs: ``python -m adlake.jobs {bronze,silver,gold,daily,compact} ...``."""
+"""Command line: ``python -m adlake.jobs {bronze,silver,gold,daily,compact,report} ...``."""
 
 from __future__ import annotations
 
@@ -6,11 +6,9 @@ import argparse
 from datetime import date, datetime, timedelta, timezone
 
 from adlake.operators.attribution import CLICK_DAYS, CONVERSION_DAYS
-from adlake.plans import daily, gold, maintenance, silver
-from adlake.plans.sizing import size_shuffles
+from adlake.plans import daily, gold, maintenance, reports, silver
 from adlake.schemas import EVENT_TYPES
 from adlake.session import build_session
-from adlake.sources.raw import raw_path
 from adlake.sources.tables import Lake
 from adlake.sources.topics import read_file_topic, read_kafka_topic
 from adlake.streaming import bronze
@@ -30,21 +28,28 @@ def parser(today: date) -> argparse.ArgumentParser:
     stream.add_argument("--starting-offsets", choices=("latest", "earliest"), default="latest")
     stream.add_argument("--topic-type", choices=EVENT_TYPES, help="run this one only")
     stream.add_argument("--max-per-trigger", type=int)
+    stream.add_argument(
+        "--trigger-seconds",
+        type=int,
+        default=60,
+        help="time between micro-batches; each writes files, so short ones leave many small ones",
+    )
 
     for name, about in (
         ("silver", "attribute raw events into the row-level layer"),
         ("gold", "summarise the row-level layer"),
-        ("daily", "both, with gates, for yesterday"),
+        ("daily", "both, with gates, for yesterday or the given raw dates"),
         ("compact", "rewrite recent days with fewer files"),
     ):
         job = jobs.add_parser(name, help=about)
         job.add_argument("--lake", required=True, help="root of the tables")
         if name in ("silver", "daily"):
             job.add_argument("--raw-base", required=True)
-        if name in ("silver", "gold"):
-            start = yesterday if name == "silver" else None
+        if name in ("silver", "gold", "daily"):
+            start = yesterday if name != "gold" else None
             job.add_argument("--run-date-start", type=date.fromisoformat, default=start)
             job.add_argument("--run-date-end", type=date.fromisoformat, default=yesterday)
+        if name in ("silver", "gold"):
             job.add_argument("--full-refresh", action="store_true")
         if name == "silver":
             job.add_argument("--click-window-days", type=int, default=CLICK_DAYS)
@@ -54,6 +59,12 @@ def parser(today: date) -> argparse.ArgumentParser:
         if name == "compact":
             job.add_argument("--layer", choices=("silver", "gold"), default="silver")
             job.add_argument("--sort-by", help="sort files by this column")
+
+    shown = jobs.add_parser("report", help="print a report or gate")
+    shown.add_argument("name", choices=sorted(reports.REPORTS))
+    shown.add_argument("--lake", required=True, help="root of the tables")
+    shown.add_argument("--as-of", type=date.fromisoformat, default=today)
+    shown.add_argument("--rows", type=int, default=100, help="rows to print")
     return root
 
 
@@ -81,7 +92,12 @@ def run_bronze(args: argparse.Namespace) -> None:
         return read_file_topic(spark, topic, args.max_per_trigger)
 
     queries = bronze.start_streams(
-        spark, open_topic, args.raw_base, args.checkpoint_base, args.topic_type
+        spark,
+        open_topic,
+        args.raw_base,
+        args.checkpoint_base,
+        args.topic_type,
+        {"processingTime": f"{args.trigger_seconds} seconds"},
     )
     bronze.run_streams(spark, queries)
 
@@ -100,23 +116,7 @@ def run_gold(lake: Lake, args: argparse.Namespace, today: date) -> None:
     elif args.trailing_days:
         gold.run_trailing(lake, today, args.trailing_days)
     else:
-        gold.run_daily(lake, today)
-
-
-def read_paths(lake: Lake, args: argparse.Namespace, today: date) -> list[str]:
-    """Folders a run reads: its raw days and the stored days its events can belong to."""
-    start = getattr(args, "run_date_start", None) or today - timedelta(days=1)
-    end = getattr(args, "run_date_end", None) or today - timedelta(days=1)
-    raw_base = getattr(args, "raw_base", None)
-    raw_days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
-    paths = [
-        f"{raw_path(raw_base, kind)}/raw_date={d}"
-        for kind in (EVENT_TYPES if raw_base else ())
-        for d in raw_days
-    ]
-    reach = (end - start).days + CONVERSION_DAYS
-    stored = [end - timedelta(days=n) for n in range(reach + 1)]
-    return paths + [f"{lake.location('silver')}/event_date={d}" for d in stored]
+        gold.run_daily(lake)
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -126,13 +126,14 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "bronze":
         return run_bronze(args)
     lake = Lake(build_session(f"adlake-{args.job}"), args.lake)
-    size_shuffles(lake.spark, read_paths(lake, args, today))
     if args.job == "silver":
         run_silver(lake, args)
     elif args.job == "gold":
         run_gold(lake, args, today)
     elif args.job == "daily":
-        daily.run_yesterday(lake, args.raw_base, now)
+        daily.run_range(lake, args.raw_base, now, args.run_date_start, args.run_date_end)
+    elif args.job == "report":
+        reports.report(lake, args.name, args.as_of).show(args.rows, truncate=False)
     elif args.sort_by:
         maintenance.compact_sorted(lake, today, args.sort_by, layer=args.layer)
     else:

@@ -7,7 +7,7 @@ impression and no later than the window. Events outside are dropped by design.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +30,6 @@ CONVERSION_WINDOW = CONVERSION_DAYS * SECONDS_PER_DAY
 # Value of conversion columns on rows without a conversion.
 NO_CONVERSION = -1
 
-# Above this many separate days a plain range is the better scan filter.
-MAX_LISTED_DAYS = 400
-
 
 def attribute_all(
     impressions: DataFrame,
@@ -109,8 +106,8 @@ def match_events(events: DataFrame, silver: DataFrame, window: int) -> DataFrame
     )
     stored = silver.select("event_id", "event_date", "event_time", "click", "conversion")
     belongs = (F.col("match_eid") == F.col("event_id")) & within("match_ts", "event_time", window)
-    # Implied by the window for rows dated by their event_time; kept because the stored date
-    # comes from another field and the two may disagree.
+    # The stored date comes from another field than event_time and the two may disagree; the
+    # day is bounded from below only.
     not_before = F.col("event_date") >= utc_day(F.col("match_ts") - F.lit(window))
     return arrived.join(stored, belongs & not_before, "inner").select(
         "event_id",
@@ -126,56 +123,46 @@ def match_events(events: DataFrame, silver: DataFrame, window: int) -> DataFrame
 class Batch:
     """What the scan of stored impressions needs to know about a batch of events."""
 
-    days: tuple[date, ...]
-    listed: bool
+    earliest: date | None
     first_key: str | None
     last_key: str | None
 
 
 def describe_batch(events: DataFrame) -> Batch:
-    """The days and the key range of a batch; only its first and last day if it has very many."""
-    dated = events.select(utc_day("timestamp").alias("d"), "eid")
-    keys = (F.min("eid").alias("first"), F.max("eid").alias("last"))
-    rows = dated.groupBy("d").agg(*keys).limit(MAX_LISTED_DAYS + 1).collect()
-    if len(rows) > MAX_LISTED_DAYS:
-        ends = dated.agg(F.min("d").alias("from"), F.max("d").alias("to"), *keys).first()
-        return Batch((ends["from"], ends["to"]), False, ends["first"], ends["last"])
-    return Batch(
-        tuple(sorted(row["d"] for row in rows)),
-        True,
-        min((row["first"] for row in rows), default=None),
-        max((row["last"] for row in rows), default=None),
-    )
+    """The first day and the key range of a batch, in one pass."""
+    ends = events.agg(
+        utc_day(F.min("timestamp")).alias("earliest"),
+        F.min("eid").alias("first"),
+        F.max("eid").alias("last"),
+    ).first()
+    return Batch(ends["earliest"], ends["first"], ends["last"])
 
 
-def candidate_days(batch: Batch, window: int) -> list[date] | None:
-    """The days whose impressions a batch can match; None when they are too many to list."""
-    back = range(-(-window // SECONDS_PER_DAY) + 1)
-    wanted = {d - timedelta(days=n) for d in batch.days for n in back}
-    return sorted(wanted) if batch.listed else None
+def first_day(batch: Batch, window: int) -> date | None:
+    """The first day whose impressions a batch can match; None for an empty batch."""
+    if batch.earliest is None:
+        return None
+    days = -(-window // SECONDS_PER_DAY)
+    reach = batch.earliest.toordinal() - days
+    return date.fromordinal(max(reach, date.min.toordinal()))
 
 
 def candidates(batch: Batch, window: int) -> Column:
     """A literal filter that keeps every stored impression a batch can match.
 
     A condition that compares the partition column with a column of the other join side does
-    not prune files; literals do. Days are listed one by one while they are few, so a single
-    stray timestamp does not open the whole range in between. The day of a stored row and its
-    ``event_time`` describe the same instant, so no match lies after the event's own day.
+    not prune files; literals do. One rule for every batch: no day before the window of its
+    earliest event, and its key range. There is no last day, since the stored day may lie after
+    the impression's own time.
 
     The key range reaches the Parquet scan as well: where ids grow with time, or days are
     compacted in id order, row groups outside it are skipped.
     """
-    if not batch.days:
+    first = first_day(batch, window)
+    if first is None:
         return F.lit(False)
-    listed = candidate_days(batch, window)
-    if listed is None:
-        first, last = batch.days
-        back = timedelta(days=-(-window // SECONDS_PER_DAY))
-        near = F.col("event_date").between(F.lit(first - back), F.lit(last))
-    else:
-        near = F.col("event_date").isin(listed)
-    return near & F.col("event_id").between(batch.first_key, batch.last_key)
+    in_range = F.col("event_id").between(batch.first_key, batch.last_key)
+    return (F.col("event_date") >= F.lit(first)) & in_range
 
 
 def unmatched_alert(event_type: str, arrived: DataFrame, matched: DataFrame) -> DataFrame:

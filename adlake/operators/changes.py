@@ -61,11 +61,11 @@ def changed_summaries(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.where(~same).select(F.coalesce("event_date", "_day").alias("event_date"))
 
 
-def first_commit_of_day(commit_log: DataFrame, as_of, layer: str = "silver") -> DataFrame:
+def first_commit_of_day(run_log: DataFrame, as_of, layer: str = "silver") -> DataFrame:
     """The first commit of the day; its parent is the state before all of the day's commits."""
     begins = day(as_of).cast("timestamp")
     return (
-        commit_log.where((F.col("layer") == layer) & (F.col("committed_at") >= begins))
+        run_log.where((F.col("layer") == layer) & (F.col("committed_at") >= begins))
         .orderBy("committed_at", "commit_id")
         .limit(1)
         .select("commit_id", "parent_id", "committed_at")

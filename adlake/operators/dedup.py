@@ -37,8 +37,3 @@ def unique_by(df: DataFrame, keys: list[str]) -> DataFrame:
     checked = F.when(F.col("_copies") > 1, F.raise_error(F.lit(message))).otherwise(F.col("_row"))
     return packed.select(*keys, checked.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
-
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.where(F.col("copies") > 1)

@@ -41,7 +41,8 @@ def campaign_kpis(silver: DataFrame, now: Column | None = None) -> DataFrame:
         F.sum("conversions").alias("conversions"),
         F.count("uid").alias("unique_users"),
         F.count(only_if(F.col("converted") > 0, "uid")).alias("converting_users"),
-        F.sum("cost").alias("total_cost"),
+        # Rounded, so that rates do not show the order in which doubles were added.
+        F.round(F.sum("cost"), 6).alias("total_cost"),
         F.sum("through_click").alias("click_through_conversions"),
         F.sum("through_view").alias("view_through_conversions"),
         F.sum("delay_sum").alias("delay_sum"),

@@ -2,57 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def file_inventory(table: DataFrame, partition: str) -> DataFrame:
-    """One row per data file with its partition value, size and rows.
+from adlake.operators.wide import number_rows
 
-    Selects nothing but file metadata and the partition value, so only footers are read, and
-    counts combine before the shuffle.
-    """
-    return (
-        table.select(
-            partition,
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_size").alias("file_bytes"),
-        )
-        .groupBy(partition, "file_path", "file_bytes")
-        .agg(F.count(F.lit(1)).alias("record_count"))
-    )
+TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
-def file_report(inventory: DataFrame, partition: str) -> DataFrame:
-    """Files, sizes and rows per partition."""
+def file_report(files: DataFrame, days: DataFrame, partition: str = "event_date") -> DataFrame:
+    """Files, sizes and rows per day, from a listing (``partition``, file_path, file_bytes) and
+    the table's day summaries, so that no data file is opened."""
     megabyte = 1048576.0
-    return inventory.groupBy(partition).agg(
+    sized = files.groupBy(partition).agg(
         F.lit("data").alias("file_type"),
         F.count(F.lit(1)).alias("file_count"),
         F.round(F.sum("file_bytes") / megabyte, 2).alias("total_mb"),
         F.round(F.avg("file_bytes") / megabyte, 2).alias("avg_file_mb"),
-        F.sum("record_count").alias("total_records"),
     )
+    counted = days.select(partition, F.col("row_count").alias("total_records"))
+    return sized.join(counted, partition, "left")
 
 
-def compaction_plan(
-    inventory: DataFrame,
-    partition: str,
-    target_bytes: int = TARGET_FILE_BYTES,
-    needed_only: bool = True,
-) -> DataFrame:
-    """How many files each partition should have for its bytes.
-
-    ``needed_only`` leaves out partitions that have no more files than that.
-    """
-    sized = inventory.groupBy(partition).agg(
-        F.count(F.lit(1)).alias("file_count"), F.sum("file_bytes").alias("total_bytes")
-    )
-    wanted = F.ceil(F.col("total_bytes") / F.lit(float(target_bytes))).cast("int")
-    plan = sized.select(partition, "file_count", wanted.alias("target_files"))
-    return plan.where(F.col("file_count") > F.col("target_files")) if needed_only else plan
+def files_needed(sizes: list[int], target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """How many files of about ``target_bytes`` hold files of the given sizes."""
+    return max(1, -(-sum(sizes) // target_bytes))
 
 
 def place_files(rows: DataFrame, plan: list, partition: str, spread_by: list[str]) -> DataFrame:
@@ -80,31 +54,32 @@ def place_files(rows: DataFrame, plan: list, partition: str, spread_by: list[str
 
 
 def place_sorted_files(
-    rows: DataFrame, plan: list, partition: str, order: list[Column]
+    rows: DataFrame, plan: list, partition: str, order: list[str], path: str
 ) -> DataFrame:
     """Rows placed and sorted so that each file covers a narrow range of values.
 
     A reader that filters on the leading sort column then skips files by their min and max.
-    Days that fit one file get exactly one; the others are cut into ranges. ``order`` should
-    end in a near-unique column: ranges can then split a value that holds a large share of
-    the rows.
+    One rule for every day: its rows are numbered in ``order`` and cut into the planned number
+    of equal runs, so a day gets exactly its files however its values are spread, and a value
+    that holds a large share of the rows is cut too. ``path`` keeps the numbered rows.
     """
-    small = [(value, files) for value, files in plan if files == 1]
-    large = [(value, files) for value, files in plan if files > 1]
-    parts = []
-    if small:
-        chosen = rows.where(F.col(partition).isin([value for value, _ in small]))
-        parts.append(place_files(chosen, small, partition, [partition]))
-    if large:
-        chosen = rows.where(F.col(partition).isin([value for value, _ in large]))
-        files = sum(count for _, count in large)
-        parts.append(chosen.repartitionByRange(files, F.col(partition), *order))
-    placed = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return placed.sortWithinPartitions(F.col(partition), *order)
-
-
-def value_ranges(table: DataFrame, column: str, partition: str) -> DataFrame:
-    """Lowest and highest value per file: how well a filter on ``column`` can skip files."""
-    return table.groupBy(partition, F.col("_metadata.file_path").alias("file_path")).agg(
-        F.min(column).alias("lowest"), F.max(column).alias("highest")
+    numbered = number_rows(rows, [partition, *order], path=path)
+    begins = numbered.groupBy(partition).agg(
+        F.min("row_index").alias("_first"), F.count(F.lit(1)).alias("_rows")
+    )
+    starts, total = [], 0
+    for value, files in plan:
+        starts.append((value, files, total))
+        total += files
+    kind = rows.schema[partition].dataType.simpleString()
+    # One row per partition value under compaction, so neither follows the data.
+    lookup = rows.sparkSession.createDataFrame(
+        starts, f"{partition} {kind}, _files int, _start int"
+    ).join(F.broadcast(begins), partition)
+    run = F.floor((F.col("row_index") - F.col("_first")) * F.col("_files") / F.col("_rows"))
+    return (
+        numbered.join(F.broadcast(lookup), partition)
+        .repartitionById(total, (run + F.col("_start")).cast("int"))
+        .sortWithinPartitions("row_index")
+        .select(*rows.columns)
     )

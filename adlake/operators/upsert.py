@@ -21,46 +21,12 @@ def insert_absent(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     return staged.join(held, key, "left_anti")
 
 
-def mark_clicks(target: DataFrame, matches: DataFrame, now: Column) -> DataFrame:
-    """``target`` with a click set on matched rows that had none."""
-    hits = unique_by(
-        matches.select("event_id", "event_date", F.lit(True).alias("_hit")),
-        ["event_id", "event_date"],
-    )
-    applies = F.col("_hit").isNotNull() & (F.col("click") == 0)
-    return _assign(
-        target.join(hits, ["event_id", "event_date"], "left"),
-        target.columns,
-        applies,
-        {"click": F.lit(1), "updated_at": now},
-    )
-
-
-def mark_conversions(target: DataFrame, matches: DataFrame, now: Column) -> DataFrame:
-    """``target`` with conversion data set on matched rows that had none; the first one stays."""
-    hits = unique_by(
-        matches.select("event_id", "event_date", "match_ts", "match_delay_sec"),
-        ["event_id", "event_date"],
-    )
-    applies = F.col("match_ts").isNotNull() & (F.col("conversion") == 0)
-    return _assign(
-        target.join(hits, ["event_id", "event_date"], "left"),
-        target.columns,
-        applies,
-        {
-            "conversion": F.lit(1),
-            "conversion_timestamp": F.col("match_ts"),
-            "conversion_delay_sec": F.col("match_delay_sec"),
-            "updated_at": now,
-        },
-    )
-
-
 def pending_updates(click_matches: DataFrame, conversion_matches: DataFrame) -> DataFrame:
     """Both kinds of matches as one row per impression.
 
     ``changes`` tells whether applying the row would alter the stored impression, so a
-    repeated run finds nothing to rewrite.
+    repeated run finds nothing to rewrite. Several clicks, or several conversions, of one
+    impression fail the query: values of different rows must not be mixed.
     """
     nothing = F.lit(None).cast("bigint")
     keys = ["event_id", "event_date"]
@@ -78,11 +44,15 @@ def pending_updates(click_matches: DataFrame, conversion_matches: DataFrame) ->
         F.col("match_delay_sec").alias("_conv_delay"),
         flag(F.col("conversion") == 0).alias("_change"),
     )
+    single = (F.sum("_click") <= 1) & (F.count("_conv_ts") <= 1)
+    message = f"several source rows for one key {tuple(keys)}"
     return (
         clicked.unionByName(converted)
         .groupBy(*keys)
         .agg(
-            F.max("_click").alias("new_click"),
+            F.when(single, F.max("_click")).otherwise(
+                F.raise_error(F.lit(message)).cast("int")
+            ).alias("new_click"),
             F.max("_conv_ts").alias("new_conversion_timestamp"),
             F.max("_conv_delay").alias("new_conversion_delay_sec"),
             (F.max("_change") == 1).alias("changes"),
@@ -110,9 +80,14 @@ def apply_updates(target: DataFrame, updates: DataFrame, now: Column) -> DataFra
     )
 
 
-def upsert(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
-    """Staged rows replace target rows with the same key; all other target rows stay."""
-    staged = unique_by(staged, keys)
+def upsert(
+    target: DataFrame, staged: DataFrame, keys: list[str], grouped: bool = False
+) -> DataFrame:
+    """Staged rows replace target rows with the same key; all other target rows stay.
+
+    A repeated staged key fails the query; rows just ``grouped`` by the keys need no check.
+    """
+    staged = staged if grouped else unique_by(staged, keys)
     kept = target.join(staged.select(*keys), keys, "left_anti")
     return kept.unionByName(staged.select(*target.columns))
 

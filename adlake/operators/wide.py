@@ -14,17 +14,20 @@ _POSITION_BITS = 33
 CLICK_DELAY_MAX = 30
 
 
-def number_rows(rows: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+def number_rows(
+    rows: DataFrame, order: list[str], partitions: int | None = None, path: str | None = None
+) -> DataFrame:
     """``row_index`` 0, 1, 2, ... over the whole frame in the given order.
 
     Rows are range-partitioned and sorted, and every partition numbers its own rows. The
-    result is kept as a table so that numbers cannot change on a retry. Adding up partition
+    result is kept as a table, at ``path`` if the caller wants to delete it afterwards, so that
+    numbers cannot change on a retry. Adding up partition
     sizes then takes one row per partition. Nothing is sorted in a single task.
     """
     spark = rows.sparkSession
     by = [F.col(name) for name in order]
     placed = rows.repartitionByRange(partitions, *by) if partitions else rows.repartitionByRange(*by)
-    path = scratch_path(spark, "numbered")
+    path = path or scratch_path(spark, "numbered")
     placed.sortWithinPartitions(*by).withColumn(
         "_position", F.monotonically_increasing_id()
     ).write.parquet(path)

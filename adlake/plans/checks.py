@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import column, day, ratio, trailing_days
-from adlake.operators.maintain import file_report
 
 LATENCY_LIMIT_SEC = 300
 MAX_DIFFERENCE = 0.1
@@ -23,10 +22,11 @@ class UnhealthyData(RuntimeError):
 
 def gate(check: DataFrame, name: str) -> None:
     """Raise when the check returns anything, with its first rows in the message."""
-    rows = check.limit(SHOWN_ROWS).collect()
+    rows = check.limit(SHOWN_ROWS + 1).collect()
     if rows:
-        shown = "; ".join(str(row.asDict()) for row in rows)
-        raise UnhealthyData(f"{name}: {shown}")
+        shown = "; ".join(str(row.asDict()) for row in rows[:SHOWN_ROWS])
+        more = f" and more, {check.count()} in all" if len(rows) > SHOWN_ROWS else ""
+        raise UnhealthyData(f"{name}: {shown}{more}")
 
 
 def percentile(name: str, share: float):
@@ -41,11 +41,11 @@ def percent(part, whole):
 # Alerts
 
 
-def stale_layers(commit_log: DataFrame, as_of) -> DataFrame:
+def stale_layers(run_log: DataFrame, as_of) -> DataFrame:
     """Layers without a commit on ``as_of``, including layers that never had one."""
-    spark = commit_log.sparkSession
+    spark = run_log.sparkSession
     layers = spark.createDataFrame([("silver",), ("gold",)], "layer string")
-    latest = commit_log.groupBy("layer").agg(F.max("committed_at").alias("latest_committed_at"))
+    latest = run_log.groupBy("layer").agg(F.max("committed_at").alias("latest_committed_at"))
     stale = F.coalesce(F.to_date("latest_committed_at") < day(as_of), F.lit(True))
     return (
         layers.join(latest, "layer", "left")
@@ -255,10 +255,10 @@ def day_drilldown(silver: DataFrame, run_date) -> DataFrame:
     )
 
 
-def recent_commits(commit_log: DataFrame, rows: int = 20) -> DataFrame:
+def recent_commits(run_log: DataFrame, rows: int = 20) -> DataFrame:
     """The latest commits of both layers."""
     return (
-        commit_log.where(F.col("layer").isin("silver", "gold"))
+        run_log.where(F.col("layer").isin("silver", "gold"))
         .select("layer", "commit_id", "parent_id", "committed_at", "operation")
         .orderBy(F.desc("committed_at"), "layer", F.desc("commit_id"))
         .limit(rows)
@@ -268,24 +268,24 @@ def recent_commits(commit_log: DataFrame, rows: int = 20) -> DataFrame:
 # Infrastructure
 
 
-def file_sizes(inventory: DataFrame, partition: str = "event_date") -> DataFrame:
-    """Files and sizes per partition of a table; plain Parquet has data files only."""
-    return file_report(inventory, partition)
+def runs(run_log: DataFrame) -> DataFrame:
+    """Runs and the rows they added or changed, per layer."""
+    return run_log.groupBy("layer").agg(
+        F.count(F.lit(1)).alias("run_count"), F.sum("records").alias("records")
+    )
 
 
-def commit_files(commit_log: DataFrame) -> DataFrame:
-    """Commits, and files they added and removed, per layer."""
-    return commit_log.groupBy("layer").agg(
-        F.count(F.lit(1)).alias("manifest_count"),
-        F.sum("added_files").alias("added_files"),
-        F.sum("deleted_files").alias("deleted_files"),
-    )
+def stray_days(silver_days: DataFrame, as_of, back: int = 400) -> DataFrame:
+    """Stored days far from ``as_of``: event times that producers got wrong, most likely."""
+    end = day(as_of)
+    near = F.col("event_date").between(F.date_sub(end, back), F.date_add(end, 1))
+    return silver_days.where(~near).select("event_date", "row_count")
 
 
-def commit_retention(commit_log: DataFrame) -> DataFrame:
+def commit_retention(run_log: DataFrame) -> DataFrame:
     """First and last commit per layer and the complete days between them."""
     return (
-        commit_log.groupBy("layer")
+        run_log.groupBy("layer")
         .agg(
             F.count(F.lit(1)).alias("snapshot_count"),
             F.min("committed_at").alias("oldest_snapshot"),
@@ -301,9 +301,9 @@ def commit_retention(commit_log: DataFrame) -> DataFrame:
 # Gates
 
 
-def no_commit_today(commit_log: DataFrame, layer: str, as_of) -> DataFrame:
+def no_commit_today(run_log: DataFrame, layer: str, as_of) -> DataFrame:
     """A row when the layer's last commit is older than ``as_of`` or there is none."""
-    latest = commit_log.where(F.col("layer") == layer).agg(F.max("committed_at").alias("last"))
+    latest = run_log.where(F.col("layer") == layer).agg(F.max("committed_at").alias("last"))
     stale = F.coalesce(F.to_date("last") < day(as_of), F.lit(True))
     return latest.where(stale).select(F.lit(f"{layer}_snapshot_missing").alias("alert"))
 
@@ -350,6 +350,43 @@ def nothing_arrived(raw: DataFrame, run_date) -> DataFrame:
     )
 
 
+def on_dates(spark, run_dates) -> DataFrame:
+    """One row per run date."""
+    return spark.createDataFrame([(value,) for value in run_dates], "run_date date")
+
+
+def dates_without_raw(raw: DataFrame, run_dates) -> DataFrame:
+    """The run dates on which no raw event was ingested."""
+    held = raw.select(F.col("raw_date").alias("run_date"))
+    missing = on_dates(raw.sparkSession, run_dates).join(held, "run_date", "left_anti")
+    return missing.select("run_date", F.lit("bronze_missing").alias("alert"))
+
+
+def dates_without_rows(silver: DataFrame, run_dates) -> DataFrame:
+    """The run dates without rows in the row-level layer."""
+    held = silver.select(F.col("event_date").alias("run_date"))
+    missing = on_dates(silver.sparkSession, run_dates).join(held, "run_date", "left_anti")
+    return missing.select("run_date", F.lit(0).alias("silver_rows"))
+
+
+def dates_apart(silver: DataFrame, gold: DataFrame, run_dates) -> DataFrame:
+    """:func:`run_mismatch` for several run dates in one query."""
+    stored = silver.groupBy(F.col("event_date").alias("run_date")).agg(
+        F.count(F.lit(1)).alias("silver_rows")
+    )
+    summed = gold.groupBy(F.col("summary_date").alias("run_date")).agg(
+        F.sum("impressions").alias("summed")
+    )
+    totals = on_dates(silver.sparkSession, run_dates).join(stored, "run_date", "left")
+    totals = totals.join(summed, "run_date", "left").withColumn(
+        "silver_rows", F.coalesce("silver_rows", F.lit(0))
+    )
+    apart = ratio(F.abs(F.col("silver_rows") - F.col("summed")), "silver_rows")
+    return totals.where(F.col("summed").isNull() | (apart > MAX_DIFFERENCE)).select(
+        "run_date", "silver_rows", F.coalesce("summed", F.lit(0)).alias("gold_impressions")
+    )
+
+
 def quality_profile(silver: DataFrame) -> DataFrame:
     """Per day: share of NULL keys, flags outside 0 and 1, attribution rates.
 

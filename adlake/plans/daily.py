@@ -23,31 +23,37 @@ def run(
 ) -> None:
     """Process the raw dates ``start`` to ``end``; the first failing gate stops the run.
 
-    ``now`` is the time of the run: its UTC date decides what counts as committed today.
-    Compaction comes after the last gate.
+    ``now`` is the time of the run: its UTC date decides what counts as committed today. Each
+    gate is one query for all run dates. Compaction comes after the last gate.
     """
     as_of, first, last = as_utc(now).date(), as_date(start), as_date(end)
     run_dates = [first + timedelta(days=n) for n in range((last - first).days + 1)]
 
-    for run_date in run_dates:
-        raw = read_raw(lake.spark, raw_base, "impression", run_date, run_date)
-        checks.gate(checks.nothing_arrived(raw, run_date), "bronze_present")
+    raw = read_raw(lake.spark, raw_base, "impression", start, end)
+    checks.gate(checks.dates_without_raw(raw, run_dates), "bronze_present")
 
     silver.run_incremental(lake, raw_base, start, end, windows, now, require_match)
     checks.gate(checks.no_commit_today(lake.log(), "silver", as_of), "silver_commit")
-    for run_date in run_dates:
-        checks.gate(checks.no_rows(lake.read("silver"), run_date), "silver_rows")
+    stored = lake.read_days("silver", run_dates)
+    checks.gate(checks.dates_without_rows(stored, run_dates), "silver_rows")
 
-    gold.run_daily(lake, as_of, now)
+    gold.run_daily(lake, now)
     checks.gate(checks.no_commit_today(lake.log(), "gold", as_of), "gold_commit")
-    for run_date in run_dates:
-        mismatch = checks.run_mismatch(lake.read("silver"), lake.read("gold"), run_date)
-        checks.gate(mismatch, "consistency")
+    summed = lake.read_days("gold", run_dates)
+    checks.gate(checks.dates_apart(stored, summed, run_dates), "consistency")
 
     if compact:
         maintenance.compact_binpack(lake, as_of, now=now)
 
 
-def run_yesterday(lake: Lake, raw_base: str, now: datetime, compact: bool = True) -> None:
+def run_range(
+    lake: Lake,
+    raw_base: str,
+    now: datetime,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    compact: bool = True,
+) -> None:
+    """The run for the given raw dates, yesterday without any."""
     yesterday = as_utc(now).date() - timedelta(days=1)
-    run(lake, raw_base, yesterday, yesterday, now, compact=compact)
+    run(lake, raw_base, start or end or yesterday, end or yesterday, now, compact=compact)

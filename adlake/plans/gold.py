@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import clock, day
-from adlake.operators.changes import (
-    changed_summaries,
-    first_commit_of_day,
-    trailing_window,
-)
+from adlake.operators.changes import changed_summaries
 from adlake.operators.kpis import campaign_kpis
 from adlake.operators.upsert import upsert
 from adlake.plans.silver import as_date
@@ -21,56 +17,76 @@ from adlake.sources.tables import Lake
 KEYS = ["summary_date", "campaign"]
 
 
-def changed_days(lake: Lake, as_of: date | str) -> list[date]:
-    """Days the row-level table changed since before the first commit of ``as_of``.
+def changed_days(lake: Lake) -> list[date]:
+    """Days whose row-level content differs from what the KPI table was made of.
 
-    Compares the summaries kept with each commit; the table is not scanned. No commit that
-    day means no change.
+    Both sides are per-day summaries, so no table is scanned. Days the row-level table lost
+    count as well, and so do days an earlier run left behind.
     """
-    first = first_commit_of_day(lake.log(), as_of).first()
-    if first is None:
-        return []
-    before = lake.summaries_at(first["parent_id"])
-    after = lake.summaries_at(lake.last_commit("silver")["commit_id"])
+    changed = changed_summaries(lake.read("gold_days"), lake.read("silver_days"))
     # One value per day of the table's calendar.
-    return [row[0] for row in changed_summaries(before, after).collect()]
+    return sorted(row[0] for row in changed.collect())
 
 
-def merge_days(lake: Lake, rows: DataFrame, now: datetime | None = None):
-    """Upsert the KPIs of ``rows`` by (day, campaign); campaigns without rows keep theirs."""
-    lake.recover("gold")
-    staged = campaign_kpis(rows, clock(now))
-    days = [r[0] for r in rows.select("event_date").distinct().collect()]
-    stored = lake.read_days("gold", days)
-    return lake.overwrite_days("gold", upsert(stored, staged, KEYS), now)
+def merge_days(lake: Lake, days: list[date], now: datetime | None = None) -> int:
+    """Upsert the KPIs of the given days by (day, campaign) and log the run.
+
+    Campaigns without rows keep theirs on days that still have rows; days without rows are
+    dropped. What the days were made of is noted last.
+    """
+    lake.finish_all()
+    records = 0
+    if days:
+        present = sorted(set(days) & set(lake.days("silver")))
+        kpis = campaign_kpis(lake.read_days("silver", present), clock(now))
+        merged = upsert(lake.read_days("gold", present), kpis, KEYS, grouped=True)
+        records = lake.replace_days("gold", merged, days)
+        lake.replace_days("gold_days", lake.read_days("silver_days", days), days)
+    lake.record("gold", "merge", records, now)
+    return records
+
+
+def known_days(lake: Lake) -> list[date]:
+    return sorted({*lake.days("silver"), *lake.days("gold")})
 
 
-def run_daily(lake: Lake, as_of: date | str, now: datetime | None = None):
-    """Recompute the days that changed on ``as_of``."""
-    return merge_days(lake, lake.read_days("silver", changed_days(lake, as_of)), now)
+def run_daily(lake: Lake, now: datetime | None = None) -> int:
+    """Recompute the days that changed since the last run."""
+    return merge_days(lake, changed_days(lake), now)
 
 
-def run_trailing(lake: Lake, as_of: date | str, days: int = 30, now: datetime | None = None):
+def run_trailing(lake: Lake, as_of: date | str, days: int = 30, now: datetime | None = None) -> int:
     """Recompute the last ``days`` days without asking what changed."""
-    return merge_days(lake, trailing_window(lake.read("silver"), as_of, days), now)
+    end = as_date(as_of)
+    recent = [d for d in known_days(lake) if end - timedelta(days=days) <= d < end]
+    return merge_days(lake, recent, now)
 
 
 def in_range(silver: DataFrame, start: date | str, end: date | str) -> DataFrame:
     return silver.where(F.col("event_date").between(day(start), day(end)))
 
 
-def run_range(lake: Lake, start: date | str, end: date | str, now: datetime | None = None):
+def run_range(
+    lake: Lake, start: date | str, end: date | str, now: datetime | None = None
+) -> int:
     """Recompute the given days, for backfills."""
-    return merge_days(lake, in_range(lake.read("silver"), start, end), now)
+    first, last = as_date(start), as_date(end)
+    return merge_days(lake, [d for d in known_days(lake) if first <= d <= last], now)
 
 
-def run_full_refresh(lake: Lake, start: date | str, end: date | str, now: datetime | None = None):
+def run_full_refresh(
+    lake: Lake, start: date | str, end: date | str, now: datetime | None = None
+) -> int:
     """Replace the whole table by the KPIs of the given days.
 
     The range is required: replacing by just the days that changed would lose all others.
     """
     if start is None or end is None or as_date(start) > as_date(end):
         raise ValueError("a full refresh needs a start date no later than its end date")
-    return lake.replace(
-        "gold", campaign_kpis(in_range(lake.read("silver"), start, end), clock(now)), now
-    )
+    lake.finish_all()
+    first, last = as_date(start), as_date(end)
+    days = [d for d in lake.days("silver") if first <= d <= last]
+    records = lake.replace_days("gold", campaign_kpis(lake.read_days("silver", days), clock(now)), None)
+    lake.replace_days("gold_days", lake.read_days("silver_days", days), None)
+    lake.record("gold", "refresh", records, now)
+    return records

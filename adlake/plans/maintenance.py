@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from adlake.functions.columns import day
 from adlake.operators.maintain import (
     TARGET_FILE_BYTES,
-    compaction_plan,
-    file_inventory,
+    file_report,
+    files_needed,
     place_files,
     place_sorted_files,
 )
+from adlake.plans.silver import as_date
+from adlake.session import scratch
 from adlake.sources.tables import PARTITION, Lake
 
 # Attribution can change a day for 30 days; five more cover late ingestion.
@@ -23,17 +23,20 @@ COMPACTED_DAYS = 35
 ROW_KEY = {"silver": "event_id", "gold": "campaign"}
 
 
-def recent_days(lake: Lake, layer: str, as_of: date | str) -> DataFrame:
-    since = F.date_sub(day(as_of), COMPACTED_DAYS)
-    return lake.read(layer).where(F.col(PARTITION[layer]) >= since)
+def report_files(lake: Lake) -> DataFrame:
+    """Files, sizes and rows per day of the row-level table."""
+    listed = lake.data_files("silver", lake.days("silver"))
+    schema = "event_date date, file_path string, file_bytes bigint"
+    return file_report(lake.spark.createDataFrame(listed, schema), lake.read("silver_days"))
 
 
-def planned_files(
-    rows: DataFrame, partition: str, target_bytes: int, needed_only: bool
-) -> list[tuple[date, int]]:
-    plan = compaction_plan(file_inventory(rows, partition), partition, target_bytes, needed_only)
-    # One row per recent day.
-    return [(row[partition], row["target_files"]) for row in plan.orderBy(partition).collect()]
+def recent_files(lake: Lake, layer: str, as_of: date | str) -> dict[date, list[int]]:
+    """File sizes of the recent days, from a listing of their folders."""
+    since = as_date(as_of) - timedelta(days=COMPACTED_DAYS)
+    found: dict[date, list[int]] = {}
+    for day, _, size in lake.data_files(layer, [d for d in lake.days(layer) if d >= since]):
+        found.setdefault(day, []).append(size)
+    return found
 
 
 def compact_binpack(
@@ -44,17 +47,18 @@ def compact_binpack(
     now: datetime | None = None,
 ) -> int | None:
     """Rewrite the recent days that have more files than their size needs."""
-    lake.recover(layer)
-    partition, rows = PARTITION[layer], recent_days(lake, layer, as_of)
-    plan = planned_files(rows, partition, target_bytes, needed_only=True)
+    lake.finish(layer)
+    sizes = recent_files(lake, layer, as_of)
+    plan = [(day, files_needed(held, target_bytes)) for day, held in sorted(sizes.items())]
+    plan = [(day, wanted) for day, wanted in plan if len(sizes[day]) > wanted]
     if not plan:
         return None
-    crowded = rows.where(F.col(partition).isin([value for value, _ in plan]))
-
-    def place(staged: DataFrame) -> DataFrame:
-        return place_files(staged, plan, partition, [ROW_KEY[layer]])
-
-    return lake.rewrite_days(layer, crowded, place, now)
+    days = [day for day, _ in plan]
+    rows = lake.read_days(layer, days)
+    placed = place_files(rows, plan, PARTITION[layer], [ROW_KEY[layer]])
+    records = lake.replace_days(layer, placed, days, placed=True)
+    lake.record(layer, "compact", 0, now)
+    return records
 
 
 def compact_sorted(
@@ -65,15 +69,35 @@ def compact_sorted(
     layer: str = "silver",
     now: datetime | None = None,
 ) -> int | None:
-    """Rewrite the recent days sorted by ``sort_by``, so that filters on it skip files."""
-    lake.recover(layer)
-    partition, rows = PARTITION[layer], recent_days(lake, layer, as_of)
-    plan = planned_files(rows, partition, target_bytes, needed_only=False)
+    """Rewrite the recent days sorted by ``sort_by``, so that filters on it skip files.
+
+    A sorted day carries a mark with its number of files. Rows added since change that number,
+    and replacing the day removes the mark; days whose mark fits are left alone.
+    """
+    lake.finish(layer)
+    sizes = recent_files(lake, layer, as_of)
+    plan = [
+        (day, files_needed(held, target_bytes))
+        for day, held in sorted(sizes.items())
+        if not lake.marked(layer, day, mark(sort_by, len(held)))
+    ]
     if not plan:
         return None
-    order = [F.asc_nulls_last(sort_by), F.asc(ROW_KEY[layer])]
-
-    def place(staged: DataFrame) -> DataFrame:
-        return place_sorted_files(staged, plan, partition, order)
-
-    return lake.rewrite_days(layer, rows, place, now)
+    order = [sort_by, ROW_KEY[layer]]
+    records = 0
+    # Days of as many files are rewritten together, since the mark names their number.
+    with scratch(lake.spark, "sorting") as folder:
+        for wanted in sorted({files for _, files in plan}):
+            part = [(day, files) for day, files in plan if files == wanted]
+            days = [day for day, _ in part]
+            rows = lake.read_days(layer, days)
+            placed = place_sorted_files(rows, part, PARTITION[layer], order, f"{folder}/{wanted}")
+            records += lake.replace_days(
+                layer, placed, days, placed=True, mark=mark(sort_by, wanted)
+            )
+    lake.record(layer, "sort", 0, now)
+    return records
+
+
+def mark(sort_by: str, files: int) -> str:
+    return f"_SORTED-{sort_by}-{files}"

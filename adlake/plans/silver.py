@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import SECONDS_PER_DAY, clock
@@ -13,18 +13,25 @@ from adlake.operators.attribution import (
     CLICK_DAYS,
     CONVERSION_DAYS,
     attribute_all,
-    candidate_days,
     candidates,
     describe_batch,
+    first_day,
     match_events,
     silver_rows,
 )
-from adlake.operators.dedup import first_per_key
-from adlake.operators.upsert import apply_updates, insert_absent, pending_updates
-from adlake.schemas import keyed
-from adlake.session import scratch_path
+from adlake.operators.dedup import ARRIVAL_ORDER, first_per_key
+from adlake.operators.upsert import (
+    apply_updates,
+    delete_where,
+    insert_absent,
+    pending_updates,
+    update_where,
+)
+from adlake.schemas import SILVER, keyed, nullable
+from adlake.session import scratch
+from adlake.sources.files import partition_values
 from adlake.sources.raw import read_raw
-from adlake.sources.tables import Lake
+from adlake.sources.tables import Lake, balanced
 
 
 class NothingMatched(RuntimeError):
@@ -58,76 +65,111 @@ def run_incremental(
     now: datetime | None = None,
     require_match: bool = True,
 ) -> None:
-    """Insert the impressions of the run dates, then attribute their clicks and conversions."""
-    lake.recover("silver")
+    """Insert the impressions of the run dates, then attribute their clicks and conversions.
+
+    Whatever an interrupted run left half done is finished first. The summaries of every day
+    the batch concerns are renewed whether or not a row changed, so that a repeated run also
+    repairs those of a run that died after its data was written.
+    """
+    lake.finish_all()
     impressions, clicks, conversions = (
         keyed(read_raw(lake.spark, raw_base, kind, start, end))
         for kind in ("impression", "click", "conversion")
     )
-    insert_impressions(lake, impressions, now)
-    attribute_stored(lake, clicks, conversions, windows, now, require_match)
+    with scratch(lake.spark, "silver-run") as folder:
+        shown, inserted = insert_impressions(lake, impressions, f"{folder}/impressions", now)
+        updates = stage_updates(lake, clicks, conversions, windows, folder, require_match)
+        matched = stored_days(lake, f"{folder}/updates")
+        changed = apply_stored(lake, updates, matched, now)
+        lake.summarize(sorted({*shown, *matched}))
+    lake.record("silver", "incremental", inserted + changed, now)
+
 
+def stored_days(lake: Lake, path: str) -> list[date]:
+    """Days of a staged table, from its folder names."""
+    return [date.fromisoformat(d) for d in partition_values(lake.spark, path, "event_date")]
 
-def insert_impressions(lake: Lake, impressions: DataFrame, now: datetime | None = None):
-    """Stage 1. Ids stored under any date are left alone, so the first stored row wins."""
-    path = scratch_path(lake.spark, "impressions")
-    silver_rows(first_per_key(impressions, ["eid"]), clock(now)).write.parquet(path)
+
+def insert_impressions(
+    lake: Lake, impressions: DataFrame, path: str, now: datetime | None = None
+) -> tuple[list[date], int]:
+    """Stage 1. Ids stored under any date are left alone, so the first stored row wins.
+
+    Returns the days of the batch and the number of rows that were new.
+    """
+    rows = silver_rows(first_per_key(impressions, ["eid"]), clock(now))
+    balanced(rows, "event_date").write.partitionBy("event_date").parquet(path)
+    days = stored_days(lake, path)
+    if not days:
+        return [], 0
     # Read again below; the kept copy spares further deduplications.
-    staged = lake.spark.read.parquet(path)
-    batch = staged.agg(
-        F.min("event_id").alias("first"),
-        F.max("event_id").alias("last"),
-        F.collect_set("event_date").alias("days"),
-    ).first()
+    staged = lake.spark.read.schema(nullable(SILVER)).parquet(path)
+    ends = staged.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).first()
     # Every date may hold an id, but the range lets the scan skip row groups of other ids.
-    known = lake.read("silver").where(F.col("event_id").between(batch["first"], batch["last"]))
-    fresh = insert_absent(known, staged, "event_id")
-    return lake.append("silver", fresh, now, among=batch["days"])
+    known = lake.read("silver").where(F.col("event_id").between(ends["first"], ends["last"]))
+    return days, lake.append("silver", insert_absent(known, staged, "event_id"))
 
 
-def attribute_stored(
+def stage_updates(
     lake: Lake,
     clicks: DataFrame,
     conversions: DataFrame,
-    windows: Windows = Windows(),
-    now: datetime | None = None,
-    require_match: bool = True,
-):
-    """Stage 2. Match the batch to stored impressions and rewrite the days it changes.
+    windows: Windows,
+    folder: str,
+    require_match: bool,
+) -> DataFrame:
+    """Stage 2. One row per stored impression the batch matches, written by its day.
 
-    Clicks and conversions are applied together, so a day is rewritten once. Days without a
-    new attribution are not rewritten at all, and a repeated run rewrites none. With
-    ``require_match`` a batch that matches nothing fails before anything is written.
+    With ``require_match`` a batch that matches nothing fails before anything is changed.
     """
-    click_matches, conversion_matches = (
-        match_events(events, reachable(lake, events, window), window)
-        for events, window in ((clicks, windows.click), (conversions, windows.conversion))
-    )
-    path = scratch_path(lake.spark, "matches")
-    pending_updates(click_matches, conversion_matches).write.parquet(path)
-    updates = lake.spark.read.parquet(path)
-
-    found = updates.agg(
-        F.count_if(F.col("new_click") == 1).alias("click"),
-        F.count("new_conversion_timestamp").alias("conversion"),
-        F.collect_set(F.when(F.col("changes"), F.col("event_date"))).alias("days"),
-    ).first()
+    arrived, matches = {}, {}
+    for kind, events, window in (
+        ("click", clicks, windows.click),
+        ("conversion", conversions, windows.conversion),
+    ):
+        path = f"{folder}/{kind}s"
+        first_per_key(events, ["eid"]).select("eid", "timestamp", *ARRIVAL_ORDER).write.parquet(path)
+        arrived[kind] = lake.spark.read.parquet(path)
+        matches[kind] = match_events(arrived[kind], reachable(lake, arrived[kind], window), window)
+    path = f"{folder}/updates"
+    updates = pending_updates(matches["click"], matches["conversion"])
+    balanced(updates, "event_date").write.partitionBy("event_date").parquet(path)
+    staged = lake.spark.read.schema(updates.schema).parquet(path)
     if require_match:
-        require_matches("click", clicks, found["click"])
-        require_matches("conversion", conversions, found["conversion"])
-    if not found["days"]:
-        return None
-    touched = lake.read_days("silver", found["days"])
+        found = staged.agg(
+            F.count_if(F.col("new_click") == 1).alias("click"),
+            F.count("new_conversion_timestamp").alias("conversion"),
+        ).first()
+        for kind in arrived:
+            require_matches(kind, arrived[kind], found[kind])
+    return staged
+
+
+def apply_stored(
+    lake: Lake, updates: DataFrame, matched: list[date], now: datetime | None = None
+) -> int:
+    """Rewrite the days on which an update changes a row; returns the number of changes.
+
+    Clicks and conversions are applied together, so a day is rewritten once; a repeated run
+    rewrites none.
+    """
+    if not matched:
+        return 0
     changes = updates.where(F.col("changes"))
-    return lake.overwrite_days("silver", apply_updates(touched, changes, clock(now)), now)
+    # At most one row per day the table holds.
+    counts = {r["event_date"]: r["count"] for r in changes.groupBy("event_date").count().collect()}
+    if counts:
+        touched = lake.read_days("silver", sorted(counts))
+        lake.replace_days("silver", apply_updates(touched, changes, clock(now)), sorted(counts))
+    return sum(counts.values())
 
 
 def reachable(lake: Lake, events: DataFrame, window: int) -> DataFrame:
     """The stored impressions a batch can match, of the days and ids it can concern."""
     batch = describe_batch(events)
-    days = candidate_days(batch, window)
-    stored = lake.read("silver") if days is None else lake.read_days("silver", days)
-    return stored.where(candidates(batch, window))
+    first = first_day(batch, window)
+    days = [] if first is None else [day for day in lake.days("silver") if day >= first]
+    return lake.read_days("silver", days).where(candidates(batch, window))
 
 
 def require_matches(event_type: str, events: DataFrame, matched: int) -> None:
@@ -175,5 +217,43 @@ def run_full_refresh(
     end: date | str,
     windows: Windows = Windows(),
     now: datetime | None = None,
-):
-    return lake.replace("silver", refreshed(lake.spark, raw_base, start, end, windows, now), now)
+) -> None:
+    """Replace the whole table; days the range does not bring are dropped."""
+    lake.finish_all()
+    before = lake.days("silver")
+    rows = refreshed(lake.spark, raw_base, start, end, windows, now)
+    records = lake.replace_days("silver", rows, None)
+    lake.summarize(sorted({*before, *lake.days("silver")}))
+    lake.record("silver", "refresh", records, now)
+
+
+def update_stored(
+    lake: Lake,
+    predicate: Column,
+    assignments: dict[str, Column],
+    days: list[date] | None = None,
+    now: datetime | None = None,
+) -> None:
+    """``UPDATE`` on the stored table, in the given days or all that hold such rows."""
+    rewrite(lake, predicate, lambda rows: update_where(rows, predicate, assignments), days, now)
+
+
+def delete_stored(
+    lake: Lake, predicate: Column, days: list[date] | None = None, now: datetime | None = None
+) -> None:
+    """``DELETE`` on the stored table; a day whose last row goes is gone with it."""
+    rewrite(lake, predicate, lambda rows: delete_where(rows, predicate), days, now)
+
+
+def rewrite(lake: Lake, predicate: Column, change, days, now) -> None:
+    lake.finish_all()
+    rows = lake.read("silver") if days is None else lake.read_days("silver", days)
+    # At most one row per day the table holds.
+    hit = rows.where(predicate).groupBy("event_date").count().collect()
+    touched = sorted(row["event_date"] for row in hit)
+    if touched:
+        changed = change(lake.read_days("silver", touched))
+        changed = changed.withColumn("updated_at", clock(now))
+        lake.replace_days("silver", changed, touched)
+        lake.summarize(touched)
+    lake.record("silver", "rewrite", sum(row["count"] for row in hit), now)

@@ -8,147 +8,139 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
 
 EVENT_TYPES = ("impression", "click", "conversion")
 
-# Type names as in SQL; a trailing "!" means NOT NULL.
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _contract(**columns: str) -> T.StructType:
-    """A schema from ``name="type"`` or ``name="type! comment"``."""
-    fields = []
-    for name, text in columns.items():
-        kind, _, comment = text.partition(" ")
-        metadata = {"comment": comment} if comment else None
-        fields.append(
-            T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!"), metadata)
-        )
-    return T.StructType(fields)
-
-
-_EVENT = dict(
-    eid="string!",
-    uid="string!",
-    timestamp="bigint!",
-    event_time="string",
-    event_type="string!",
-    campaign="int",
-)
-
-_ARRIVAL = dict(
-    kafka_partition="int",
-    kafka_offset="bigint",
-    kafka_timestamp="timestamp",
-    ingest_ts="timestamp",
-    raw_date="date",
-    raw_hour="int",
-)
+TEXT, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
+DATE, TIMESTAMP = T.DateType(), T.TimestampType()
+
+EVENT = [
+    StructField("eid", TEXT, False),
+    StructField("uid", TEXT, False),
+    StructField("timestamp", BIGINT, False),
+    StructField("event_time", TEXT, True),
+    StructField("event_type", TEXT, False),
+    StructField("campaign", INT, True),
+]
+
+COST = StructField("cost", DOUBLE, True)
+
+ARRIVAL = [
+    StructField("kafka_partition", INT, True),
+    StructField("kafka_offset", BIGINT, True),
+    StructField("kafka_timestamp", TIMESTAMP, True),
+    StructField("ingest_ts", TIMESTAMP, True),
+    StructField("raw_date", DATE, True),
+    StructField("raw_hour", INT, True),
+]
 
 # JSON payload of one topic message; only impressions carry a cost.
 PAYLOADS = {
-    "impression": _contract(**_EVENT, cost="double"),
-    "click": _contract(**_EVENT),
-    "conversion": _contract(**_EVENT),
+    "impression": StructType([*EVENT, COST]),
+    "click": StructType(EVENT),
+    "conversion": StructType(EVENT),
 }
 
 # Raw layer: payload plus arrival metadata.
 RAW = {
-    "impression": _contract(**_EVENT, cost="double", **_ARRIVAL),
-    "click": _contract(**_EVENT, **_ARRIVAL),
-    "conversion": _contract(**_EVENT, **_ARRIVAL),
+    "impression": StructType([*EVENT, COST, *ARRIVAL]),
+    "click": StructType([*EVENT, *ARRIVAL]),
+    "conversion": StructType([*EVENT, *ARRIVAL]),
 }
 
-SILVER = _contract(
-    event_id="string! impression id shared by all three event types",
-    event_date="date! UTC day of the impression; partition column",
-    event_hour="int UTC hour of the impression",
-    event_time="timestamp instant of the impression",
-    uid="string! user",
-    campaign="int campaign",
-    click="int 1 when a click is attributed, else 0",
-    conversion="int 1 when a conversion is attributed, else 0",
-    conversion_timestamp="bigint unix seconds; -1 without a conversion",
-    conversion_delay_sec="bigint seconds from impression to conversion; -1 without one",
-    cost="double cost of the impression",
-    producer_to_broker_sec="bigint broker time minus event time",
-    broker_to_ingest_sec="bigint ingest time minus broker time",
-    end_to_end_latency_sec="bigint ingest time minus event time",
-    updated_at="timestamp time of the last write to the row",
+SILVER = StructType(
+    [
+        StructField("event_id", TEXT, False, {"comment": "impression id shared by all three event types"}),
+        StructField("event_date", DATE, False, {"comment": "UTC day of the impression; partition column"}),
+        StructField("event_hour", INT, True, {"comment": "UTC hour of the impression"}),
+        StructField("event_time", TIMESTAMP, True, {"comment": "instant of the impression"}),
+        StructField("uid", TEXT, False, {"comment": "user"}),
+        StructField("campaign", INT, True, {"comment": "campaign"}),
+        StructField("click", INT, True, {"comment": "1 when a click is attributed, else 0"}),
+        StructField("conversion", INT, True, {"comment": "1 when a conversion is attributed, else 0"}),
+        StructField("conversion_timestamp", BIGINT, True, {"comment": "unix seconds; -1 without a conversion"}),
+        StructField("conversion_delay_sec", BIGINT, True, {"comment": "seconds from impression to conversion; -1 without one"}),
+        StructField("cost", DOUBLE, True, {"comment": "cost of the impression"}),
+        StructField("producer_to_broker_sec", BIGINT, True, {"comment": "broker time minus event time"}),
+        StructField("broker_to_ingest_sec", BIGINT, True, {"comment": "ingest time minus broker time"}),
+        StructField("end_to_end_latency_sec", BIGINT, True, {"comment": "ingest time minus event time"}),
+        StructField("updated_at", TIMESTAMP, True, {"comment": "time of the last write to the row"}),
+    ]
 )
 
-GOLD = _contract(
-    summary_date="date! day of the impressions; partition column",
-    campaign="int! campaign",
-    impressions="bigint rows",
-    clicks="bigint attributed clicks",
-    conversions="bigint attributed conversions",
-    unique_users="bigint distinct users",
-    converting_users="bigint distinct users with a conversion",
-    total_cost="double summed cost",
-    ctr="double clicks per 100 impressions",
-    cvr="double conversions per 100 clicks; NULL without clicks",
-    cpc="double cost per click; NULL without clicks",
-    cpa="double cost per conversion; NULL without conversions",
-    cpm="double cost per 1000 impressions",
-    click_through_conversions="bigint conversions of clicked impressions",
-    view_through_conversions="bigint conversions of impressions not clicked",
-    avg_conversion_delay_sec="double mean delay of attributed conversions",
-    frequency="double impressions per user",
-    updated_at="timestamp time of the write",
+GOLD = StructType(
+    [
+        StructField("summary_date", DATE, False, {"comment": "day of the impressions; partition column"}),
+        StructField("campaign", INT, False, {"comment": "campaign"}),
+        StructField("impressions", BIGINT, True, {"comment": "rows"}),
+        StructField("clicks", BIGINT, True, {"comment": "attributed clicks"}),
+        StructField("conversions", BIGINT, True, {"comment": "attributed conversions"}),
+        StructField("unique_users", BIGINT, True, {"comment": "distinct users"}),
+        StructField("converting_users", BIGINT, True, {"comment": "distinct users with a conversion"}),
+        StructField("total_cost", DOUBLE, True, {"comment": "summed cost"}),
+        StructField("ctr", DOUBLE, True, {"comment": "clicks per 100 impressions"}),
+        StructField("cvr", DOUBLE, True, {"comment": "conversions per 100 clicks; NULL without clicks"}),
+        StructField("cpc", DOUBLE, True, {"comment": "cost per click; NULL without clicks"}),
+        StructField("cpa", DOUBLE, True, {"comment": "cost per conversion; NULL without conversions"}),
+        StructField("cpm", DOUBLE, True, {"comment": "cost per 1000 impressions"}),
+        StructField("click_through_conversions", BIGINT, True, {"comment": "conversions of clicked impressions"}),
+        StructField("view_through_conversions", BIGINT, True, {"comment": "conversions of impressions not clicked"}),
+        StructField("avg_conversion_delay_sec", DOUBLE, True, {"comment": "mean delay of attributed conversions"}),
+        StructField("frequency", DOUBLE, True, {"comment": "impressions per user"}),
+        StructField("updated_at", TIMESTAMP, True, {"comment": "time of the write"}),
+    ]
 )
 
-COMMIT_LOG = _contract(
-    layer="string!",
-    commit_id="bigint!",
-    parent_id="bigint",
-    committed_at="timestamp!",
-    operation="string!",
-    added_records="bigint",
-    deleted_records="bigint",
-    total_records="bigint",
-    added_files="bigint",
-    deleted_files="bigint",
-    location="string",
+RUN_LOG = StructType(
+    [
+        StructField("layer", TEXT, False),
+        StructField("commit_id", BIGINT, False, {"comment": "number of the run within its layer"}),
+        StructField("parent_id", BIGINT, True, {"comment": "number of the run before"}),
+        StructField("committed_at", TIMESTAMP, False, {"comment": "time of the run"}),
+        StructField("operation", TEXT, False),
+        StructField("records", BIGINT, True, {"comment": "rows added or changed"}),
+        StructField("month", DATE, False, {"comment": "first day of the month; partition column"}),
+    ]
 )
 
-DAY_SUMMARY = _contract(
-    event_date="date",
-    row_count="bigint",
-    clicks="bigint",
-    conversions="bigint",
-    last_update="timestamp",
+DAY_SUMMARY = StructType(
+    [
+        StructField("event_date", DATE, True),
+        StructField("row_count", BIGINT, True),
+        StructField("clicks", BIGINT, True),
+        StructField("conversions", BIGINT, True),
+        StructField("last_update", TIMESTAMP, True),
+    ]
 )
 
 # One JSON line per message in the file form of a topic.
-TOPIC_FILE = _contract(value="string", partition="int", offset="bigint", timestamp="timestamp")
+TOPIC_FILE = StructType(
+    [
+        StructField("value", TEXT, True),
+        StructField("partition", INT, True),
+        StructField("offset", BIGINT, True),
+        StructField("timestamp", TIMESTAMP, True),
+    ]
+)
 
 # Wide attribution row: an impression with its click and conversion on one line.
-WIDE = _contract(
-    timestamp="bigint",
-    uid="string",
-    campaign="int",
-    click="int",
-    conversion="int",
-    conversion_id="bigint",
-    conversion_timestamp="bigint",
-    cost="double",
+WIDE = StructType(
+    [
+        StructField("timestamp", BIGINT, True),
+        StructField("uid", TEXT, True),
+        StructField("campaign", INT, True),
+        StructField("click", INT, True),
+        StructField("conversion", INT, True),
+        StructField("conversion_id", BIGINT, True),
+        StructField("conversion_timestamp", BIGINT, True),
+        StructField("cost", DOUBLE, True),
+    ]
 )
 
 REQUIRED_EVENT_COLUMNS = ("eid", "uid", "timestamp")
 
 
-def required_columns(schema: T.StructType) -> list[str]:
-    return [field.name for field in schema if not field.nullable]
-
-
 def all_present(columns) -> Column:
     return reduce(and_, (F.col(name).isNotNull() for name in columns))
 
@@ -184,11 +176,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(checked(field) for field in schema))
 
 
-def violations(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows that break the contract's NOT NULL columns."""
-    return df.where(~all_present(required_columns(schema)))
-
-
 def nullable(schema: T.StructType) -> T.StructType:
     """The schema for reading: a file may break the contract, and a declared NOT NULL would
     make Spark skip the very tests that find such rows."""

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+from adlake.sources import files
+
 # Settings the results depend on: dates are derived from UTC instants. ANSI stays on.
 RESULT_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
@@ -60,6 +64,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch path whose content is deleted at the end, also after a failure."""
+    path = scratch_path(spark, purpose)
+    try:
+        yield path
+    finally:
+        files.delete(spark, path)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing exists there yet."""
     return f"{scratch_root(spark)}/adlake/{purpose}-{uuid.uuid4().hex}"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlake import schemas
+
 from adlake.functions.columns import instant, iso_utc
 from adlake.schemas import RAW, WIDE
 
@@ -111,3 +113,8 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("event_id", *WIDE.names)
     )
+
+
+def no_events(spark: SparkSession) -> DataFrame:
+    """An empty batch of clicks."""
+    return schemas.empty(spark, schemas.RAW["click"])

@@ -5,11 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from adlake.functions.columns import day
 from adlake.schemas import RAW
-from adlake.sources.tables import balanced, read_or_empty
+from adlake.sources import files
+from adlake.sources.tables import balanced, read_folders
 
 
 def raw_path(base: str, event_type: str) -> str:
@@ -21,30 +20,17 @@ def read_raw(
 ) -> DataFrame:
     """Raw events of one type ingested from ``start`` to ``end``, both included.
 
-    The filter names the partition column and literals only, so other days are not listed.
+    The days' folders are named to the reader, so files of other days are never listed.
     """
-    raw = read_or_empty(spark, raw_path(base, event_type), RAW[event_type])
-    return raw.where(F.col("raw_date").between(day(start), day(end)))
+    root, first, last = raw_path(base, event_type), str(start), str(end)
+    held = [d for d in files.partition_values(spark, root, "raw_date") if first <= d <= last]
+    return read_folders(spark, root, "raw_date", held, RAW[event_type])
 
 
-def arrived(raw: DataFrame) -> DataFrame:
-    """One row when anything arrived, else none. Stops at the first row found."""
-    return raw.limit(1).select("raw_date")
-
-
-def append_raw(
-    events: DataFrame, base: str, event_type: str, tasks: int | None = None
-) -> None:
-    """Add decoded events to the raw layer, partitioned by arrival.
-
-    By default AQE sizes the write. ``tasks`` sets its parallelism instead, for small inputs
-    spread over many hours, where opening files is the work. Either way an hour with a large
-    share of the rows is cut into several tasks.
-    """
+def append_raw(events: DataFrame, base: str, event_type: str) -> None:
+    """Add decoded events to the raw layer, partitioned by arrival; AQE sizes the write, and an
+    hour with a large share of the rows is cut into several tasks."""
     rows = events.select(*RAW[event_type].names)
     hours = ("raw_date", "raw_hour")
-    if tasks:
-        placed = rows.repartitionByRange(tasks, *hours, "kafka_partition", "kafka_offset")
-    else:
-        placed = balanced(rows, *hours)
+    placed = balanced(rows, *hours)
     placed.write.mode("append").partitionBy(*hours).parquet(raw_path(base, event_type))

@@ -1,44 +1,57 @@
-"""Partitioned Parquet tables with a commit log.
+"""Partitioned Parquet tables of the lake, their day summaries and the run log.
 
-Parquet tables have no ``MERGE``. A change to stored rows is staged in full, as a new copy of
-the partitions it touches, moved over the table with dynamic partition overwrite, and then
-logged. Before the first old file goes, a pending entry names the staged copy: a run that dies
-half way is completed from it by :meth:`Lake.recover`. The log row comes last, and a write
-without one is simply repeated.
+A change to stored rows replaces whole days. The new days are staged in full; once a marker
+says they are complete, each day's folder is swapped for the staged one by a rename. A run that
+dies before the marker leaves the table as it was, and one that dies after it is completed by
+:meth:`Lake.finish`. Staged files are gone when the change is. Readers meanwhile see some days
+old and some new. One run writes a lake at a time.
 """
 
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake import schemas
-from adlake.functions.columns import as_utc
+from adlake.functions.columns import as_utc, column
 from adlake.operators.changes import day_summaries
-from adlake.operators.maintain import file_inventory
-
-PARTITION = {"silver": "event_date", "gold": "summary_date"}
-SCHEMA = {"silver": schemas.SILVER, "gold": schemas.GOLD}
-PENDING = T.StructType([*schemas.COMMIT_LOG, T.StructField("staged", T.StringType())])
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+from adlake.sources import files
+
+TABLES = {
+    "silver": ("event_date", schemas.SILVER),
+    "gold": ("summary_date", schemas.GOLD),
+    # What is known about every day of the row-level table, and what the KPI table was made of.
+    "silver_days": ("event_date", schemas.DAY_SUMMARY),
+    "gold_days": ("event_date", schemas.DAY_SUMMARY),
+    # One file per month, so the log stays small.
+    "run_log": ("month", schemas.RUN_LOG),
+}
+PARTITION = {name: partition for name, (partition, _) in TABLES.items()}
+VIEWS = ("silver", "gold", "silver_days", "run_log")
+READY = "_READY"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet folder under its declared schema; no rows where nothing was written yet."""
-    if not exists(spark, path):
+    if not files.exists(spark, path):
         return schemas.empty(spark, schemas.nullable(schema))
     return spark.read.schema(schemas.nullable(schema)).parquet(path)
 
 
+def read_folders(
+    spark: SparkSession, root: str, partition: str, values: list[str], schema: T.StructType
+) -> DataFrame:
+    """The given partition values of a table. Folders of other values are not listed."""
+    if not values:
+        return schemas.empty(spark, schemas.nullable(schema))
+    folders = [f"{root}/{partition}={value}" for value in values]
+    reader = spark.read.schema(schemas.nullable(schema)).option("basePath", root)
+    return reader.parquet(*folders)
+
+
 def balanced(df: DataFrame, *partition: str) -> DataFrame:
     """Rows placed for a partitioned write.
 
@@ -49,236 +62,155 @@ def balanced(df: DataFrame, *partition: str) -> DataFrame:
     return df.hint("rebalance", *partition)
 
 
-def write_days(df: DataFrame, path: str, partition: str, mode: str) -> tuple[int, list[date]]:
-    """Write by day; returns the rows written and their days, counted by the same pass."""
-    counted = Observation()
-    (
-        df.observe(
-            counted,
-            F.count(F.lit(1)).alias("rows"),
-            F.collect_set(partition).alias("days"),
-        )
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return counted.get["rows"], sorted(counted.get["days"])
+def between_times(df: DataFrame, time: str, partition: str, start, end) -> DataFrame:
+    """Rows with ``start <= time < end`` of a table stored by the day of ``time``.
 
+    The days are stated as well, so that folders outside them are not read.
+    """
+    first, last = (F.lit(str(value)).cast("timestamp") for value in (start, end))
+    inside = (column(time) >= first) & (column(time) < last)
+    return df.where(inside & F.col(partition).between(F.to_date(first), F.to_date(last)))
 
-@dataclass(frozen=True)
-class Lake:
-    """Row-level and KPI tables below one root, with their commit log.
 
-    One run writes at a time. The last commit of each layer is remembered, so open a new
-    object to see what other runs wrote since.
-    """
+class Lake:
+    """Row-level and KPI tables below one root, with summaries and the run log."""
 
-    spark: SparkSession
-    root: str
-    _last: dict = field(default_factory=dict, repr=False, compare=False)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
 
-    def log(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/commit_log", schemas.COMMIT_LOG)
+    def location(self, layer: str) -> str:
+        return f"{self.root}/{layer}"
 
-    def last_commit(self, layer: str) -> dict | None:
-        if layer not in self._last:
-            commits = self.log().where(F.col("layer") == layer)
-            row = commits.orderBy(F.desc("commit_id")).first()
-            self._last[layer] = row.asDict() if row else None
-        return self._last[layer]
+    def days(self, layer: str) -> list[date]:
+        """The days a layer holds, from its folder names."""
+        values = files.partition_values(self.spark, self.location(layer), PARTITION[layer])
+        return [date.fromisoformat(value) for value in values]
 
     def read(self, layer: str) -> DataFrame:
-        return self._at(layer, self._location(layer, self.last_commit(layer)))
+        return self._at(layer, self.location(layer), None)
 
     def read_days(self, layer: str, days: list[date]) -> DataFrame:
-        """The given days only. Other days' folders are not even listed."""
-        return self._at(layer, self._location(layer, self.last_commit(layer)), days)
-
-    def location(self, layer: str) -> str:
-        """Folder that currently holds the layer."""
-        return self._location(layer, self.last_commit(layer))
-
-    def append(
+        """The given days only, as far as they exist."""
+        wanted = set(days)
+        held = [day for day in self.days(layer) if day in wanted]
+        return self._at(layer, self.location(layer), held)
+
+    def register_views(self) -> None:
+        """Make the tables known to SQL under their names."""
+        for layer in VIEWS:
+            self.read(layer).createOrReplaceTempView(layer)
+
+    def append(self, layer: str, rows: DataFrame) -> int:
+        """Add rows; existing files stay as they are. Returns how many rows there were."""
+        partition, schema = TABLES[layer]
+        placed = balanced(schemas.conform(rows, schema), partition)
+        return self._write(placed, layer, self.location(layer), "append")
+
+    def replace_days(
         self,
         layer: str,
         rows: DataFrame,
-        now: datetime | None = None,
-        among: list[date] | None = None,
+        days: list[date] | None,
+        placed: bool = False,
+        mark: str | None = None,
     ) -> int:
-        """Add rows; existing files stay as they are.
+        """Make ``rows`` the content of the given days; days without rows become empty.
 
-        ``among`` names the days the rows can belong to, so that only those are listed.
-        """
-        last, partition = self.last_commit(layer), PARTITION[layer]
-        location = self._location(layer, last)
-        entry = self._entry(layer, "append", location, last, now)
-        old_files, _ = self._size_of(layer, location, among)
-        placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
-        entry["added_records"], days = write_days(placed, location, partition, "append")
-        entry["added_files"] = self._size_of(layer, location, among)[0] - old_files
-        return self._commit(entry, days)
-
-    def overwrite_days(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int | None:
-        """Replace every day that occurs in ``rows`` by the rows given for it.
-
-        ``rows`` may read the table itself: it is staged in full before a file is replaced.
-        """
-        path = self._staging(layer)
-        placed = balanced(schemas.conform(rows, SCHEMA[layer]), PARTITION[layer])
-        added, days = write_days(placed, path, PARTITION[layer], "overwrite")
-        if not days:
-            return None
-        # Staged files already have their final size; publishing them needs no shuffle.
-        return self._publish(self._intend(layer, "overwrite", path, added, days, now))
-
-    def rewrite_days(self, layer: str, rows: DataFrame, place, now: datetime | None = None) -> int:
-        """Write whole days of the table again in another file layout.
-
-        ``place`` arranges the rows for writing. It works on the staged copy, so the layout
-        it makes goes straight into the table.
-        """
-        path = self._staging(layer)
-        copied, days = write_days(rows, path, PARTITION[layer], "overwrite")
-        return self._publish(self._intend(layer, "rewrite", path, copied, days, now), place)
-
-    def recover(self, layer: str) -> int | None:
-        """Complete a change that was interrupted while it replaced files."""
-        last = self.last_commit(layer)
-        pending = read_or_empty(self.spark, f"{self.root}/pending", PENDING)
-        unfinished = pending.where(
-            (F.col("layer") == layer) & (F.col("commit_id") > (last["commit_id"] if last else 0))
-        ).first()
-        return self._publish(unfinished.asDict()) if unfinished else None
-
-    def replace(self, layer: str, rows: DataFrame, now: datetime | None = None) -> int:
-        """Replace the whole table.
-
-        The new copy is written beside the old one and becomes current with its log row, so
-        readers see one or the other and data is written once.
+        Without ``days``, all days of the table are replaced. ``rows`` may read the table: it
+        is staged in full before a file goes. ``placed`` rows keep their arrangement. ``mark``
+        names an empty file left in each day that has rows.
         """
-        last, partition = self.last_commit(layer), PARTITION[layer]
-        # A fresh name each time: a repeated run never meets the files of a broken one.
-        entry = self._entry(layer, "replace", f"{self.root}/{layer}/{uuid.uuid4().hex}", last, now)
-        if last:
-            old = self._size_of(layer, last["location"])
-            entry["deleted_files"], entry["deleted_records"] = old
-        placed = balanced(schemas.conform(rows, SCHEMA[layer]), partition)
-        entry["added_records"], days = write_days(placed, entry["location"], partition, "overwrite")
-        entry["added_files"], _ = self._size_of(layer, entry["location"])
-        return self._commit(entry, days)
-
-    def summaries_at(self, commit_id: int | None) -> DataFrame:
-        """Per-day summaries of the row-level table as of a commit, without scanning it.
-
-        A replacing commit starts afresh, so days it dropped do not linger.
-        """
-        kept = T.StructType([T.StructField("commit_id", T.LongType()), *schemas.DAY_SUMMARY])
-        upto = F.col("commit_id") <= (commit_id or 0)
-        base = (
-            self.log()
-            .where(upto & (F.col("layer") == "silver") & (F.col("operation") == "replace"))
-            .agg(F.coalesce(F.max("commit_id"), F.lit(0)))
-            .first()[0]
-        )
-        latest = Window.partitionBy("event_date").orderBy(F.desc("commit_id"))
-        return (
-            read_or_empty(self.spark, f"{self.root}/silver_days", kept)
-            .where(upto & (F.col("commit_id") >= base))
-            .withColumn("_recency", F.row_number().over(latest))
-            .where("_recency = 1")
-            .select(*schemas.DAY_SUMMARY.names)
-        )
+        partition, schema = TABLES[layer]
+        staged = f"{self.root}/staged/{layer}"
+        files.delete(self.spark, staged)
+        if not placed:
+            rows = balanced(schemas.conform(rows, schema), partition)
+        count = self._write(rows, layer, staged, "overwrite")
+        found = {date.fromisoformat(v) for v in files.partition_values(self.spark, staged, partition)}
+        if mark:
+            for day in found:
+                files.touch(self.spark, f"{staged}/{partition}={day}/{mark}")
+        wanted = set(self.days(layer)) if days is None else set(days)
+        if days is not None and not found <= wanted:
+            raise ValueError(f"{layer}: rows of days that are not replaced: {sorted(found - wanted)}")
+        for day in wanted - found:
+            files.make_folder(self.spark, f"{staged}/{partition}={day}")
+        files.touch(self.spark, f"{staged}/{READY}")
+        self.finish(layer)
+        return count
+
+    def finish(self, layer: str) -> bool:
+        """Complete a change that was interrupted after it was staged; drop one that was not."""
+        staged, partition = f"{self.root}/staged/{layer}", PARTITION[layer]
+        ready = files.exists(self.spark, f"{staged}/{READY}")
+        for value in files.partition_values(self.spark, staged, partition) if ready else ():
+            self._swap(f"{staged}/{partition}={value}", f"{self.location(layer)}/{partition}={value}")
+        files.delete(self.spark, staged)
+        return ready
+
+    def finish_all(self) -> None:
+        for layer in TABLES:
+            self.finish(layer)
+
+    def summarize(self, days: list[date]) -> None:
+        """Bring the summaries of the given days of the row-level table up to date."""
+        touched = self.read_days("silver", days)
+        self.replace_days("silver_days", day_summaries(touched), days)
 
-    def _location(self, layer: str, last) -> str:
-        return last["location"] if last else f"{self.root}/{layer}/data"
-
-    def _folders(self, layer: str, location: str, days: list[date] | None) -> list[str]:
-        folders = [location]
-        if days is not None:
-            folders = [f"{location}/{PARTITION[layer]}={day}" for day in sorted(days)]
-        return [folder for folder in folders if exists(self.spark, folder)]
-
-    def _at(self, layer: str, location: str, days: list[date] | None = None) -> DataFrame:
-        schema = schemas.nullable(SCHEMA[layer])
-        folders = self._folders(layer, location, days)
-        if not folders:
-            return schemas.empty(self.spark, schema)
-        return self.spark.read.schema(schema).option("basePath", location).parquet(*folders)
-
-    def _size_of(
-        self, layer: str, location: str, days: list[date] | None = None
-    ) -> tuple[int, int]:
-        """Files and rows of the given days, or of all, from file metadata."""
-        if not self._folders(layer, location, days):
-            return 0, 0
-        sizes = file_inventory(self._at(layer, location, days), PARTITION[layer])
-        total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("record_count"), F.lit(0))).first()
-        return total[0], total[1]
-
-    def _staging(self, layer: str) -> str:
-        # Beside the tables, not in scratch space, as a pending change must outlive the run.
-        return f"{self.root}/staged/{layer}-{uuid.uuid4().hex}"
-
-    def _intend(self, layer, operation, staged, added, days, now) -> dict:
-        """Record what is about to replace which rows; returns the entry."""
-        last = self.last_commit(layer)
-        location = self._location(layer, last)
-        old_files, old_rows = self._size_of(layer, location, days) if last else (0, 0)
-        entry = {
-            **self._entry(layer, operation, location, last, now),
-            "added_records": added,
-            "deleted_records": old_rows,
-            "deleted_files": old_files,
-            "staged": staged,
-        }
-        self._save(entry, PENDING, "pending")
-        return entry
-
-    def _publish(self, entry: dict, place=None) -> int:
-        """Move staged days over the table and log the change. May be repeated."""
-        layer, location = entry["layer"], entry["location"]
-        staged = self._at(layer, entry["staged"])
-        rows, days = write_days(
-            place(staged) if place else staged, location, PARTITION[layer], "overwrite"
-        )
-        if rows != entry["added_records"]:
-            raise RuntimeError(f"{layer}: wrote {rows} rows of {entry['added_records']}")
-        entry["added_files"], _ = self._size_of(layer, location, days)
-        return self._commit(entry, days)
-
-    def _entry(self, layer, operation, location, last, now) -> dict:
-        return {
+    def log(self) -> DataFrame:
+        return self.read("run_log").drop("month")
+
+    def last_run(self, layer: str) -> dict | None:
+        row = self.log().where(F.col("layer") == layer).orderBy(F.desc("commit_id")).first()
+        return row.asDict() if row else None
+
+    def record(self, layer: str, operation: str, records: int, now: datetime | None) -> int:
+        """Log a finished run, also one that changed nothing. Returns its number."""
+        last, at = self.last_run(layer), as_utc(now or datetime.now(timezone.utc))
+        number = (last["commit_id"] if last else 0) + 1
+        month = at.astimezone(timezone.utc).date().replace(day=1)
+        values = {
             "layer": layer,
-            "commit_id": (last["commit_id"] if last else 0) + 1,
+            "commit_id": number,
             "parent_id": last["commit_id"] if last else None,
-            "committed_at": as_utc(now or datetime.now(timezone.utc)),
+            "committed_at": at,
             "operation": operation,
-            "added_records": 0,
-            "deleted_records": 0,
-            "total_records": last["total_records"] if last else 0,
-            "added_files": 0,
-            "deleted_files": 0,
-            "location": location,
+            "records": records,
+            "month": month,
         }
-
-    def _commit(self, entry: dict, days: list[date]) -> int:
-        """Keep the summaries of the touched days, then add the log row."""
-        number = entry["commit_id"]
-        if entry["layer"] == "silver" and days:
-            touched = self._at("silver", entry["location"], days)
-            summaries = day_summaries(touched).select(
-                F.lit(number).cast("bigint").alias("commit_id"), "*"
-            )
-            summaries.coalesce(1).write.mode("append").parquet(f"{self.root}/silver_days")
-        total = entry["total_records"] + entry["added_records"] - entry["deleted_records"]
-        logged = {**entry, "total_records": total}
-        self._save(logged, schemas.COMMIT_LOG, "commit_log")
-        self._last[entry["layer"]] = logged
+        row = self.spark.range(1).select(
+            *(F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.RUN_LOG)
+        )
+        logged = self.read_days("run_log", [month]).unionByName(row).coalesce(1)
+        self.replace_days("run_log", logged, [month], placed=True)
         return number
 
-    def _save(self, entry: dict, schema: T.StructType, table: str) -> None:
-        row = self.spark.range(1).select(*(F.lit(entry[f.name]).alias(f.name) for f in schema))
-        schemas.conform(row, schema).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/{table}"
-        )
+    def data_files(self, layer: str, days: list[date]) -> list[tuple[date, str, int]]:
+        """(day, file, bytes) of the given days, from listings of their folders."""
+        partition, found = PARTITION[layer], []
+        for day in sorted(set(days) & set(self.days(layer))):
+            folder = f"{self.location(layer)}/{partition}={day}"
+            held = files.children(self.spark, folder)
+            found += [(day, f"{folder}/{name}", size) for name, size, inner in held if not inner]
+        return found
+
+    def marked(self, layer: str, day: date, mark: str) -> bool:
+        folder = f"{self.location(layer)}/{PARTITION[layer]}={day}"
+        return files.exists(self.spark, f"{folder}/{mark}")
+
+    def _at(self, layer: str, location: str, days: list[date] | None) -> DataFrame:
+        partition, schema = TABLES[layer]
+        if days is None:
+            return read_or_empty(self.spark, location, schema)
+        return read_folders(self.spark, location, partition, [str(d) for d in days], schema)
+
+    def _write(self, rows: DataFrame, layer: str, path: str, mode: str) -> int:
+        counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode(mode).partitionBy(PARTITION[layer]).parquet(path)
+        return counted.get["rows"]
+
+    def _swap(self, staged: str, stored: str) -> None:
+        files.delete(self.spark, stored)
+        if files.children(self.spark, staged):
+            files.move(self.spark, staged, stored)

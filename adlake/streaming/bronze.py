@@ -91,5 +91,14 @@ def start_streams(
 
 
 def run_streams(spark: SparkSession, queries: dict[str, StreamingQuery]) -> None:
-    """Block until any query ends; a failed one raises here."""
-    spark.streams.awaitAnyTermination()
+    """Block until any of the queries ends; a failed one raises here. The others are stopped."""
+    try:
+        while all(query.isActive for query in queries.values()):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for query in queries.values():
+            if not query.isActive and query.exception() is not None:
+                raise query.exception()
+    finally:
+        for query in queries.values():
+            query.stop()

@@ -103,12 +103,12 @@ def _gold(name: str, source: str, where: str = "TRUE", places: int = 6) -> str:
          CAST(sum(conversion) AS BIGINT) AS conversions,
          count(DISTINCT uid) AS unique_users,
          count(DISTINCT CASE WHEN conversion = 1 THEN uid END) AS converting_users,
-         round(sum(cost), 6) AS total_cost,
+         SUMMED AS total_cost,
          round(sum(click)::DOUBLE / count(*) * 100, 6) AS ctr,
          round(sum(conversion)::DOUBLE / nullif(sum(click), 0) * 100, 6) AS cvr,
-         round(sum(cost) / nullif(sum(click), 0), 6) AS cpc,
-         round(sum(cost) / nullif(sum(conversion), 0), 6) AS cpa,
-         round(sum(cost) / count(*) * 1000, 6) AS cpm,
+         round(SUMMED / nullif(sum(click), 0), 6) AS cpc,
+         round(SUMMED / nullif(sum(conversion), 0), 6) AS cpa,
+         round(SUMMED / count(*) * 1000, 6) AS cpm,
          count(*) FILTER (click = 1 AND conversion = 1) AS click_through_conversions,
          count(*) FILTER (click = 0 AND conversion = 1) AS view_through_conversions,
          round(avg(conversion_delay_sec) FILTER (conversion_delay_sec >= 0), 6)
@@ -116,7 +116,7 @@ def _gold(name: str, source: str, where: str = "TRUE", places: int = 6) -> str:
          round(count(*)::DOUBLE / count(DISTINCT uid), 6) AS frequency
   FROM {source} WHERE campaign IS NOT NULL AND {where} GROUP BY ALL
 )"""
-    return text.replace(", 6)", f", {places})")
+    return text.replace(", 6)", f", {places})").replace("SUMMED", "round(sum(cost), 6)")
 
 
 def _with(*parts: str) -> str:
@@ -132,8 +132,9 @@ _BOTH = _with(_RAW, _attributed("s"), _attributed("b", _EARLY))
 # stored so far, and the first batch with a conversion in the window wins.
 _WEEKS = """CASE WHEN raw_date <= DATE '2024-01-07' THEN 1 WHEN raw_date <= DATE '2024-01-14' THEN 2
   WHEN raw_date <= DATE '2024-01-21' THEN 3 ELSE 4 END"""
-_DAYS = """CASE WHEN raw_date <= DATE '2024-01-28' THEN 1 WHEN raw_date = DATE '2024-01-29' THEN 2
-  WHEN raw_date = DATE '2024-01-30' THEN 3 END"""
+_DAYS = """least(5, greatest(1, 4 - date_diff('day', raw_date, (
+  SELECT max(CAST(make_timestamp("timestamp" * 1000000) AS DATE))
+  FROM unbatched WHERE event_type = 'impression'))))"""
 
 
 def _incremental(batch: str) -> str:
@@ -178,40 +179,40 @@ FROM imp i JOIN e ON e.eid = i.eid AND e."timestamp" - i."timestamp" BETWEEN 0 A
     )
 
 
-_LOG = (
-    _RAW
-    + """,
-per_type AS (
-  SELECT raw_date, event_type, count(*) AS n, count(DISTINCT raw_hour) AS hours
-  FROM raw GROUP BY ALL
-),
-steps AS (
-  SELECT 'silver' AS layer, raw_date,
-         CASE event_type WHEN 'impression' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS step,
-         CASE event_type WHEN 'impression' THEN 'append' ELSE 'overwrite' END AS operation,
-         n AS added_records,
-         CASE event_type WHEN 'impression' THEN 0 ELSE n END AS deleted_records,
-         hours AS added_files,
-         CASE event_type WHEN 'impression' THEN 0 ELSE hours END AS deleted_files
-  FROM per_type
-  UNION ALL
-  SELECT 'gold', raw_date, 9, 'overwrite', CAST(sum(n) AS BIGINT), 0, 1, 1
-  FROM per_type GROUP BY raw_date
+# One run of each layer per batch, at two in the morning after its last raw date.
+_RUNS = """
+runs AS (
+  SELECT layer, operation, CAST(n AS BIGINT) AS commit_id,
+         CAST(nullif(n - 1, 0) AS BIGINT) AS parent_id,
+         CAST(last AS TIMESTAMP) + INTERVAL 26 HOUR AS committed_at
+  FROM (VALUES (1, DATE '2024-01-07'), (2, DATE '2024-01-14'), (3, DATE '2024-01-21'),
+               (4, DATE '2024-01-31')) b(n, last)
+  CROSS JOIN (VALUES ('silver', 'incremental'), ('gold', 'merge')) l(layer, operation)
+)"""
+# Rows each run added or changed.
+_RECORDS = """
+changed AS (
+  SELECT i.eid, CAST(make_timestamp(i."timestamp" * 1000000) AS DATE) AS d, min(c.batch) AS batch
+  FROM imp i JOIN clk c ON c.eid = i.eid AND c.batch >= i.batch
+    AND c."timestamp" - i."timestamp" BETWEEN 0 AND 604800 GROUP BY ALL
+  UNION
+  SELECT i.eid, CAST(make_timestamp(i."timestamp" * 1000000) AS DATE), min(v.batch)
+  FROM imp i JOIN cvt v ON v.eid = i.eid AND v.batch >= i.batch
+    AND v."timestamp" - i."timestamp" BETWEEN 0 AND 2592000 GROUP BY ALL
 ),
-numbered AS (
-  SELECT *, CAST(date_diff('day', DATE '1970-01-01', raw_date) AS BIGINT) * 10 + step AS commit_id,
-         CAST(raw_date AS TIMESTAMP) + INTERVAL 26 HOUR + step * INTERVAL 7 MINUTE AS committed_at
-  FROM steps
+placed AS (
+  SELECT batch, CAST(make_timestamp("timestamp" * 1000000) AS DATE) AS d, campaign FROM imp
 ),
-log AS (
-  SELECT *, lag(commit_id) OVER (PARTITION BY layer ORDER BY commit_id) AS parent_id FROM numbered
+touched AS (SELECT batch, d FROM placed UNION SELECT batch, d FROM changed),
+written AS (
+  SELECT DISTINCT t.batch, t.d, p.campaign
+  FROM touched t JOIN placed p ON p.d = t.d AND p.batch <= t.batch
 )"""
-)
 
 
 def _stale(layer: str) -> str:
-    return f"""{_with(_LOG)}
-SELECT '{layer}_snapshot_missing' AS alert FROM log WHERE layer = '{layer}'
+    return f"""{_with(_RUNS)}
+SELECT '{layer}_snapshot_missing' AS alert FROM runs WHERE layer = '{layer}'
 HAVING coalesce(CAST(max(committed_at) AS DATE) < DATE '2024-02-10', TRUE)"""
 
 
@@ -367,7 +368,7 @@ SELECT o.* FROM old o WHERE NOT EXISTS (
     "update_where": f"""{_FULL}
 SELECT * REPLACE (round(CASE WHEN campaign = 3 THEN cost * 1.1::DOUBLE ELSE cost END, 6) AS cost)
 FROM s""",
-    "delete_where": f"{_FULL} SELECT * FROM s WHERE campaign <> 3",
+    "delete_where": f"{_FULL} SELECT * FROM s WHERE campaign <> 3 AND event_date <> {CUT}",
     "gold_kpi": f"{_FULL_GOLD} SELECT * FROM g",
     "gold_changed_only": f"""{_BOTH},
 changed AS (
@@ -403,13 +404,13 @@ was AS (SELECT event_date, count(*) AS n, sum(click) AS c, sum(conversion) AS v
         FROM b GROUP BY ALL)
 SELECT DISTINCT event_date FROM
   ((FROM now_ EXCEPT FROM was) UNION ALL (FROM was EXCEPT FROM now_))""",
-    "first_commit_of_day": f"""{_with(_LOG)}
-SELECT commit_id, parent_id, committed_at FROM log
+    "first_commit_of_day": f"""{_with(_RUNS)}
+SELECT commit_id, parent_id, committed_at FROM runs
 WHERE layer = 'silver' AND committed_at >= TIMESTAMP '2024-01-20 00:00:00'
 ORDER BY committed_at LIMIT 1""",
-    "alert_freshness": f"""{_with(_LOG)}
+    "alert_freshness": f"""{_with(_RUNS)}
 SELECT layer, 'no_snapshot_today' AS alert_type, max(committed_at) AS latest_committed_at
-FROM log GROUP BY layer HAVING CAST(max(committed_at) AS DATE) < DATE '2024-02-10'""",
+FROM runs GROUP BY layer HAVING CAST(max(committed_at) AS DATE) < DATE '2024-02-10'""",
     "alert_consistency": f"""{
         _with(_RAW, _attributed("s"), _attributed("b", _EARLY), _gold("g", "b"))
     },
@@ -474,18 +475,22 @@ SELECT event_date, count(*) AS silver_rows, CAST(sum(click) AS BIGINT) AS attrib
        round(sum(click)::DOUBLE / count(*) * 100, 4) AS click_rate_pct,
        round(sum(conversion)::DOUBLE / count(*) * 100, 4) AS conv_rate_pct
 FROM s WHERE event_date = DATE '2024-01-22' GROUP BY event_date""",
-    "incident_commits": f"""{_with(_LOG)}
-SELECT layer, commit_id, parent_id, committed_at, operation FROM log
+    "incident_commits": f"""{_with(_RUNS)}
+SELECT layer, commit_id, parent_id, committed_at, operation FROM runs
 ORDER BY committed_at DESC, layer, commit_id DESC LIMIT 20""",
-    "infra_manifest": f"""{_with(_LOG)}
-SELECT layer, count(*) AS manifest_count, CAST(sum(added_files) AS BIGINT) AS added_files,
-       CAST(sum(deleted_files) AS BIGINT) AS deleted_files
-FROM log GROUP BY layer""",
-    "infra_retention": f"""{_with(_LOG)}
+    "infra_files": f"""{_FULL}
+SELECT event_date, 'data' AS file_type, CAST(1 AS BIGINT) AS file_count,
+       count(*) AS total_records
+FROM s GROUP BY event_date""",
+    "infra_runs": f"""{_with(_incremental(_WEEKS), _RECORDS)}
+SELECT 'silver' AS layer, CAST(4 AS BIGINT) AS run_count,
+       (SELECT count(*) FROM imp) + (SELECT count(*) FROM changed) AS records
+UNION ALL SELECT 'gold', 4, (SELECT count(*) FROM written)""",
+    "infra_retention": f"""{_with(_RUNS)}
 SELECT layer, count(*) AS snapshot_count, min(committed_at) AS oldest_snapshot,
        max(committed_at) AS latest_snapshot,
        date_sub('day', min(committed_at), max(committed_at)) AS retention_days
-FROM log GROUP BY layer""",
+FROM runs GROUP BY layer""",
     "gate_silver_commit": _stale("silver"),
     "gate_gold_commit": _stale("gold"),
     "gate_silver_rows": f"""{_FULL}
@@ -541,7 +546,12 @@ SELECT row_index, "timestamp", {_remap('"timestamp"')} AS real_ts FROM w CROSS J
     "day_partition": """
 SELECT event_id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, value AS amount,
        CAST(ts AS DATE) AS event_date
-FROM events""",
+FROM events
+UNION ALL SELECT -1, TIMESTAMP '2024-02-01 10:30:00', 'manual', 1.5, DATE '2024-02-01'""",
+    "day_partition_range": """
+SELECT event_id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, value AS amount,
+       CAST(ts AS DATE) AS event_date
+FROM events WHERE ts >= TIMESTAMP '2024-01-10 12:00:00' AND ts < TIMESTAMP '2024-01-13'""",
     "compact_binpack": f"{_FULL} SELECT * FROM s",
     "compact_sort": f"{_FULL} SELECT * FROM s",
     "campaign_filter": f"""{_FULL}

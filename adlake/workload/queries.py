@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,18 +17,17 @@ from adlake import schemas
 from adlake.functions.columns import clock, instant
 from adlake.operators import attribution, changes, kpis, upsert, wide
 from adlake.operators.dedup import first_per_key
-from adlake.operators.maintain import file_inventory
 from adlake.plans import checks, daily, gold, maintenance, silver
 from adlake.session import scratch_path, use_utc
 from adlake.sources import fixtures
 from adlake.sources.raw import append_raw, raw_path, read_raw
-from adlake.sources.tables import Lake, read_or_empty
+from adlake.sources.tables import Lake, between_times, read_or_empty
 from adlake.sources.topics import read_file_topic
 from adlake.streaming import bronze
 
 AS_OF = date(2024, 1, 31)
 LATER = date(2024, 2, 10)
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 31)
+LAST = date(2024, 1, 31)
 # The earlier of two table states holds what was ingested up to this day.
 CUT = date(2024, 1, 15)
 # Raw dates each incremental batch covers.
@@ -38,8 +37,8 @@ BATCHES = (
     (date(2024, 1, 15), date(2024, 1, 21)),
     (date(2024, 1, 22), date(2024, 1, 31)),
 )
-# A backfill up to the first of these days, then one daily run for each of the others.
-DAILY_RUNS = (date(2024, 1, 28), date(2024, 1, 29), date(2024, 1, 30))
+# A backfill of all raw dates but the last few, then one daily run for each of those.
+DAILY_RUNS = 3
 RANGE = (date(2024, 1, 10), date(2024, 1, 16))
 REFRESH_RANGE = (date(2024, 1, 5), date(2024, 1, 20))
 REAL_START, SPEED = 1704067200, 100
@@ -66,7 +65,9 @@ def raw(spark: SparkSession, sf_dir: str, event_type: str, until: date | None =
 
 
 def raws(spark: SparkSession, sf_dir: str, until: date | None = None) -> list[DataFrame]:
-    return [raw(spark, sf_dir, event_type, until) for event_type in schemas.EVENT_TYPES]
+    """Events of all types that carry their keys; undecodable ones would share a null id."""
+    types = schemas.EVENT_TYPES
+    return [schemas.keyed(raw(spark, sf_dir, event_type, until)) for event_type in types]
 
 
 def all_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def all_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage1(spark: SparkSession, sf_dir: str, until: date | None = None) -> DataFrame:
-    shown = first_per_key(raw(spark, sf_dir, "impression", until), ["eid"])
+    shown = first_per_key(raws(spark, sf_dir, until)[0], ["eid"])
     return attribution.silver_rows(shown, now_column())
 
 
@@ -88,64 +89,6 @@ def full_gold(spark: SparkSession, sf_dir: str, until: date | None = None) -> Da
     return kpis.campaign_kpis(full(spark, sf_dir, until), now_column())
 
 
-def commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A commit history as the daily runs over the events would leave it.
-
-    Three commits per raw date in the row-level layer and one in the KPI layer. What remains
-    after the aggregation is one row per commit, so the windows below are small.
-    """
-    # The order of the day's commits.
-    step = F.when(F.col("event_type") == "impression", 1)
-    step = step.when(F.col("event_type") == "click", 2).otherwise(3)
-    per_type = (
-        all_raw(spark, sf_dir)
-        .groupBy("raw_date", "event_type", "raw_hour")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("raw_date", "event_type")
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hours"))
-    )
-    appended = F.col("event_type") == "impression"
-    stored = per_type.select(
-        F.lit("silver").alias("layer"),
-        "raw_date",
-        step.cast("bigint").alias("step"),
-        F.when(appended, "append").otherwise("overwrite").alias("operation"),
-        F.col("n").alias("added_records"),
-        F.when(appended, 0).otherwise(F.col("n")).alias("deleted_records"),
-        F.col("hours").alias("added_files"),
-        F.when(appended, 0).otherwise(F.col("hours")).alias("deleted_files"),
-    )
-    summed = (
-        per_type.groupBy("raw_date")
-        .agg(F.sum("n").alias("added_records"))
-        .select(
-            F.lit("gold").alias("layer"),
-            "raw_date",
-            F.lit(9).cast("bigint").alias("step"),
-            F.lit("overwrite").alias("operation"),
-            "added_records",
-            F.lit(0).cast("bigint").alias("deleted_records"),
-            F.lit(1).cast("bigint").alias("added_files"),
-            F.lit(1).cast("bigint").alias("deleted_files"),
-        )
-    )
-    in_order = Window.partitionBy("layer").orderBy("commit_id")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days_since = F.date_diff("raw_date", F.lit(date(1970, 1, 1)))
-    midnight = F.unix_timestamp(F.col("raw_date").cast("timestamp"))
-    return (
-        stored.unionByName(summed)
-        .withColumn("commit_id", days_since.cast("bigint") * 10 + F.col("step"))
-        .withColumn("committed_at", instant(midnight + 26 * 3600 + F.col("step") * 420))
-        .withColumn("parent_id", F.lag("commit_id").over(in_order))
-        .withColumn(
-            "total_records", F.sum(F.col("added_records") - F.col("deleted_records")).over(so_far)
-        )
-        .withColumn("location", F.lit(None).cast("string"))
-        .select(*schemas.COMMIT_LOG.names)
-    )
-
-
 # Stored raw layers, written once per session and input.
 _stored_raw: dict[tuple[str, str], str] = {}
 
@@ -153,9 +96,9 @@ _stored_raw: dict[tuple[str, str], str] = {}
 def stored_raw(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored_raw:
-        base, tasks = scratch_path(spark, "raw"), spark.sparkContext.defaultParallelism
+        base = scratch_path(spark, "raw")
         for event_type in schemas.EVENT_TYPES:
-            append_raw(raw(spark, sf_dir, event_type), base, event_type, tasks)
+            append_raw(raw(spark, sf_dir, event_type), base, event_type)
         _stored_raw[key] = base
     return _stored_raw[key]
 
@@ -169,11 +112,26 @@ def run_time(raw_date: date) -> datetime:
     return datetime.combine(raw_date + timedelta(days=1), datetime.min.time().replace(hour=2))
 
 
-def incremental_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    lake, base = new_lake(spark), stored_raw(spark, sf_dir)
-    for start, end in BATCHES:
-        silver.run_incremental(lake, base, start, end, now=run_time(end), require_match=False)
-    return lake
+# Lakes after the incremental batches, each followed by a KPI run; one per session and input.
+_logged: dict[tuple[str, str], Lake] = {}
+
+
+def logged_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _logged:
+        lake, base = new_lake(spark), stored_raw(spark, sf_dir)
+        for start, end in BATCHES:
+            now = run_time(end)
+            silver.run_incremental(lake, base, start, end, now=now, require_match=False)
+            gold.run_daily(lake, now)
+        _logged[key] = lake
+    return _logged[key]
+
+
+def raw_dates(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
+    """First and last date on which anything was ingested."""
+    ends = all_raw(spark, sf_dir).agg(F.min("raw_date"), F.max("raw_date")).first()
+    return ends[0], ends[1]
 
 
 # Raw layer
@@ -251,7 +209,7 @@ def attribution_full(spark, sf_dir):
 
 
 def _matches(spark, sf_dir, event_type, window):
-    events, stored = raw(spark, sf_dir, event_type), stage1(spark, sf_dir)
+    events, stored = schemas.keyed(raw(spark, sf_dir, event_type)), stage1(spark, sf_dir)
     near = attribution.candidates(attribution.describe_batch(events), window)
     return attribution.match_events(events, stored.where(near), window)
 
@@ -284,7 +242,7 @@ def silver_conform(spark, sf_dir):
 
 
 def silver_incremental(spark, sf_dir):
-    return tidy(incremental_lake(spark, sf_dir).read("silver"))
+    return tidy(logged_lake(spark, sf_dir).read("silver"))
 
 
 def _refreshed(spark, sf_dir, start, end):
@@ -294,7 +252,7 @@ def _refreshed(spark, sf_dir, start, end):
 
 
 def silver_full_refresh(spark, sf_dir):
-    return _refreshed(spark, sf_dir, FIRST, LAST)
+    return _refreshed(spark, sf_dir, *raw_dates(spark, sf_dir))
 
 
 def silver_refresh_range(spark, sf_dir):
@@ -325,20 +283,26 @@ def upsert_insert_absent(spark, sf_dir):
     return tidy(target.unionByName(fresh))
 
 
-def upsert_click(spark, sf_dir):
-    matched = attribution.match_events(
-        raw(spark, sf_dir, "click"), stage1(spark, sf_dir), attribution.CLICK_WINDOW
+def _updated(target, clicks, conversions):
+    """The table after the pipeline's own update of matched clicks and conversions."""
+    none = attribution.match_events(fixtures.no_events(target.sparkSession), target, 0)
+    updates = upsert.pending_updates(
+        none if clicks is None else attribution.match_events(clicks, target, attribution.CLICK_WINDOW),
+        none
+        if conversions is None
+        else attribution.match_events(conversions, target, attribution.CONVERSION_WINDOW),
     )
-    return tidy(upsert.mark_clicks(stage1(spark, sf_dir), matched, now_column()))
+    return tidy(upsert.apply_updates(target, updates, now_column()))
+
+
+def upsert_click(spark, sf_dir):
+    return _updated(stage1(spark, sf_dir), schemas.keyed(raw(spark, sf_dir, "click")), None)
 
 
 def upsert_conversion(spark, sf_dir):
     """Applied to a table that already holds the earlier conversions, which must stay."""
-    target = full(spark, sf_dir, CUT)
-    matched = attribution.match_events(
-        raw(spark, sf_dir, "conversion"), target, attribution.CONVERSION_WINDOW
-    )
-    return tidy(upsert.mark_conversions(target, matched, now_column()))
+    late = schemas.keyed(raw(spark, sf_dir, "conversion"))
+    return _updated(full(spark, sf_dir, CUT), None, late)
 
 
 def upsert_gold(spark, sf_dir):
@@ -347,16 +311,25 @@ def upsert_gold(spark, sf_dir):
     return tidy(upsert.upsert(full_gold(spark, sf_dir, CUT), staged, gold.KEYS))
 
 
+def _stored_full(spark, sf_dir) -> Lake:
+    lake, base = new_lake(spark), stored_raw(spark, sf_dir)
+    silver.run_full_refresh(lake, base, *raw_dates(spark, sf_dir), now=run_time(LAST))
+    return lake
+
+
 def update_where(spark, sf_dir):
-    return tidy(
-        upsert.update_where(
-            full(spark, sf_dir), F.col("campaign") == 3, {"cost": F.col("cost") * 1.1}
-        )
-    )
+    """One campaign's cost changed in the stored table."""
+    lake = _stored_full(spark, sf_dir)
+    silver.update_stored(lake, F.col("campaign") == 3, {"cost": F.col("cost") * 1.1})
+    return tidy(lake.read("silver"))
 
 
 def delete_where(spark, sf_dir):
-    return tidy(upsert.delete_where(full(spark, sf_dir), F.col("campaign") == 3))
+    """One campaign and one whole day deleted from the stored table."""
+    lake = _stored_full(spark, sf_dir)
+    gone = (F.col("campaign") == 3) | (F.col("event_date") == F.lit(CUT))
+    silver.delete_stored(lake, gone)
+    return tidy(lake.read("silver"))
 
 
 # KPIs and change detection
@@ -394,30 +367,25 @@ def gold_range(spark, sf_dir):
 
 def gold_daily(spark, sf_dir):
     """The KPI table kept up to date batch by batch from the days each batch changed."""
-    lake, base = new_lake(spark), stored_raw(spark, sf_dir)
-    for start, end in BATCHES:
-        now = run_time(end)
-        silver.run_incremental(lake, base, start, end, now=now, require_match=False)
-        gold.run_daily(lake, now.date(), now)
-    return tidy(lake.read("gold"))
+    return tidy(logged_lake(spark, sf_dir).read("gold"))
 
 
 def gold_full_refresh(spark, sf_dir):
-    lake, now = new_lake(spark), run_time(LAST)
-    silver.run_full_refresh(lake, stored_raw(spark, sf_dir), FIRST, LAST, now=now)
-    gold.run_full_refresh(lake, FIRST, LAST, now)
+    lake, dates, now = new_lake(spark), raw_dates(spark, sf_dir), run_time(LAST)
+    silver.run_full_refresh(lake, stored_raw(spark, sf_dir), *dates, now=now)
+    gold.run_full_refresh(lake, *dates, now)
     return tidy(lake.read("gold"))
 
 
 def first_commit_of_day(spark, sf_dir):
-    return changes.first_commit_of_day(commit_log(spark, sf_dir), date(2024, 1, 20))
+    return changes.first_commit_of_day(logged_lake(spark, sf_dir).log(), date(2024, 1, 20))
 
 
 # Reports and gates
 
 
 def alert_freshness(spark, sf_dir):
-    return checks.stale_layers(commit_log(spark, sf_dir), LATER)
+    return checks.stale_layers(logged_lake(spark, sf_dir).log(), LATER)
 
 
 def alert_consistency(spark, sf_dir):
@@ -464,29 +432,33 @@ def incident_day(spark, sf_dir):
 
 
 def incident_commits(spark, sf_dir):
-    return checks.recent_commits(commit_log(spark, sf_dir))
+    return checks.recent_commits(logged_lake(spark, sf_dir).log())
 
 
 def infra_files(spark, sf_dir):
-    lake = new_lake(spark)
-    lake.replace("silver", full(spark, sf_dir), run_time(LAST))
-    return checks.file_sizes(file_inventory(lake.read("silver"), "event_date"))
+    """The file report after a compaction; bytes depend on the writer and are left out."""
+    lake = _fragmented(spark, sf_dir)
+    maintenance.compact_binpack(lake, AS_OF, now=run_time(LAST))
+    lake.summarize(lake.days("silver"))
+    return maintenance.report_files(lake).select(
+        "event_date", "file_type", "file_count", "total_records"
+    )
 
 
-def infra_manifest(spark, sf_dir):
-    return checks.commit_files(commit_log(spark, sf_dir))
+def infra_runs(spark, sf_dir):
+    return checks.runs(logged_lake(spark, sf_dir).log())
 
 
 def infra_retention(spark, sf_dir):
-    return checks.commit_retention(commit_log(spark, sf_dir))
+    return checks.commit_retention(logged_lake(spark, sf_dir).log())
 
 
 def gate_silver_commit(spark, sf_dir):
-    return checks.no_commit_today(commit_log(spark, sf_dir), "silver", LATER)
+    return checks.no_commit_today(logged_lake(spark, sf_dir).log(), "silver", LATER)
 
 
 def gate_gold_commit(spark, sf_dir):
-    return checks.no_commit_today(commit_log(spark, sf_dir), "gold", LATER)
+    return checks.no_commit_today(logged_lake(spark, sf_dir).log(), "gold", LATER)
 
 
 def gate_silver_rows(spark, sf_dir):
@@ -545,9 +517,26 @@ def day_partition(spark, sf_dir):
         .write.partitionBy("event_date")
         .parquet(path)
     )
+    late = date(2024, 2, 1)
+    # A row given by its values lands in the folder of its day like any other.
+    spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"),
+        F.lit(f"{late} 10:30:00").cast("timestamp").alias("event_time"),
+        F.lit("manual").alias("user_id"),
+        F.lit(1.5).alias("amount"),
+        F.lit(late).alias("event_date"),
+    ).write.mode("append").partitionBy("event_date").parquet(path)
     return spark.read.parquet(path)
 
 
+def day_partition_range(spark, sf_dir):
+    """Two days and a half of that table, asked for by time; other days are not read."""
+    stored = day_partition(spark, sf_dir)
+    return between_times(
+        stored, "event_time", "event_date", "2024-01-10 12:00:00", "2024-01-13 00:00:00"
+    )
+
+
 # Maintenance and the daily run
 
 
@@ -556,7 +545,7 @@ def _fragmented(spark, sf_dir) -> Lake:
     lake = new_lake(spark)
     rows = full(spark, sf_dir)
     for part in range(3):
-        lake.append("silver", rows.where(F.col("event_hour") % 3 == part), run_time(LAST))
+        lake.append("silver", rows.where(F.col("event_hour") % 3 == part))
     return lake
 
 
@@ -585,14 +574,26 @@ def campaign_filter(spark, sf_dir):
 
 
 def daily_run(spark, sf_dir):
-    """A backfill, then daily runs with every gate; the resulting KPI table."""
+    """A backfill, then daily runs of the last dates with every gate; the resulting KPI table.
+
+    The backfill must match events. A single day of a small table may have none to match. What
+    arrived after the last day that has impressions is taken in without the gates, which ask
+    every run date for rows.
+    """
     lake, base = new_lake(spark), stored_raw(spark, sf_dir)
-    backfilled = DAILY_RUNS[0]
+    first, last = raw_dates(spark, sf_dir)
+    shown = stage1(spark, sf_dir).agg(F.max("event_date")).first()[0]
+    backfilled = shown - timedelta(days=DAILY_RUNS)
     now = run_time(backfilled)
-    silver.run_incremental(lake, base, FIRST, backfilled, now=now, require_match=False)
-    gold.run_range(lake, FIRST, backfilled, now)
-    for run_date in DAILY_RUNS[1:]:
+    silver.run_incremental(lake, base, first, backfilled, now=now)
+    gold.run_range(lake, first, backfilled, now)
+    for n in range(1, DAILY_RUNS + 1):
+        run_date = backfilled + timedelta(days=n)
         daily.run(lake, base, run_date, run_date, run_time(run_date), require_match=False)
+    if last > shown:
+        late, now = shown + timedelta(days=1), run_time(last)
+        silver.run_incremental(lake, base, late, last, now=now, require_match=False)
+        gold.run_daily(lake, now)
     return tidy(lake.read("gold"))
 
 
@@ -609,10 +610,10 @@ _REGISTERED = (
     alert_freshness, alert_consistency, alert_missing_dates, alert_latency,
     ops_volume, ops_wow, ops_attribution, ops_latency,
     biz_kpi_trend, biz_conv_delay, incident_day, incident_commits,
-    infra_files, infra_manifest, infra_retention,
+    infra_files, infra_runs, infra_retention,
     gate_silver_commit, gate_silver_rows, gate_gold_commit, gate_consistency,
     gate_bronze_present, quality_profile,
-    split_wide_events, first_conversion, time_remap, day_partition,
+    split_wide_events, first_conversion, time_remap, day_partition, day_partition_range,
     compact_binpack, compact_sort, campaign_filter, daily_run,
 )
 

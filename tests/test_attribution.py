@@ -5,7 +5,7 @@ from conftest import seconds
 from pyspark.sql import functions as F
 
 from adlake.operators import attribution as at
-from adlake.operators.dedup import duplicate_keys, first_per_key, unique_by
+from adlake.operators.dedup import first_per_key, unique_by
 
 T = seconds("2024-03-01 12:00:00")
 EDGES = [
@@ -97,27 +97,39 @@ def test_refresh_ignores_a_valid_duplicate_after_an_invalid_first(events):
     assert result.first()["click_ts"] is None
 
 
-def test_stray_timestamp_does_not_widen_the_scan(events):
-    batch = at.describe_batch(events("click", ("a", T), ("b", 0), ("c", T + 86400)))
-    assert batch.days == (date(1970, 1, 1), date(2024, 3, 1), date(2024, 3, 2))
-    assert (batch.first_key, batch.last_key) == ("a", "c")
+def test_batch_is_bounded_by_its_earliest_day_and_its_keys(events):
+    batch = at.describe_batch(events("click", ("a", T), ("b", T - 86400), ("c", T + 86400)))
+    assert (batch.earliest, batch.first_key, batch.last_key) == (date(2024, 2, 29), "a", "c")
+    assert at.first_day(batch, at.CLICK_WINDOW) == date(2024, 2, 22)
     text = str(at.candidates(batch, at.CLICK_WINDOW)._jc.toString())
-    assert "2024-02-23" in text and "1999" not in text
+    assert "2024-02-22" in text and "2024-03" not in text
 
 
-def test_very_many_days_become_a_range(events, monkeypatch):
-    monkeypatch.setattr(at, "MAX_LISTED_DAYS", 2)
-    later = [(f"e{i}", T + i * 86400) for i in range(4)]
-    batch = at.describe_batch(events("click", *later))
-    assert not batch.listed and batch.days == (date(2024, 3, 1), date(2024, 3, 4))
-    stored = at.silver_rows(events("impression", *((f"e{i}", T) for i in range(4))))
-    near = stored.where(at.candidates(batch, at.CLICK_WINDOW))
-    assert at.match_events(events("click", *later), near, at.CLICK_WINDOW).count() == 4
+def test_batch_of_a_thousand_days_has_the_same_filter(events):
+    later = [(f"e{i}", T + i * 86400) for i in range(1000)]
+    stored = at.silver_rows(events("impression", *((f"e{i}", T) for i in range(1000))))
+    shapes = []
+    for clicks in (later[:2], later):
+        near = at.candidates(at.describe_batch(events("click", *clicks)), at.CLICK_WINDOW)
+        matched = at.match_events(events("click", *clicks), stored.where(near), at.CLICK_WINDOW)
+        shapes.append((str(near._jc.toString()).count("event_date"), matched.count()))
+    assert shapes == [(1, 2), (1, 8)]
+
+
+def test_match_across_midnight(events, spark):
+    """The stored day comes from the timestamp, a minute after midnight; the event time, and
+    the click, lie before it."""
+    shown = {"eid": "a", "timestamp": T + 43260, "event_time": "2024-03-01T23:59:50+00:00"}
+    stored = at.silver_rows(events("impression", shown))
+    assert stored.first()["event_date"] == date(2024, 3, 2)
+    clicks = events("click", ("a", seconds("2024-03-01 23:59:55")))
+    near = stored.where(at.candidates(at.describe_batch(clicks), at.CLICK_WINDOW))
+    assert at.match_events(clicks, near, at.CLICK_WINDOW).count() == 1
 
 
 def test_empty_batch_reads_nothing(events):
     batch = at.describe_batch(events("click"))
-    assert batch.days == ()
+    assert batch.earliest is None and at.first_day(batch, at.CLICK_WINDOW) is None
     stored = at.silver_rows(events("impression", ("a", T)))
     assert stored.where(at.candidates(batch, at.CLICK_WINDOW)).count() == 0
 
@@ -131,7 +143,6 @@ def test_unmatched_alert(events):
 
 def test_unique_by_fails_on_a_repeated_key(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k int, v string")
-    assert [tuple(r) for r in duplicate_keys(rows, ["k"]).collect()] == [(2, 2)]
     good = unique_by(rows.where("k = 1 or v = 'b'"), ["k"])
     assert sorted(tuple(r) for r in good.collect()) == [(1, "a"), (2, "b")]
     with pytest.raises(Exception, match="several source rows"):

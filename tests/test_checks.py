@@ -45,10 +45,10 @@ def gold(spark, *rows):
 def log(spark, *rows):
     """Rows of (layer, commit_id, time)."""
     full = [
-        (layer, n, n - 1, datetime.fromisoformat(t), "append", 1, 0, n, 1, 0, None)
+        (layer, n, n - 1, datetime.fromisoformat(t), "append", 1, date(2024, 3, 1))
         for layer, n, t in rows
     ]
-    return spark.createDataFrame(full, schemas.COMMIT_LOG)
+    return spark.createDataFrame(full, schemas.RUN_LOG)
 
 
 def test_freshness_includes_layers_that_never_committed(spark):
@@ -163,3 +163,30 @@ def test_quality_profile(spark):
     row = checks.quality_profile(stored.withColumn("campaign", F.lit(None))).first()
     assert (row["bad_click_flags"], row["bad_conversion_flags"]) == (1, 1)
     assert (row["null_keys"], row["null_campaigns"]) == (0, 2)
+
+
+def test_gate_names_all_rows_but_shows_some(spark):
+    with pytest.raises(checks.UnhealthyData, match="and more, 50 in all"):
+        checks.gate(spark.range(50), "many")
+    with pytest.raises(checks.UnhealthyData) as raised:
+        checks.gate(spark.range(20), "few")
+    assert "more" not in str(raised.value)
+
+
+def test_gates_for_several_dates(spark):
+    dates = [date(2024, 2, 28), date(2024, 2, 29)]
+    stored = silver(spark, *day(YESTERDAY, 10))
+    assert [r.run_date for r in checks.dates_without_rows(stored, dates).collect()] == dates[:1]
+    raw = stored.select(F.col("event_date").alias("raw_date"))
+    assert [r.run_date for r in checks.dates_without_raw(raw, dates).collect()] == dates[:1]
+    apart = checks.dates_apart(stored, gold(spark, (YESTERDAY, 8)), dates).collect()
+    assert sorted(tuple(r) for r in apart) == [(dates[0], 0, 0), (dates[1], 10, 8)]
+    assert checks.dates_apart(stored, gold(spark, (YESTERDAY, 9)), dates[1:]).count() == 0
+
+
+def test_stray_days(spark):
+    days = spark.createDataFrame(
+        [(date(1970, 1, 1), 3), (date(2024, 2, 29), 5), (date(2031, 1, 1), 1)],
+        "event_date date, row_count bigint",
+    )
+    assert {r.row_count for r in checks.stray_days(days, AS_OF).collect()} == {3, 1}

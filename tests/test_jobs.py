@@ -3,7 +3,6 @@ from datetime import date
 import pytest
 
 from adlake.jobs import parse
-from adlake.plans.sizing import SHUFFLE_PARTITIONS, size_shuffles
 from adlake.session import CHECKPOINT_DIR, scratch_path
 
 TODAY = date(2024, 3, 10)
@@ -53,12 +52,11 @@ def test_scratch_follows_the_session_setting():
     assert scratch_path(Session("local[8]"), "x").startswith("/")
 
 
-def test_shuffles_grow_with_the_input_and_never_shrink(spark, tmp_path, monkeypatch):
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    (tmp_path / "part").write_bytes(b"0" * 1000)
-    try:
-        assert size_shuffles(spark, [str(tmp_path), f"{tmp_path}/none"]) == int(before)
-        monkeypatch.setattr("adlake.plans.sizing.BYTES_PER_TASK", 100)
-        assert size_shuffles(spark, [str(tmp_path)]) == 20
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+def test_daily_takes_a_range_and_reports_a_name():
+    daily = ["daily", "--lake", "x", "--raw-base", "r"]
+    assert parse(daily, TODAY).run_date_start == date(2024, 3, 9)
+    args = parse([*daily, "--run-date-start", "2024-03-01"], TODAY)
+    assert (args.run_date_start, args.run_date_end) == (date(2024, 3, 1), date(2024, 3, 9))
+    assert parse(["report", "volume", "--lake", "x"], TODAY).as_of == TODAY
+    with pytest.raises(SystemExit):
+        parse(["report", "nonsense", "--lake", "x"], TODAY)

@@ -30,23 +30,25 @@ def fragmented(lake, events):
         for i in range(400)
     ]
     for part in range(4):
-        lake.append("silver", at.silver_rows(events("impression", *items[part::4])), NOW)
+        lake.append("silver", at.silver_rows(events("impression", *items[part::4])))
     return lake
 
 
-def files_per_day(table):
-    inventory = maintain.file_inventory(table, "event_date")
-    return {str(r["event_date"]): r["count"] for r in inventory.groupBy("event_date").count().collect()}
+def files_per_day(lake):
+    found = {}
+    for day, _, size in lake.data_files("silver", lake.days("silver")):
+        assert size > 0
+        found[str(day)] = found.get(str(day), 0) + 1
+    return found
 
 
 def test_binpack_makes_one_file_per_small_day(fragmented):
     before = content(fragmented.read("silver"))
-    assert sum(files_per_day(fragmented.read("silver")).values()) > 2
-    maintenance.compact_binpack(fragmented, "2024-03-03", now=NOW)
-    assert files_per_day(fragmented.read("silver")) == {"2024-03-01": 1, "2024-03-02": 1}
+    assert sum(files_per_day(fragmented).values()) > 2
+    assert maintenance.compact_binpack(fragmented, "2024-03-03", now=NOW) == 400
+    assert files_per_day(fragmented) == {"2024-03-01": 1, "2024-03-02": 1}
     assert content(fragmented.read("silver")) == before
-    last = fragmented.last_commit("silver")
-    assert (last["operation"], last["added_records"], last["added_files"]) == ("rewrite", 400, 2)
+    assert fragmented.last_run("silver")["operation"] == "compact"
     assert maintenance.compact_binpack(fragmented, "2024-03-03", now=NOW) is None
 
 
@@ -54,35 +56,69 @@ def test_old_days_are_left_alone(fragmented):
     assert maintenance.compact_binpack(fragmented, "2024-06-01", now=NOW) is None
 
 
+def test_file_report_opens_no_data_file(fragmented):
+    fragmented.summarize(fragmented.days("silver"))
+    rows = {str(r.event_date): r for r in maintenance.report_files(fragmented).collect()}
+    assert {d: r.file_count for d, r in rows.items()} == files_per_day(fragmented)
+    assert {d: r.total_records for d, r in rows.items()} == {"2024-03-01": 200, "2024-03-02": 200}
+    sizes = sum(size for _, _, size in fragmented.data_files("silver", fragmented.days("silver")))
+    assert abs(sum(r.total_mb for r in rows.values()) - sizes / 1048576) < 0.02
+
+
+def file_spans(table):
+    """(day, lowest, highest campaign) of every file."""
+    per_file = table.groupBy("event_date", F.col("_metadata.file_path")).agg(
+        F.min("campaign").alias("low"), F.max("campaign").alias("high")
+    )
+    by_day = {}
+    for r in per_file.collect():
+        by_day.setdefault(str(r["event_date"]), []).append((r["low"], r["high"]))
+    return {day: sorted(spans) for day, spans in by_day.items()}
+
+
 def test_sorted_files_cover_separate_ranges(fragmented):
     before = content(fragmented.read("silver"))
-    size = maintain.file_inventory(fragmented.read("silver"), "event_date").agg(
-        F.sum("file_bytes")
-    ).first()[0]
-    maintenance.compact_sorted(fragmented, "2024-03-03", target_bytes=size // 6, now=NOW)
+    sizes = [size for _, _, size in fragmented.data_files("silver", fragmented.days("silver"))]
+    small = sum(sizes) // 6
+    maintenance.compact_sorted(fragmented, "2024-03-03", target_bytes=small, now=NOW)
     table = fragmented.read("silver")
     assert content(table) == before
-    ranges = maintain.value_ranges(table, "campaign", "event_date").collect()
-    assert len(ranges) >= 4
-    by_day = {}
-    for r in ranges:
-        by_day.setdefault(r["event_date"], []).append((r["lowest"], r["highest"]))
-    for spans in by_day.values():
-        spans.sort()
-        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    spans = file_spans(table)
+    assert all(len(s) >= 3 for s in spans.values())
+    for found in spans.values():
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def test_every_day_gets_its_planned_files_in_order(fragmented, tmp_path):
+    """One rule for days of one file and of several; no file holds two days."""
+    table = fragmented.read("silver")
+    plan = list(zip(fragmented.days("silver"), (1, 3)))
+    placed = maintain.place_sorted_files(
+        table, plan, "event_date", ["campaign", "event_id"], str(tmp_path / "numbered")
+    )
+    tasks = placed.groupBy(F.spark_partition_id().alias("t"), "event_date").agg(
+        F.count(F.lit(1)).alias("n"), F.min("campaign").alias("low"), F.max("campaign").alias("high")
+    )
+    rows = sorted((str(r.event_date), r.low, r.high, r.n) for r in tasks.collect())
+    assert [r[0] for r in rows] == ["2024-03-01"] + ["2024-03-02"] * 3
+    assert max(r[3] for r in rows[1:]) - min(r[3] for r in rows[1:]) <= 1
+    assert rows[1][2] <= rows[2][1] and rows[2][2] <= rows[3][1]
 
 
-def test_sorted_single_files(fragmented):
+def test_sorted_single_files_are_left_alone_afterwards(fragmented, events):
     maintenance.compact_sorted(fragmented, "2024-03-03", now=NOW)
-    assert files_per_day(fragmented.read("silver")) == {"2024-03-01": 1, "2024-03-02": 1}
+    assert files_per_day(fragmented) == {"2024-03-01": 1, "2024-03-02": 1}
     first = fragmented.read("silver").where("event_date = DATE '2024-03-01'").coalesce(1)
     campaigns = [r["campaign"] for r in first.collect()]
     assert campaigns == sorted(campaigns)
+    assert maintenance.compact_sorted(fragmented, "2024-03-03", now=NOW) is None
+    fragmented.append("silver", at.silver_rows(events("impression", ("new", T))))
+    assert maintenance.compact_sorted(fragmented, "2024-03-03", now=NOW) == 201
 
 
 def test_large_day_is_spread_over_its_planned_files(fragmented):
     table = fragmented.read("silver")
-    plan = [(d["event_date"], 3) for d in table.select("event_date").distinct().collect()]
+    plan = [(day, 3) for day in fragmented.days("silver")]
     placed = maintain.place_files(table, plan, "event_date", ["event_id"])
     spread = placed.groupBy(F.spark_partition_id().alias("task"), "event_date").count().collect()
     assert len(spread) == 6 and len({r["task"] for r in spread}) == 6

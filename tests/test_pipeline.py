@@ -1,12 +1,13 @@
-import shutil
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from conftest import seconds
 from pyspark.sql import functions as F
 
 from adlake.operators import changes
-from adlake.plans import checks, daily, gold, silver
+from adlake.plans import checks, daily, gold, reports, silver
+from adlake.session import scratch_root
 from adlake.sources.raw import append_raw, read_raw
 from adlake.sources.tables import Lake
 
@@ -58,28 +59,27 @@ def test_late_events_update_the_day_of_their_impression(lake, raw_layer):
     assert flags(lake) == {"a": (1, -1), "b": (0, T + DAY + 7), "c": (1, -1)}
 
     # The same dates again: same content, and no day is rewritten.
-    before, commits = content(lake.read("silver")), lake.last_commit("silver")["commit_id"]
+    before, runs = content(lake.read("silver")), lake.last_run("silver")["commit_id"]
+    stored = sorted(lake.read("silver").inputFiles())
     silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
     assert content(lake.read("silver")) == before
-    last = lake.last_commit("silver")
-    assert (last["operation"], last["added_records"]) == ("append", 0)
-    assert last["commit_id"] == commits + 1
+    assert [f for f in stored if f in lake.read("silver").inputFiles()] == stored
+    last = lake.last_run("silver")
+    assert (last["operation"], last["records"], last["commit_id"]) == ("incremental", 0, runs + 1)
 
 
-def test_commit_log_adds_up(lake, raw_layer):
+def test_run_log_tells_what_runs_did(lake, raw_layer):
     base = raw_layer(
         impressions=[("a", T), ("b", T), ("c", T + DAY)], clicks=[("a", T + 5), ("c", T + DAY + 2)]
     )
     silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
-    silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
+    silver.run_incremental(lake, base, DAY2, DAY2, now=run_at("2024-04-01"))
     log = {r["commit_id"]: r.asDict() for r in lake.log().collect()}
-    assert [log[i]["operation"] for i in sorted(log)] == ["append", "overwrite"] * 2
-    assert [log[i]["parent_id"] for i in sorted(log)] == [None, 1, 2, 3]
-    assert [log[i]["added_records"] for i in sorted(log)] == [2, 2, 1, 1]
-    assert [log[i]["deleted_records"] for i in sorted(log)] == [0, 2, 0, 1]
-    assert log[4]["total_records"] == lake.read("silver").count() == 3
-    assert log[4]["committed_at"] == run_at(DAY3)
-    assert Lake(lake.spark, lake.root).last_commit("silver")["commit_id"] == 4
+    assert [log[i]["parent_id"] for i in sorted(log)] == [None, 1]
+    assert [log[i]["records"] for i in sorted(log)] == [3, 2]
+    assert log[2]["committed_at"] == run_at("2024-04-01")
+    assert Lake(lake.spark, lake.root).last_run("silver")["commit_id"] == 2
+    assert len(lake.read("run_log").inputFiles()) == 2  # one file per month
 
 
 def test_replayed_id_keeps_its_first_row(lake, raw_layer):
@@ -139,7 +139,7 @@ def test_events_without_any_match_stop_the_run(lake, raw_layer):
     base = raw_layer(impressions=[("a", T)], clicks=[("other", T + 5)])
     with pytest.raises(silver.NothingMatched, match="click"):
         silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
-    assert lake.last_commit("silver")["operation"] == "append"
+    assert lake.last_run("silver") is None
 
 
 def test_refresh_reads_later_clicks_and_stays_partitioned(lake, raw_layer, tmp_path):
@@ -156,13 +156,32 @@ def test_refresh_reads_later_clicks_and_stays_partitioned(lake, raw_layer, tmp_p
 def test_refresh_replaces_older_days(lake, raw_layer):
     base = raw_layer(impressions=[("a", T), ("b", T + DAY)])
     silver.run_full_refresh(lake, base, DAY1, DAY2, now=run_at(DAY3))
-    first = lake.location("silver")
+    gold.run_daily(lake, run_at(DAY3))
+    assert len(lake.days("gold")) == 2
     silver.run_full_refresh(lake, base, DAY2, DAY2, now=run_at(DAY3))
-    assert set(flags(lake)) == {"b"} and lake.location("silver") != first
-    last = lake.last_commit("silver")
-    assert (last["added_records"], last["deleted_records"], last["total_records"]) == (1, 2, 1)
-    days = [r["event_date"] for r in lake.summaries_at(last["commit_id"]).collect()]
-    assert days == [date(2024, 3, 2)]
+    assert set(flags(lake)) == {"b"} and lake.last_run("silver")["records"] == 1
+    assert [r["event_date"] for r in lake.read("silver_days").collect()] == [date(2024, 3, 2)]
+    # The lost day goes from the KPI table as well.
+    assert [str(d) for d in gold.changed_days(lake)] == [DAY1]
+    gold.run_daily(lake, run_at(DAY3))
+    assert [str(d) for d in lake.days("gold")] == [DAY2] and gold.changed_days(lake) == []
+
+
+def test_update_and_delete_on_the_stored_table(lake, raw_layer):
+    base = raw_layer(impressions=[("a", T), ("b", T + DAY), {"eid": "c", "timestamp": T + DAY, "campaign": 2}])
+    silver.run_full_refresh(lake, base, DAY1, DAY2, now=run_at(DAY3))
+    gold.run_daily(lake, run_at(DAY3))
+    silver.update_stored(lake, F.col("campaign") == 2, {"cost": F.lit(9.0)}, now=run_at("2024-03-04"))
+    assert {r["event_id"]: r["cost"] for r in lake.read("silver").collect()} == {"a": 1.0, "b": 1.0, "c": 9.0}
+    assert [str(d) for d in gold.changed_days(lake)] == [DAY2]
+    silver.delete_stored(lake, F.col("event_id") == "a", now=run_at(DAY3))
+    assert set(flags(lake)) == {"b", "c"} and [str(d) for d in lake.days("silver")] == [DAY2]
+    gold.run_daily(lake, run_at(DAY3))
+    assert [str(d) for d in lake.days("gold")] == [DAY2]
+    silver.delete_stored(lake, F.col("event_id") == "none", now=run_at(DAY3))
+    assert lake.last_run("silver")["records"] == 0
+    silver.delete_stored(lake, F.lit(True), now=run_at(DAY3))
+    assert lake.days("silver") == [] and lake.read("silver").count() == 0
 
 
 def test_kpis_follow_a_click_that_changes_no_row_count(lake, raw_layer):
@@ -170,7 +189,7 @@ def test_kpis_follow_a_click_that_changes_no_row_count(lake, raw_layer):
         impressions=[("a", T), ("b", T + DAY)], clicks=[("a", T + DAY + 1), ("b", T + DAY + 2)]
     )
     silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2), require_match=False)
-    gold.run_daily(lake, DAY2, run_at(DAY2))
+    gold.run_daily(lake, run_at(DAY2))
     before = lake.spark.createDataFrame(lake.read("silver").collect(), lake.read("silver").schema)
     silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
 
@@ -178,15 +197,16 @@ def test_kpis_follow_a_click_that_changes_no_row_count(lake, raw_layer):
     seen = {r[0].isoformat() for r in changes.changed_by_count(before, after).collect()}
     assert seen == {DAY2}
     seen = {r[0].isoformat() for r in changes.changed_by_content(before, after).collect()}
-    assert seen == {DAY1, DAY2} == {d.isoformat() for d in gold.changed_days(lake, DAY3)}
+    assert seen == {DAY1, DAY2} == {d.isoformat() for d in gold.changed_days(lake)}
 
-    gold.run_daily(lake, DAY3, run_at(DAY3))
+    gold.run_daily(lake, run_at(DAY3))
     clicks = {str(r["summary_date"]): r["clicks"] for r in lake.read("gold").collect()}
     assert clicks == {DAY1: 1, DAY2: 1}
 
-    # Nothing was committed on a later day, so nothing changes.
-    assert gold.changed_days(lake, "2024-03-09") == []
-    assert gold.run_daily(lake, "2024-03-09") is None
+    # Nothing is left to do, and a run without work is logged as well.
+    assert gold.changed_days(lake) == [] and gold.run_daily(lake, run_at("2024-03-09")) == 0
+    last = lake.last_run("gold")
+    assert (last["records"], last["committed_at"]) == (0, run_at("2024-03-09"))
 
 
 def test_kpi_modes_agree(lake, raw_layer):
@@ -212,10 +232,33 @@ def test_kpi_modes_agree(lake, raw_layer):
 
 def test_daily_run_and_its_gates(lake, raw_layer):
     base = raw_layer(impressions=[("a", T), ("b", T + 60)], clicks=[("a", T + 5)])
-    daily.run_yesterday(lake, base, run_at(DAY2))
+    daily.run_range(lake, base, run_at(DAY2))
     assert lake.read("gold").first()["clicks"] == 1
     with pytest.raises(checks.UnhealthyData, match="bronze_present"):
-        daily.run_yesterday(lake, base, run_at(DAY3))
+        daily.run_range(lake, base, run_at(DAY3))
+    # An old date again on a later day: nothing changes and every gate passes.
+    daily.run_range(lake, base, run_at("2024-03-09"), DAY1, DAY1)
+    with pytest.raises(checks.UnhealthyData, match=DAY2[-2:]):
+        daily.run_range(lake, base, run_at("2024-03-09"), DAY1, DAY2)
+
+
+def test_ten_daily_runs_leave_no_scratch_and_few_jobs(lake, raw_layer, spark):
+    days = [f"2024-03-{n:02d}" for n in range(1, 11)]
+    base = raw_layer(
+        impressions=[(f"e{n}", T + n * DAY) for n in range(10)],
+        clicks=[(f"e{n}", T + n * DAY + 9) for n in range(10)],
+    )
+    tracker, folder = spark.sparkContext.statusTracker(), Path(scratch_root(spark)) / "adlake"
+    kept = sorted(folder.glob("*")) if folder.exists() else []
+    for n, run_date in enumerate(days):
+        spark.sparkContext.setJobGroup(f"daily-{n}", "")
+        daily.run_range(lake, base, run_at("2024-03-11"), run_date, run_date, compact=False)
+    jobs = len(tracker.getJobIdsForGroup("daily-9"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not list((Path(lake.root) / "staged").glob("*"))
+    assert sorted(folder.glob("*")) == kept
+    assert len(flags(lake)) == 10 and all(click == 1 for click, _ in flags(lake).values())
+    assert jobs <= 75
 
 
 def test_gate_stops_when_the_layers_disagree(lake, raw_layer, spark):
@@ -229,36 +272,68 @@ def test_gate_stops_when_the_layers_disagree(lake, raw_layer, spark):
     checks.gate(checks.run_mismatch(lake.read("silver"), close, DAY1), "consistency")
 
 
-def test_run_without_a_log_row_is_repeated(lake, raw_layer, monkeypatch):
-    base = raw_layer(impressions=[("a", T), ("b", T)], clicks=[("a", T + 5)])
-    with monkeypatch.context() as broken:
-        broken.setattr(type(lake), "_commit", lambda *a, **k: 1 / 0)
-        with pytest.raises(ZeroDivisionError):
-            silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
-    silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2))
-    assert flags(lake) == {"a": (1, -1), "b": (0, -1)}
+class Killed(Exception):
+    """Stands for a driver that dies."""
+
 
+def two_days(lake, base):
+    for run_date, next_day in ((DAY1, DAY2), (DAY2, DAY3)):
+        silver.run_incremental(lake, base, run_date, run_date, now=run_at(next_day), require_match=False)
+        gold.run_daily(lake, run_at(next_day))
 
-def test_overwrite_that_died_half_way_is_completed(lake, raw_layer, monkeypatch):
-    """Old files of an earlier day are gone and the new ones are not there yet."""
+
+@pytest.mark.parametrize("step", ["append", "finish", "_swap", "summarize", "record"])
+def test_a_run_killed_anywhere_is_repaired_by_the_next(
+    spark, tmp_path, raw_layer, monkeypatch, step
+):
+    """Dies at calls of a step in turn; the repeated run's layers equal those of a run nobody
+    disturbed."""
     base = raw_layer(
-        impressions=[("a", T), ("b", T + DAY)], clicks=[("a", T + DAY + 5), ("b", T + DAY + 6)]
+        impressions=[("a", T), ("b", T + DAY), ("c", T + DAY)],
+        clicks=[("a", T + DAY + 5), ("b", T + DAY + 6)],
     )
+    whole = Lake(spark, str(tmp_path / "whole"))
+    two_days(whole, base)
+    lake = Lake(spark, str(tmp_path / "broken"))
     silver.run_incremental(lake, base, DAY1, DAY1, now=run_at(DAY2), require_match=False)
-
-    def dies(self, entry, place=None):
-        shutil.rmtree(f"{entry['location']}/event_date={DAY1}")
-        raise OSError("executor lost")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(type(lake), "_publish", dies)
-        with pytest.raises(OSError):
-            silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
-    assert set(flags(lake)) == {"b"}
-    silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
-    assert flags(lake) == {"a": (1, -1), "b": (1, -1)}
-    assert lake.recover("silver") is None
-    assert lake.last_commit("silver")["total_records"] == 2
+    gold.run_daily(lake, run_at(DAY2))
+    original, calls = getattr(Lake, step), {"n": 0, "die": 0}
+
+    def dies(self, *args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == calls["die"]:
+            raise Killed
+        return original(self, *args, **kwargs)
+
+    def day_two():
+        silver.run_incremental(lake, base, DAY2, DAY2, now=run_at(DAY3))
+        gold.run_daily(lake, run_at(DAY3))
+
+    for die in (1, 3):
+        calls.update(n=0, die=die)
+        with monkeypatch.context() as broken:
+            broken.setattr(Lake, step, dies)
+            try:
+                day_two()
+            except Killed:
+                pass
+    day_two()
+    assert content(lake.read("silver")) == content(whole.read("silver"))
+    assert content(lake.read("gold")) == content(whole.read("gold"))
+    assert lake.last_run("gold")["committed_at"] == run_at(DAY3)
+    assert not list((tmp_path / "broken" / "staged").glob("*"))
+
+
+def test_views_and_reports_by_name(lake, raw_layer, spark):
+    base = raw_layer(impressions=[("a", T), ("b", T + 60)], clicks=[("a", T + 5)])
+    daily.run_range(lake, base, run_at(DAY2))
+    lake.register_views()
+    rows = spark.sql("SELECT campaign, impressions FROM gold JOIN run_log ON layer = 'gold'").collect()
+    assert [tuple(r) for r in rows] == [(1, 2)]
+    found = {name: reports.report(lake, name, DAY2).count() for name in reports.REPORTS}
+    assert found["volume"] == found["files"] == found["quality"] == 1
+    assert found["recent-runs"] >= 2 and found["runs"] == found["retention"] == 2
+    assert all(found[n] == 0 for n in found if n.startswith("gate-")) and found["stray-days"] == 0
 
 
 def test_raw_reader_takes_both_end_dates(spark, raw_layer):

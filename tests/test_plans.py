@@ -5,6 +5,7 @@ from conftest import DATA, seconds
 from adlake.operators import attribution as at
 from adlake.operators.changes import day_summaries
 from adlake.plans import checks
+from adlake.schemas import RAW
 from adlake.sources.raw import append_raw, read_raw
 from adlake.workload import queries
 
@@ -33,12 +34,13 @@ def test_type_filter_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in text
 
 
-def test_raw_dates_prune_partitions(spark, events, tmp_path):
+def test_raw_reader_lists_the_asked_days_only(spark, events, tmp_path):
     t = seconds("2024-03-01 12:00:00")
     append_raw(events("click", ("a", t), ("b", t + 86400)), str(tmp_path), "click")
-    text = plan(read_raw(spark, str(tmp_path), "click", "2024-03-02", "2024-03-02"))
-    assert "PartitionFilters: [isnotnull(raw_date" in text
-    assert "raw_date#" in text.split("PartitionFilters:")[1].split("]")[0]
+    one = read_raw(spark, str(tmp_path), "click", "2024-03-02", "2024-03-02")
+    assert len(one.inputFiles()) == 1 and "raw_date=2024-03-02" in one.inputFiles()[0]
+    assert [r["eid"] for r in one.collect()] == ["b"]
+    assert one.columns == RAW["click"].names
 
 
 def stored_silver(lake, events):
@@ -58,7 +60,7 @@ def test_batch_match_reads_candidate_days_only(lake, events):
     assert "event_date#" in scan.split("PartitionFilters:")[1].split("]")[0]
     assert "GreaterThanOrEqual(event_id,e3)" in scan
     assert "uid" not in scan.split("ReadSchema:")[1]
-    assert near.select("_metadata.file_path").distinct().count() <= 4
+    assert near.select("_metadata.file_path").distinct().count() == 1
     assert matched.count() == 1
 
 
@@ -81,3 +83,11 @@ def test_day_summaries_read_few_columns(lake, events):
     assert "partial_count" in text
 
 
+
+
+def test_time_range_prunes_days(spark):
+    text = plan(queries.day_partition_range(spark, SF))
+    filters = text.split("PartitionFilters:")[1].split("DataFilters")[0]
+    assert "event_date#" in filters
+    days = queries.day_partition_range(spark, SF).select("event_date").distinct().count()
+    assert days == 3

@@ -5,9 +5,10 @@ from compare import connect, duck_rows, spark_rows
 from conftest import DATA
 
 import __spark_entry__ as contract
+from adlake.workload.oracles import ORACLES
+from adlake.workload.queries import QUERIES
 
 SMALL = f"{DATA}/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,17 +16,7 @@ def duck():
     return connect(SMALL)
 
 
-# Pipelines that write tables many times over. Run with ``-m slow``; the smaller cases of
-# test_pipeline.py and test_layout.py cover the same code.
-SLOW = {
-    "silver_incremental", "silver_refresh_range", "gold_daily", "gold_full_refresh",
-    "daily_run", "compact_binpack", "compact_sort", "campaign_filter", "infra_files",
-}
-
-
-@pytest.mark.parametrize(
-    "name", [pytest.param(n, marks=pytest.mark.slow) if n in SLOW else n for n in QUERIES]
-)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     result = QUERIES[name](spark, SMALL)
     plan = result._jdf.queryExecution().executedPlan().toString()
@@ -33,17 +24,14 @@ def test_query(spark, duck, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     columns, rows = spark_rows(result)
-    if name not in ORACLES:
-        assert rows
-        return
     expected_columns, expected = duck_rows(duck, ORACLES[name])
     assert columns == expected_columns
     assert rows == expected
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"infra_files"}
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
