@@ -27,10 +27,19 @@ def read_raw(
     return read_folders(spark, root, "raw_date", held, RAW[event_type])
 
 
-def append_raw(events: DataFrame, base: str, event_type: str) -> None:
-    """Add decoded events to the raw layer, partitioned by arrival; AQE sizes the write, and an
-    hour with a large share of the rows is cut into several tasks."""
+def append_raw(
+    events: DataFrame, base: str, event_type: str, tasks: int | None = None
+) -> None:
+    """Add decoded events to the raw layer, partitioned by arrival.
+
+    AQE sizes the write, and an hour with a large share of the rows is cut into several tasks.
+    ``tasks`` sets its parallelism instead, for backfills of few rows over many hours, where
+    opening files is the work.
+    """
     rows = events.select(*RAW[event_type].names)
     hours = ("raw_date", "raw_hour")
-    placed = balanced(rows, *hours)
+    if tasks:
+        placed = rows.repartitionByRange(tasks, *hours, "kafka_partition", "kafka_offset")
+    else:
+        placed = balanced(rows, *hours)
     placed.write.mode("append").partitionBy(*hours).parquet(raw_path(base, event_type))
