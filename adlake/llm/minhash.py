@@ -169,7 +169,7 @@ def groups_to_compare(texts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("size"),
         F.min("rep").alias("low"),
         F.max("rep").alias("high"),
-        F.sum(F.shiftrightunsigned(F.xxhash64("rep"), 16)).alias("total"),
+        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("total"),
     )
     once = buckets.where("size > 1").groupBy(*same).agg(F.min("bucket").alias("bucket"))
     return staged(hits.join(staged(once.select("bucket", "size"), "buckets"), "bucket"), "members")

@@ -59,6 +59,12 @@ def test_chains_and_blocks(copies, monkeypatch, block):
     assert minhash.leaders(copies).count() == 21
 
 
+def test_a_band_value_may_be_shared_by_very_many_texts(spark):
+    texts = spark.range(140_000).selectExpr("id AS rep", "array(7L, 8L, -1 - id) AS bands")
+    got = minhash.groups_to_compare(texts).groupBy("bucket", "size").count().collect()
+    assert [tuple(r) for r in got] == [(7, 140_000, 140_000)]
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     estimates, exact = [], []
