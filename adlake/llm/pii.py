@@ -2,11 +2,13 @@
 
 A kind has a pattern, a validator and context words. Its score is a start value, plus a bonus
 where a checksum confirms it, plus a bonus where a context word stands within the words just
-before it. The base kinds (email, ip, card, phone) are reported whenever they pass their
+before or after it. The base kinds (email, ip, card, phone) are reported whenever they pass their
 validator; the further kinds (iban, ssn) only with a score of at least ``threshold``.
 
 Matches of a kind are leftmost and do not overlap; a match that fails is dropped without a
-second try inside it. Matches of different kinds may overlap. Positions are code points.
+second try inside it. Only an iban is tried again: capitals and numbers around it look like
+groups of it, so it may end at any blank, first where its country's length says, then from the
+longest on, and after a failure the search goes on at the next group. Matches of different kinds may overlap. Positions are code points.
 
 Nulls: a null text is empty: no spans, and masking leaves it null. Repeated rows give repeated
 rows, an empty table an empty result. ``mask`` keeps all columns, whatever their names.
@@ -28,7 +30,7 @@ BASE = ("email", "ip", "card", "phone")
 EXTRA = ("iban", "ssn")
 KINDS = BASE + EXTRA
 THRESHOLD = 0.6
-#: Characters before a span in which its context words are looked for.
+#: Characters before and after a span in which its context words are looked for.
 CONTEXT_CHARS = 60
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -39,6 +41,31 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Lengths of account numbers by country, from the public registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO",
+        16: "BE",
+        18: "DK FI FK FO GL NL SD",
+        19: "MK SI",
+        20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST",
+        26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA",
+        30: "JO KW MU YE",
+        31: "MT SC",
+        32: "LC",
+        33: "RU",
+    }.items()
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -97,6 +124,19 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", at + 1)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """A match is at most 68 characters, so trying its ends keeps the search linear."""
+    at = 0
+    while found := IBAN.search(text, at):
+        start, end = found.span()
+        ends = [end, *(n for n in range(end - 1, start, -1) if text[n] == " ")]
+        usual = IBAN_LENGTHS.get(text[start : start + 2])
+        ends.sort(key=lambda n: n - start - text.count(" ", start, n) != usual)
+        at = next((n for n in ends if mod_97(text[start:n])), start + 1)
+        if at > start + 1:
+            yield start, at
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -117,7 +157,7 @@ RULES = (
     Kind("ip", ".", by_pattern(IP), octets, 0.6, 0.0, frozenset({"ip", "address", "host"})),
     Kind("card", "", by_pattern(CARD), luhn, 0.3, 0.4, frozenset({"card", "visa", "credit"})),
     Kind("phone", "+", by_pattern(PHONE), dialled, 0.6, 0.0, frozenset({"phone", "tel", "call"})),
-    Kind("iban", "", by_pattern(IBAN), mod_97, 0.3, 0.6, frozenset({"iban", "account", "bank"})),
+    Kind("iban", "", ibans, mod_97, 0.3, 0.6, frozenset({"iban", "account", "bank"})),
     Kind(
         "ssn", "-", by_pattern(SSN), assigned, 0.3, 0.0, frozenset({"ssn", "social", "security"})
     ),
@@ -135,7 +175,8 @@ def find(text: str, threshold: float = THRESHOLD) -> list[Span]:
         for start, end in rule.spans(text):
             if not rule.valid(text[start:end]):
                 continue
-            nearby = WORD.findall(text[max(0, start - CONTEXT_CHARS) : start].lower())
+            before, after = text[max(0, start - CONTEXT_CHARS) : start], text[end : end + CONTEXT_CHARS]
+            nearby = WORD.findall(f"{before} {after}".lower())
             score = rule.start + rule.confirmed
             score += CONTEXT_BONUS * (not rule.words.isdisjoint(nearby))
             if rule.name in BASE or score >= threshold:

@@ -53,6 +53,27 @@ def test_further_kinds_need_a_checksum_or_context():
     assert near.score > plain.score
 
 
+@pytest.mark.parametrize("number", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFFXXX", " AND call", " 500 EUR", " I think", " 12 A 3 B", ", BIC X"])
+@pytest.mark.parametrize("before", ["", "A ", "EUR 500 ", "to AB12 ", "PO12 3456 "])
+def test_iban_among_capitals_and_numbers(before, number, after):
+    spans = [s for s in pii.find(before + number + after) if s.kind == "iban"]
+    assert [(s.start, s.end) for s in spans] == [(len(before), len(before + number))]
+    assert number not in pii.masked(before + number + after)
+
+
+def test_several_ibans_in_a_row():
+    number = "GB82 WEST 1234 5698 7654 32"
+    assert pii.masked(f"{number} {number} AND {number}") == "[IBAN] [IBAN] AND [IBAN]"
+    assert pii.find("DE88 3704 0044 0532 0130 00 BIC COBADEFFXXX") == []
+
+
+def test_context_words_after_a_span():
+    assert [s.kind for s in pii.find("078-05-1120 (SSN)")] == ["ssn"]
+    assert pii.masked("078-05-1120 is my social security number") == "[SSN] is my social security number"
+    assert pii.find("078-05-1120" + " " * 60 + "ssn") == []
+
+
 def test_masking():
     assert pii.masked("to a@b.co, +1 (017) 555-7713!") == "to [EMAIL], [PHONE]!"
     assert pii.masked("no data") == "no data"
