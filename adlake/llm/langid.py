@@ -8,7 +8,8 @@ text's probability is the product over its words.
 
 Learning counts the pieces of a sample of labelled documents: those whose id hash falls below
 ``sample_docs`` / number of labelled documents, so about ``sample_docs`` of them whatever the
-size of the corpus. Predictions read nothing but the text.
+size of the corpus. A language of which that would be fewer than ``LEAST_DOCS`` has about that
+many instead, or all it has, so every language is learned at every size. Predictions read nothing but the text.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0; so is every text if there
 is nothing to learn from. A null label is not learned from, and rows with a null id count as
@@ -31,6 +32,8 @@ from adlake.llm.common import slices
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 8_000
+#: Documents learned from of each language at least, as far as there are as many.
+LEAST_DOCS = 2_000
 FOLDS = 5
 #: Added to every count.
 SMOOTHING = 0.05
@@ -63,9 +66,14 @@ def learn(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS) -> tuple[l
     reach the driver, whatever the number of documents.
     """
     known = docs.where(~held_out(docs["doc_id"]) & docs["lang"].isNotNull() & docs["text"].isNotNull())
-    total = known.select("doc_id").count()
-    share = min(1.0, sample_docs / total) if total else 0.0
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    lang = docs["lang"].cast("string")
+    sizes = {r["lang"]: r["count"] for r in known.groupBy(lang.alias("lang")).count().collect()}
+    total, limits = sum(sizes.values()), []
+    for name, size in sizes.items():
+        share = min(1.0, max(sample_docs / total, LEAST_DOCS / size))
+        limits += [F.lit(name), F.lit(int(share * (1 << 30)))]
+    below = F.element_at(F.create_map(*limits), lang) if limits else F.lit(0)
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < below
 
     def count(batches):
         pieces = processor(path)
@@ -85,7 +93,7 @@ def learn(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS) -> tuple[l
 
     sums = (
         known.where(chosen)
-        .select(docs["lang"].cast("string"), docs["text"].cast("string"))
+        .select(lang, docs["text"].cast("string"))
         .mapInArrow(count, "lang string, piece bigint, n bigint")
         .groupBy("lang", "piece")
         .agg(F.sum("n").alias("n"))

@@ -57,6 +57,20 @@ def test_probabilities_are_a_distribution(model):
     assert langs == ["de", "en", "es", "fr"] and np.allclose(np.exp(logs).sum(axis=0), 1)
 
 
+def test_a_rare_language_is_learned(spark):
+    docs = spark.range(40_000).selectExpr(
+        "id AS doc_id", "IF(id = 1, 'qq', IF(id % 50 = 0, 'rr', 'en')) AS lang",
+        "IF(id = 1, 'zyx wvu', IF(id % 50 = 0, 'tsr qpo', 'the')) AS text",
+    )
+    assert not docs.where("id = 1").where(langid.held_out(docs["doc_id"])).count()
+    langs, logs = langid.learn(docs, PATH, 100)
+    assert langs == ["en", "qq", "rr"]
+    rare = docs.where("lang <> 'en'")
+    got = langid.predict(rare, PATH, langs, logs).collect()
+    want = {r.doc_id: r.lang for r in rare.collect()}
+    assert all(r.lang_pred == want[r.doc_id] for r in got)
+
+
 def test_held_out_accuracy(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
