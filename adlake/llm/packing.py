@@ -51,15 +51,16 @@ class WordIds(dict):
     The tokenizer drops white space and never merges across it, so a text's ids are its
     words' ids in order. A word of Latin-1 letters goes to the merge model directly, in lower
     case and as the byte alphabet's letters, with full stops and commas after it cut off;
-    any other word through the whole tokenizer.
+    any other word through the whole tokenizer, which gives its special tokens' ids to words that
+    spell them, unless ``spelled_out``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, spelled_out: bool = True):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = spelled_out
         self.merge = self.tokenizer.model.tokenize
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
@@ -97,7 +98,7 @@ def packed(ids: list[int]) -> bytes:
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     """One per worker process and file, kept between tasks."""
-    return WordIds(path)
+    return WordIds(path, spelled_out=False)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

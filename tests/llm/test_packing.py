@@ -69,6 +69,21 @@ def test_words_are_tokenized_as_the_library_does(tokenizer):
         assert np.frombuffer(known.document(text), "<u4").tolist() == want, repr(text)
 
 
+def test_special_tokens_are_those_of_an_unmodified_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    unmodified = Tokenizer.from_file(PATH)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "a", "B.", "É,", "ß", "1", "中",
+             " ", "\n", "\t", "...", "'s", "x" * 60]
+    rng = np.random.default_rng(4)
+    texts = ["<|endoftext|>", "end<|endoftext|>.", "<|startoftext|>A b.<|endoftext|>, c"]
+    texts += ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(2000)]
+    texts = list(enumerate(texts))
+    assert unmodified.encode(texts[0][1], add_special_tokens=False).ids == [49407]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    check(packing.pack(docs, PATH, 16).collect(), unmodified, texts, 16)
+
+
 @pytest.mark.parametrize("lengths", ["uniform", "short", "half", "same"])
 def test_plan_holds_everything_in_few_sequences(lengths):
     rng = np.random.default_rng(1)
