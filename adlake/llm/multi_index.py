@@ -37,7 +37,7 @@ from adlake.llm.minhash import in_blocks
 THRESHOLD = 0.98
 RECALL = 0.995
 SAMPLE = 8_192
-#: Members a cell should have on average within a label, which sets the grid's size.
+#: Members of the largest label a cell should have on average, which sets the grid's size.
 CELL_MEMBERS = 48
 MOST_CENTROIDS = 256
 BLOCK = 2_048
@@ -135,9 +135,8 @@ def members_of(vectors: DataFrame) -> DataFrame:
 
 def make_grids(members: DataFrame, threshold: float, recall: float, sample: int) -> dict[int, Grid]:
     """A grid for each dimension, from members whose hash falls below the wanted share."""
-    sizes = members.groupBy(F.size("embedding").alias("d")).agg(
-        F.count(F.lit(1)).alias("n"), F.approx_count_distinct("label").alias("labels")
-    )
+    labels = members.groupBy(F.size("embedding").alias("d"), "label").count()
+    sizes = labels.groupBy("d").agg(F.sum("count").alias("n"), F.max("count").alias("most"))
     grids = {}
     for row in sizes.collect():
         share = min(1.0, sample / row["n"])
@@ -146,7 +145,7 @@ def make_grids(members: DataFrame, threshold: float, recall: float, sample: int)
         rows = part.orderBy("rep", "label").select("embedding").toArrow()
         if not rows.num_rows:
             rows = members.where(F.size("embedding") == row["d"]).limit(1).select("embedding").toArrow()
-        wanted = np.sqrt(row["n"] / max(1, row["labels"]) / CELL_MEMBERS)
+        wanted = np.sqrt(row["most"] / CELL_MEMBERS)
         centroids = int(np.clip(round(wanted), 1, MOST_CENTROIDS))
         found = unit(matrix(rows.column("embedding"), row["d"]))
         grids[row["d"]] = build(found, centroids, threshold, recall)

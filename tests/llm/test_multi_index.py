@@ -61,6 +61,42 @@ def test_links_and_components_equal_all_pairs(spark, vectors, monkeypatch, block
     assert {r.n_links for r in got if 1000 <= r.vec_id <= 1101} == {0}
 
 
+def test_grid_follows_the_largest_label(spark):
+    vectors = spark.range(2000).selectExpr(
+        "id AS vec_id", "array(float(cos(id)), float(sin(id))) AS embedding",
+        "int(if(id < 1000, 0, id)) AS label",
+    )
+    grid = multi_index.make_grids(multi_index.members_of(vectors), 0.98, 0.995, 8192)[2]
+    assert len(grid.first) == len(grid.second) == round((1000 / multi_index.CELL_MEMBERS) ** 0.5)
+
+
+def test_recall_on_a_grid_of_many_cells(spark, monkeypatch):
+    """The table has no pair of one label at the threshold, so each vector gets a partner at
+    0.98 to 1 in a random direction."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    rng = np.random.default_rng(6)
+    x = multi_index.unit(np.array([r.embedding for r in table], dtype=float))
+    noise = rng.standard_normal(x.shape)
+    noise = multi_index.unit(noise - (noise * x).sum(1)[:, None] * x)
+    cosine = rng.uniform(0.98, 1, len(x))[:, None]
+    x = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * noise]).astype(np.float32)
+    labels = np.array([r.label for r in table] * 2)
+    rows = [(n, v, int(label)) for n, (v, label) in enumerate(zip(x.tolist(), labels))]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+
+    monkeypatch.setattr(multi_index, "CELL_MEMBERS", np.bincount(labels).max() / 20**2)
+    grid = multi_index.make_grids(multi_index.members_of(vectors), 0.98, 0.995, 8192)[x.shape[1]]
+    assert len(grid.first) >= 16 and len(grid.second) >= 16
+    x = multi_index.unit(x.astype(float))
+    want = ((x @ x.T >= 0.98) & (labels[:, None] == labels)).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in multi_index.link(vectors).collect()}
+    found, wanted = sum(got.values()), int(want.sum())
+    visited = multi_index.visits(multi_index.members_of(vectors), {x.shape[1]: grid}).count()
+    print(f"{found} of {wanted} links; {grid.cells} cells, {visited / len(x):.1f} visited")
+    assert wanted > 3000 and found >= 0.995 * wanted
+    assert all(got[n] <= want[n] for n in got)
+
+
 def test_traversal_visits_cells_in_order_of_cost():
     rng = np.random.default_rng(1)
     a, b = rng.random(7), rng.random(5)
