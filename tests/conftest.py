@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -12,8 +11,6 @@ from adlake import schemas  # noqa: E402
 from adlake.session import RESULT_SETTINGS  # noqa: E402
 from adlake.sources.tables import Lake  # noqa: E402
 
-DATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -33,11 +30,6 @@ def spark():
     session.stop()
 
 
-def seconds(text: str) -> int:
-    """Unix seconds of a UTC time such as ``2024-01-05 10:00:00``."""
-    return int(datetime.fromisoformat(text).replace(tzinfo=timezone.utc).timestamp())
-
-
 @pytest.fixture
 def events(spark):
     """Builds raw events of one type from (eid, unix seconds) pairs or dicts."""
@@ -90,5 +82,3 @@ def events(spark):
 @pytest.fixture
 def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
-
-

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import seconds
+from helpers import seconds
 from pyspark.sql import functions as F
 
 from adlake.operators import attribution as at

@@ -2,7 +2,7 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
-from conftest import seconds
+from helpers import seconds
 from pyspark.sql import functions as F
 
 from adlake.operators import changes

@@ -1,6 +1,6 @@
 """Shapes of physical plans that decide how the operators scale."""
 
-from conftest import DATA, seconds
+from helpers import DATA, seconds
 
 from adlake.operators import attribution as at
 from adlake.operators.changes import day_summaries

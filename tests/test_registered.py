@@ -2,7 +2,7 @@
 
 import pytest
 from compare import connect, duck_rows, spark_rows
-from conftest import DATA
+from helpers import DATA
 
 import __spark_entry__ as contract
 from adlake.workload.oracles import ORACLES

@@ -1,5 +1,5 @@
 import pytest
-from conftest import seconds
+from helpers import seconds
 from pyspark.sql import functions as F
 
 from adlake import schemas
