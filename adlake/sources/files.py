@@ -10,6 +10,13 @@ def _open(spark: SparkSession, name: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def qualified(spark: SparkSession, name: str) -> str:
+    """The URI of a path with the default file system filled in, for readers outside the JVM."""
+    system, path = _open(spark, name)
+    full = system.makeQualified(path).toString()
+    return full.replace("file:/", "file:///", 1) if not full.startswith("file:///") else full
+
+
 def exists(spark: SparkSession, name: str) -> bool:
     system, path = _open(spark, name)
     return system.exists(path)
