@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
+
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlake.session import scratch_path
+from adlake.sources import files
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -14,15 +22,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, partition: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 
     Later jobs reread files that every executor reaches instead of recomputing; a lost
-    executor costs its running tasks only.
+    executor costs its running tasks only. The files go with :func:`discard`, with the
+    :func:`run_folder` they were made in, or at the end of the session.
+    """
+    path = staging_path(df.sparkSession, purpose)
+    writer = df.write.partitionBy(partition) if partition else df.write
+    writer.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.staged_at = path
+    return kept
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files behind a result of :func:`staged` that nothing reads any more."""
+    files.delete(df.sparkSession, df.staged_at)
+
+
+#: Folder that staged files go to; None: the session's own.
+_current: ContextVar[str | None] = ContextVar("llm_run_folder", default=None)
+_of_session: dict[str, str] = {}
+
+
+def staging_path(spark: SparkSession, purpose: str) -> str:
+    """A fresh path in the current run's folder."""
+    folder = _current.get() or _session_folder(spark)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """One folder for all that operators stage inside the block, deleted at its end.
+
+    Results are read from staged files, so they must be written or counted inside the block.
     """
-    path = scratch_path(df.sparkSession, f"llm-{purpose}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = scratch_path(spark, "llm-run")
+    token = _current.set(path)
+    try:
+        yield path
+    finally:
+        _current.reset(token)
+        files.delete(spark, path)
+
+
+def _session_folder(spark: SparkSession) -> str:
+    """Where results live that are used after the call that made them; deleted at exit."""
+    application = spark.sparkContext.applicationId
+    if application not in _of_session:
+        path = _of_session[application] = scratch_path(spark, "llm-session")
+        atexit.register(_delete_at_exit, spark, path)
+    return _of_session[application]
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    with suppress(Py4JError, OSError):  # the JVM may have ended before
+        files.delete(spark, path)
 
 
 def whole_text(column: Column) -> Column:

@@ -43,4 +43,83 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
-ORACLES = {"op5_chat_formatting": OP5, "op6_exact_dedup": OP6}
+
+
+def op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds written out one after another; floors of quotients in whole numbers."""
+    steps = [
+        f"""kept AS (
+  SELECT vec_id, label, embedding, len(embedding) // {parts} AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, list_transform(embedding[p * w + 1 : (p + 1) * w],
+    lambda x: CAST(floor(4096.0::DOUBLE * x::DOUBLE) AS BIGINT)) AS c
+  FROM kept, range({parts}) t(p)
+), firsts AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}
+), book0 AS MATERIALIZED (SELECT p, e, c FROM parts JOIN firsts USING (vec_id))"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""near{n} AS MATERIALIZED (
+  SELECT vec_id, label, a.p, a.c, min({{'d': list_sum(list_transform(list_zip(a.c, b.c),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': b.e}}) AS best
+  FROM parts a JOIN book{n} b ON a.p = b.p GROUP BY vec_id, label, a.p, a.c
+)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""sums{n} AS (
+  SELECT p, best.e AS e, i, sum(c[i])::BIGINT AS s, count(*) AS n
+  FROM near{n}, range(1, len(c) + 1) r(i) GROUP BY ALL
+), means{n} AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM sums{n} GROUP BY p, e
+), book{n + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN means{n} m USING (p, e)
+)"""
+            )
+    return f"""WITH {", ".join(steps)}, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code,
+    sum(best.d)::BIGINT AS error
+  FROM near{rounds} GROUP BY vec_id, label
+), labels_of AS (SELECT label, sum(error)::BIGINT AS label_error FROM coded GROUP BY label)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded c JOIN labels_of l ON c.label IS NOT DISTINCT FROM l.label
+"""
+
+
+OP12 = rf"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), tfs AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM tfs GROUP BY doc_id),
+totals AS (SELECT count(*) AS d, sum(n)::BIGINT AS l FROM sizes),
+norms AS (SELECT doc_id, 100 - 50 + (50 * n * d) // l AS m FROM sizes, totals),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * d + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, d
+), impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS impact
+  FROM tfs JOIN weights USING (term) JOIN norms USING (doc_id)
+), scores AS (
+  SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term)
+  GROUP BY item_id, doc_id HAVING sum(impact) > 0
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+  doc_id, score
+FROM scores QUALIFY rank <= 50
+"""
+
+ORACLES = {
+    "op5_chat_formatting": OP5,
+    "op6_exact_dedup": OP6,
+    "op11_member_lloyd": op11(),
+    "op12_pair_maxscore": OP12,
+}

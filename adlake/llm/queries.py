@@ -7,7 +7,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, chat, exact_dedup, langid, minhash, multi_index, packing, pii, quality, sharding
+from adlake.llm import (
+    bpe,
+    chat,
+    direct_codes,
+    exact_dedup,
+    langid,
+    lexical,
+    minhash,
+    multi_index,
+    packing,
+    pii,
+    quality,
+    sharding,
+    vector_codes,
+)
 from adlake.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files, the same on every machine.
@@ -90,6 +104,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, path, langs, logs)
 
 
+def op11_member_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return direct_codes.write_and_read(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 QUERIES = {
     "op1_multi_index": op1_multi_index,
     "op2_rendezvous_sharding": op2_rendezvous_sharding,
@@ -101,4 +128,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
+    "op11_member_lloyd": op11_member_lloyd,
+    "op12_pair_maxscore": op12_pair_maxscore,
+    "op13_direct_codes": op13_direct_codes,
 }
