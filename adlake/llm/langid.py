@@ -19,12 +19,12 @@ empty table an empty result; extra columns are not read. Texts are read whole.
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +43,8 @@ MARK = "▁"
 #: Remembered words per worker process; a full memory is emptied.
 MEMORY = 600_000
 REMEMBERED_CHARS = 48
-LETTER = re.compile(r"[^\W\d_]")
+#: Unicode letters, category L; numerals and symbols are none.
+LETTER = regex.compile(r"\p{L}")
 
 
 def held_out(doc_id: Column) -> Column:

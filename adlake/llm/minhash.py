@@ -7,6 +7,19 @@ shingle it came from. A shingle stops once its next arrival cannot be the earlie
 Two documents agree in a register with the probability Jaccard similarity of their counts,
 which is the plain Jaccard similarity where no shingle repeats. Registers are joined into
 bands; documents that share a band are candidates and their similarity is computed exactly.
+
+Texts that share a band are compared in parts of about ``BLOCK`` texts or ``BLOCK_SHINGLES``
+shingles. Every part also holds the group's leader. Members that a part connects to the leader
+are in one class and need no further comparison with each other; only the rest, usually nobody,
+is compared with the members of all other parts. A group of copies is thus sent on once, however
+large it is.
+
+Different texts are told apart by their content and numbered, whatever their ids: one id may
+stand on several texts, and ids may be null. A null text is empty; a text without words is like no
+other. Equal texts are one. A class is named by the smallest id in it, null if it has none, and is
+led by one row: of the rows with that id the one whose text was numbered first, once if it is
+repeated. An empty table gives an empty result; very long texts are read whole; of extra columns
+:func:`leaders` returns all and the rest none.
 """
 
 from __future__ import annotations
@@ -23,8 +36,8 @@ from adlake.llm.graph import components, local_roots
 SHINGLE = 5
 BANDS, ROWS = 24, 6
 THRESHOLD = 0.8
-#: Texts compared in one task, at most about twice as many.
-BLOCK = 512
+#: Texts, and shingles, of a part: about what a task compares at a time.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: Shingles compared at a time within a task.
 COLUMNS = 4096
 
@@ -109,9 +122,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(doc_id, content, bands): ``content`` is a digest of the text, ``bands`` null if it has
-    no word."""
-    names = ["doc_id", "content", "bands"]
+    """(doc_id, content, bands, shingles): ``content`` is a digest of the text, ``bands`` null if
+    it has no word, ``shingles`` their number."""
+    names = ["doc_id", "content", "bands", "shingles"]
 
     def run(batches):
         for batch in batches:
@@ -123,22 +136,24 @@ def sketch(docs: DataFrame) -> DataFrame:
                 ends = np.arange(0, hashes.size + 1, BANDS, dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.ravel()))
                 # a text without words has no shingle and meets nobody
-                some = pa.array([len(ids) > 0 for ids, _ in found])
-                lists = pc.if_else(some, lists, pa.scalar(None, lists.type))
-                yield pa.RecordBatch.from_arrays([*rows.columns[:2], lists], names)
+                size = pa.array([len(ids) for ids, _ in found], pa.int64())
+                lists = pc.if_else(pc.greater(size, 0), lists, pa.scalar(None, lists.type))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], lists, size], names)
 
     narrow = docs.select(
         docs["doc_id"].cast("long"), content(docs), docs["text"].cast("string").alias("text")
     )
-    return narrow.mapInArrow(run, "doc_id bigint, content string, bands array<bigint>")
+    return narrow.mapInArrow(
+        run, "doc_id bigint, content string, bands array<bigint>, shingles bigint"
+    )
 
 
 def content(docs: DataFrame) -> Column:
     return F.sha2(F.encode(whole_text(docs["text"]), "UTF-8"), 256).alias("content")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(rep, shingles, counts) from (rep, text)."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(node, shingles, counts) from (node, text)."""
 
     def run(batches):
         for batch in batches:
@@ -151,28 +166,76 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                     for values in (ids.view(np.int64), counts.astype(np.int32))
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), *lists], ["rep", "shingles", "counts"]
+                    [rows.column(0), *lists], ["node", "shingles", "counts"]
                 )
 
-    return docs.mapInArrow(run, "rep bigint, shingles array<bigint>, counts array<int>")
+    return texts.mapInArrow(run, "node bigint, shingles array<bigint>, counts array<int>")
 
 
 def groups_to_compare(texts: DataFrame) -> DataFrame:
-    """(bucket, size, rep), staged: the members of every band value that two texts share.
+    """(bucket, node, leader, parts), staged: the members of every band value that two texts share.
 
     Bands that hold the same texts are compared once: they agree in size, ends and the sum of
-    their members' hashes.
+    their members' hashes. The leader is the first member; ``parts`` is how many parts the group
+    is dealt into.
     """
-    hits = texts.select("rep", F.explode("bands").alias("bucket"))
-    same = ["size", "low", "high", "total"]
+    hits = texts.select("node", "shingles", F.explode("bands").alias("bucket"))
+    same = ["size", "leader", "last", "total"]
     buckets = hits.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("size"),
-        F.min("rep").alias("low"),
-        F.max("rep").alias("high"),
-        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("total"),
+        F.min("node").alias("leader"),
+        F.max("node").alias("last"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("total"),
+        F.sum("shingles").alias("weight"),
+    )
+    once = buckets.where("size > 1").groupBy(*same).agg(
+        F.min("bucket").alias("bucket"), F.first("weight").alias("weight")
+    )
+    parts = F.greatest(
+        F.ceil(F.col("size") / F.lit(BLOCK)), F.ceil(F.col("weight") / F.lit(BLOCK_SHINGLES))
+    )
+    once = staged(once.select("bucket", "leader", parts.cast("int").alias("parts")), "buckets")
+    return staged(hits.select("node", "bucket").join(once, "bucket"), "members")
+
+
+def part_of(node: Column, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(node), parts).cast("int")
+
+
+def near_leaders(members: DataFrame) -> DataFrame:
+    """(bucket, part, several, leads, node): members in their parts, the leader in each of them."""
+    alone = F.array(part_of(F.col("node"), F.col("parts")))
+    leads = F.col("node") == F.col("leader")
+    places = F.when(leads, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(alone)
+    several = (F.col("parts") > 1).alias("several")
+    return members.select("bucket", F.explode(places).alias("part"), several, leads.alias("leads"), "node")
+
+
+def rest_pairs(members: DataFrame, rest: DataFrame) -> DataFrame:
+    """(bucket, i, part, rests, own, node): the rest, in blocks i, beside every part of its group.
+
+    ``own`` is the part a node was compared in before, where it meets nobody new.
+    """
+    size = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("rest_size"))
+    blocks = F.ceil(F.col("rest_size") / F.lit(BLOCK)).cast("int")
+    own = part_of(F.col("node"), F.col("parts")).alias("own")
+    left = rest.join(size, "bucket").join(members, ["bucket", "node"]).select(
+        "bucket",
+        part_of(F.col("node"), blocks).alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(True).alias("rests"),
+        own,
+        "node",
+    )
+    right = members.join(size, "bucket").select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"),
+        own.alias("part"),
+        F.lit(False).alias("rests"),
+        own,
+        "node",
     )
-    once = buckets.where("size > 1").groupBy(*same).agg(F.min("bucket").alias("bucket"))
-    return staged(hits.join(staged(once.select("bucket", "size"), "buckets"), "bucket"), "members")
+    return left.unionByName(right)
 
 
 def in_blocks(members: DataFrame, key: str, size: Column, block: int) -> DataFrame:
@@ -227,81 +290,138 @@ def overlaps(owner: np.ndarray, ids: np.ndarray, counts: np.ndarray, owners: int
     return (both - least) / np.maximum(total[:, None] + total[None, :] - least, 1e-9)
 
 
-def compare(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges (a, b) that connect what the links within each task connect."""
+def links(table: pa.Table, threshold: float, meets) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes in ascending order and the local root of each, by links among the pairs that
+    ``meets(left, right)`` selects."""
+    node = table.column("node").to_numpy()
+    lists = [table.column(c).combine_chunks() for c in ("shingles", "counts")]
+    sizes = lists[0].value_lengths().to_numpy()
+    ids = lists[0].flatten().to_numpy().view(np.uint64)
+    counts = lists[1].flatten().to_numpy().astype(np.int64)
+    owner, ends = np.repeat(np.arange(len(node)), sizes), np.concatenate([[0], np.cumsum(sizes)])
+    bound = np.triu(overlaps(owner, ids, counts, len(node)), 1)
+    left, right = np.nonzero(bound >= threshold - 1e-4)
+    ok = meets(left, right)
+    left, right = left[ok], right[ok]
+    repeats = np.bincount(owner, counts > 1, len(node)) > 0
+    sure = ~(repeats[left] | repeats[right]) & (bound[left, right] >= threshold + 1e-4)
+    roots = local_roots(len(node), left[sure], right[sure])
+    for a, b in zip(left[~sure], right[~sure]):
+        if roots[a] == roots[b]:
+            continue
+        pair = [(ids[ends[n] : ends[n + 1]], counts[ends[n] : ends[n + 1]]) for n in (a, b)]
+        if similarity(*pair) >= threshold:
+            low, high = sorted((roots[a], roots[b]))
+            roots[roots == high] = low
+    return node, roots
+
+
+def in_order(table: pa.Table) -> pa.Table:
+    return table.sort_by("node").combine_chunks()
+
+
+def compare_parts(groups: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, a, b) of parts with their leaders: edges that connect what the links within the
+    part connect, and (bucket, a, null) for members of a larger group that are not connected to
+    the leader."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = in_order(table)
+        node, roots = links(table, threshold, lambda left, right: np.ones(len(left), dtype=bool))
+        tied = np.flatnonzero(roots != np.arange(len(node)))
+        a, b = [node[tied]], [pa.array(node[roots[tied]])]
+        if table.column("several")[0].as_py():
+            lead = np.flatnonzero(table.column("leads").to_numpy())[0]
+            apart = node[roots != roots[lead]]
+            a.append(apart)
+            b.append(pa.nulls(len(apart), pa.int64()))
+        a, bucket = np.concatenate(a), table.column("bucket")[0].as_py()
+        return pa.table({"bucket": np.full(len(a), bucket), "a": a, "b": pa.concat_arrays(b)})
+
+    return groups.groupBy("bucket", "part").applyInArrow(run, "bucket bigint, a bigint, b bigint")
+
+
+def compare_rest(groups: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) between the rest and members of other parts."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        rep, part = table.column("rep").to_numpy(), table.column("part").to_numpy()
-        order = np.argsort(rep, kind="stable")
-        rep, part = rep[order], part[order]
-        lists = [pc.take(table.column(c), pa.array(order)).combine_chunks() for c in ("shingles", "counts")]
-        sizes = lists[0].value_lengths().to_numpy()
-        ids = lists[0].flatten().to_numpy().view(np.uint64)
-        counts = lists[1].flatten().to_numpy().astype(np.int64)
-        owner, ends = np.repeat(np.arange(len(rep)), sizes), np.concatenate([[0], np.cumsum(sizes)])
-        bound = np.triu(overlaps(owner, ids, counts, len(rep)), 1)
-        left, right = np.nonzero(bound >= threshold - 1e-4)
-        if table.column("i")[0].as_py() != table.column("j")[0].as_py():
-            across = part[left] != part[right]
-            left, right = left[across], right[across]
-        repeats = np.bincount(owner, counts > 1, len(rep)) > 0
-        sure = ~(repeats[left] | repeats[right]) & (bound[left, right] >= threshold + 1e-4)
-        roots = local_roots(len(rep), left[sure], right[sure])
-        for a, b in zip(left[~sure], right[~sure]):
-            if roots[a] == roots[b]:
-                continue
-            pair = [(ids[ends[n] : ends[n + 1]], counts[ends[n] : ends[n + 1]]) for n in (a, b)]
-            if similarity(*pair) >= threshold:
-                low, high = sorted((roots[a], roots[b]))
-                roots[roots == high] = low
-        tied = np.flatnonzero(roots != np.arange(len(rep)))
-        return pa.table({"a": rep[tied], "b": rep[roots[tied]]})
-
-    return groups.groupBy("bucket", "i", "j").applyInArrow(run, "a bigint, b bigint")
+        table = in_order(table)
+        rests, own = (table.column(c).to_numpy() for c in ("rests", "own"))
+        part = table.column("part")[0].as_py()
+
+        def meets(left, right):
+            new = np.where(rests[left], own[left], own[right]) != part
+            return (rests[left] != rests[right]) & new
+
+        node, roots = links(table, threshold, meets)
+        tied = np.flatnonzero(roots != np.arange(len(node)))
+        tied = tied[node[tied] != node[roots[tied]]]
+        return pa.table({"a": node[tied], "b": node[roots[tied]]})
+
+    return groups.groupBy("bucket", "i", "part").applyInArrow(run, "a bigint, b bigint")
+
+
+def connections(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Edges (a, b) whose components are the classes of near copies."""
+    first = staged(compare_parts(near_leaders(members).join(sets, "node"), threshold), "links")
+    edges = first.where("b IS NOT NULL").select("a", "b")
+    rest = first.where("b IS NULL").select("bucket", F.col("a").alias("node"))
+    if rest.isEmpty():
+        return edges
+    more = compare_rest(rest_pairs(members, rest).join(sets, "node"), threshold)
+    return edges.unionByName(more)
 
 
 def content_classes(rows: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(content, rep, class_id), staged: the smallest id of each text and of its class."""
-    texts = staged(
-        rows.groupBy("content").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
-        "contents",
+    """(content, doc, class_id, leading), staged: the smallest id of each text and of its class,
+    and whether it is the text that leads the class."""
+    texts = rows.groupBy("content").agg(
+        F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles")
     )
-    members = groups_to_compare(texts.where("rep IS NOT NULL AND bands IS NOT NULL"))
-    wanted = members.select("rep").distinct().join(texts.select("content", "rep"), "rep")
-    texts_of = docs.select(
-        docs["doc_id"].cast("long").alias("rep"),
-        content(docs),
-        docs["text"].cast("string").alias("text"),
-    ).join(wanted, ["rep", "content"], "left_semi")
-    sets = staged(shingle_sets(texts_of.select("rep", "text")), "shingles")
-    groups = in_blocks(members, "rep", F.col("size"), BLOCK).join(
-        sets.dropDuplicates(["rep"]), "rep"
+    texts = staged(texts.withColumn("node", F.monotonically_increasing_id()), "contents")
+    members = groups_to_compare(texts.where("bands IS NOT NULL"))
+    wanted = members.select("node").distinct().join(texts.select("node", "content", "doc"), "node")
+    held = docs.select(
+        docs["doc_id"].cast("long").alias("id"), content(docs), docs["text"].cast("string").alias("text")
     )
-    groups = groups.select("bucket", "i", "j", "part", "rep", "shingles", "counts")
-    linked = components(compare(groups, threshold)).withColumnRenamed("id", "rep")
-    named = texts.select("content", "rep").join(linked, "rep", "left")
-    return staged(
-        named.select("content", "rep", F.coalesce("component", "rep").alias("class_id")), "classes"
+    same = (held["content"] == wanted["content"]) & held["id"].eqNullSafe(wanted["doc"])
+    texts_of = held.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+    sets = staged(shingle_sets(texts_of), "shingles")
+    linked = components(connections(members, sets, threshold)).withColumnRenamed("id", "node")
+    names = texts.select("node", "content", "doc")
+    tied = staged(names.join(linked, "node"), "linked")
+    order = F.struct(F.col("doc").isNull().alias("absent"), "doc", "node")
+    best = tied.groupBy("component").agg(F.min(order).alias("best"))
+    best = best.select("component", F.col("best.doc").alias("class_id"), F.col("best.node").alias("lead"))
+    classed = tied.join(best, "component").select(
+        "content", "doc", "class_id", (F.col("node") == F.col("lead")).alias("leading")
     )
+    alone = names.join(linked, "node", "left_anti").select(
+        "content", "doc", F.col("doc").alias("class_id"), F.lit(True).alias("leading")
+    )
+    return staged(classed.unionByName(alone), "classes")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: doc_id, class_id, leads.
 
     ``class_id`` is the smallest id among the documents connected to this one by links of at
-    least ``threshold``; ``leads`` marks the rows with that id.
+    least ``threshold``; ``leads`` marks one row of each class, which has that id.
     """
     rows = staged(sketch(docs), "sketch")
     named = content_classes(rows, docs, threshold)
-    leads = F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))
-    return rows.join(named, "content").select("doc_id", "class_id", leads.alias("leads"))
+    counted = rows.groupBy("content", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    leads = F.col("leading") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    copies = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: leads & (i == 1))
+    return counted.join(named, "content").select(
+        "doc_id", "class_id", F.explode(copies).alias("leads")
+    )
 
 
 def leaders(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class with all its columns: the one whose id names the class."""
     named = content_classes(staged(sketch(docs), "sketch"), docs, threshold)
-    leading = named.where(F.col("rep").eqNullSafe(F.col("class_id"))).select("content")
+    leading = named.where("leading").select("content")
     packed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         content(docs),

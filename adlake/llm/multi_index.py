@@ -7,13 +7,14 @@ distances of their halves (multi-sequence traversal), until their cost exceeds i
 direction, lives in a visited cell with probability ``recall``; nearer partners are found more
 often, and a pair has two chances, from either side. Meeting in a cell, pairs are verified by
 their cosine in double precision. Every vector is indexed; only codebooks and slack come from a
-sample of at most about ``sample`` vectors.
+sample of at most about ``sample`` vectors, or 16 for each centroid where those are more.
 
 Vectors link only within equal labels and dimensions. Null labels, null, empty or zero vectors
 and vectors with null or non-finite components link with nothing and stay alone. Equal vectors
-are one member with a number of copies, which all link with each other. A null id takes part as
-a copy only: a vector no other row has is alone, with a null component. Repeated rows count as
-copies. An empty table gives an empty result; extra columns are not read.
+are one member with a number of copies, which all link with each other. Members are numbered, so
+one id may stand on several vectors and each row has the links of its own vector. A null id links
+like any other and never names a component that has an id. Repeated rows count as copies. An
+empty table gives an empty result; extra columns are not read.
 
 No pair is ever a row: a task compares the members of one cell by matrix products and returns
 for each member how many others it is linked to and whom it is connected to. A cell with many
@@ -39,7 +40,9 @@ RECALL = 0.995
 SAMPLE = 8_192
 #: Members of the largest label a cell should have on average, which sets the grid's size.
 CELL_MEMBERS = 48
-MOST_CENTROIDS = 256
+#: Sampled members of a centroid at least, where that asks for more than ``sample``: the number of
+#: centroids, and with it the sample, grows with the root of the largest label.
+SAMPLED_MEMBERS = 16
 BLOCK = 2_048
 
 
@@ -119,18 +122,17 @@ def matrix(column: pa.ChunkedArray | pa.Array, dimension: int) -> np.ndarray:
 
 
 def members_of(vectors: DataFrame) -> DataFrame:
-    """(label, embedding, rep, copies), staged: the different vectors that can link."""
+    """(label, embedding, rep, copies, node), staged: the different vectors that can link, their
+    smallest id, and a number that tells them apart whatever their ids."""
     values = F.col("embedding")
     fine = F.forall(
         values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     ) & F.exists(values, lambda v: v != 0)
     usable = vectors.where("label IS NOT NULL AND embedding IS NOT NULL").where(fine)
-    return staged(
-        usable.groupBy("label", "embedding").agg(
-            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
-        ),
-        "vectors",
+    different = usable.groupBy("label", "embedding").agg(
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
+    return staged(different.withColumn("node", F.monotonically_increasing_id()), "vectors")
 
 
 def make_grids(members: DataFrame, threshold: float, recall: float, sample: int) -> dict[int, Grid]:
@@ -139,14 +141,13 @@ def make_grids(members: DataFrame, threshold: float, recall: float, sample: int)
     sizes = labels.groupBy("d").agg(F.sum("count").alias("n"), F.max("count").alias("most"))
     grids = {}
     for row in sizes.collect():
-        share = min(1.0, sample / row["n"])
+        centroids = max(1, round(np.sqrt(row["most"] / CELL_MEMBERS)))
+        share = min(1.0, max(sample, SAMPLED_MEMBERS * centroids) / row["n"])
         chosen = F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < int(share * (1 << 30))
         part = members.where((F.size("embedding") == row["d"]) & chosen)
-        rows = part.orderBy("rep", "label").select("embedding").toArrow()
+        rows = part.orderBy("rep", "label", "embedding").select("embedding").toArrow()
         if not rows.num_rows:
             rows = members.where(F.size("embedding") == row["d"]).limit(1).select("embedding").toArrow()
-        wanted = np.sqrt(row["most"] / CELL_MEMBERS)
-        centroids = int(np.clip(round(wanted), 1, MOST_CENTROIDS))
         found = unit(matrix(rows.column("embedding"), row["d"]))
         grids[row["d"]] = build(found, centroids, threshold, recall)
     return grids
@@ -171,7 +172,7 @@ def visits(members: DataFrame, grids: dict[int, Grid]) -> DataFrame:
                     [*rows.schema.names, "cells"],
                 )
 
-    named = members.select("label", "embedding", "rep", "copies", F.size("embedding").alias("d"))
+    named = members.select("label", "embedding", "node", "copies", F.size("embedding").alias("d"))
     schema = named.select("*", F.array(F.lit(0)).alias("cells")).schema
     return named.mapInArrow(run, schema).select("*", F.explode("cells").alias("cell"))
 
@@ -183,7 +184,7 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
     pairs across them count.
     """
     d, cell = table.column("d")[0].as_py(), table.column("cell")[0].as_py()
-    rep, part = table.column("rep").to_numpy(), table.column("part").to_numpy()
+    node, part = table.column("node").to_numpy(), table.column("part").to_numpy()
     copies = table.column("copies").to_numpy()
     cells = table.column("cells").combine_chunks()
     starts, flat = cells.offsets.to_numpy(), cells.flatten().to_numpy()
@@ -199,18 +200,18 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
         ok = part[left] != part[right]
         left, right = left[ok], right[ok]
     resident = home[left] == cell
-    owner = np.repeat(np.arange(len(rep)), np.diff(starts))
+    owner = np.repeat(np.arange(len(node)), np.diff(starts))
     visited = np.isin(right * (flat.max() + 1) + home[left], owner * (flat.max() + 1) + flat)
     once = np.where(resident, left < right, ~visited | (home[left] > cell))
     left, right = left[once], right[once]
-    links = np.bincount(left, copies[right], len(rep)) + np.bincount(right, copies[left], len(rep))
-    order = np.argsort(rep, kind="stable")
+    links = np.bincount(left, copies[right], len(node)) + np.bincount(right, copies[left], len(node))
+    order = np.argsort(node, kind="stable")
     place = np.empty_like(order)
     place[order] = np.arange(len(order))
-    roots = rep[order][local_roots(len(rep), place[left], place[right])][place]
+    roots = node[order][local_roots(len(node), place[left], place[right])][place]
     some = np.flatnonzero(links > 0)
     return pa.table(
-        {"rep": rep[some], "root": roots[some], "links": links[some].astype(np.int64)}
+        {"node": node[some], "root": roots[some], "links": links[some].astype(np.int64)}
     )
 
 
@@ -224,26 +225,29 @@ def link(
     rows = vectors.select("vec_id", "label", "embedding")
     members = members_of(rows)
     grids = make_grids(members, threshold, recall, sample)
-    met = staged(visits(members.where("rep IS NOT NULL"), grids), "visits")
+    met = staged(visits(members, grids), "visits")
     sizes = met.groupBy("label", "d", "cell").agg(F.count(F.lit(1)).alias("size"))
     same = ["label", "d", "cell"]
-    dealt = in_blocks(met.join(staged(sizes, "cells"), same), "rep", F.col("size"), BLOCK)
+    dealt = in_blocks(met.join(staged(sizes, "cells"), same), "node", F.col("size"), BLOCK)
     found = staged(
         dealt.groupBy(*same, "i", "j").applyInArrow(
-            lambda table: compare(table, threshold), "rep bigint, root bigint, links bigint"
+            lambda table: compare(table, threshold), "node bigint, root bigint, links bigint"
         ),
         "links",
     )
-    linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    linked = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    linked = staged(linked.withColumnRenamed("id", "node").join(members.select("node", "rep"), "node"), "linked")
+    names = linked.groupBy("component").agg(F.min("rep").alias("name"))
+    named_nodes = linked.join(names, "component").select("node", "name")
+    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = (
-        members.join(counts, "rep", "left")
-        .join(linked.withColumnRenamed("id", "rep"), "rep", "left")
+        members.join(counts, "node", "left")
+        .join(named_nodes, "node", "left")
         .select(
             "label",
             "embedding",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("name", "rep").alias("component"),
         )
     )
     joined = rows.join(staged(named, "named"), ["label", "embedding"], "left")

@@ -92,3 +92,8 @@ def test_odd_rows_ties_and_empty(odd_docs, no_docs, model):
     flat = (["aa", "bb"], np.full((32000, 2), log(1 / 32000)))
     tied = {r.doc_id: r for r in langid.predict(odd_docs, PATH, *flat).collect()}
     assert tied[8].lang_pred == "aa" and tied[8].score == pytest.approx(0.5)
+
+
+@pytest.mark.parametrize("text", ["\u00bd \u00b2 \u2460 \u2167", "12 34", "!?", "\u0664"])
+def test_numerals_and_symbols_are_no_letters(text):
+    assert not langid.LETTER.search(text) and langid.LETTER.search(text + "\u00e9")

@@ -6,21 +6,39 @@ import pytest
 from adlake.llm import graph, minhash
 
 
+def shingle_counts(text):
+    """Counts of runs of five words; a shorter text is one run."""
+    words = (text or "").lower().split()
+    size = min(5, len(words))
+    return Counter(tuple(words[n : n + size]) for n in range(len(words) - size + 1)) if words else Counter()
+
+
+def plain_similarity(x, y):
+    """Probability Jaccard similarity by its definition."""
+    shared = x.keys() & y.keys()
+    if not shared:
+        return 0.0
+    if len(x) == sum(x.values()) and len(y) == sum(y.values()):  # all terms are 1 / |union|
+        return len(shared) / len(x.keys() | y.keys())
+    both = x.keys() | y.keys()
+    return sum(1 / sum(max(x[e] / x[d], y[e] / y[d]) for e in both) for d in shared)
+
+
 def brute(docs):
     """Class of each (id, text) by comparing all pairs of texts."""
-    sets = {t: minhash.shingles(t or "") for _, t in docs}
-    texts = list(sets)
-    root = {t or "": t or "" for t in texts}
+    sets = {t or "": shingle_counts(t) for _, t in docs}
+    root = {t: t for t in sets}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for n, a in enumerate(texts):
-        for b in texts[:n]:
-            if minhash.similarity(sets[a], sets[b]) >= minhash.THRESHOLD:
-                root[find(a or "")] = find(b or "")
+    for n, a in enumerate(sets):
+        for b in list(sets)[:n]:
+            if min(map(len, (sets[a], sets[b]))) >= 0.5 * max(map(len, (sets[a], sets[b]))):
+                if plain_similarity(sets[a], sets[b]) >= 0.8:
+                    root[find(a)] = find(b)
     least = {}
     for doc, text in docs:
         if doc is not None:
@@ -36,6 +54,16 @@ def test_classes_equal_all_pairs(documents):
     assert all(r.leads == (r.doc_id == r.class_id) for r in rows)
 
 
+def test_shingles_and_similarity_equal_the_definition(documents):
+    texts = [r.text for r in documents.limit(40).collect()] + ["a a a a a a a b", "a a a a a a b b", "x", ""]
+    for text in texts:
+        ids, counts = minhash.shingles(text)
+        assert sorted(counts) == sorted(shingle_counts(text).values()) and len(set(ids)) == len(ids)
+    for a, b in zip(texts, texts[1:]):
+        want = plain_similarity(shingle_counts(a), shingle_counts(b))
+        assert minhash.similarity(minhash.shingles(a), minhash.shingles(b)) == pytest.approx(want)
+
+
 @pytest.fixture(scope="module")
 def copies(spark):
     """A chain of texts in which neighbours are near and ends are not, some of them repeated."""
@@ -59,10 +87,49 @@ def test_chains_and_blocks(copies, monkeypatch, block):
     assert minhash.leaders(copies).count() == 21
 
 
+def test_one_id_on_several_texts_and_null_ids(spark):
+    """Classes are of texts: an id that stands on two of them joins none, and no id loses none."""
+    words = [[f"{name}{n}" for n in range(100)] for name in "abcd"]
+    a, b, c, d = (" ".join(w) for w in words)
+    a2, b2, c2 = (" ".join([*w[:99], "x"]) for w in words[:3])
+    rows = [(1, a), (1, b), (2, a2), (3, b2), (None, c), (None, c2), (None, d), (4, d), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minhash.classes(df).collect()
+    want = [(1, 1), (1, 1), (2, 1), (3, 1), (None, None), (None, None), (None, None), (None, 4), (4, 4)]
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter(want) == brute(rows)
+    # One row leads each of the four classes.
+    assert Counter(r.doc_id for r in got if r.leads) == Counter([1, 1, None, 4])
+    left = Counter((r.doc_id, r.text) for r in minhash.leaders(df).collect())
+    assert left in [Counter([(1, a), (1, b), (4, d), (None, t)]) for t in (c, c2)]
+
+
 def test_a_band_value_may_be_shared_by_very_many_texts(spark):
-    texts = spark.range(140_000).selectExpr("id AS rep", "array(7L, 8L, -1 - id) AS bands")
-    got = minhash.groups_to_compare(texts).groupBy("bucket", "size").count().collect()
-    assert [tuple(r) for r in got] == [(7, 140_000, 140_000)]
+    texts = spark.range(140_000).selectExpr(
+        "id AS node", "5L AS shingles", "array(7L, 8L, -1 - id) AS bands"
+    )
+    got = minhash.groups_to_compare(texts).groupBy("bucket", "leader", "parts").count().collect()
+    assert [tuple(r) for r in got] == [(7, 0, -(-140_000 // minhash.BLOCK), 140_000)]
+
+
+def test_a_large_group_is_sent_on_once(spark):
+    """100,000 near copies: each is one row, and the leader one in each part; the rest alone meets
+    other parts."""
+    parts = -(-100_000 // minhash.BLOCK)
+    members = spark.range(100_000).selectExpr(
+        "1L AS bucket", "id AS node", "0L AS leader", f"{parts} AS parts"
+    )
+    rows = minhash.near_leaders(members)
+    assert rows.count() == 100_000 - 1 + parts
+    assert rows.where("leads").select("part").distinct().count() == parts
+    # 512 texts a part on average.
+    assert rows.groupBy("part").count().agg({"count": "max"}).first()[0] < 2 * minhash.BLOCK
+    rest = members.where("node % 20000 = 1").select("bucket", "node")
+    assert minhash.rest_pairs(members, rest).count() == 100_000 + 5 * parts
+
+
+def test_long_texts_are_cut_into_parts_by_their_shingles(spark):
+    texts = spark.range(10).selectExpr("id AS node", "1000000L AS shingles", "array(3L) AS bands")
+    assert {r.parts for r in minhash.groups_to_compare(texts).collect()} == {10}
 
 
 def test_registers_estimate_probability_jaccard():

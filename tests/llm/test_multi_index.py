@@ -28,6 +28,18 @@ def brute(rows, threshold):
     return {ids[n]: (len(linked[n]), component[n]) for n in range(len(rows))}
 
 
+def test_one_id_on_several_vectors(spark):
+    """Every row has the links of its own vector."""
+    near = [1.0, 0.01]
+    rows = [(4, [1.0, 0.0], 1), (4, [0.0, 1.0], 1), (1, near, 1), (2, [1.0, -0.01], 1), (3, [0.01, 1.0], 1)]
+    rows += [(None, [-1.0, 0.0], 1), (9, [-1.0, 0.01], 1), (None, [0.0, -1.0], 1)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in multi_index.link(df).collect()), key=str)
+    want = [(4, 2, 1, False), (4, 1, 3, False), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True)]
+    want += [(None, 1, 9, False), (9, 1, 9, True), (None, 0, None, True)]
+    assert got == sorted(want, key=str)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)
