@@ -50,6 +50,8 @@ BLOCK_BITS = 512
 BLOCK_WORDS = BLOCK_BITS // 64
 #: A task begins a new file after as many tokens.
 FILE_TOKENS = 1 << 23
+#: Tokens decoded at a time when all documents are read.
+RUN_TOKENS = 1 << 17
 #: Files whose starts are summed in one group.
 FILE_GROUP = 1_024
 
@@ -79,9 +81,10 @@ class Encoder:
         self.starts: list[int] = []
         self.tokens = 0
 
-    def add(self, doc, ids: np.ndarray) -> None:
-        self.ids.append(doc)
-        self.starts.append(self.tokens)
+    def add(self, docs: list, sizes: list[int], ids: np.ndarray) -> None:
+        """Consecutive documents: their ids, numbers of tokens and tokens."""
+        self.ids += docs
+        self.starts += (self.tokens + np.cumsum([0, *sizes[:-1]])).tolist()
         self.tokens += len(ids)
         rest, level = ids, 0
         while len(rest):
@@ -196,6 +199,14 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
         system.create_dir(base, recursive=True)
         known, end = word_ids(path), np.array([END_ID], dtype="<u4").tobytes()
         task, number, codes = TaskContext.get().partitionId(), 0, Encoder()
+        docs, texts = [], []
+
+        def flush() -> None:
+            if docs:
+                sizes = [len(t) // 4 for t in texts]
+                codes.add(list(docs), sizes, np.frombuffer(b"".join(texts), dtype="<u4"))
+                docs.clear()
+                texts.clear()
 
         def close() -> pa.RecordBatch:
             name = f"{uuid.uuid4().hex}.dac"
@@ -209,12 +220,16 @@ def write(docs: DataFrame, path: str, folder: str) -> DataFrame:
         schema = pa.schema(list(zip(names, kinds)))
         for batch in batches:
             for rows in slices(batch):
+                held = 0
                 for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                    ids = known.document(text or "")[:-4] + end
-                    codes.add(doc, np.frombuffer(ids, dtype="<u4"))
-                    if codes.tokens >= FILE_TOKENS:
+                    docs.append(doc)
+                    texts.append(known.document(text or "")[:-4] + end)
+                    held += len(texts[-1]) // 4
+                    if codes.tokens + held >= FILE_TOKENS:
+                        flush()
                         yield close()
-                        number, codes = number + 1, Encoder()
+                        number, codes, held = number + 1, Encoder(), 0
+                flush()
         if codes.tokens:
             yield close()
 
@@ -243,6 +258,16 @@ def with_starts(manifest: DataFrame) -> DataFrame:
     return placed.withColumn("first", F.col("inside") + F.col("shift")).drop("of", "inside", "shift")
 
 
+def runs_of(starts: np.ndarray):
+    """Consecutive documents (first, end) of about ``RUN_TOKENS`` tokens, at least one."""
+    first, last = 0, len(starts) - 1
+    while first < last:
+        end = int(np.searchsorted(starts, starts[first] + RUN_TOKENS))
+        end = min(max(end, first + 1), last)
+        yield first, end
+        first = end
+
+
 def read(manifest: DataFrame) -> DataFrame:
     """Every document of the files: doc_id, start, n_tokens, ids_crc32."""
 
@@ -251,10 +276,10 @@ def read(manifest: DataFrame) -> DataFrame:
             for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 codes = open_codes(name)
                 ids, starts = codes.index()
-                sums = [
-                    zlib.crc32(codes.ids(a, b - a).tobytes())
-                    for a, b in zip(starts.tolist(), starts[1:].tolist())
-                ]
+                sums = []
+                for a, b in runs_of(starts):
+                    tokens, ends = codes.ids(starts[a], starts[b] - starts[a]), starts[a : b + 1] - starts[a]
+                    sums += [zlib.crc32(tokens[x:y]) for x, y in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()),

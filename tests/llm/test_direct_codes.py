@@ -23,7 +23,7 @@ def opened(data):
 def encoded(docs):
     made = Encoder()
     for n, values in enumerate(docs):
-        made.add(n, np.array(values, dtype="<u4"))
+        made.add([n], [len(values)], np.array(values, dtype="<u4"))
     return opened(made.data())
 
 
@@ -43,7 +43,7 @@ def test_any_range_is_read_directly(docs, rng):
 def test_a_token_costs_a_few_short_reads():
     values = (np.arange(200_000, dtype=np.uint32) * 7919) % 49_408
     made = Encoder()
-    made.add(1, values)
+    made.add([1], [len(values)], values)
     data, sizes = made.data(), []
     codes = Codes(lambda at, size: sizes.append(size) or data[at : at + size])
     for place in (0, 511, 512, 513, 99_999, 199_999):
