@@ -22,14 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, purpose: str, partition: str | None = None) -> DataFrame:
+def staged(
+    df: DataFrame, purpose: str, partition: str | None = None, folder: str | None = None
+) -> DataFrame:
     """``df`` written once to the shared folder and read from there.
 
     Later jobs reread files that every executor reaches instead of recomputing; a lost
     executor costs its running tasks only. The files go with :func:`discard`, with the
-    :func:`run_folder` they were made in, or at the end of the session.
+    :func:`run_folder` they were made in (or ``folder``), or at the end of the session.
     """
-    path = staging_path(df.sparkSession, purpose)
+    path = staging_path(df.sparkSession, purpose, folder)
     writer = df.write.partitionBy(partition) if partition else df.write
     writer.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -47,10 +49,13 @@ _current: ContextVar[str | None] = ContextVar("llm_run_folder", default=None)
 _of_session: dict[str, str] = {}
 
 
-def staging_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the current run's folder."""
-    folder = _current.get() or _session_folder(spark)
-    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+def current_folder(spark: SparkSession) -> str:
+    return _current.get() or _session_folder(spark)
+
+
+def staging_path(spark: SparkSession, purpose: str, folder: str | None = None) -> str:
+    """A fresh path in the current run's folder, or in another one."""
+    return f"{folder or current_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -96,14 +101,20 @@ def ascii_lower(text: Column) -> Column:
     return F.when(pure, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, chunks: int) -> DataFrame:
+#: Rows numbered in one part, on average.
+NUMBERED = 65_536
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str, rows: int) -> DataFrame:
     """Adds ``name``: a gapless number from 0 within ``keys``, without one task per key.
 
-    Rows of a key are dealt by a hash of ``order`` into ``chunks`` parts, numbered within
-    each part, and shifted by the sizes of the parts before, of which there are at most
-    keys x ``chunks``; they are counted with partial aggregation. Rows equal in ``keys`` and
-    ``order`` share a part and get neighbouring numbers.
+    ``rows`` is the size of the largest key, or a bound of it. Rows of a key are dealt by a hash
+    of ``order`` into parts of about ``NUMBERED`` rows of the largest key, numbered within each
+    part, and shifted by the sizes of the parts before, of which there are keys times that number
+    at most; they are counted with partial aggregation. Rows equal in ``keys`` and ``order``
+    share a part and get neighbouring numbers.
     """
+    chunks = max(1, -(-rows // NUMBERED))
     part, within, size = f"_{name}_part", f"_{name}_within", f"_{name}_size"
     dealt = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(chunks)).cast("int"))
     rows = Window.partitionBy(*keys, part)

@@ -1,13 +1,16 @@
 """Exact deduplication against a persistent digest index.
 
 The index is a Parquet table bucketed and sorted by digest: (digest, keep_id). A batch is
-reduced to one row per digest, matched to the index by a sort-merge join in which the index
-needs neither shuffle nor sort, and the digests it lacked are appended.
+reduced to one row per digest, matched to the index by a sort-merge join in which the index is
+not shuffled, and the digests it lacked are appended. Every append adds a file to each bucket it
+touches, so Spark sorts the index's narrow rows within their buckets for each join; ``rewritten``
+makes one file of each bucket again, and changes their number as the index grows.
 
 Texts are equal when identical after lower-casing A-Z; a null text is empty. Within a batch the
 largest id of a text stays (a null id only if there is no other); a text that an earlier batch
 brought stays with that batch's id. Rows repeated with text and id are one document written
-several times: one of them stays. An empty batch appends nothing. Extra columns ride along.
+several times: one of them stays. An empty batch appends nothing. Extra columns ride along. Very
+long texts are digested whole and never stored.
 
 Skew: rows of one text are spread by a hash of their id over SALTS parts before they meet
 anything, so a text that a third of all rows share is summed in parts and joined in parts.
@@ -21,10 +24,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.common import ascii_lower, staged, whole_text
-from adlake.session import scratch_path
+from adlake.llm.common import ascii_lower, staged, staging_path, whole_text
 
 SALTS = 256
+#: Buckets of a new index at least; on a cluster with more shuffle partitions, as many as those.
 BUCKETS = 64
 
 
@@ -33,16 +36,17 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """The index at ``path``, opened or begun. ``buckets`` is fixed at creation."""
+    """The index at ``path``, opened or begun; an opened one needs the number of buckets it was
+    begun with. Without a path it lives as long as other staged files."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
-        self.path = path or scratch_path(spark, "llm-digests")
-        self.buckets = buckets
+        self.path = path or staging_path(spark, "digests")
+        self.buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.table} (digest STRING, keep_id BIGINT) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
             f"LOCATION '{self.path}'"
         )
 
@@ -61,8 +65,15 @@ class DigestIndex:
             .saveAsTable(self.table, path=self.path)
         )
 
+    def rewritten(self, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """A copy with one sorted file in each bucket, with another number of them if asked."""
+        copy = DigestIndex(self.spark, path, buckets or self.buckets)
+        # Read as plain files: Spark would leave the shuffle out for a table already bucketed.
+        copy.append(self.spark.read.schema(self.read().schema).parquet(self.path))
+        return copy
+
     def close(self) -> None:
-        """Forgets the table's name; the files stay."""
+        """Forgets the table's name; the files stay, also for results still to be read."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 

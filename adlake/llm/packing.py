@@ -37,8 +37,6 @@ CLOSING_ID = 0
 #: Lengths that serve as the inner members of patterns, taken at equal shares of all tokens.
 INNER = {3: 24, 4: 8, 5: 4}
 STEPS = 300
-#: Parts in which the pieces of one length are numbered.
-RANK_CHUNKS = 64
 
 #: Remembered words per worker process; a full memory is emptied.
 MEMORY = 800_000
@@ -293,7 +291,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     keys, sequences, offsets = places(plan(histogram, capacity))
     order = ["doc_id", "piece", "ids_crc32"]
-    ranked = numbered(cut, ["length"], order, "rank", RANK_CHUNKS)
+    ranked = numbered(cut, ["length"], order, "rank", max(histogram.values(), default=0))
 
     def run(batches):
         for batch in batches:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +23,9 @@ from adlake.llm import (
 )
 from adlake.llm.common import table
 
-#: Folder of the public tokenizers' vocabulary files, the same on every machine.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-#: Fixed by the byte-level vocabulary: how a text is cut before merging.
-CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 #: A conversation whose texts hold the template's own markers; added to those of the table.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -71,12 +69,14 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark)
-    return exact_dedup.classify(table(spark, sf_dir, "documents"), index)
+    found = exact_dedup.classify(table(spark, sf_dir, "documents"), index)
+    index.close()
+    return found
 
 
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack(docs, WORD_BPE)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return bpe.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", CUTS)
+    return bpe.round_trip(docs, BYTE_BPE, public_tokenizers.PATTERN)
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,9 +99,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, path = table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model"
-    langs, logs = langid.learn(docs, path)
-    return langid.predict(docs, path, langs, logs)
+    docs = table(spark, sf_dir, "documents")
+    langs, logs = langid.learn(docs, PIECE_BPE)
+    return langid.predict(docs, PIECE_BPE, langs, logs)
 
 
 def op11_member_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return direct_codes.write_and_read(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return direct_codes.write_and_read(docs, WORD_BPE)
 
 
 QUERIES = {

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from adlake.llm.common import numbered
 
 ROW_OVERHEAD = 16
-#: Parts in which one shard's rows are numbered.
-SLOT_CHUNKS = 128
 
 
 def unit(key: Column, shard: int) -> Column:
@@ -77,6 +75,7 @@ def assign(
         F.col("best.shard").cast("int").alias("shard"),
         (grown if grown_weight > 0 else F.col("best.shard")).cast("int").alias("grown_shard"),
     )
-    return numbered(placed, ["shard"], [key, "text_crc32", "size"], "slot", SLOT_CHUNKS).select(
+    # One id may stand on all rows, so a shard may hold as many; counting reads no column.
+    return numbered(placed, ["shard"], [key, "text_crc32", "size"], "slot", records.count()).select(
         key, "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )

@@ -4,21 +4,22 @@ import random
 import numpy as np
 import pytest
 import tiktoken
+from public_tokenizers import PATTERN
 
 from adlake.llm import bpe
-from adlake.llm.queries import CUTS, TOKENIZERS
+from adlake.llm.queries import BYTE_BPE
 
-PATH = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+PATH = BYTE_BPE
 
 
 @pytest.fixture(scope="module")
 def known():
-    return bpe.vocabulary(PATH, CUTS)
+    return bpe.vocabulary(PATH, PATTERN)
 
 
 @pytest.fixture(scope="module")
 def library(known):
-    return tiktoken.Encoding("own", pat_str=CUTS, mergeable_ranks=known.ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=known.ranks, special_tokens={})
 
 
 def ids(known, text):
@@ -48,8 +49,8 @@ def test_whole_table_and_odd_rows(documents, odd_docs, no_docs, library):
              hashlib.sha256((r.text or "").encode()).hexdigest())
             for r in docs.collect()
         )
-        rows = bpe.round_trip(docs, PATH, CUTS).collect()
+        rows = bpe.round_trip(docs, PATH, PATTERN).collect()
         assert sorted((str(r.doc_id), r.ids_sha256, r.decoded_sha256) for r in rows) == want
-    encoded = {r.doc_id: r.ids for r in bpe.encode(odd_docs, PATH, CUTS).collect()}
+    encoded = {r.doc_id: r.ids for r in bpe.encode(odd_docs, PATH, PATTERN).collect()}
     assert encoded[3] == [] and encoded[8] == library.encode_ordinary("x")
-    assert bpe.encode(no_docs, PATH, CUTS).count() == bpe.round_trip(no_docs, PATH, CUTS).count() == 0
+    assert bpe.encode(no_docs, PATH, PATTERN).count() == bpe.round_trip(no_docs, PATH, PATTERN).count() == 0

@@ -2,7 +2,8 @@ import pytest
 
 import corpus_pipeline
 from adlake.llm import exact_dedup, minhash, packing, pii, quality
-from adlake.llm.common import LOWER, UPPER, staged
+from adlake.llm.common import LOWER, UPPER, run_folder, staged
+from adlake.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,11 +75,28 @@ def test_packing_stage_and_run(spark, steps):
         map(tuple, steps[5].select(pieces).collect())
     )
     assert {r.doc_id for r in whole.collect()} == set(texts_of(steps[4]))
-    known = packing.word_ids(f"{corpus_pipeline.TOKENIZERS}/word_bpe_49k.json")
+    known = packing.word_ids(corpus_pipeline.WORD_BPE)
     tokens = sum(len(known.document(t)) // 4 for t in texts_of(steps[4]).values())
     assert sum(r.length for r in whole.collect()) == tokens
 
 
+def test_nothing_staged_outlives_its_run(spark):
+    """After a run's folder is left, neither files nor tables of it remain."""
+    from adlake.llm.queries import QUERIES
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with run_folder(spark) as folder:
+        packed = corpus_pipeline.run(spark, SF)
+        assert packed.count() > 0
+        # The stages' own files are gone, and so is every stage's result but the last one's.
+        kinds = {name.split("-")[0] for name, _, _ in files.children(spark, folder)}
+        assert kinds <= {"personal", "pieces"}
+        for name in ("op1_multi_index", "op6_exact_dedup", "op11_member_lloyd", "op12_pair_maxscore", "op13_direct_codes"):
+            assert QUERIES[name](spark, SF).count() > 0
+    assert not files.exists(spark, folder)
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_stages_take_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
     for given, least in ((odd_docs, 1), (no_docs, 0)):
         docs = given

@@ -45,6 +45,21 @@ def test_index_lasts_and_a_repeated_batch_changes_nothing(spark, tmp_path):
     again.close()
 
 
+def test_rewriting_merges_files_and_changes_buckets(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "many"), buckets=4)
+    for n in range(3):
+        batch = spark.range(40).selectExpr(f"sha2(cast(id + {40 * n} AS string), 256) AS digest", "id AS keep_id")
+        index.append(batch)
+    whole = index.rewritten(str(tmp_path / "whole"))
+    more = index.rewritten(str(tmp_path / "more"), buckets=8)
+    assert len(index.read().inputFiles()) == 12
+    assert (len(whole.read().inputFiles()), len(more.read().inputFiles())) == (4, 8)
+    rows = sorted(map(tuple, index.read().collect()))
+    assert sorted(map(tuple, whole.read().collect())) == rows == sorted(map(tuple, more.read().collect()))
+    for each in (index, whole, more):
+        each.close()
+
+
 def test_index_side_of_the_join_is_not_shuffled(spark):
     index = exact_dedup.DigestIndex(spark, buckets=4)
     batch = spark.createDataFrame([("d",)], "digest string")

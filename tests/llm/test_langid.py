@@ -5,9 +5,9 @@ import numpy as np
 import pytest
 
 from adlake.llm import langid
-from adlake.llm.queries import TOKENIZERS
+from adlake.llm.queries import PIECE_BPE
 
-PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+PATH = PIECE_BPE
 
 
 def brute(word, pieces, logs):

@@ -5,9 +5,9 @@ import numpy as np
 import pytest
 
 from adlake.llm import packing
-from adlake.llm.queries import TOKENIZERS
+from adlake.llm.queries import WORD_BPE
 
-PATH = f"{TOKENIZERS}/word_bpe_49k.json"
+PATH = WORD_BPE
 
 
 @pytest.fixture(scope="module")
