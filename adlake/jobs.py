@@ -22,6 +22,7 @@ def parser(today: date) -> argparse.ArgumentParser:
     stream = jobs.add_parser("bronze", help="append topics to the raw layer")
     stream.add_argument("--raw-base", required=True)
     stream.add_argument("--checkpoint-base", required=True)
+    stream.add_argument("--lake", help="root of the tables; micro-batches are noted there")
     stream.add_argument("--servers", help="Kafka bootstrap servers; topics are folders without")
     for event_type in EVENT_TYPES:
         stream.add_argument(f"--topic-{event_type}", default=f"ad-{event_type}s")
@@ -59,6 +60,7 @@ def parser(today: date) -> argparse.ArgumentParser:
         if name == "compact":
             job.add_argument("--layer", choices=("silver", "gold"), default="silver")
             job.add_argument("--sort-by", help="sort files by this column")
+            job.add_argument("--zorder-by", nargs="+", help="lay files along these columns together")
 
     shown = jobs.add_parser("report", help="print a report or gate")
     shown.add_argument("name", choices=sorted(reports.REPORTS))
@@ -91,6 +93,8 @@ def run_bronze(args: argparse.Namespace) -> None:
             )
         return read_file_topic(spark, topic, args.max_per_trigger)
 
+    if args.lake:
+        spark.streams.addListener(bronze.StreamLog(Lake(spark, args.lake)))
     queries = bronze.start_streams(
         spark,
         open_topic,
@@ -134,6 +138,8 @@ def main(arguments: list[str] | None = None) -> None:
         daily.run_range(lake, args.raw_base, now, args.run_date_start, args.run_date_end)
     elif args.job == "report":
         reports.report(lake, args.name, args.as_of).show(args.rows, truncate=False)
+    elif args.zorder_by:
+        maintenance.compact_zorder(lake, today, tuple(args.zorder_by), layer=args.layer)
     elif args.sort_by:
         maintenance.compact_sorted(lake, today, args.sort_by, layer=args.layer)
     else:

@@ -126,16 +126,26 @@ class Batch:
     earliest: date | None
     first_key: str | None
     last_key: str | None
+    events: int = 0
 
 
-def describe_batch(events: DataFrame) -> Batch:
-    """The first day and the key range of a batch, in one pass."""
-    ends = events.agg(
+def batch_measures() -> list[Column]:
+    """Aggregates that describe a batch; also to be observed while it is written."""
+    return [
         utc_day(F.min("timestamp")).alias("earliest"),
         F.min("eid").alias("first"),
         F.max("eid").alias("last"),
-    ).first()
-    return Batch(ends["earliest"], ends["first"], ends["last"])
+        F.count(F.lit(1)).alias("events"),
+    ]
+
+
+def observed_batch(found) -> Batch:
+    return Batch(found["earliest"], found["first"], found["last"], found["events"])
+
+
+def describe_batch(events: DataFrame) -> Batch:
+    """The first day and the key range of a batch, in one pass."""
+    return observed_batch(events.agg(*batch_measures()).first())
 
 
 def first_day(batch: Batch, window: int) -> date | None:

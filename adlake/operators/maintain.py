@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.operators.wide import number_rows
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+#: Ranks of 6 bits: 4,096 cells of two columns in every day.
+ZORDER_BITS, ZORDER_SAMPLE = 6, 4_096
+
+
+def inventory(spark: SparkSession, root: str, partition: str) -> DataFrame:
+    """(``partition``, file_path, file_bytes) of a table's data files.
+
+    A scan of the binary-file source that asks for no content opens no file; Spark lists the
+    folders, on executors where they are many, and a filter on ``partition`` prunes them.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return reader.load(root).select(
+        F.col(partition).cast("date").alias(partition),
+        F.col("path").alias("file_path"),
+        F.col("length").alias("file_bytes"),
+    )
 
 
 def file_report(files: DataFrame, days: DataFrame, partition: str = "event_date") -> DataFrame:
-    """Files, sizes and rows per day, from a listing (``partition``, file_path, file_bytes) and
-    the table's day summaries, so that no data file is opened."""
+    """Files, sizes and rows per day, from an :func:`inventory` and the table's day summaries, so
+    that no data file is opened."""
     megabyte = 1048576.0
     sized = files.groupBy(partition).agg(
         F.lit("data").alias("file_type"),
@@ -24,9 +40,9 @@ def file_report(files: DataFrame, days: DataFrame, partition: str = "event_date"
     return sized.join(counted, partition, "left")
 
 
-def files_needed(sizes: list[int], target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """How many files of about ``target_bytes`` hold files of the given sizes."""
-    return max(1, -(-sum(sizes) // target_bytes))
+def files_needed(total_bytes: Column, target_bytes: int = TARGET_FILE_BYTES) -> Column:
+    """How many files of about ``target_bytes`` hold the given bytes."""
+    return F.greatest(F.lit(1), F.ceil(total_bytes / F.lit(target_bytes))).cast("int")
 
 
 def place_files(rows: DataFrame, plan: list, partition: str, spread_by: list[str]) -> DataFrame:
@@ -83,3 +99,50 @@ def place_sorted_files(
         .sortWithinPartitions("row_index")
         .select(*rows.columns)
     )
+
+
+def rank_bounds(rows: DataFrame, partition: str, columns: tuple[str, ...], sample: int) -> DataFrame:
+    """Per partition value and column, values that cut its rows into about equal shares.
+
+    They come from about ``sample`` rows of each partition, chosen by hash. Only the layout
+    depends on them.
+    """
+    sizes = rows.groupBy(partition).agg(F.count(F.lit(1)).alias("_n"))
+    chosen = F.pmod(F.xxhash64(*columns), F.lit(1 << 20)) * F.col("_n") < F.lit(sample << 20)
+    few = rows.select(partition, *columns).join(F.broadcast(sizes), partition).where(chosen)
+    ordered = few.groupBy(partition).agg(
+        *(F.array_sort(F.collect_list(c)).alias(c) for c in columns)
+    )
+
+    def cuts(column):
+        values, size = F.col(column), F.size(column)
+        steps = F.sequence(F.lit(1), F.lit((1 << ZORDER_BITS) - 1))
+        at = lambda n: F.get(values, (n * size / (1 << ZORDER_BITS)).cast("int"))
+        return F.when(size > 0, F.transform(steps, at)).alias(f"_{column}_cuts")
+
+    return ordered.select(F.col(partition).alias("_of"), *(cuts(c) for c in columns))
+
+
+def _rank(column: str) -> Column:
+    value = F.col(column)
+    below = F.filter(f"_{column}_cuts", lambda cut: cut <= value)
+    return F.coalesce(F.greatest(F.size(below), F.lit(0)), F.lit(0))
+
+
+def with_zorder(
+    rows: DataFrame, partition: str, columns: tuple[str, ...], sample: int = ZORDER_SAMPLE
+) -> DataFrame:
+    """Rows with ``_z``: the ranks of ``columns`` within the partition, their bits interleaved.
+
+    Rows near each other in ``_z`` are near in every column, so files cut from that order cover
+    narrow ranges of each. A rank counts the bounds at or below a value; null has rank 0.
+    """
+    # One row per partition value under compaction.
+    bounded = rows.join(F.broadcast(rank_bounds(rows, partition, columns, sample)), F.col(partition) == F.col("_of"))
+    key = F.lit(0).cast("bigint")
+    for place, column in enumerate(reversed(columns)):
+        rank = _rank(column).cast("bigint")
+        for bit in range(ZORDER_BITS):
+            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
+    return bounded.select(*rows.columns, key.alias("_z"))

@@ -6,7 +6,7 @@ returns no rows; :func:`gate` raises otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import column, day, ratio, trailing_days
@@ -41,10 +41,12 @@ def percent(part, whole):
 # Alerts
 
 
-def stale_layers(run_log: DataFrame, as_of) -> DataFrame:
+def stale_layers(
+    run_log: DataFrame, as_of, layers: tuple[str, ...] = ("silver", "gold")
+) -> DataFrame:
     """Layers without a commit on ``as_of``, including layers that never had one."""
     spark = run_log.sparkSession
-    layers = spark.createDataFrame([("silver",), ("gold",)], "layer string")
+    layers = spark.createDataFrame([(name,) for name in layers], "layer string")
     latest = run_log.groupBy("layer").agg(F.max("committed_at").alias("latest_committed_at"))
     stale = F.coalesce(F.to_date("latest_committed_at") < day(as_of), F.lit(True))
     return (
@@ -54,6 +56,12 @@ def stale_layers(run_log: DataFrame, as_of) -> DataFrame:
     )
 
 
+def with_streams(run_log: DataFrame, stream_log: DataFrame) -> DataFrame:
+    """The run log with the topics' micro-batches as runs of layers such as ``bronze click``."""
+    batches = stream_log.select(F.concat(F.lit("bronze "), "topic").alias("layer"), "committed_at")
+    return run_log.select("layer", "committed_at").unionByName(batches)
+
+
 def layer_mismatch(silver: DataFrame, gold: DataFrame, as_of, days: int = 1) -> DataFrame:
     """Yesterday's rows against yesterday's summed impressions: missing, or over 10 % apart.
 
@@ -234,6 +242,50 @@ def conversion_delays(silver: DataFrame, as_of, days: int = 30) -> DataFrame:
     )
 
 
+# Alerts over several weeks
+
+WEEKS_BACK = 4
+MOST_MADS, LEAST_DROP = 3.0, 0.5
+
+
+def rate_drops(days: DataFrame, as_of, back: int = 30) -> DataFrame:
+    """Days of the last ``back`` whose click or conversion rate fell suddenly.
+
+    A day is compared with the same weekday of the four weeks before it: it alerts when its rate
+    is below their median by more than three median absolute deviations and by more than half.
+    Days with fewer than two such weekdays are not judged. ``days`` are day summaries, so the
+    frames run over one row per day; rates are per million rows, in whole numbers.
+    """
+    measures = ("clicks", "conversions")
+    rated = days.where(trailing_days("event_date", as_of, back + 7 * WEEKS_BACK)).select(
+        "event_date", "row_count", F.explode(F.array(*(
+            F.struct(F.lit(name).alias("measure"), F.col(name).alias("events")) for name in measures
+        ))).alias("m"),
+    ).select("event_date", "row_count", "m.*")
+    rate = F.floor(F.col("events") * 1_000_000 / F.col("row_count"))
+    rated = rated.withColumn("rate_ppm", rate).withColumn("number", F.unix_date("event_date"))
+    weekday = Window.partitionBy("measure", F.weekday("event_date")).orderBy("number")
+    before = weekday.rangeBetween(-7 * WEEKS_BACK, -1)
+    usual = F.col("usual_ppm")
+    apart = F.transform("past", lambda rate: F.abs(rate - usual))
+    judged = (
+        rated.withColumn("past", F.collect_list("rate_ppm").over(before))
+        .where(F.size("past") >= 2)
+        .withColumn("usual_ppm", middle(F.col("past")))
+        .withColumn("mad_ppm", middle(apart))
+    )
+    low = (F.col("rate_ppm") < usual - MOST_MADS * F.col("mad_ppm")) & (F.col("rate_ppm") < LEAST_DROP * usual)
+    return judged.where(trailing_days("event_date", as_of, back) & low).select(
+        "event_date", "measure", "rate_ppm", "usual_ppm", "mad_ppm", F.size("past").alias("weeks")
+    )
+
+
+def middle(values) -> Column:
+    """The median of an array of at most a few whole numbers."""
+    ordered, size = F.array_sort(values), F.size(values)
+    return (F.get(ordered, ((size - 1) / 2).cast("int")) + F.get(ordered, (size / 2).cast("int"))) / 2
+
+
 # Incidents
 
 
@@ -275,13 +327,24 @@ def runs(run_log: DataFrame) -> DataFrame:
     )
 
 
-def stray_days(silver_days: DataFrame, as_of, back: int = 400) -> DataFrame:
-    """Stored days far from ``as_of``: event times that producers got wrong, most likely."""
+def stray_days(silver_days: DataFrame, as_of, back: int) -> DataFrame:
+    """Stored days more than ``back`` days before ``as_of``, or after it: event times that
+    producers got wrong, most likely."""
     end = day(as_of)
     near = F.col("event_date").between(F.date_sub(end, back), F.date_add(end, 1))
     return silver_days.where(~near).select("event_date", "row_count")
 
 
+def stream_runs(stream_log: DataFrame) -> DataFrame:
+    """Micro-batches per topic, what they read and could not decode, and their longest lag."""
+    return stream_log.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("rows").alias("rows"),
+        F.sum("undecoded").alias("undecoded"),
+        F.max("lag_sec").alias("max_lag_sec"),
+    )
+
+
 def commit_retention(run_log: DataFrame) -> DataFrame:
     """First and last commit per layer and the complete days between them."""
     return (
@@ -374,10 +437,15 @@ def dates_apart(silver: DataFrame, gold: DataFrame, run_dates) -> DataFrame:
     stored = silver.groupBy(F.col("event_date").alias("run_date")).agg(
         F.count(F.lit(1)).alias("silver_rows")
     )
+    return counts_apart(stored, gold, run_dates)
+
+
+def counts_apart(stored: DataFrame, gold: DataFrame, run_dates) -> DataFrame:
+    """:func:`dates_apart` from row counts (run_date, silver_rows) already at hand."""
     summed = gold.groupBy(F.col("summary_date").alias("run_date")).agg(
         F.sum("impressions").alias("summed")
     )
-    totals = on_dates(silver.sparkSession, run_dates).join(stored, "run_date", "left")
+    totals = on_dates(gold.sparkSession, run_dates).join(stored, "run_date", "left")
     totals = totals.join(summed, "run_date", "left").withColumn(
         "silver_rows", F.coalesce("silver_rows", F.lit(0))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adlake.functions.columns import clock, day
 from adlake.operators.changes import changed_summaries
 from adlake.operators.kpis import campaign_kpis
+from adlake.operators.sketches import day_sketches
 from adlake.operators.upsert import upsert
 from adlake.plans.silver import as_date
 from adlake.sources.tables import Lake
@@ -24,8 +25,9 @@ def changed_days(lake: Lake) -> list[date]:
     count as well, and so do days an earlier run left behind.
     """
     changed = changed_summaries(lake.read("gold_days"), lake.read("silver_days"))
-    # One value per day of the table's calendar.
-    return sorted(row[0] for row in changed.collect())
+    # One value per day of the table's calendar; with days a dead run's commit lost.
+    lost = lake.lost_days("gold", "gold_days")
+    return sorted({*(row[0] for row in changed.collect()), *lost})
 
 
 def merge_days(lake: Lake, days: list[date], now: datetime | None = None) -> int:
@@ -34,14 +36,16 @@ def merge_days(lake: Lake, days: list[date], now: datetime | None = None) -> int
     Campaigns without rows keep theirs on days that still have rows; days without rows are
     dropped. What the days were made of is noted last.
     """
-    lake.finish_all()
     records = 0
     if days:
         present = sorted(set(days) & set(lake.days("silver")))
-        kpis = campaign_kpis(lake.read_days("silver", present), clock(now))
-        merged = upsert(lake.read_days("gold", present), kpis, KEYS, grouped=True)
-        records = lake.replace_days("gold", merged, days)
-        lake.replace_days("gold_days", lake.read_days("silver_days", days), days)
+        stored = lake.read_days("silver", present)
+        made = campaign_kpis(stored, clock(now)), day_sketches(stored)
+        for layer, fresh in zip(("gold_sketches", "gold"), reversed(made)):
+            merged = upsert(lake.read_days(layer, present), fresh, KEYS, grouped=True)
+            records = lake.replace_days(layer, merged, days)
+        noted = lake.read("silver_days").where(F.col("event_date").isin(days))
+        lake.note_days("gold_days", noted, set(days) - set(present))
     lake.record("gold", "merge", records, now)
     return records
 
@@ -83,10 +87,13 @@ def run_full_refresh(
     """
     if start is None or end is None or as_date(start) > as_date(end):
         raise ValueError("a full refresh needs a start date no later than its end date")
-    lake.finish_all()
     first, last = as_date(start), as_date(end)
+    before = {row[0] for row in lake.read("gold_days").select("event_date").collect()}
     days = [d for d in lake.days("silver") if first <= d <= last]
-    records = lake.replace_days("gold", campaign_kpis(lake.read_days("silver", days), clock(now)), None)
-    lake.replace_days("gold_days", lake.read_days("silver_days", days), None)
+    stored = lake.read_days("silver", days)
+    lake.replace_days("gold_sketches", day_sketches(stored), None)
+    records = lake.replace_days("gold", campaign_kpis(stored, clock(now)), None)
+    noted = lake.read("silver_days").where(F.col("event_date").isin(days))
+    lake.note_days("gold_days", noted, before - set(days))
     lake.record("gold", "refresh", records, now)
     return records

@@ -5,20 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import SECONDS_PER_DAY, clock
 from adlake.operators.attribution import (
     CLICK_DAYS,
     CONVERSION_DAYS,
+    Batch,
     attribute_all,
+    batch_measures,
     candidates,
-    describe_batch,
     first_day,
     match_events,
+    observed_batch,
     silver_rows,
 )
+from adlake.operators.changes import day_summaries
 from adlake.operators.dedup import ARRIVAL_ORDER, first_per_key
 from adlake.operators.upsert import (
     apply_updates,
@@ -30,7 +33,7 @@ from adlake.operators.upsert import (
 from adlake.schemas import SILVER, keyed, nullable
 from adlake.session import scratch
 from adlake.sources.files import partition_values
-from adlake.sources.raw import read_raw
+from adlake.sources.raw import raw_days, read_raw
 from adlake.sources.tables import Lake, balanced
 
 
@@ -67,11 +70,11 @@ def run_incremental(
 ) -> None:
     """Insert the impressions of the run dates, then attribute their clicks and conversions.
 
-    Whatever an interrupted run left half done is finished first. The summaries of every day
-    the batch concerns are renewed whether or not a row changed, so that a repeated run also
+    Days that a run lost by dying within its commit are rebuilt first. The summaries of every
+    day the batch concerns are renewed whether or not a row changed, so that a repeated run also
     repairs those of a run that died after its data was written.
     """
-    lake.finish_all()
+    rebuild_lost(lake, raw_base, end, windows, now)
     impressions, clicks, conversions = (
         keyed(read_raw(lake.spark, raw_base, kind, start, end))
         for kind in ("impression", "click", "conversion")
@@ -79,10 +82,26 @@ def run_incremental(
     with scratch(lake.spark, "silver-run") as folder:
         shown, inserted = insert_impressions(lake, impressions, f"{folder}/impressions", now)
         updates = stage_updates(lake, clicks, conversions, windows, folder, require_match)
-        matched = stored_days(lake, f"{folder}/updates")
-        changed = apply_stored(lake, updates, matched, now)
-        lake.summarize(sorted({*shown, *matched}))
-    lake.record("silver", "incremental", inserted + changed, now)
+        apply_stored(lake, updates, now)
+        lake.summarize(sorted({*shown, *updates.matched}))
+    lake.record("silver", "incremental", inserted + updates.changes, now)
+
+
+def rebuild_lost(
+    lake: Lake, raw_base: str, end: date | str, windows: Windows, now: datetime | None
+) -> None:
+    """Rebuild days that have a summary and no folder from all raw events ingested by ``end``."""
+    lost = lake.lost_days("silver", "silver_days")
+    if not lost:
+        return
+    first = min(raw_days(lake.spark, raw_base, "impression"), default=end)
+    raw = [
+        keyed(read_raw(lake.spark, raw_base, kind, first, end))
+        for kind in ("impression", "click", "conversion")
+    ]
+    rows = silver_rows(attribute_all(*raw, windows.click, windows.conversion), clock(now))
+    lake.append("silver", rows.where(F.col("event_date").isin(lost)))
+    lake.summarize(lost)
 
 
 def stored_days(lake: Lake, path: str) -> list[date]:
@@ -95,19 +114,42 @@ def insert_impressions(
 ) -> tuple[list[date], int]:
     """Stage 1. Ids stored under any date are left alone, so the first stored row wins.
 
-    Returns the days of the batch and the number of rows that were new.
+    Only days whose id filter is hit are opened, so a batch of new ids opens none. Returns the
+    days of the batch and the number of rows that were new.
     """
     rows = silver_rows(first_per_key(impressions, ["eid"]), clock(now))
+    ends = Observation()
+    rows = rows.observe(ends, F.min("event_id").alias("first"), F.max("event_id").alias("last"))
     balanced(rows, "event_date").write.partitionBy("event_date").parquet(path)
     days = stored_days(lake, path)
     if not days:
         return [], 0
     # Read again below; the kept copy spares further deduplications.
     staged = lake.spark.read.schema(nullable(SILVER)).parquet(path)
-    ends = staged.agg(F.min("event_id").alias("first"), F.max("event_id").alias("last")).first()
-    # Every date may hold an id, but the range lets the scan skip row groups of other ids.
-    known = lake.read("silver").where(F.col("event_id").between(ends["first"], ends["last"]))
-    return days, lake.append("silver", insert_absent(known, staged, "event_id"))
+    fresh = absent_rows(lake, staged, ends.get["first"], ends.get["last"])
+    # Filters first: one that names ids which are not stored yet costs a look, no row.
+    lake.note_ids(staged)
+    return days, lake.append("silver", fresh, ids_noted=True)
+
+
+def absent_rows(lake: Lake, staged: DataFrame, first: str, last: str) -> DataFrame:
+    """Staged rows whose id no stored day holds."""
+    days = lake.days_holding(staged)
+    if not days:
+        return staged
+    # Within the days hit, the id range lets the scan skip row groups of other ids.
+    known = lake.read_days("silver", days).where(F.col("event_id").between(first, last))
+    return insert_absent(known, staged, "event_id")
+
+
+@dataclass(frozen=True)
+class Updates:
+    """Staged updates, one row per matched impression, and what is known about them."""
+
+    rows: DataFrame
+    matched: list[date]
+    changed: list[date]
+    changes: int
 
 
 def stage_updates(
@@ -117,64 +159,64 @@ def stage_updates(
     windows: Windows,
     folder: str,
     require_match: bool,
-) -> DataFrame:
+) -> Updates:
     """Stage 2. One row per stored impression the batch matches, written by its day.
 
-    With ``require_match`` a batch that matches nothing fails before anything is changed.
+    With ``require_match`` a batch that matches nothing fails before anything is changed. What
+    the plan needs to know is observed while the batches are written, not queried afterwards.
     """
-    arrived, matches = {}, {}
+    matches, arrived = {}, {}
     for kind, events, window in (
         ("click", clicks, windows.click),
         ("conversion", conversions, windows.conversion),
     ):
-        path = f"{folder}/{kind}s"
-        first_per_key(events, ["eid"]).select("eid", "timestamp", *ARRIVAL_ORDER).write.parquet(path)
-        arrived[kind] = lake.spark.read.parquet(path)
-        matches[kind] = match_events(arrived[kind], reachable(lake, arrived[kind], window), window)
-    path = f"{folder}/updates"
+        path, seen = f"{folder}/{kind}s", Observation()
+        unique = first_per_key(events, ["eid"]).select("eid", "timestamp", *ARRIVAL_ORDER)
+        unique.observe(seen, *batch_measures()).write.parquet(path)
+        staged, batch = lake.spark.read.schema(unique.schema).parquet(path), observed_batch(seen.get)
+        arrived[kind] = batch.events
+        matches[kind] = match_events(staged, reachable(lake, batch, window), window)
+    path, seen = f"{folder}/updates", Observation()
     updates = pending_updates(matches["click"], matches["conversion"])
+    changes = F.col("changes")
+    updates = updates.observe(
+        seen,
+        F.count_if(F.col("new_click") == 1).alias("click"),
+        F.count("new_conversion_timestamp").alias("conversion"),
+        F.count_if(changes).alias("changes"),
+        F.collect_set(F.when(changes, F.col("event_date"))).alias("changed"),
+    )
     balanced(updates, "event_date").write.partitionBy("event_date").parquet(path)
-    staged = lake.spark.read.schema(updates.schema).parquet(path)
+    found = seen.get
     if require_match:
-        found = staged.agg(
-            F.count_if(F.col("new_click") == 1).alias("click"),
-            F.count("new_conversion_timestamp").alias("conversion"),
-        ).first()
         for kind in arrived:
             require_matches(kind, arrived[kind], found[kind])
-    return staged
+    staged = lake.spark.read.schema(updates.schema).parquet(path)
+    return Updates(staged, stored_days(lake, path), sorted(found["changed"]), found["changes"])
 
 
-def apply_stored(
-    lake: Lake, updates: DataFrame, matched: list[date], now: datetime | None = None
-) -> int:
-    """Rewrite the days on which an update changes a row; returns the number of changes.
+def apply_stored(lake: Lake, updates: Updates, now: datetime | None = None) -> None:
+    """Rewrite the days on which an update changes a row.
 
     Clicks and conversions are applied together, so a day is rewritten once; a repeated run
     rewrites none.
     """
-    if not matched:
-        return 0
-    changes = updates.where(F.col("changes"))
-    # At most one row per day the table holds.
-    counts = {r["event_date"]: r["count"] for r in changes.groupBy("event_date").count().collect()}
-    if counts:
-        touched = lake.read_days("silver", sorted(counts))
-        lake.replace_days("silver", apply_updates(touched, changes, clock(now)), sorted(counts))
-    return sum(counts.values())
+    if updates.changed:
+        touched = lake.read_days("silver", updates.changed)
+        changes = updates.rows.where(F.col("changes"))
+        lake.replace_days("silver", apply_updates(touched, changes, clock(now)), updates.changed)
 
 
-def reachable(lake: Lake, events: DataFrame, window: int) -> DataFrame:
+def reachable(lake: Lake, batch: Batch, window: int) -> DataFrame:
     """The stored impressions a batch can match, of the days and ids it can concern."""
-    batch = describe_batch(events)
     first = first_day(batch, window)
     days = [] if first is None else [day for day in lake.days("silver") if day >= first]
     return lake.read_days("silver", days).where(candidates(batch, window))
 
 
-def require_matches(event_type: str, events: DataFrame, matched: int) -> None:
-    """Fail when events arrived and none matched. Looks for one event only if none matched."""
-    if matched == 0 and not events.isEmpty():
+def require_matches(event_type: str, events: int, matched: int) -> None:
+    """Fail when events arrived and none matched."""
+    if matched == 0 and events:
         raise NothingMatched(
             f"{event_type} events arrived but none matched a stored impression; "
             "was the impression stage complete?"
@@ -219,11 +261,16 @@ def run_full_refresh(
     now: datetime | None = None,
 ) -> None:
     """Replace the whole table; days the range does not bring are dropped."""
-    lake.finish_all()
-    before = lake.days("silver")
-    rows = refreshed(lake.spark, raw_base, start, end, windows, now)
-    records = lake.replace_days("silver", rows, None)
-    lake.summarize(sorted({*before, *lake.days("silver")}))
+    noted = {row[0] for row in lake.read("silver_days").select("event_date").collect()}
+    before = {*noted, *lake.days("silver")}
+    with scratch(lake.spark, "silver-refresh") as path:
+        # Kept once, for the filters, the table and its summaries.
+        rows = refreshed(lake.spark, raw_base, start, end, windows, now)
+        balanced(rows, "event_date").write.partitionBy("event_date").parquet(path)
+        staged = lake.spark.read.schema(nullable(SILVER)).parquet(path)
+        lake.note_ids(staged)
+        records = lake.replace_days("silver", staged, None)
+        lake.note_days("silver_days", day_summaries(staged), before - set(stored_days(lake, path)))
     lake.record("silver", "refresh", records, now)
 
 
@@ -246,7 +293,6 @@ def delete_stored(
 
 
 def rewrite(lake: Lake, predicate: Column, change, days, now) -> None:
-    lake.finish_all()
     rows = lake.read("silver") if days is None else lake.read_days("silver", days)
     # At most one row per day the table holds.
     hit = rows.where(predicate).groupBy("event_date").count().collect()

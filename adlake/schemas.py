@@ -13,7 +13,7 @@ from pyspark.sql.types import StructField, StructType
 EVENT_TYPES = ("impression", "click", "conversion")
 
 TEXT, INT, BIGINT, DOUBLE = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
-DATE, TIMESTAMP = T.DateType(), T.TimestampType()
+DATE, TIMESTAMP, BINARY = T.DateType(), T.TimestampType(), T.BinaryType()
 
 EVENT = [
     StructField("eid", TEXT, False),
@@ -100,7 +100,19 @@ RUN_LOG = StructType(
         StructField("committed_at", TIMESTAMP, False, {"comment": "time of the run"}),
         StructField("operation", TEXT, False),
         StructField("records", BIGINT, True, {"comment": "rows added or changed"}),
-        StructField("month", DATE, False, {"comment": "first day of the month; partition column"}),
+    ]
+)
+
+# What a micro-batch of a stream did.
+STREAM_LOG = StructType(
+    [
+        StructField("topic", TEXT, False),
+        StructField("batch_id", BIGINT, False),
+        StructField("committed_at", TIMESTAMP, False, {"comment": "time the batch was triggered"}),
+        StructField("rows", BIGINT, True, {"comment": "messages read"}),
+        StructField("undecoded", BIGINT, True, {"comment": "messages without their required fields"}),
+        StructField("lag_sec", BIGINT, True, {"comment": "seconds from the oldest message to its ingestion"}),
+        StructField("run_id", TEXT, True, {"comment": "run of the streaming query"}),
     ]
 )
 
@@ -114,6 +126,44 @@ DAY_SUMMARY = StructType(
     ]
 )
 
+DAY_NOTE = StructType(
+    [*DAY_SUMMARY, StructField("noted_at", BIGINT, False, {"comment": "microseconds; the latest note counts"})]
+)
+
+# Sketches per day and campaign that add up over days, which distinct counts and percentiles do not.
+SKETCHES = StructType(
+    [
+        StructField("summary_date", DATE, False, {"comment": "day of the impressions; partition column"}),
+        StructField("campaign", INT, False, {"comment": "campaign"}),
+        StructField("users", BINARY, True, {"comment": "theta sketch of users"}),
+        StructField("converting_users", BINARY, True, {"comment": "theta sketch of users with a conversion"}),
+        StructField("conversion_delay_sec", BINARY, True, {"comment": "quantile sketch of delays"}),
+        StructField("end_to_end_latency_sec", BINARY, True, {"comment": "quantile sketch of latencies"}),
+    ]
+)
+
+# Part of a Bloom filter: the ids a batch brought to a day whose hash falls into one bucket.
+ID_FILTER = StructType(
+    [
+        StructField("event_date", DATE, True),
+        StructField("buckets", INT, False, {"comment": "buckets of the day's filter"}),
+        StructField("bucket", INT, False),
+        StructField("first_id", TEXT, True),
+        StructField("last_id", TEXT, True),
+        StructField("bits", BINARY, False, {"comment": "bitmap of 32,768 positions"}),
+    ]
+)
+
+LAYOUT = StructType(
+    [
+        StructField("layer", TEXT, False),
+        StructField("event_date", DATE, False),
+        StructField("layout", TEXT, False),
+        StructField("files", BIGINT, False, {"comment": "files of the day when it was rewritten"}),
+        StructField("bytes", BIGINT, False, {"comment": "their bytes"}),
+    ]
+)
+
 # One JSON line per message in the file form of a topic.
 TOPIC_FILE = StructType(
     [

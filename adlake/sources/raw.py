@@ -15,6 +15,11 @@ def raw_path(base: str, event_type: str) -> str:
     return f"{base}/{event_type}s"
 
 
+def raw_days(spark: SparkSession, base: str, event_type: str) -> list[str]:
+    """The days on which events of a type were ingested, from the folder names."""
+    return files.partition_values(spark, raw_path(base, event_type), "raw_date")
+
+
 def read_raw(
     spark: SparkSession, base: str, event_type: str, start: date | str, end: date | str
 ) -> DataFrame:
@@ -23,7 +28,7 @@ def read_raw(
     The days' folders are named to the reader, so files of other days are never listed.
     """
     root, first, last = raw_path(base, event_type), str(start), str(end)
-    held = [d for d in files.partition_values(spark, root, "raw_date") if first <= d <= last]
+    held = [d for d in raw_days(spark, base, event_type) if first <= d <= last]
     return read_folders(spark, root, "raw_date", held, RAW[event_type])
 
 

@@ -1,37 +1,48 @@
-"""Partitioned Parquet tables of the lake, their day summaries and the run log.
+"""Partitioned Parquet tables of the lake, and the small tables that tell about them.
 
-A change to stored rows replaces whole days. The new days are staged in full; once a marker
-says they are complete, each day's folder is swapped for the staged one by a rename. A run that
-dies before the marker leaves the table as it was, and one that dies after it is completed by
-:meth:`Lake.finish`. Staged files are gone when the change is. Readers meanwhile see some days
-old and some new. One run writes a lake at a time.
+Days are replaced by Spark's own dynamic partition overwrite: its committer writes new days aside
+and puts them in place when the job commits. Rows may be computed from the table they replace.
+Days left without rows are deleted afterwards. A run that dies before the commit changed nothing
+and is repeated; one that dies within it may leave a day absent, which :meth:`Lake.lost_days`
+finds from the day summaries, and the row-level job then rebuilds such days from raw events.
+Readers meanwhile see some days old and some new. One run writes a lake at a time.
+
+What is known about days (:data:`NOTES`) is appended, one file per run. The latest note of a day
+counts, and a day that is gone has a note of no rows.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake import schemas
 from adlake.functions.columns import as_utc, column
-from adlake.operators.changes import day_summaries
+from adlake.operators import id_filter
+from adlake.operators.changes import SUMMARY_COLUMNS, day_summaries
 from adlake.sources import files
 
 TABLES = {
     "silver": ("event_date", schemas.SILVER),
     "gold": ("summary_date", schemas.GOLD),
-    # What is known about every day of the row-level table, and what the KPI table was made of.
-    "silver_days": ("event_date", schemas.DAY_SUMMARY),
-    "gold_days": ("event_date", schemas.DAY_SUMMARY),
-    # One file per month, so the log stays small.
-    "run_log": ("month", schemas.RUN_LOG),
+    "gold_sketches": ("summary_date", schemas.SKETCHES),
 }
 PARTITION = {name: partition for name, (partition, _) in TABLES.items()}
-VIEWS = ("silver", "gold", "silver_days", "run_log")
-READY = "_READY"
+NOTES = {
+    # What is known about every day of the row-level table, and what the KPI table was made of.
+    "silver_days": schemas.DAY_NOTE,
+    "gold_days": schemas.DAY_NOTE,
+    # Filters of the ids each batch brought to a day.
+    "id_filters": schemas.ID_FILTER,
+    # Orders that days were rewritten in.
+    "layouts": schemas.LAYOUT,
+    "run_log": schemas.RUN_LOG,
+    "stream_log": schemas.STREAM_LOG,
+}
+VIEWS = ("silver", "gold", "gold_sketches", "silver_days", "run_log", "stream_log")
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -72,8 +83,21 @@ def between_times(df: DataFrame, time: str, partition: str, start, end) -> DataF
     return df.where(inside & F.col(partition).between(F.to_date(first), F.to_date(last)))
 
 
+def time_function(spark: SparkSession, name: str, view: str, time: str, partition: str) -> None:
+    """``name(start, end)`` for SQL: :func:`between_times` of a view, so that a caller who knows
+    times only still reads the days concerned only. A row whose day is not that of its time is
+    found by its day alone."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(view).schema)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(start_time TIMESTAMP, end_time TIMESTAMP) "
+        f"RETURNS TABLE({fields}) RETURN SELECT * FROM {view} "
+        f"WHERE `{time}` >= start_time AND `{time}` < end_time "
+        f"AND `{partition}` BETWEEN to_date(start_time) AND to_date(end_time)"
+    )
+
+
 class Lake:
-    """Row-level and KPI tables below one root, with summaries and the run log."""
+    """Row-level and KPI tables below one root, with the small tables about them."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -87,130 +111,131 @@ class Lake:
         return [date.fromisoformat(value) for value in values]
 
     def read(self, layer: str) -> DataFrame:
-        return self._at(layer, self.location(layer), None)
+        """A table as it stands; of day notes the latest of each day that has rows."""
+        schema = NOTES[layer] if layer in NOTES else TABLES[layer][1]
+        stored = read_or_empty(self.spark, self.location(layer), schema)
+        if schema is not schemas.DAY_NOTE:
+            return stored
+        # One row per day and run: few enough for one task, which spares the shuffle.
+        latest = stored.coalesce(1).groupBy("event_date").agg(
+            *(F.max_by(name, "noted_at").alias(name) for name in SUMMARY_COLUMNS)
+        )
+        return latest.where(F.col("row_count") > 0)
 
     def read_days(self, layer: str, days: list[date]) -> DataFrame:
         """The given days only, as far as they exist."""
+        partition, schema = TABLES[layer]
         wanted = set(days)
-        held = [day for day in self.days(layer) if day in wanted]
-        return self._at(layer, self.location(layer), held)
+        held = [str(day) for day in self.days(layer) if day in wanted]
+        return read_folders(self.spark, self.location(layer), partition, held, schema)
 
     def register_views(self) -> None:
-        """Make the tables known to SQL under their names."""
+        """Make the tables known to SQL under their names, and ``silver_between(start, end)``."""
         for layer in VIEWS:
             self.read(layer).createOrReplaceTempView(layer)
+        time_function(self.spark, "silver_between", "silver", "event_time", "event_date")
+
+    def append(self, layer: str, rows: DataFrame, ids_noted: bool = False) -> int:
+        """Add rows; existing files stay as they are. Returns how many rows there were.
 
-    def append(self, layer: str, rows: DataFrame) -> int:
-        """Add rows; existing files stay as they are. Returns how many rows there were."""
+        New row-level rows have their ids noted first, unless they are ``ids_noted``.
+        """
         partition, schema = TABLES[layer]
-        placed = balanced(schemas.conform(rows, schema), partition)
-        return self._write(placed, layer, self.location(layer), "append")
+        if layer == "silver" and not ids_noted:
+            self.note_ids(rows)
+        return self._write(balanced(schemas.conform(rows, schema), partition), layer, "append")[0]
 
     def replace_days(
-        self,
-        layer: str,
-        rows: DataFrame,
-        days: list[date] | None,
-        placed: bool = False,
-        mark: str | None = None,
+        self, layer: str, rows: DataFrame, days: list[date] | None, placed: bool = False
     ) -> int:
         """Make ``rows`` the content of the given days; days without rows become empty.
 
-        Without ``days``, all days of the table are replaced. ``rows`` may read the table: it
-        is staged in full before a file goes. ``placed`` rows keep their arrangement. ``mark``
-        names an empty file left in each day that has rows.
+        Without ``days``, all days of the table are replaced. ``rows`` may read the table.
+        ``placed`` rows keep their arrangement.
         """
         partition, schema = TABLES[layer]
-        staged = f"{self.root}/staged/{layer}"
-        files.delete(self.spark, staged)
+        wanted = set(self.days(layer)) if days is None else set(days)
         if not placed:
             rows = balanced(schemas.conform(rows, schema), partition)
-        count = self._write(rows, layer, staged, "overwrite")
-        found = {date.fromisoformat(v) for v in files.partition_values(self.spark, staged, partition)}
-        if mark:
-            for day in found:
-                files.touch(self.spark, f"{staged}/{partition}={day}/{mark}")
-        wanted = set(self.days(layer)) if days is None else set(days)
-        if days is not None and not found <= wanted:
-            raise ValueError(f"{layer}: rows of days that are not replaced: {sorted(found - wanted)}")
-        for day in wanted - found:
-            files.make_folder(self.spark, f"{staged}/{partition}={day}")
-        files.touch(self.spark, f"{staged}/{READY}")
-        self.finish(layer)
+        if days is not None:
+            rows = rows.withColumn(partition, self._expected(layer, wanted))
+        count, found = self._write(rows, layer, "overwrite")
+        self.drop_days(layer, wanted - found)
         return count
 
-    def finish(self, layer: str) -> bool:
-        """Complete a change that was interrupted after it was staged; drop one that was not."""
-        staged, partition = f"{self.root}/staged/{layer}", PARTITION[layer]
-        ready = files.exists(self.spark, f"{staged}/{READY}")
-        for value in files.partition_values(self.spark, staged, partition) if ready else ():
-            self._swap(f"{staged}/{partition}={value}", f"{self.location(layer)}/{partition}={value}")
-        files.delete(self.spark, staged)
-        return ready
-
-    def finish_all(self) -> None:
-        for layer in TABLES:
-            self.finish(layer)
+    def _expected(self, layer: str, days: set[date]) -> Column:
+        """The day of a row, failing the query if it is none of ``days``. As a value, not as a
+        filter: the optimizer would evaluate a filter on the other side of a join too."""
+        day = F.col(PARTITION[layer])
+        stray = F.raise_error(F.concat(F.lit(f"{layer}: rows of a day not replaced: "), day.cast("string")))
+        inside = day.isin(sorted(days)) if days else F.lit(False)
+        return F.when(inside, day).otherwise(stray.cast("date"))
+
+    def drop_days(self, layer: str, days: set[date]) -> None:
+        for day in days & set(self.days(layer)):
+            files.delete(self.spark, f"{self.location(layer)}/{PARTITION[layer]}={day}")
+
+    def lost_days(self, layer: str, notes: str) -> list[date]:
+        """Days that have rows by their notes and no folder: a dead run's commit lost them."""
+        noted = self.read(notes).select("event_date").collect()  # one row per day
+        return sorted({row[0] for row in noted} - set(self.days(layer)))
+
+    def note(self, name: str, rows: DataFrame) -> None:
+        """Append rows to a small table, as one file."""
+        schemas.conform(rows, NOTES[name]).coalesce(1).write.mode("append").parquet(self.location(name))
+
+    def note_days(self, name: str, summaries: DataFrame, gone: set[date]) -> None:
+        """Note day summaries, and days that have no rows any more."""
+        noted = summaries
+        if gone:
+            none = self.spark.createDataFrame([(day, 0) for day in sorted(gone)], "event_date date, row_count bigint")
+            noted = summaries.unionByName(none, allowMissingColumns=True)
+        self.note(name, noted.withColumn("noted_at", F.unix_micros(F.current_timestamp())))
 
     def summarize(self, days: list[date]) -> None:
-        """Bring the summaries of the given days of the row-level table up to date."""
-        touched = self.read_days("silver", days)
-        self.replace_days("silver_days", day_summaries(touched), days)
+        """Note the summaries of the given days of the row-level table."""
+        gone = set(days) - set(self.days("silver"))
+        self.note_days("silver_days", day_summaries(self.read_days("silver", days)), gone)
+
+    def note_ids(self, rows: DataFrame) -> None:
+        """Note the ids of row-level rows about to be stored."""
+        self.note("id_filters", id_filter.build(rows, "event_id", "event_date"))
+
+    def days_holding(self, rows: DataFrame) -> list[date]:
+        """Days that may hold an id of ``rows``; a day it leaves out holds none of them."""
+        hits = id_filter.probe(self.read("id_filters"), rows.select("event_id"), "event_id", "event_date")
+        return sorted(row[0] for row in hits.collect())  # one row per day
 
     def log(self) -> DataFrame:
-        return self.read("run_log").drop("month")
+        return self.read("run_log")
 
     def last_run(self, layer: str) -> dict | None:
         row = self.log().where(F.col("layer") == layer).orderBy(F.desc("commit_id")).first()
         return row.asDict() if row else None
 
-    def record(self, layer: str, operation: str, records: int, now: datetime | None) -> int:
-        """Log a finished run, also one that changed nothing. Returns its number."""
-        last, at = self.last_run(layer), as_utc(now or datetime.now(timezone.utc))
-        number = (last["commit_id"] if last else 0) + 1
-        month = at.astimezone(timezone.utc).date().replace(day=1)
-        values = {
-            "layer": layer,
-            "commit_id": number,
-            "parent_id": last["commit_id"] if last else None,
-            "committed_at": at,
-            "operation": operation,
-            "records": records,
-            "month": month,
-        }
-        row = self.spark.range(1).select(
-            *(F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schemas.RUN_LOG)
+    def record(self, layer: str, operation: str, records: int, now: datetime | None) -> None:
+        """Log a finished run, also one that changed nothing. Its number follows the last one's."""
+        at = as_utc(now or datetime.now(timezone.utc))
+        # The log of a layer has one row per run; one task reads it, and nothing is shuffled.
+        last = self.log().coalesce(1).where(F.col("layer") == layer).agg(F.max("commit_id").alias("parent_id"))
+        self.note(
+            "run_log",
+            last.select(
+                F.lit(layer).alias("layer"),
+                (F.coalesce("parent_id", F.lit(0)) + 1).alias("commit_id"),
+                "parent_id",
+                F.lit(at).alias("committed_at"),
+                F.lit(operation).alias("operation"),
+                F.lit(records).cast("bigint").alias("records"),
+            ),
         )
-        logged = self.read_days("run_log", [month]).unionByName(row).coalesce(1)
-        self.replace_days("run_log", logged, [month], placed=True)
-        return number
-
-    def data_files(self, layer: str, days: list[date]) -> list[tuple[date, str, int]]:
-        """(day, file, bytes) of the given days, from listings of their folders."""
-        partition, found = PARTITION[layer], []
-        for day in sorted(set(days) & set(self.days(layer))):
-            folder = f"{self.location(layer)}/{partition}={day}"
-            held = files.children(self.spark, folder)
-            found += [(day, f"{folder}/{name}", size) for name, size, inner in held if not inner]
-        return found
-
-    def marked(self, layer: str, day: date, mark: str) -> bool:
-        folder = f"{self.location(layer)}/{PARTITION[layer]}={day}"
-        return files.exists(self.spark, f"{folder}/{mark}")
-
-    def _at(self, layer: str, location: str, days: list[date] | None) -> DataFrame:
-        partition, schema = TABLES[layer]
-        if days is None:
-            return read_or_empty(self.spark, location, schema)
-        return read_folders(self.spark, location, partition, [str(d) for d in days], schema)
-
-    def _write(self, rows: DataFrame, layer: str, path: str, mode: str) -> int:
-        counted = Observation()
-        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode(mode).partitionBy(PARTITION[layer]).parquet(path)
-        return counted.get["rows"]
-
-    def _swap(self, staged: str, stored: str) -> None:
-        files.delete(self.spark, stored)
-        if files.children(self.spark, staged):
-            files.move(self.spark, staged, stored)
+
+    def _write(self, rows: DataFrame, layer: str, mode: str) -> tuple[int, set[date]]:
+        """Rows written and the days they are of."""
+        partition, seen = PARTITION[layer], Observation()
+        rows = rows.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(partition).alias("days")
+        )
+        writer = rows.write.mode(mode).partitionBy(partition)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.location(layer))
+        return seen.get["rows"], set(seen.get["days"])

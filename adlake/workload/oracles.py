@@ -129,9 +129,11 @@ _EARLY = f"raw_date <= {CUT}"
 _BOTH = _with(_RAW, _attributed("s"), _attributed("b", _EARLY))
 
 # Incremental runs: each batch attributes its own clicks and conversions to the impressions
-# stored so far, and the first batch with a conversion in the window wins.
-_WEEKS = """CASE WHEN raw_date <= DATE '2024-01-07' THEN 1 WHEN raw_date <= DATE '2024-01-14' THEN 2
-  WHEN raw_date <= DATE '2024-01-21' THEN 3 ELSE 4 END"""
+# stored so far, and the first batch with a conversion in the window wins. Batches are runs of raw
+# dates of about equal length.
+_SPAN = """(SELECT date_diff('day', min(raw_date), max(raw_date)) + 1 FROM unbatched)"""
+_FIRST = "(SELECT min(raw_date) FROM unbatched)"
+_WEEKS = f"(date_diff('day', {_FIRST}, raw_date) * 4) // {_SPAN} + 1"
 _DAYS = """least(5, greatest(1, 4 - date_diff('day', raw_date, (
   SELECT max(CAST(make_timestamp("timestamp" * 1000000) AS DATE))
   FROM unbatched WHERE event_type = 'impression'))))"""
@@ -180,15 +182,19 @@ FROM imp i JOIN e ON e.eid = i.eid AND e."timestamp" - i."timestamp" BETWEEN 0 A
 
 
 # One run of each layer per batch, at two in the morning after its last raw date.
-_RUNS = """
+_RUNS = (
+    _RAW.replace("raw AS (", "unbatched AS (")
+    + """,
+spans AS (SELECT date_diff('day', min(raw_date), max(raw_date)) + 1 AS span FROM unbatched),
 runs AS (
   SELECT layer, operation, CAST(n AS BIGINT) AS commit_id,
          CAST(nullif(n - 1, 0) AS BIGINT) AS parent_id,
          CAST(last AS TIMESTAMP) + INTERVAL 26 HOUR AS committed_at
-  FROM (VALUES (1, DATE '2024-01-07'), (2, DATE '2024-01-14'), (3, DATE '2024-01-21'),
-               (4, DATE '2024-01-31')) b(n, last)
+  FROM (SELECT n, min(raw_date) + CAST((any_value(span) * n + 3) // 4 - 1 AS INTEGER) AS last
+        FROM unbatched, range(1, 5) r(n), spans GROUP BY n) b
   CROSS JOIN (VALUES ('silver', 'incremental'), ('gold', 'merge')) l(layer, operation)
 )"""
+)
 # Rows each run added or changed.
 _RECORDS = """
 changed AS (
@@ -406,7 +412,7 @@ SELECT DISTINCT event_date FROM
   ((FROM now_ EXCEPT FROM was) UNION ALL (FROM was EXCEPT FROM now_))""",
     "first_commit_of_day": f"""{_with(_RUNS)}
 SELECT commit_id, parent_id, committed_at FROM runs
-WHERE layer = 'silver' AND committed_at >= TIMESTAMP '2024-01-20 00:00:00'
+WHERE layer = 'silver' AND commit_id >= 2
 ORDER BY committed_at LIMIT 1""",
     "alert_freshness": f"""{_with(_RUNS)}
 SELECT layer, 'no_snapshot_today' AS alert_type, max(committed_at) AS latest_committed_at
@@ -478,6 +484,54 @@ FROM s WHERE event_date = DATE '2024-01-22' GROUP BY event_date""",
     "incident_commits": f"""{_with(_RUNS)}
 SELECT layer, commit_id, parent_id, committed_at, operation FROM runs
 ORDER BY committed_at DESC, layer, commit_id DESC LIMIT 20""",
+    "bronze_runs": f"""{_with(_RAW)}
+SELECT event_type AS topic, CAST(1 AS BIGINT) AS batches, count(*) AS rows,
+       count(*) FILTER (kafka_offset % 97 = 0) AS undecoded,
+       max((kafka_offset * 37) % 601) AS max_lag_sec
+FROM raw GROUP BY event_type""",
+    "users_window": f"""{_with(_incremental(_WEEKS))},
+seen AS (SELECT DISTINCT w.n, s.campaign, s.uid, s.conversion,
+           date_diff('day', s.event_date, DATE '2024-01-31') <= w.n AS now
+         FROM s, (VALUES (7), (14), (30)) w(n)
+         WHERE date_diff('day', s.event_date, DATE '2024-01-31') BETWEEN 1 AND 2 * w.n
+           AND s.campaign IS NOT NULL)
+SELECT CAST(n AS INTEGER) AS window_days, campaign,
+       count(DISTINCT uid) FILTER (now) AS users,
+       count(DISTINCT uid) FILTER (now AND conversion = 1) AS converting_users,
+       (SELECT count(DISTINCT a.uid) FROM seen a JOIN seen b USING (n, campaign, uid)
+        WHERE a.now AND NOT b.now AND a.n = seen.n AND a.campaign = seen.campaign) AS returning_users
+FROM seen GROUP BY n, campaign HAVING users > 0""",
+    "delays_window": f"""{_with(_incremental(_WEEKS))},
+v AS (SELECT 'conversion_delay_sec' AS metric, conversion_delay_sec AS x FROM s
+      WHERE {_trailing("event_date", 30)} AND conversion = 1 AND conversion_delay_sec >= 0 AND campaign IS NOT NULL
+      UNION ALL SELECT 'end_to_end_latency_sec', end_to_end_latency_sec FROM s
+      WHERE {_trailing("event_date", 30)} AND campaign IS NOT NULL)
+SELECT metric, count(*) AS n, quantile_disc(x, 0.25) AS p25_sec, quantile_disc(x, 0.5) AS p50_sec,
+       quantile_disc(x, 0.75) AS p75_sec, quantile_disc(x, 0.9) AS p90_sec,
+       quantile_disc(x, 0.95) AS p95_sec
+FROM v GROUP BY metric""",
+    "alert_rate_drop": f"""{_FULL},
+days AS (
+  SELECT event_date, count(*) AS rows,
+         CAST(sum(CASE WHEN event_date = DATE '2024-01-20' THEN 0 ELSE click END) AS BIGINT) AS clicks,
+         CAST(sum(CASE WHEN event_date = DATE '2024-01-27' THEN 0 ELSE conversion END) AS BIGINT) AS conversions
+  FROM s GROUP BY event_date
+),
+rated AS (
+  SELECT event_date, measure, (events * 1000000) // rows AS rate_ppm
+  FROM (SELECT event_date, rows, 'clicks' AS measure, clicks AS events FROM days
+        UNION ALL SELECT event_date, rows, 'conversions', conversions FROM days)
+  WHERE {_trailing("event_date", 58)}
+),
+judged AS (
+  SELECT a.event_date, a.measure, a.rate_ppm, median(b.rate_ppm)::DOUBLE AS usual_ppm,
+         mad(b.rate_ppm)::DOUBLE AS mad_ppm, CAST(count(*) AS INTEGER) AS weeks
+  FROM rated a JOIN rated b ON a.measure = b.measure
+    AND date_diff('day', b.event_date, a.event_date) IN (7, 14, 21, 28)
+  GROUP BY ALL HAVING count(*) >= 2
+)
+SELECT * FROM judged WHERE {_trailing("event_date", 30)}
+  AND rate_ppm < usual_ppm - 3.0::DOUBLE * mad_ppm AND rate_ppm < 0.5::DOUBLE * usual_ppm""",
     "infra_files": f"""{_FULL}
 SELECT event_date, 'data' AS file_type, CAST(1 AS BIGINT) AS file_count,
        count(*) AS total_records
@@ -554,6 +608,7 @@ SELECT event_id, ts AS event_time, CAST(user_id AS VARCHAR) AS user_id, value AS
 FROM events WHERE ts >= TIMESTAMP '2024-01-10 12:00:00' AND ts < TIMESTAMP '2024-01-13'""",
     "compact_binpack": f"{_FULL} SELECT * FROM s",
     "compact_sort": f"{_FULL} SELECT * FROM s",
+    "compact_zorder": f"{_FULL} SELECT * FROM s",
     "campaign_filter": f"""{_FULL}
 SELECT campaign, count(*) AS impressions, round(sum(cost), 6) AS total_cost
 FROM s WHERE campaign = 7 GROUP BY campaign""",

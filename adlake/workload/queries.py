@@ -15,13 +15,13 @@ from pyspark.sql import types as T
 
 from adlake import schemas
 from adlake.functions.columns import clock, instant
-from adlake.operators import attribution, changes, kpis, upsert, wide
+from adlake.operators import attribution, changes, kpis, sketches, upsert, wide
 from adlake.operators.dedup import first_per_key
 from adlake.plans import checks, daily, gold, maintenance, silver
 from adlake.session import scratch_path, use_utc
 from adlake.sources import fixtures
-from adlake.sources.raw import append_raw, raw_path, read_raw
-from adlake.sources.tables import Lake, between_times, read_or_empty
+from adlake.sources.raw import append_raw, raw_days, raw_path, read_raw
+from adlake.sources.tables import Lake, read_or_empty, time_function
 from adlake.sources.topics import read_file_topic
 from adlake.streaming import bronze
 
@@ -30,13 +30,8 @@ LATER = date(2024, 2, 10)
 LAST = date(2024, 1, 31)
 # The earlier of two table states holds what was ingested up to this day.
 CUT = date(2024, 1, 15)
-# Raw dates each incremental batch covers.
-BATCHES = (
-    (date(2024, 1, 1), date(2024, 1, 7)),
-    (date(2024, 1, 8), date(2024, 1, 14)),
-    (date(2024, 1, 15), date(2024, 1, 21)),
-    (date(2024, 1, 22), date(2024, 1, 31)),
-)
+# Incremental batches that the raw dates are cut into.
+BATCHES = 4
 # A backfill of all raw dates but the last few, then one daily run for each of those.
 DAILY_RUNS = 3
 RANGE = (date(2024, 1, 10), date(2024, 1, 16))
@@ -120,18 +115,30 @@ def logged_lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _logged:
         lake, base = new_lake(spark), stored_raw(spark, sf_dir)
-        for start, end in BATCHES:
+        for start, end in batches(*raw_dates(spark, sf_dir)):
             now = run_time(end)
-            silver.run_incremental(lake, base, start, end, now=now, require_match=False)
+            silver.run_incremental(lake, base, start, end, now=now)
             gold.run_daily(lake, now)
         _logged[key] = lake
     return _logged[key]
 
 
 def raw_dates(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
-    """First and last date on which anything was ingested."""
-    ends = all_raw(spark, sf_dir).agg(F.min("raw_date"), F.max("raw_date")).first()
-    return ends[0], ends[1]
+    """First and last date on which anything was ingested, from the raw layer's folders."""
+    base = stored_raw(spark, sf_dir)
+    held = {d for event_type in schemas.EVENT_TYPES for d in raw_days(spark, base, event_type)}
+    return date.fromisoformat(min(held)), date.fromisoformat(max(held))
+
+
+def batches(first: date, last: date) -> list[tuple[date, date]]:
+    """The dates in runs of about equal length, as far as there are enough of them."""
+    span = (last - first).days + 1
+    ends = [-(-span * n // BATCHES) for n in range(BATCHES + 1)]
+    return [
+        (first + timedelta(days=a), first + timedelta(days=b - 1))
+        for a, b in zip(ends, ends[1:])
+        if a < b
+    ]
 
 
 # Raw layer
@@ -185,6 +192,34 @@ def bronze_stream(spark, sf_dir):
     )
 
 
+def bronze_runs(spark, sf_dir):
+    """What the streams' listener noted, with fixed times of ingestion; one message in 97 is
+    damaged."""
+    topics, lake = scratch_path(spark, "topics"), new_lake(spark)
+    for event_type in schemas.EVENT_TYPES:
+        sent = fixtures.topic_messages(spark, sf_dir, event_type)
+        damaged = F.when(F.col("offset") % 97 == 0, F.concat(F.lit("x"), "value"))
+        sent = sent.withColumn("value", F.coalesce(damaged, F.col("value")))
+        sent.coalesce(1).write.json(f"{topics}/{event_type}")
+    noted = bronze.StreamLog(lake)
+    spark.streams.addListener(noted)
+    try:
+        running = bronze.start_streams(
+            spark,
+            lambda event_type: read_file_topic(spark, f"{topics}/{event_type}"),
+            scratch_path(spark, "streamed"),
+            scratch_path(spark, "checkpoints"),
+            trigger={"availableNow": True},
+            ingest_ts=instant(F.unix_timestamp("timestamp") + (F.col("offset") * 37) % 601),
+        )
+        for query in running.values():
+            query.awaitTermination()
+            noted.wait(query)
+    finally:
+        spark.streams.removeListener(noted)
+    return checks.stream_runs(lake.read("stream_log"))
+
+
 def raw_range_scan(spark, sf_dir):
     base = stored_raw(spark, sf_dir)
     shown, clicked, converted = (
@@ -378,7 +413,19 @@ def gold_full_refresh(spark, sf_dir):
 
 
 def first_commit_of_day(spark, sf_dir):
-    return changes.first_commit_of_day(logged_lake(spark, sf_dir).log(), date(2024, 1, 20))
+    """Of the day after the second batch's last raw date."""
+    second = batches(*raw_dates(spark, sf_dir))[1][1]
+    return changes.first_commit_of_day(logged_lake(spark, sf_dir).log(), second + timedelta(days=1))
+
+
+def users_window(spark, sf_dir):
+    """Distinct users of 7, 14 and 30 days from the day sketches of the KPI layer."""
+    return sketches.users_window(logged_lake(spark, sf_dir).read("gold_sketches"), AS_OF)
+
+
+def delays_window(spark, sf_dir):
+    """Percentiles of 30 days from the day sketches of the KPI layer."""
+    return sketches.delays_window(logged_lake(spark, sf_dir).read("gold_sketches"), AS_OF)
 
 
 # Reports and gates
@@ -403,6 +450,15 @@ def alert_latency(spark, sf_dir):
     return checks.slow_days(full(spark, sf_dir), AS_OF, days=30)
 
 
+def alert_rate_drop(spark, sf_dir):
+    """With the clicks of the 20th and the conversions of the 27th left out."""
+    rows = full(spark, sf_dir)
+    silent = {"click": date(2024, 1, 20), "conversion": date(2024, 1, 27)}
+    for flag, dark in silent.items():
+        rows = rows.withColumn(flag, F.when(F.col("event_date") == F.lit(dark), 0).otherwise(F.col(flag)))
+    return checks.rate_drops(changes.day_summaries(rows), AS_OF)
+
+
 def ops_volume(spark, sf_dir):
     return checks.daily_volume(full(spark, sf_dir), AS_OF)
 
@@ -530,10 +586,11 @@ def day_partition(spark, sf_dir):
 
 
 def day_partition_range(spark, sf_dir):
-    """Two days and a half of that table, asked for by time; other days are not read."""
-    stored = day_partition(spark, sf_dir)
-    return between_times(
-        stored, "event_time", "event_date", "2024-01-10 12:00:00", "2024-01-13 00:00:00"
+    """Two days and a half of that table, asked for by time in SQL; other days are not read."""
+    day_partition(spark, sf_dir).createOrReplaceTempView("events_by_day")
+    time_function(spark, "events_between", "events_by_day", "event_time", "event_date")
+    return spark.sql(
+        "SELECT * FROM events_between(TIMESTAMP '2024-01-10 12:00:00', TIMESTAMP '2024-01-13 00:00:00')"
     )
 
 
@@ -555,6 +612,12 @@ def compact_binpack(spark, sf_dir):
     return tidy(lake.read("silver"))
 
 
+def compact_zorder(spark, sf_dir):
+    lake = _fragmented(spark, sf_dir)
+    maintenance.compact_zorder(lake, AS_OF, now=run_time(LAST))
+    return tidy(lake.read("silver"))
+
+
 def compact_sort(spark, sf_dir):
     lake = _fragmented(spark, sf_dir)
     maintenance.compact_sorted(lake, AS_OF, now=run_time(LAST))
@@ -598,23 +661,23 @@ def daily_run(spark, sf_dir):
 
 
 _REGISTERED = (
-    bronze_parse, bronze_quarantine, bronze_stream, raw_range_scan, dedup_events,
+    bronze_parse, bronze_quarantine, bronze_stream, bronze_runs, raw_range_scan, dedup_events,
     attribution_full, attribution_clicks, attribution_conversions, attribution_orders,
     silver_stage1, silver_conform, silver_incremental, silver_full_refresh,
     silver_refresh_range, assert_matched,
     upsert_insert_absent, upsert_click, upsert_conversion, upsert_gold,
     update_where, delete_where,
     gold_kpi, gold_changed_only, gold_trailing_window, gold_range, gold_daily,
-    gold_full_refresh,
+    gold_full_refresh, users_window, delays_window,
     changed_dates_count, changed_dates_initial, changed_dates_content, first_commit_of_day,
-    alert_freshness, alert_consistency, alert_missing_dates, alert_latency,
+    alert_freshness, alert_consistency, alert_missing_dates, alert_latency, alert_rate_drop,
     ops_volume, ops_wow, ops_attribution, ops_latency,
     biz_kpi_trend, biz_conv_delay, incident_day, incident_commits,
     infra_files, infra_runs, infra_retention,
     gate_silver_commit, gate_silver_rows, gate_gold_commit, gate_consistency,
     gate_bronze_present, quality_profile,
     split_wide_events, first_conversion, time_remap, day_partition, day_partition_range,
-    compact_binpack, compact_sort, campaign_filter, daily_run,
+    compact_binpack, compact_sort, compact_zorder, campaign_filter, daily_run,
 )
 
 

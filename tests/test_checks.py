@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, timedelta, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ def gold(spark, *rows):
 def log(spark, *rows):
     """Rows of (layer, commit_id, time)."""
     full = [
-        (layer, n, n - 1, datetime.fromisoformat(t), "append", 1, date(2024, 3, 1))
+        (layer, n, n - 1, datetime.fromisoformat(t), "append", 1)
         for layer, n, t in rows
     ]
     return spark.createDataFrame(full, schemas.RUN_LOG)
@@ -189,4 +189,27 @@ def test_stray_days(spark):
         [(date(1970, 1, 1), 3), (date(2024, 2, 29), 5), (date(2031, 1, 1), 1)],
         "event_date date, row_count bigint",
     )
-    assert {r.row_count for r in checks.stray_days(days, AS_OF).collect()} == {3, 1}
+    assert {r.row_count for r in checks.stray_days(days, AS_OF, 400).collect()} == {3, 1}
+
+
+def test_sudden_falls_of_the_rate_alert(spark):
+    """A day without clicks alerts; weekly rhythm, slow drift and young tables do not."""
+    first = date(2024, 1, 1)
+
+    def summaries(days, dark=()):
+        rows = []
+        for n in range(days):
+            weekend = (first + timedelta(days=n)).weekday() >= 5
+            clicks = 20 if weekend else 80 + n % 3
+            rows.append((first + timedelta(days=n), 1000, 0 if n in dark else clicks, 0))
+        return spark.createDataFrame(rows, "event_date date, row_count bigint, clicks bigint, conversions bigint")
+
+    as_of = first + timedelta(days=50)
+    assert checks.rate_drops(summaries(50), as_of).count() == 0
+    found = checks.rate_drops(summaries(50, dark={45, 30}), as_of).collect()
+    assert {(r.event_date, r.measure, r.rate_ppm, r.weeks) for r in found} == {
+        (first + timedelta(days=n), "clicks", 0, 4) for n in (45, 30)
+    }
+    assert checks.rate_drops(summaries(13, dark={12}), first + timedelta(days=13)).count() == 0
+    # Every row of the frame is one day: no plan sorts events.
+    assert checks.rate_drops(summaries(0), as_of).count() == 0

@@ -1,5 +1,6 @@
 """Compaction, row numbering and wide rows."""
 
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -34,12 +35,15 @@ def fragmented(lake, events):
     return lake
 
 
+def listed(lake):
+    """(day, bytes) of every file."""
+    rows = maintenance.files_of(lake, "silver").collect()
+    assert all(r.file_bytes > 0 for r in rows)
+    return [(str(r.event_date), r.file_bytes) for r in rows]
+
+
 def files_per_day(lake):
-    found = {}
-    for day, _, size in lake.data_files("silver", lake.days("silver")):
-        assert size > 0
-        found[str(day)] = found.get(str(day), 0) + 1
-    return found
+    return dict(Counter(day for day, _ in listed(lake)))
 
 
 def test_binpack_makes_one_file_per_small_day(fragmented):
@@ -61,7 +65,7 @@ def test_file_report_opens_no_data_file(fragmented):
     rows = {str(r.event_date): r for r in maintenance.report_files(fragmented).collect()}
     assert {d: r.file_count for d, r in rows.items()} == files_per_day(fragmented)
     assert {d: r.total_records for d, r in rows.items()} == {"2024-03-01": 200, "2024-03-02": 200}
-    sizes = sum(size for _, _, size in fragmented.data_files("silver", fragmented.days("silver")))
+    sizes = sum(size for _, size in listed(fragmented))
     assert abs(sum(r.total_mb for r in rows.values()) - sizes / 1048576) < 0.02
 
 
@@ -78,8 +82,7 @@ def file_spans(table):
 
 def test_sorted_files_cover_separate_ranges(fragmented):
     before = content(fragmented.read("silver"))
-    sizes = [size for _, _, size in fragmented.data_files("silver", fragmented.days("silver"))]
-    small = sum(sizes) // 6
+    small = sum(size for _, size in listed(fragmented)) // 6
     maintenance.compact_sorted(fragmented, "2024-03-03", target_bytes=small, now=NOW)
     table = fragmented.read("silver")
     assert content(table) == before
@@ -116,6 +119,75 @@ def test_sorted_single_files_are_left_alone_afterwards(fragmented, events):
     assert maintenance.compact_sorted(fragmented, "2024-03-03", now=NOW) == 201
 
 
+def test_the_inventory_opens_no_file_and_prunes_days(fragmented):
+    files = maintenance.files_of(fragmented, "silver").where("event_date = DATE '2024-03-02'")
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    assert "event_date#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert {str(r.event_date) for r in files.collect()} == {"2024-03-02"}
+
+
+@pytest.fixture
+def spread(lake, events):
+    """One day of 4,096 rows whose campaigns and ids are independent."""
+    items = [
+        {"eid": f"e{(i * 2654435761) % 4096:04d}", "timestamp": T + i % 3600, "campaign": i % 64}
+        for i in range(4096)
+    ]
+    lake.append("silver", at.silver_rows(events("impression", *items)))
+    return lake
+
+
+def files_met(table, low, high, column):
+    """How many files have a range that meets the asked one."""
+    spans = table.groupBy(F.col("_metadata.file_path")).agg(F.min(column).alias("a"), F.max(column).alias("b"))
+    return spans.where((F.col("a") <= F.lit(high)) & (F.col("b") >= F.lit(low))).count(), spans.count()
+
+
+def test_zorder_skips_files_for_filters_on_either_column(spread):
+    before, target = content(spread.read("silver")), sum(b for _, b in listed(spread)) // 16
+    maintenance.compact_sorted(spread, "2024-03-03", target_bytes=target, now=NOW)
+    by_campaign, files = files_met(spread.read("silver"), 10, 10, "campaign")
+    by_id, _ = files_met(spread.read("silver"), "e1000", "e1000", "event_id")
+    assert files >= 12 and by_campaign <= 2 and by_id == files
+    assert maintenance.compact_zorder(spread, "2024-03-03", target_bytes=target, now=NOW) == 4096
+    table = spread.read("silver")
+    assert content(table) == before
+    z_campaign, z_files = files_met(table, 10, 10, "campaign")
+    z_id, _ = files_met(table, "e1000", "e1000", "event_id")
+    # Less than half of the files for either column; sorting serves one of them only.
+    assert z_campaign < z_files / 2 and z_id < z_files / 2
+    assert (z_campaign + z_id) / z_files < (by_campaign + by_id) / files
+    assert spread.last_run("silver")["operation"] == "zorder"
+    assert maintenance.compact_zorder(spread, "2024-03-03", target_bytes=target, now=NOW) is None
+
+
+def test_zorder_ranks_are_even_under_skew_and_null(spread):
+    """Half of the rows in one campaign, some without; ranks of the ids stay spread."""
+    rows = spread.read("silver").withColumn(
+        "campaign", F.when(F.col("campaign") < 32, 7).when(F.col("campaign") < 60, F.col("campaign"))
+    )
+    keyed = maintain.with_zorder(rows, "event_date", ("campaign", "event_id"))
+    ends = keyed.agg(F.count_distinct("_z"), F.min("_z"), F.max("_z"), F.count(F.lit(1))).first()
+    assert ends[0] > 800 and ends[1] >= 0 and ends[2] < 1 << (2 * maintain.ZORDER_BITS) and ends[3] == 4096
+    evens = sum(1 << (2 * bit) for bit in range(maintain.ZORDER_BITS))  # bits of the second column
+    spread_ids = keyed.groupBy(F.col("_z").bitwiseAND(F.lit(evens))).count().agg({"count": "max"}).first()[0]
+    assert spread_ids < 4 * 4096 / (1 << maintain.ZORDER_BITS)
+
+
+def test_gold_can_be_laid_out_as_well(lake, events):
+    from adlake.plans import gold
+
+    for part in range(2):
+        items = [{"eid": f"g{part}-{i}", "timestamp": T, "campaign": i} for i in range(50)]
+        lake.append("silver", at.silver_rows(events("impression", *items)))
+    lake.summarize(lake.days("silver"))
+    gold.run_daily(lake, NOW)
+    before = content(lake.read("gold"))
+    assert maintenance.compact_zorder(lake, "2024-03-03", layer="gold", now=NOW) == 50
+    assert content(lake.read("gold")) == before
+
+
 def test_large_day_is_spread_over_its_planned_files(fragmented):
     table = fragmented.read("silver")
     plan = [(day, 3) for day in fragmented.days("silver")]

@@ -1,0 +1,76 @@
+"""Day sketches against exact counts and ranks."""
+
+from datetime import date, timedelta
+
+from helpers import seconds
+from pyspark.sql import functions as F
+
+from adlake.operators import sketches
+from adlake.operators.attribution import silver_rows
+from adlake.plans import gold
+
+AS_OF = date(2024, 3, 1)
+
+
+def silver(spark, rows_a_day=30_000):
+    """60 days, three campaigns, about 50,000 users; the first campaign has most rows."""
+    rows = spark.range(60 * rows_a_day).select(
+        F.date_sub(F.lit(AS_OF), (F.col("id") % 60 + 1).cast("int")).alias("event_date"),
+        F.element_at(F.array(*map(F.lit, (1, 1, 1, 2, 3))), F.pmod(F.xxhash64("id", F.lit(4)), F.lit(5)).cast("int") + 1).alias("campaign"),
+        F.pmod(F.xxhash64("id"), F.lit(50_000)).cast("string").alias("uid"),
+        F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(20)) == 0, 1).otherwise(0).alias("conversion"),
+        F.pmod(F.xxhash64("id", F.lit(2)), F.lit(2_000_000)).alias("conversion_delay_sec"),
+        F.pmod(F.xxhash64("id", F.lit(3)), F.lit(900)).alias("end_to_end_latency_sec"),
+    )
+    return rows.withColumn(
+        "conversion_delay_sec", F.when(F.col("conversion") == 1, F.col("conversion_delay_sec")).otherwise(-1)
+    )
+
+
+def test_windows_are_near_exact_counts_and_ranks(spark, tmp_path):
+    rows = silver(spark)
+    sketches.day_sketches(rows).write.parquet(str(tmp_path / "days"))
+    days = spark.read.parquet(str(tmp_path / "days"))
+    assert days.count() == 180
+    found = {(r.window_days, r.campaign): r for r in sketches.users_window(days, AS_OF).collect()}
+    assert len(found) == 9
+    for (n, campaign), r in found.items():
+        mine = rows.where(F.col("campaign") == campaign)
+        now = mine.where(F.col("event_date") >= F.lit(AS_OF - timedelta(days=n)))
+        before = mine.where(F.col("event_date").between(F.lit(AS_OF - timedelta(days=2 * n)), F.lit(AS_OF - timedelta(days=n + 1))))
+        users = now.select("uid").distinct()
+        exact = (
+            users.count(),
+            now.where("conversion = 1").select("uid").distinct().count(),
+            users.join(before.select("uid").distinct(), "uid", "left_semi").count(),
+        )
+        got = (r.users, r.converting_users, r.returning_users)
+        assert all(abs(a - b) <= 0.03 * b for a, b in zip(got, exact)), (n, campaign, got, exact)
+    for r in sketches.delays_window(days, AS_OF, 30).collect():
+        values = rows.where(F.col("event_date") >= F.lit(AS_OF - timedelta(days=30)))
+        if r.metric == "conversion_delay_sec":
+            values = values.where("conversion = 1")
+        assert r.n == values.count()
+        for name, share in sketches.SHARES.items():
+            ends = values.agg(
+                F.avg((F.col(r.metric) < r[name]).cast("int")), F.avg((F.col(r.metric) <= r[name]).cast("int"))
+            ).first()
+            assert ends[0] - 0.005 <= share <= ends[1] + 0.005, (r.metric, name)
+
+
+def test_windows_read_the_kpi_layer_only(lake, events, spark):
+    t = seconds("2024-02-20 12:00:00")
+    items = [{"eid": f"e{i}", "timestamp": t + i * 3600, "uid": f"u{i % 7}", "campaign": i % 3} for i in range(90)]
+    lake.append("silver", silver_rows(events("impression", *items)))
+    lake.summarize(lake.days("silver"))
+    gold.run_daily(lake)
+    for report in (sketches.users_window, sketches.delays_window):
+        made = report(lake.read("gold_sketches"), AS_OF)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and all("/gold_sketches/" in f for f in made.inputFiles())
+        assert "summary_date#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    users = {(r.window_days, r.campaign): r.users for r in sketches.users_window(lake.read("gold_sketches"), AS_OF).collect()}
+    assert users[(30, 0)] == 7 and len(users) == 6  # nothing in the last seven days
+    none = {r.metric: (r.n, r.p50_sec) for r in sketches.delays_window(lake.read("gold_sketches"), AS_OF).collect()}
+    assert none == {"conversion_delay_sec": (0, None), "end_to_end_latency_sec": (90, 10)}
+    assert sketches.users_window(lake.read("gold_sketches").where("false"), AS_OF).count() == 0
