@@ -129,7 +129,7 @@ def insert_impressions(
     fresh = absent_rows(lake, staged, ends.get["first"], ends.get["last"])
     # Filters first: one that names ids which are not stored yet costs a look, no row.
     lake.note_ids(staged)
-    return days, lake.append("silver", fresh, ids_noted=True)
+    return days, lake.append("silver", fresh, ids_noted=True, placed=fresh is staged)
 
 
 def absent_rows(lake: Lake, staged: DataFrame, first: str, last: str) -> DataFrame:

@@ -135,15 +135,19 @@ class Lake:
             self.read(layer).createOrReplaceTempView(layer)
         time_function(self.spark, "silver_between", "silver", "event_time", "event_date")
 
-    def append(self, layer: str, rows: DataFrame, ids_noted: bool = False) -> int:
+    def append(
+        self, layer: str, rows: DataFrame, ids_noted: bool = False, placed: bool = False
+    ) -> int:
         """Add rows; existing files stay as they are. Returns how many rows there were.
 
-        New row-level rows have their ids noted first, unless they are ``ids_noted``.
+        New row-level rows have their ids noted first, unless they are ``ids_noted``. ``placed``
+        rows keep their arrangement.
         """
         partition, schema = TABLES[layer]
         if layer == "silver" and not ids_noted:
             self.note_ids(rows)
-        return self._write(balanced(schemas.conform(rows, schema), partition), layer, "append")[0]
+        rows = schemas.conform(rows, schema)
+        return self._write(rows if placed else balanced(rows, partition), layer, "append")[0]
 
     def replace_days(
         self, layer: str, rows: DataFrame, days: list[date] | None, placed: bool = False
