@@ -284,6 +284,8 @@ LEFT JOIN clk c ON c.eid = i.eid AND c."timestamp" - i."timestamp" BETWEEN 0 AND
 LEFT JOIN cvt v ON v.eid = i.eid AND v."timestamp" - i."timestamp" BETWEEN 0 AND {CONVERSION}""",
     "attribution_clicks": _matched("click", CLICK),
     "attribution_conversions": _matched("conversion", CONVERSION),
+    "attribution_bucketed": f"""SELECT *, 'click' AS event_type FROM ({_matched("click", CLICK)})
+UNION ALL SELECT *, 'conversion' FROM ({_matched("conversion", CONVERSION)})""",
     "attribution_orders": f"""WITH o AS (
   SELECT o_orderkey, o_custkey, CAST(epoch(o_orderdate) AS BIGINT) AS t FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate) = 1

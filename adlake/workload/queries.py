@@ -20,6 +20,7 @@ from adlake.operators.dedup import first_per_key
 from adlake.plans import checks, daily, gold, maintenance, silver
 from adlake.session import scratch_path, use_utc
 from adlake.sources import fixtures
+from adlake.sources.id_buckets import IdBuckets
 from adlake.sources.raw import append_raw, raw_days, raw_path, read_raw
 from adlake.sources.tables import Lake, read_or_empty, time_function
 from adlake.sources.topics import read_file_topic
@@ -36,6 +37,8 @@ BATCHES = 4
 DAILY_RUNS = 3
 RANGE = (date(2024, 1, 10), date(2024, 1, 16))
 REFRESH_RANGE = (date(2024, 1, 5), date(2024, 1, 20))
+# Buckets of impressions stored by id.
+ID_BUCKETS = 8
 REAL_START, SPEED = 1704067200, 100
 
 
@@ -257,6 +260,21 @@ def attribution_conversions(spark, sf_dir):
     return _matches(spark, sf_dir, "conversion", attribution.CONVERSION_WINDOW)
 
 
+def attribution_bucketed(spark, sf_dir):
+    """All clicks and conversions against impressions stored in buckets of their id."""
+    stored = IdBuckets(spark, scratch_path(spark, "id-buckets"), ID_BUCKETS)
+    stored.append(stage1(spark, sf_dir))
+    found = [
+        stored.match(schemas.keyed(raw(spark, sf_dir, kind)), window).withColumn("event_type", F.lit(kind))
+        for kind, window in (
+            ("click", attribution.CLICK_WINDOW),
+            ("conversion", attribution.CONVERSION_WINDOW),
+        )
+    ]
+    stored.close()
+    return found[0].unionByName(found[1])
+
+
 def attribution_orders(spark, sf_dir):
     """Orders with the first line item shipped, where that is within 7 or 30 days."""
     shipped = fixtures.line_item_events(spark, sf_dir)
@@ -662,7 +680,8 @@ def daily_run(spark, sf_dir):
 
 _REGISTERED = (
     bronze_parse, bronze_quarantine, bronze_stream, bronze_runs, raw_range_scan, dedup_events,
-    attribution_full, attribution_clicks, attribution_conversions, attribution_orders,
+    attribution_full, attribution_clicks, attribution_conversions, attribution_bucketed,
+    attribution_orders,
     silver_stage1, silver_conform, silver_incremental, silver_full_refresh,
     silver_refresh_range, assert_matched,
     upsert_insert_absent, upsert_click, upsert_conversion, upsert_gold,

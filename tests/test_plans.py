@@ -6,6 +6,7 @@ from adlake.operators import attribution as at
 from adlake.operators.changes import day_summaries
 from adlake.plans import checks
 from adlake.schemas import RAW
+from adlake.sources.id_buckets import IdBuckets
 from adlake.sources.raw import append_raw, read_raw
 from adlake.workload import queries
 
@@ -64,6 +65,25 @@ def test_batch_match_reads_candidate_days_only(lake, events):
     assert matched.count() == 1
 
 
+def test_stored_buckets_are_not_shuffled(spark, lake, events, tmp_path):
+    """Only the batch is exchanged, once for its deduplication and the join."""
+    silver, t = stored_silver(lake, events)
+    stored = IdBuckets(spark, str(tmp_path / "buckets"), 4)
+    stored.append(silver.where("event_id < 'e3'"))
+    stored.append(silver.where("event_id >= 'e3'"))
+    clicks = events("click", ("e3", t + 3 * 86400 + 5), ("e3", t + 3 * 86400 + 9), ("e7", t))
+    matched = stored.match(clicks, at.CLICK_WINDOW)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a batch too large to broadcast
+    try:
+        text = plan(stored.match(clicks, at.CLICK_WINDOW))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Bucketed: true" in text and text.count("Exchange") == 1
+    assert [(r.event_id, r.match_delay_sec) for r in matched.collect()] == [("e3", 5)]
+    stored.close()
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("id_buckets")]
+
+
 def test_trailing_reports_prune_days(lake, events):
     silver, _ = stored_silver(lake, events)
     for report in (
