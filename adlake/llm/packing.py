@@ -21,6 +21,7 @@ equal-length piece goes where. An empty table gives an empty result; extra colum
 from __future__ import annotations
 
 import bisect
+import struct
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -38,8 +39,9 @@ CLOSING_ID = 0
 INNER = {3: 24, 4: 8, 5: 4}
 STEPS = 300
 
-#: Remembered words per worker process; a full memory is emptied.
-MEMORY = 800_000
+#: Words remembered per worker process in each of two generations: when the young one is full it
+#: becomes the old one, from which words still in use come back.
+MEMORY = 400_000
 REMEMBERED_CHARS = 48
 
 
@@ -57,6 +59,8 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
+        self.old: dict[str, bytes] = {}
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = spelled_out
         self.merge = self.tokenizer.model.tokenize
@@ -68,18 +72,23 @@ class WordIds(dict):
         body = word.rstrip(".,")
         if body and body != word and body[-1].isalpha() and body[-1] < "Ā":
             return self[body] + self[word[len(body) :]]
-        if word.isalpha() and max(word) < "Ā":
+        plain = word.isascii()
+        if word.isalpha() and (plain or max(word) < "Ā"):
             low = word.lower()
             if low != word:
                 return self[low]
-            spelled = word.encode().decode("latin-1").translate(self.letters)
+            # ASCII letters stand for themselves in the byte alphabet.
+            spelled = word if plain else word.encode().decode("latin-1").translate(self.letters)
             return packed([token.id for token in self.merge(spelled)])
         return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.ids(word)
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.ids(word)
         if len(word) <= REMEMBERED_CHARS:
             if len(self) >= MEMORY:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -90,7 +99,7 @@ class WordIds(dict):
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
