@@ -25,8 +25,9 @@ def changed_days(lake: Lake) -> list[date]:
     count as well, and so do days an earlier run left behind.
     """
     changed = changed_summaries(lake.read("gold_days"), lake.read("silver_days"))
-    # One value per day of the table's calendar; with days a dead run's commit lost.
-    lost = lake.lost_days("gold", "gold_days")
+    # One value per day of the table's calendar. Both tables of this layer hold the same days,
+    # unless a dead run's commit lost one.
+    lost = set(lake.days("gold")) ^ set(lake.days("gold_sketches"))
     return sorted({*(row[0] for row in changed.collect()), *lost})
 
 

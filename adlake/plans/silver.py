@@ -91,7 +91,7 @@ def rebuild_lost(
     lake: Lake, raw_base: str, end: date | str, windows: Windows, now: datetime | None
 ) -> None:
     """Rebuild days that have a summary and no folder from all raw events ingested by ``end``."""
-    lost = lake.lost_days("silver", "silver_days")
+    lost = lake.lost_days()
     if not lost:
         return
     first = min(raw_days(lake.spark, raw_base, "impression"), default=end)

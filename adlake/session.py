@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import cache
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 from adlake.sources import files
@@ -77,3 +79,20 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing exists there yet."""
     return f"{scratch_root(spark)}/adlake/{purpose}-{uuid.uuid4().hex}"
+
+
+_of_session: dict[str, str] = {}
+
+
+def session_path(spark: SparkSession, purpose: str) -> str:
+    """A fresh path for what later calls of this session read; deleted when the process ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _of_session:
+        folder = _of_session[application] = scratch_path(spark, "session")
+        atexit.register(_delete_at_exit, spark, folder)
+    return f"{_of_session[application]}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    with suppress(Py4JError, OSError):  # the JVM may have ended before
+        files.delete(spark, path)

@@ -179,10 +179,11 @@ class Lake:
         for day in days & set(self.days(layer)):
             files.delete(self.spark, f"{self.location(layer)}/{PARTITION[layer]}={day}")
 
-    def lost_days(self, layer: str, notes: str) -> list[date]:
-        """Days that have rows by their notes and no folder: a dead run's commit lost them."""
-        noted = self.read(notes).select("event_date").collect()  # one row per day
-        return sorted({row[0] for row in noted} - set(self.days(layer)))
+    def lost_days(self) -> list[date]:
+        """Days of the row-level table that have rows by their notes and no folder: a dead run's
+        commit lost them."""
+        noted = self.read("silver_days").select("event_date").collect()  # one row per day
+        return sorted({row[0] for row in noted} - set(self.days("silver")))
 
     def note(self, name: str, rows: DataFrame) -> None:
         """Append rows to a small table, as one file."""

@@ -18,7 +18,7 @@ from adlake.functions.columns import clock, instant
 from adlake.operators import attribution, changes, kpis, sketches, upsert, wide
 from adlake.operators.dedup import first_per_key
 from adlake.plans import checks, daily, gold, maintenance, silver
-from adlake.session import scratch_path, use_utc
+from adlake.session import session_path, use_utc
 from adlake.sources import fixtures
 from adlake.sources.id_buckets import IdBuckets
 from adlake.sources.raw import append_raw, raw_days, raw_path, read_raw
@@ -94,7 +94,7 @@ _stored_raw: dict[tuple[str, str], str] = {}
 def stored_raw(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored_raw:
-        base, tasks = scratch_path(spark, "raw"), spark.sparkContext.defaultParallelism
+        base, tasks = session_path(spark, "raw"), spark.sparkContext.defaultParallelism
         for event_type in schemas.EVENT_TYPES:
             append_raw(raw(spark, sf_dir, event_type), base, event_type, tasks)
         _stored_raw[key] = base
@@ -102,7 +102,7 @@ def stored_raw(spark: SparkSession, sf_dir: str) -> str:
 
 
 def new_lake(spark: SparkSession) -> Lake:
-    return Lake(spark, scratch_path(spark, "lake"))
+    return Lake(spark, session_path(spark, "lake"))
 
 
 def run_time(raw_date: date) -> datetime:
@@ -172,14 +172,14 @@ def bronze_quarantine(spark, sf_dir):
 
 def bronze_stream(spark, sf_dir):
     """All topics through the streams, read back without the wall-clock columns."""
-    topics, base = scratch_path(spark, "topics"), scratch_path(spark, "streamed")
+    topics, base = session_path(spark, "topics"), session_path(spark, "streamed")
     for event_type in schemas.EVENT_TYPES:
         fixtures.topic_messages(spark, sf_dir, event_type).write.json(f"{topics}/{event_type}")
     running = bronze.start_streams(
         spark,
         lambda event_type: read_file_topic(spark, f"{topics}/{event_type}"),
         base,
-        scratch_path(spark, "checkpoints"),
+        session_path(spark, "checkpoints"),
         trigger={"availableNow": True},
     )
     for query in running.values():
@@ -198,7 +198,7 @@ def bronze_stream(spark, sf_dir):
 def bronze_runs(spark, sf_dir):
     """What the streams' listener noted, with fixed times of ingestion; one message in 97 is
     damaged."""
-    topics, lake = scratch_path(spark, "topics"), new_lake(spark)
+    topics, lake = session_path(spark, "topics"), new_lake(spark)
     for event_type in schemas.EVENT_TYPES:
         sent = fixtures.topic_messages(spark, sf_dir, event_type)
         damaged = F.when(F.col("offset") % 97 == 0, F.concat(F.lit("x"), "value"))
@@ -210,8 +210,8 @@ def bronze_runs(spark, sf_dir):
         running = bronze.start_streams(
             spark,
             lambda event_type: read_file_topic(spark, f"{topics}/{event_type}"),
-            scratch_path(spark, "streamed"),
-            scratch_path(spark, "checkpoints"),
+            session_path(spark, "streamed"),
+            session_path(spark, "checkpoints"),
             trigger={"availableNow": True},
             ingest_ts=instant(F.unix_timestamp("timestamp") + (F.col("offset") * 37) % 601),
         )
@@ -262,7 +262,7 @@ def attribution_conversions(spark, sf_dir):
 
 def attribution_bucketed(spark, sf_dir):
     """All clicks and conversions against impressions stored in buckets of their id."""
-    stored = IdBuckets(spark, scratch_path(spark, "id-buckets"), ID_BUCKETS)
+    stored = IdBuckets(spark, session_path(spark, "id-buckets"), ID_BUCKETS)
     stored.append(stage1(spark, sf_dir))
     found = [
         stored.match(schemas.keyed(raw(spark, sf_dir, kind)), window).withColumn("event_type", F.lit(kind))
@@ -577,7 +577,7 @@ def time_remap(spark, sf_dir):
 
 def day_partition(spark, sf_dir):
     """Events stored by the day of their time, without a date among their own columns."""
-    path = scratch_path(spark, "by-day")
+    path = session_path(spark, "by-day")
     (
         fixtures.load(spark, sf_dir, "events")
         .select(
