@@ -120,12 +120,27 @@ def logged_lake(spark: SparkSession, sf_dir: str) -> Lake:
         lake, base = new_lake(spark), stored_raw(spark, sf_dir)
         for start, end in batches(*raw_dates(spark, sf_dir)):
             now = run_time(end)
-            silver.run_incremental(lake, base, start, end, now=now)
+            due = something_matches(spark, sf_dir, start, end)
+            silver.run_incremental(lake, base, start, end, now=now, require_match=due)
             gold.run_daily(lake, now)
         _logged[key] = lake
     return _logged[key]
 
 
+def something_matches(spark: SparkSession, sf_dir: str, start: date, end: date) -> bool:
+    """Whether the dates have a click and a conversion of an impression ingested by their end, so
+    that the run must find one. A small table may have none of a kind in a batch."""
+    shown = stage1(spark, sf_dir, end)
+    arrived = F.col("raw_date").between(F.lit(start), F.lit(end))
+    return not any(
+        attribution.match_events(schemas.keyed(raw(spark, sf_dir, kind)).where(arrived), shown, window).isEmpty()
+        for kind, window in (
+            ("click", attribution.CLICK_WINDOW),
+            ("conversion", attribution.CONVERSION_WINDOW),
+        )
+    )
+
+
 def raw_dates(spark: SparkSession, sf_dir: str) -> tuple[date, date]:
     """First and last date on which anything was ingested, from the raw layer's folders."""
     base = stored_raw(spark, sf_dir)
