@@ -25,7 +25,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.common import slices, staged
@@ -35,9 +35,16 @@ TRAIN_DOCS = 20_000
 THRESHOLD = 0.5
 BROADCAST_SITES = 50_000
 RIDGE = 1.0
+#: A document's site is judged by the documents of the other folds.
+FOLDS = 16
 #: Prior weights are kept between these numbers of documents.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1e6
 
+#: What a page does not show, its tags and its character references; linear in the page.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+TAG = "<[^<>]*>"
+ENTITY = "&#?[A-Za-z0-9]{1,32};"
+
 MEASURES = ("symbols", "capitals", "digits", "bars", "repeats", "top_word", "distinct", "word_chars", "lines", "length")
 BYTE = np.arange(256)
 UPPER = (BYTE >= 65) & (BYTE <= 90)
@@ -180,25 +187,66 @@ def prior_weight(rates: DataFrame) -> float:
     return float(np.clip(row["chance"] / between - 1, LEAST_WEIGHT, MOST_WEIGHT))
 
 
-def sites(rows: DataFrame, model: Model) -> DataFrame:
-    """(host, path, host_rate, path_rate), staged: the shrunk share of good documents."""
+def fold_of(doc_id: Column, folds: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(folds)).cast("int")
+
+
+def shrunk(weight: float, prior: Column, n: Column, good: Column) -> Column:
+    return (good + weight * prior) / (n + weight)
+
+
+def elsewhere(sums: DataFrame, keys: list[str], folds: int) -> list[Column]:
+    """n and good of the other folds under ``keys``, of which a key has at most ``folds`` rows;
+    with one fold those of the whole."""
+    whole = Window.partitionBy(*keys)
+    if folds == 1:
+        return [F.sum(c).over(whole).alias(f"other_{c}") for c in ("n", "good")]
+    return [
+        F.greatest(F.sum(c).over(whole) - F.col(c), F.lit(0)).alias(f"other_{c}")
+        for c in ("n", "good")
+    ]
+
+
+def sites(rows: DataFrame, model: Model, folds: int = FOLDS) -> DataFrame:
+    """(host, path, fold, host_rate, path_rate), staged: the shrunk share of good documents among
+    those of the other folds. Prior weights come from all folds."""
     good = F.coalesce(F.col("label"), logistic(model.log_odds(F.col("found"))))
-    paths = staged(
-        rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(good).alias("good")),
-        "paths",
+    n_and_good = [F.sum("n").alias("n"), F.sum("good").alias("good")]
+    parts = staged(
+        rows.groupBy("host", "path", fold_of(F.col("id"), folds).alias("fold")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(good).alias("good")
+        ),
+        "parts",
     )
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    whole = hosts.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
-    rate = whole["good"] / whole["n"] if whole["n"] else 0.5
-    weight = prior_weight(hosts.withColumn("prior", F.lit(rate)))
-    shrunk = hosts.select(
-        "host", ((F.col("good") + weight * rate) / (F.col("n") + weight)).alias("prior")
+    corpus = {r["fold"]: (r["n"], r["good"]) for r in parts.groupBy("fold").agg(*n_and_good).collect()}
+    n, total = (sum(v[k] for v in corpus.values()) for k in (0, 1))
+    rate = total / n if n else 0.5
+
+    hosts = parts.groupBy("host").agg(*n_and_good)
+    host_weight = prior_weight(hosts.withColumn("prior", F.lit(rate)))
+    paths = parts.groupBy("host", "path").agg(*n_and_good)
+    priors = hosts.select(
+        "host", shrunk(host_weight, F.lit(rate), F.col("n"), F.col("good")).alias("prior")
     )
-    under = staged(paths.join(shrunk, "host"), "priors")
-    weight = prior_weight(under)
-    path_rate = (F.col("good") + weight * F.col("prior")) / (F.col("n") + weight)
+    path_weight = prior_weight(paths.join(priors, "host"))
+
+    rates = [F.lit(rate)] * folds
+    for fold, (own_n, own_good) in corpus.items():
+        if own_n < n:
+            rates[fold] = F.lit((total - own_good) / (n - own_n))
+    other_n, other_good = F.col("other_n"), F.col("other_good")
+    by_host = parts.groupBy("host", "fold").agg(*n_and_good)
+    host_rates = by_host.select("host", "fold", *elsewhere(by_host, ["host"], folds)).select(
+        "host",
+        "fold",
+        shrunk(host_weight, F.array(*rates)[F.col("fold")], other_n, other_good).alias("host_rate"),
+    )
+    by_path = parts.select("host", "path", "fold", *elsewhere(parts, ["host", "path"], folds))
+    path_rate = shrunk(path_weight, F.col("host_rate"), other_n, other_good)
     return staged(
-        under.select("host", "path", F.col("prior").alias("host_rate"), path_rate.alias("path_rate")),
+        by_path.join(host_rates, ["host", "fold"]).select(
+            "host", "path", "fold", "host_rate", path_rate.alias("path_rate")
+        ),
         "sites",
     )
 
@@ -224,13 +272,18 @@ def classify(
     host: str = "source",
     path: str = "lang",
     threshold: float = THRESHOLD,
+    model: Model | None = None,
 ) -> DataFrame:
-    """One row per document: doc_id, text_quality, host_rate, path_rate, quality, accepted."""
+    """One row per document: doc_id, text_quality, host_rate, path_rate, quality, accepted.
+
+    Without ``model`` one is fitted to the documents' own labels.
+    """
     rows = evidence(docs, labels, host, path)
-    model = train(rows)
+    model = model or train(rows)
     quality = posterior(model, F.col("found"), F.col("path_rate"))
     return (
-        rows.join(sized(sites(rows, model)), ["host", "path"])
+        rows.withColumn("fold", fold_of(F.col("id"), FOLDS))
+        .join(sized(sites(rows, model)), ["host", "path", "fold"])
         .withColumn("quality", quality)
         .select(
             F.col("id").alias("doc_id"),
@@ -259,12 +312,44 @@ def accepted(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         F.coalesce(docs[host].cast("string"), F.lit("")).alias("host"),
         F.coalesce(docs[path].cast("string"), F.lit("")).alias("path"),
+        fold_of(docs["doc_id"], FOLDS).alias("fold"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     )
     quality = posterior(model, F.col("found"), F.col("path_rate"))
     return (
         with_measures(packed, "found")
-        .join(sized(table), ["host", "path"])
+        .join(sized(table), ["host", "path", "fold"])
         .where(accepts(model, quality, threshold))
         .select("row.*")
     )
+
+
+def page_documents(pages: DataFrame) -> DataFrame:
+    """(doc_id, text, host, path) of web pages: the text between tags, the URL's host in small
+    letters and the first step of its path. A script or style that is never closed runs to the
+    end. A URL that is null or none has the empty host and path."""
+    html = F.coalesce(pages["html"].cast("string"), F.lit(""))
+    for pattern in (HIDDEN, TAG, ENTITY):
+        html = F.regexp_replace(html, pattern, " ")
+    part = {
+        name: F.coalesce(F.try_parse_url(pages["url"].cast("string"), F.lit(name)), F.lit(""))
+        for name in ("HOST", "PATH")
+    }
+    return pages.select(
+        pages["page_id"].alias("doc_id"),
+        html.alias("text"),
+        F.lower(part["HOST"]).alias("host"),
+        F.split_part(part["PATH"], F.lit("/"), F.lit(2)).alias("path"),
+    )
+
+
+def classify_pages(
+    pages: DataFrame, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row per page: page_id, then as :func:`classify`. The model is fitted to labelled
+    documents; a page's site is the host and path of its URL, judged by the other pages."""
+    known = docs.join(known_labels(labels), docs["doc_id"] == F.col("id"), "left_semi")
+    model = train(evidence(known, labels, "source", "lang"))
+    unknown = labels.where("false")
+    found = classify(page_documents(pages), unknown, "host", "path", threshold, model)
+    return found.withColumnRenamed("doc_id", "page_id")

@@ -98,6 +98,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, labels)
 
 
+def page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality classifier with hosts and paths of real URLs."""
+    pages, docs, labels = (table(spark, sf_dir, n) for n in ("pages", "documents", "labels"))
+    return quality.classify_pages(pages, docs, labels)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     langs, logs = langid.learn(docs, PIECE_BPE)
@@ -131,4 +137,5 @@ QUERIES = {
     "op11_member_lloyd": op11_member_lloyd,
     "op12_pair_maxscore": op12_pair_maxscore,
     "op13_direct_codes": op13_direct_codes,
+    "page_quality": page_quality,
 }

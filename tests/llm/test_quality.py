@@ -1,7 +1,10 @@
-from collections import Counter
+import struct
+from collections import Counter, defaultdict
+from math import exp, log
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from adlake.llm import quality
@@ -37,7 +40,7 @@ def test_rates_equal_a_plain_computation(spark):
     found = [0.0] * len(quality.MEASURES)
     df = spark.createDataFrame([(n, h, p, found, y) for n, (h, p, y) in enumerate(rows)],
                                "id bigint, host string, path string, found array<double>, label double")
-    got = {(r.host, r.path): r for r in quality.sites(df, quality.SILENT).collect()}
+    got = {(r.host, r.path): r for r in quality.sites(df, quality.SILENT, folds=1).collect()}
 
     def weight(groups):
         n = np.array([g[0] for g in groups], float)
@@ -67,11 +70,130 @@ def test_sparse_sites_stay_near_their_prior(spark):
     rows += [("new", "a", 0.0), ("bad", "b", 1.0)]
     df = spark.createDataFrame([(n, h, p, found, y) for n, (h, p, y) in enumerate(rows)],
                                "id bigint, host string, path string, found array<double>, label double")
-    got = {(r.host, r.path): r.path_rate for r in quality.sites(df, quality.SILENT).collect()}
+    got = {(r.host, r.path): r.path_rate for r in quality.sites(df, quality.SILENT, folds=1).collect()}
     assert got[("bad", "a")] < 0.1 and got[("fine", "a")] > 0.8
     assert 0.2 < got[("new", "a")] < 0.5
 
 
+def plain_measures(text):
+    raw, words = text.encode(), text.split()
+    if not raw:
+        return [0.0] * 10
+    kinds, count = Counter(words), max(1, len(words))
+    letters = [c for c in raw if chr(c).isalpha() and c < 128]
+    symbols = [c for c in raw if 32 < c < 127 and not chr(c).isalnum() and chr(c) not in ".,'-"]
+    return [
+        len(symbols) / len(raw),
+        sum(chr(c).isupper() for c in letters) / max(1, len(letters)),
+        sum(48 <= c <= 57 for c in raw) / len(raw),
+        text.count("|") / count,
+        sum(a == b for a, b in zip(words, words[1:])) / count,
+        max(kinds.values(), default=0) / count if count >= 20 else 0.0,
+        len(kinds) / count,
+        min(1, len(raw) / count / 20),
+        min(1, text.count("\n") * 10 / count),
+        log(1 + count) / 12,
+    ]
+
+
+def test_fit_is_at_the_optimum():
+    """Nothing is left of the gradient, summed row by row."""
+    rng = np.random.default_rng(3)
+    x = rng.random((300, 4))
+    y = (x[:, 0] + rng.normal(0, 0.3, 300) > 0.5).astype(float)
+    model = quality.fit(x, y)
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    gradient = [-w * s for w, s in zip(model.weights, scale)]
+    for row, label in zip(x, y):
+        p = 1 / (1 + exp(-(model.bias + sum(w * v for w, v in zip(model.weights, row)))))
+        for n, v in enumerate((row - mean) / scale):
+            gradient[n] += (label - p) * v
+    assert max(map(abs, gradient)) < 1e-6 and model.rate == y.mean()
+
+
+def test_whole_computation_equals_a_plain_one(spark, documents):
+    """Measures, rates of the other folds, posterior and decision, document by document."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.train(quality.evidence(documents, labels, "source", "lang"))
+    label_of = {r.doc_id: float(r.quality) for r in labels.collect()}
+    docs = [(r.doc_id, r.source or "", r.lang or "", r.text or "") for r in documents.collect()]
+
+    def log_odds(text):
+        return model.bias + sum(w * v for w, v in zip(model.weights, plain_measures(text)))
+
+    def fold(doc_id):
+        return xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42) % quality.FOLDS
+
+    good = {i: label_of.get(i, 1 / (1 + exp(-log_odds(text)))) for i, _, _, text in docs}
+    sums = defaultdict(lambda: np.zeros(2))
+    for i, host, path, _ in docs:
+        for key in ((), (host,), (host, path)):
+            sums[key] += (1, good[i])
+            sums[key, fold(i)] += (1, good[i])
+    rate = sums[()][1] / sums[()][0]
+
+    def weight(keys, prior):
+        n, total = np.array([sums[k] for k in keys]).T
+        prior = np.array([prior(k) for k in keys])
+        between = (np.sum(n * (total / n - prior) ** 2) - np.sum(prior * (1 - prior))) / n.sum()
+        return quality.MOST_WEIGHT if between <= 0 else float(
+            np.clip(np.mean(prior * (1 - prior)) / between - 1, quality.LEAST_WEIGHT, quality.MOST_WEIGHT))
+
+    hosts = [(h,) for h in {h for _, h, _, _ in docs}]
+    paths = list({(h, p) for _, h, p, _ in docs})
+    host_weight = weight(hosts, lambda k: rate)
+    path_weight = weight(paths, lambda k: (sums[k[:1]][1] + host_weight * rate) / (sums[k[:1]][0] + host_weight))
+    got = {r.doc_id: r for r in quality.classify(documents, labels).collect()}
+    assert len(got) == len(docs)
+    for i, host, path, text in docs:
+        prior = None
+        for key, w in (((), 0), ((host,), host_weight), ((host, path), path_weight)):
+            n, total = sums[key] - sums[key, fold(i)]
+            prior = total / n if prior is None else (total + w * prior) / (n + w)
+        odds = log_odds(text) - log(model.rate / (1 - model.rate)) + log(prior / (1 - prior))
+        want = 1 / (1 + exp(-max(-30, min(30, odds))))
+        assert got[i].quality == pytest.approx(want, abs=1e-9)
+        assert got[i].accepted == (want >= quality.THRESHOLD)
+
+
+def test_own_label_does_not_come_back(spark):
+    """The only document of a site meets its prior, whatever its label."""
+    rows = [(n, f"h{n % 5}", "p", n % 2) for n in range(400)]
+    docs = spark.createDataFrame(
+        [(n, "some words here", h, p) for n, h, p, _ in rows] + [(1000, "some words here", "own", "p")],
+        "doc_id bigint, text string, source string, lang string")
+    seen = []
+    for own in (0, 1):
+        labels = spark.createDataFrame([(n, y) for n, _, _, y in rows] + [(1000, own)], "doc_id bigint, quality int")
+        found = quality.classify(docs, labels, model=quality.Model((0.0,) * 10, 0.0, 0.5))
+        seen.append(found.where("doc_id = 1000").first().path_rate)
+    assert seen[0] == pytest.approx(seen[1], abs=1e-3)
+
+
+def test_pages(spark):
+    labels, docs = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("labels", "documents"))
+    rows = [
+        (1, "https://A.example.com/en/1?q#t", "<!-- a > b --><p>One&amp;two</p><script>var t='</p>';</script>three"),
+        (2, None, None),
+        (3, "not a url", "<style>never closed"),
+        (None, "http://b.example.org", "<<<<"),
+        (1, "https://a.example.com/en/1", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr(
+        "*", "'x' AS text", "'x' AS host", "'x' AS path", "'x' AS doc_id", "'x' AS id")
+    read = [(r.doc_id, r.text.split(), r.host, r.path) for r in quality.page_documents(pages).collect()]
+    assert sorted(read, key=str) == sorted([
+        (1, ["One", "two", "three"], "a.example.com", "en"),
+        (2, [], "", ""),
+        (3, [], "", ""),
+        (None, ["<<<<"], "b.example.org", ""),
+        (1, [], "a.example.com", "en"),
+    ], key=str)
+    found = quality.classify_pages(pages, docs, labels).collect()
+    assert len(found) == 5 and all(0 <= r.quality <= 1 for r in found)
+    assert quality.classify_pages(pages.where("false"), docs, labels).count() == 0
+
+
 def test_posterior_is_bayes(spark):
     model = quality.Model((2.0,) + (0.0,) * (len(quality.MEASURES) - 1), 0.5, 0.6)
     row = spark.sql(f"SELECT array(1.0D{', 0.0D' * (len(quality.MEASURES) - 1)}) AS found, 0.2D AS rate").select(

@@ -19,7 +19,13 @@ COLUMNS = {
     "op8_quality": "doc_id accepted",
     "op9_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10_language_id": "doc_id held_out lang_pred score",
+    "op11_member_lloyd": "vec_id code error label_error codebooks_sha256",
+    "op12_pair_maxscore": "item_id rank doc_id score",
+    "op13_direct_codes": "doc_id start n_tokens ids_crc32",
+    "page_quality": "page_id host_rate path_rate quality accepted",
 }
+#: Table whose ids the result holds, where that is not all documents.
+TABLES = {"vec_id": "embeddings", "conv_id": "conversations", "page_id": "pages", "item_id": "benchmark"}
 
 
 def test_all_are_registered():
@@ -37,9 +43,8 @@ def test_query(spark, name):
     if name in ("op2_rendezvous_sharding", "op5_chat_formatting", "op6_exact_dedup"):
         assert "Python" not in plan and "Arrow" not in plan
     rows = result.collect()
-    table, key = {"vec_id": ("embeddings", "vec_id"), "conv_id": ("conversations", "conv_id")}.get(
-        result.columns[0], ("documents", "doc_id")
-    )
+    key = result.columns[0]
+    table = TABLES.get(key, "documents")
     want = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     assert {r[key] for r in rows} == want | ({-1} if key == "conv_id" else set())
     if name in ORACLES:
