@@ -43,6 +43,93 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+#: Constants of the public hash and checksum (fixed values): primes of xxHash64, polynomial of CRC-32.
+PRIMES = (
+    11400714785074694791,
+    14029467366897019727,
+    1609587929392839161,
+    9650029242287828579,
+    2870177450012600261,
+)
+CRC_POLYNOMIAL = 0xEDB88320
+WORD = "18446744073709551616::UHUGEINT"
+
+
+def _rotated(value: str, bits: int) -> str:
+    return f"(({value} * {1 << bits}::UHUGEINT) % {WORD} + {value} // {1 << (64 - bits)}::UHUGEINT)"
+
+
+def _hashed(name: str, source: str, value: str, width: int, seed: str) -> str:
+    """CTEs that add ``h``, the 64-bit hash of ``value`` (``width`` bytes) under ``seed``."""
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in PRIMES)
+    unsigned = f"(CASE WHEN {value} < 0 THEN {WORD}::HUGEINT ELSE 0 END + {value}::HUGEINT)::UHUGEINT"
+    if width == 8:
+        word = f"(({unsigned}) * {p2} % {WORD})"
+        first = f"{_rotated(word, 31)} * {p1} % {WORD}"
+        second = f"({_rotated('h', 27)} * {p1} % {WORD} + {p4}) % {WORD}"
+    else:
+        first = f"{unsigned} * {p1} % {WORD}"
+        second = f"({_rotated('h', 23)} * {p2} % {WORD} + {p3}) % {WORD}"
+    # A null leaves the hash so far as it is.
+    steps = [
+        f"coalesce(xor(({seed} + {p5} + {width}) % {WORD}, {first}), {seed})",
+        second,
+        f"xor(h, h // {1 << 33}::UHUGEINT) * {p2} % {WORD}",
+        f"xor(h, h // {1 << 29}::UHUGEINT) * {p3} % {WORD}",
+        f"xor(h, h // {1 << 32}::UHUGEINT)",
+    ]
+    made = [f"{name}0 AS (SELECT * EXCLUDE (h), h AS before, {steps[0]} AS h FROM {source})"]
+    for n, step in enumerate(steps[1:], 1):
+        kept = f"CASE WHEN {value} IS NULL THEN h ELSE {step} END"
+        made.append(f"{name}{n} AS (SELECT * REPLACE ({kept} AS h) FROM {name}{n - 1})")
+    made.append(f"{name} AS MATERIALIZED (SELECT * EXCLUDE (before) FROM {name}4)")
+    return ",\n".join(made)
+
+
+def _crc32(data: str) -> str:
+    """CRC-32 of a text's bytes. A table entry is the exclusive or of those of the byte's bits."""
+    entries = []
+    for bit in range(8):
+        value = 1 << bit
+        for _ in range(8):
+            value = value >> 1 ^ (CRC_POLYNOMIAL if value & 1 else 0)
+        entries.append(value)
+    low = "xor(c, b) & 255"
+    step = "c >> 8"
+    for bit, entry in enumerate(entries):
+        step = f"xor({step}, ((({low}) >> {bit}) & 1) * {entry}::BIGINT)"
+    data = f"list_transform(regexp_extract_all(hex({data}), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, b: {step}))"
+
+
+def op2(shards: int = 40, overhead: int = 16, numbered: int = 65_536) -> str:
+    """Every bid of every shard written out; slots by parts of a hash, as the operator deals them."""
+    return f"""WITH sized AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + {overhead} AS size,
+    {_crc32("encode(coalesce(text, ''))")} AS text_crc32, 42::UHUGEINT AS h
+  FROM documents
+),
+{_hashed("keyed", "sized", "doc_id", 8, "h")},
+offers AS (SELECT row, n, h FROM keyed, range({shards + 1}) t(n)),
+{_hashed("bids", "offers", "n", 4, "h")},
+scores AS MATERIALIZED (
+  SELECT row, n, -1.0::DOUBLE / ln(((h // 2048::UHUGEINT)::BIGINT::DOUBLE + 0.5::DOUBLE) / {1 << 53}::DOUBLE) AS score FROM bids
+), won AS (
+  SELECT row, -max({{'score': score, 'shard': -n}}).shard AS shard FROM scores WHERE n < {shards} GROUP BY row
+), grown AS (
+  SELECT row, -max({{'score': score, 'shard': -n}}).shard AS grown_shard FROM scores GROUP BY row
+),
+{_hashed("coded", "keyed", "text_crc32", 8, "h")},
+{_hashed("parts", "coded", "size", 8, "h")},
+chunks AS (SELECT greatest(1, ceil(count(*) / {numbered}))::HUGEINT AS k FROM documents),
+dealt AS (
+  SELECT row, ((h::HUGEINT - CASE WHEN h >= {1 << 63}::UHUGEINT THEN {WORD}::HUGEINT ELSE 0 END) % k + k) % k AS part
+  FROM parts, chunks
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INT AS shard, grown_shard::INT AS grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY part, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot
+FROM sized JOIN won USING (row) JOIN grown USING (row) JOIN dealt USING (row)
+"""
 
 
 def op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
@@ -118,6 +205,7 @@ FROM scores QUALIFY rank <= 50
 """
 
 ORACLES = {
+    "op2_rendezvous_sharding": op2(),
     "op5_chat_formatting": OP5,
     "op6_exact_dedup": OP6,
     "op11_member_lloyd": op11(),
