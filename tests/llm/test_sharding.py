@@ -3,10 +3,13 @@ import zlib
 from collections import Counter, defaultdict
 from math import log
 
+import duckdb
 import pytest
 import xxhash
+from compare import duck_rows, spark_rows
 
 from adlake.llm import sharding
+from adlake.llm.oracles import op2
 
 
 def brute_shard(doc_id, weights):
@@ -52,3 +55,10 @@ def test_empty(no_docs):
     assert sharding.assign(no_docs).count() == 0
     with pytest.raises(ValueError):
         sharding.assign(no_docs, weights=[0.0])
+
+
+def test_sql_gives_the_same_for_odd_rows(odd_docs):
+    with duckdb.connect() as con:
+        con.register("documents", odd_docs.select("doc_id", "text").toArrow())
+        wanted = duck_rows(con, op2())
+    assert spark_rows(sharding.assign(odd_docs)) == wanted
