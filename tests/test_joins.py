@@ -1,0 +1,111 @@
+"""A batch is broadcast by its counted rows only, never by the bytes of its files."""
+
+from datetime import datetime
+
+import pytest
+from helpers import seconds
+from pyspark.sql import functions as F
+
+from adlake.functions.columns import clock
+from adlake.operators import attribution as at
+from adlake.operators import id_filter, joins, upsert
+from adlake.plans import silver
+from adlake.sources.raw import append_raw
+
+T = seconds("2024-03-01 12:00:00")
+DAY = 86400
+NOW = datetime(2024, 3, 20)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.fixture
+def joined(spark, lake, events, tmp_path):
+    """The four joins of a batch with what is stored, each as a function of the batch's count."""
+    stored = at.silver_rows(events("impression", *((f"e{i}", T + i * DAY) for i in range(12))), clock(NOW))
+    lake.append("silver", stored)
+    held = lake.read("silver")
+
+    def kept(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    batch = kept("batch", at.silver_rows(events("impression", ("e3", T), ("x", T), ("y", T)), clock(NOW)))
+    clicks = kept("clicks", events("click", ("e3", T + 3 * DAY + 5), ("e5", T + 5 * DAY + 7), ("z", T)))
+    matched = at.match_events(clicks, held, at.CLICK_WINDOW)
+    updates = kept("updates", upsert.pending_updates(matched, matched.limit(0)))
+    filters = lake.read("id_filters")
+    return {
+        "match": lambda n: at.match_events(clicks, held, at.CLICK_WINDOW, n),
+        "insert": lambda n: upsert.insert_absent(held, batch, "event_id", n),
+        "update": lambda n: upsert.apply_updates(held, updates, clock(NOW), n),
+        "probe": lambda n: id_filter.probe(filters, batch, "event_id", "event_date", n),
+    }
+
+
+@pytest.mark.parametrize("name", ["match", "insert", "update", "probe"])
+def test_large_or_uncounted_batches_are_shuffled(joined, name):
+    few, many = joined[name](3), joined[name](joins.BATCH_ROWS + 1)
+    assert "BroadcastExchange" in plan(few) and "SortMergeJoin" not in plan(few)
+    for df in (many, joined[name](None)):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+        assert rows_of(df) == rows_of(few)
+        assert "Broadcast" not in plan(df)  # nor once the sizes are known
+    assert rows_of(few)
+
+
+def test_a_probe_counts_an_id_once_per_kind_of_filter(spark):
+    days = F.when(F.col("id") < 5000, 0).otherwise(1).cast("int")
+    rows = spark.range(5100).select(F.concat(F.lit("id-"), F.col("id")).alias("k"), days.alias("d"))
+    filters = id_filter.build(rows, "k", "d").cache()
+    assert filters.select("buckets").distinct().count() == 2
+    half = joins.BATCH_ROWS // 2
+    assert "SortMergeJoin" not in plan(id_filter.probe(filters, rows, "k", "d", half))
+    assert "SortMergeJoin" in plan(id_filter.probe(filters, rows, "k", "d", half + 1))
+
+
+def test_runs_count_their_batches(lake, events, tmp_path, monkeypatch):
+    """Every join of an incremental run is given the rows its batch has, repeated events once."""
+    counts = []
+
+    def noted(batch, rows):
+        counts.append((rows, batch.count()))
+        return joins.batch_side(batch, rows)
+
+    for module in (at, upsert, id_filter):
+        monkeypatch.setattr(module, "batch_side", noted)
+    base = str(tmp_path / "raw")
+    ids = [f"e{i}" for i in range(6)]
+    append_raw(events("impression", *((e, T) for e in ids), ("e1", T + 1)), base, "impression")
+    append_raw(events("impression", ("e2", T + DAY), ("n", T + DAY)), base, "impression")
+    append_raw(events("click", ("e0", T + 9), ("e0", T + 10), ("e4", T + 9), ("z", T + 9)), base, "click")
+    append_raw(events("conversion", ("e0", T + 20), ("e5", T + 30)), base, "conversion")
+    for day in ("2024-03-01", "2024-03-02"):
+        silver.run_incremental(lake, base, day, day, now=NOW, require_match=False)
+    # First day: no stored id to probe; clicks, conversions, updates. Second day: probe and absent keys.
+    assert counts[:3] == [(3, 3), (2, 2), (3, 3)]
+    assert counts[3:6] == [(2, 2), (2, 2), (2, 1)]  # of two staged ids one is stored
+    assert all(rows >= real for rows, real in counts)
+    assert {r.event_id for r in lake.read("silver").collect()} == {*ids, "n"}
+
+
+def test_results_do_not_depend_on_how_a_batch_is_joined(spark, lake, events, tmp_path, monkeypatch):
+    base = str(tmp_path / "raw")
+    ids = [(f"e{i}", T + i * 7 * 3600) for i in range(40)]
+    append_raw(events("impression", *ids, *ids[:9]), base, "impression")
+    append_raw(events("click", *((e, t + 60) for e, t in ids[::3])), base, "click")
+    append_raw(events("conversion", *((e, t + 3 * DAY) for e, t in ids[::4])), base, "conversion")
+    tables = []
+    for limit in (joins.BATCH_ROWS, 0):
+        monkeypatch.setattr(joins, "BATCH_ROWS", limit)
+        made = type(lake)(spark, str(tmp_path / f"lake-{limit}"))
+        for start, end in (("2024-03-01", "2024-03-05"), ("2024-03-04", "2024-03-20")):
+            silver.run_incremental(made, base, start, end, now=NOW)
+        tables.append((rows_of(made.read("silver")), rows_of(made.log())))
+    assert tables[0] == tables[1] and len(tables[0][0]) == 40
